@@ -37,6 +37,8 @@ def in_municipality(files: DataFrame) -> DataFrame:
 
 def spread(rows: DataFrame, key: str) -> DataFrame:
     """Use every core on an input of few splits; an input with enough of them stays as it is."""
+    if rows.isStreaming:
+        return rows
     wanted = rows.sparkSession.sparkContext.defaultParallelism
     return rows if rows.rdd.getNumPartitions() >= wanted else rows.repartition(wanted, key)
 
