@@ -97,6 +97,16 @@ def num_value(path: Column) -> Column:
     return total.cast(S.NUM)
 
 
+def num_parts(num: Column) -> Column:
+    """2.003001 -> [2, 3, 1]: the parts a stored number shows."""
+    text = F.split(F.replace(F.format_number(num, 18), F.lit(","), F.lit("")), r"\.")
+    branches = F.regexp_replace(F.get(text, 1), "(000)+$", "")
+    parts = F.concat(
+        F.array(F.get(text, 0)), F.regexp_extract_all(branches, F.lit("[0-9]{3}"), F.lit(0))
+    )
+    return F.transform(parts, lambda p: p.try_cast("int"))
+
+
 def etype_rank(etype: Column) -> Column:
     ranks = F.create_map(*[F.lit(x) for kv in S.ETYPE_RANK.items() for x in kv])
     return F.try_element_at(ranks, etype)

@@ -1,4 +1,4 @@
-"""Checks on laws and elements. Each gives rows of the ``errors`` table."""
+"""Checks on parsed files. Each gives rows of the ``errors`` table."""
 
 from __future__ import annotations
 
@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from lawtree import schema as S
 from lawtree.functions import scalars
 from lawtree.operators.tree import is_text, parent_ord
+from lawtree.scratch import checkpointed
 
-# Columns of the law that an error report needs; ``elements(parsed, *CONTEXT)`` has them.
+# Columns of the law that an error report needs.
 CONTEXT = ("path", "code", "law_name", "law_num")
+
 # Errors of a whole file; no mode keeps such a law.
 LAW_ERROR_CLASSES = (
     "XMLStructureError", "PathCodeError", "LengthError", "ForeignKeyError", "IdCollisionError",
@@ -29,108 +31,122 @@ def _errors(rows: DataFrame, error_class: str, detail: Column) -> DataFrame:
     )
 
 
-def _parent_etype() -> Column:
-    return F.coalesce(F.try_element_at("lineage", F.lit(-1))["etype"], F.lit(S.ROOT))
+def _heads(parsed: DataFrame) -> DataFrame:
+    return parsed.where(F.col("ord") == 0)
 
 
-def grammar_errors(elements: DataFrame) -> DataFrame:
-    """Elements under a parent their type does not allow."""
-    allowed = F.lit(False)
-    for etype, parents in S.GRAMMAR.items():
-        allowed = allowed | ((F.col("etype") == etype) & F.col("parent_etype").isin(*parents))
-    rows = elements.withColumn("parent_etype", _parent_etype()).where(~allowed)
-    # Fixed value: the message text, spelling included.
-    return _errors(
-        rows, "HieralchyError",
-        F.format_string("invalid hieralchy %s -> %s", F.col("parent_etype"), F.col("etype")),
-    )
+def _body(parsed: DataFrame) -> DataFrame:
+    return parsed.where((F.col("ord") > 0) & F.col("parse_error").isNull())
 
 
-def etype_errors(elements: DataFrame, etypes: Iterable[str] = S.ETYPES) -> DataFrame:
-    known = F.col("etype").isin(*etypes)
-    return _errors(
-        elements.where(~known), "EtypeError", F.format_string("unknown type %s", F.col("etype"))
-    )
+# Checks that need one row only: (error class, condition, detail).
 
+def _file_checks() -> list[tuple[str, Column, Column]]:
+    head, read = F.col("ord") == 0, F.col("parse_error").isNull()
+    checks = [
+        ("XMLStructureError", head & ~read, F.col("parse_error")),
+        ("PathCodeError", head & read & F.col("code").isNull(), F.col("path")),
+    ]
+    for c in ("law_name", "law_num"):
+        detail = F.format_string(f"{c} has %d characters", F.length(c))
+        checks.append(("LengthError", head & read & (F.length(c) > S.LAW_LIMIT), detail))
+    return checks
 
-def num_errors(elements: DataFrame) -> DataFrame:
-    """Num attributes of a wrong format, or with a part too large to hold."""
-    bad = F.col("num_path").isNull()
-    return _errors(
-        elements.where(bad), "LawElementNumberError",
-        F.format_string("Invalid Format %s", F.col("num_raw")),
+
+def grammar_ok(etype: Column, parent: Column) -> Column:
+    """The parent's type is one that this type allows; unknown types pass."""
+    rules = F.create_map(
+        *[x for e, parents in S.GRAMMAR.items() for x in (F.lit(e), F.array(*map(F.lit, parents)))]
     )
+    return F.coalesce(F.array_contains(F.try_element_at(rules, etype), parent), F.lit(True))
+
+
+def _element_checks(known: Iterable[str]) -> list[tuple[str, Column, Column]]:
+    element, etype, num_raw = F.col("ord") > 0, F.col("etype"), F.col("num_raw")
+    parent = F.coalesce(F.try_element_at("lineage", F.lit(-1))["etype"], F.lit(S.ROOT))
+    return [
+        (
+            # Fixed value: the message text, spelling included.
+            "HieralchyError", element & ~grammar_ok(etype, parent),
+            F.format_string("invalid hieralchy %s -> %s", parent, etype),
+        ),
+        ("EtypeError", element & ~etype.isin(*known), F.format_string("unknown type %s", etype)),
+        (
+            "LawElementNumberError", element & scalars.num_path(etype, num_raw).isNull(),
+            F.format_string("Invalid Format %s", num_raw),
+        ),
+    ]
+
+
+def row_errors(parsed: DataFrame, include_subitem_sentences: bool = False) -> DataFrame:
+    """All checks of single rows, in one scan and without a shuffle.
 
+    Unreadable XML, paths without codes, names over the length limit; elements under a parent
+    their type does not allow, of an unknown type, or with a Num of a wrong format.
+    """
+    known = S.ETYPES + (S.SUBITEM_SENTENCES if include_subitem_sentences else ())
+    found = [
+        F.when(
+            condition,
+            F.struct(F.lit(error_class).alias("error_class"), detail.alias("error_detail")),
+        )
+        for error_class, condition, detail in _file_checks() + _element_checks(known)
+    ]
+    rows = parsed.select(*CONTEXT, "ord", F.inline(F.array_compact(F.array(*found))))
+    return rows.select(*S.ERRORS.fieldNames())
+
+
+# Checks among siblings. Only keys and counters are shuffled; the few hits get their law after.
 
-def duplicate_errors(elements: DataFrame, across_types: bool = False) -> DataFrame:
+def _numbered(parsed: DataFrame) -> DataFrame:
+    path = scalars.num_path(F.col("etype"), F.col("num_raw"))
+    return _body(parsed).withColumns({"parent_ord": parent_ord(), "num": scalars.num_value(path)})
+
+
+def _with_law(hits: DataFrame, parsed: DataFrame) -> DataFrame:
+    return hits.join(_heads(parsed).select(*CONTEXT), "path")
+
+
+def duplicate_errors(parsed: DataFrame, across_types: bool = False) -> DataFrame:
     """Siblings with the same type and number, or with ``across_types`` the same number.
 
     A law may have any number of supplementary provisions, all numbered 0. One error per
     number, at the first element that has it.
     """
-    rows = elements.withColumn("parent_ord", parent_ord())
+    rows = _numbered(parsed).where(F.col("num").isNotNull())
     if across_types:
         rows = rows.where(~is_text() & ~F.col("etype").isin(*S.PROVISIONS))
-        keys = ["path", "parent_ord", "num"]
+        keys, shown = ["path", "parent_ord", "num"], F.col("num").cast("string")
     else:
         rows = rows.where(F.col("etype") != "SupplProvision")
         keys = ["path", "parent_ord", "etype", "num"]
-    first = F.min_by(
-        F.struct("etype", "num_path", *[c for c in CONTEXT if c != "path"]), "ord"
-    ).alias("first")
-    groups = rows.where(F.col("num").isNotNull()).groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.min("ord").alias("ord"), first
-    )
-    doubles = groups.where(F.col("n") > 1).select("path", "ord", "first.*")
-    label = scalars.number_label(F.col("etype"), F.col("num_path"))
-    return _errors(
-        doubles, "DuplicateNumberError", F.concat(F.lit("element number duplication: "), label)
-    )
+        shown = scalars.number_label(F.col("etype"), scalars.num_parts(F.col("num")))
+    groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("ord"))
+    hits = _with_law(groups.where(F.col("n") > 1), parsed)
+    detail = F.concat(F.lit("element number duplication: "), shown)
+    return _errors(hits, "DuplicateNumberError", detail)
 
 
-def sibling_errors(elements: DataFrame) -> DataFrame:
+def sibling_errors(parsed: DataFrame) -> DataFrame:
     """Parents whose non-text children are of more than one type."""
-    rows = elements.where(~is_text()).withColumn("parent_ord", parent_ord())
-    context = [F.first(c).alias(c) for c in CONTEXT if c != "path"]
-    groups = rows.groupBy("path", "parent_ord").agg(
-        F.min("etype").alias("a"), F.max("etype").alias("b"), F.min("ord").alias("ord"), *context
+    rows = _body(parsed).where(~is_text()).withColumns(
+        {"parent_ord": parent_ord(), "rank": scalars.etype_rank(F.col("etype"))}
     )
-    return _errors(
-        groups.where(F.col("a") != F.col("b")), "HieralchyError",
-        F.format_string("different type elements in the same layer: %s and %s", "a", "b"),
+    groups = rows.groupBy("path", "parent_ord").agg(
+        F.min("rank").alias("a"), F.max("rank").alias("b"), F.min("ord").alias("ord")
     )
-
-
-def parse_errors(parsed: DataFrame) -> DataFrame:
-    rows = parsed.where((F.col("ord") == 0) & F.col("parse_error").isNotNull())
-    return _errors(rows, "XMLStructureError", F.col("parse_error"))
-
-
-def code_errors(heads: DataFrame) -> DataFrame:
-    """Files whose path gives no usable prefecture, municipality or file code."""
-    return _errors(heads.where(F.col("code").isNull()), "PathCodeError", F.col("path"))
-
-
-def length_errors(heads: DataFrame) -> DataFrame:
-    """Law names and numbers over the length limit."""
-    columns = ("law_name", "law_num")
-    return reduce(
-        DataFrame.unionByName,
-        [
-            _errors(
-                heads.where(F.length(c) > S.LAW_LIMIT), "LengthError",
-                F.format_string(f"{c} has %d characters", F.length(c)),
-            )
-            for c in columns
-        ],
+    hits = _with_law(groups.where(F.col("a") != F.col("b")), parsed)
+    types = F.array(*map(F.lit, S.ETYPE_RANK))
+    detail = F.format_string(
+        "different type elements in the same layer: %s and %s", F.get(types, "a"), F.get(types, "b")
     )
+    return _errors(hits, "HieralchyError", detail)
 
 
-def municipality_errors(heads: DataFrame, municipalities: DataFrame) -> DataFrame:
+def municipality_errors(parsed: DataFrame, municipalities: DataFrame) -> DataFrame:
     """Laws of a municipality that is not in the list."""
-    missing = heads.where(F.col("muni_id").isNotNull()).join(
-        municipalities.select("muni_id"), "muni_id", "left_anti"
-    )
+    heads = _heads(parsed).where(F.col("parse_error").isNull() & F.col("muni_id").isNotNull())
+    missing = heads.join(municipalities.select("muni_id"), "muni_id", "left_anti")
     return _errors(
         missing, "ForeignKeyError", F.format_string("unknown municipality %d", F.col("muni_id"))
     )
@@ -142,45 +158,28 @@ def collision_errors(heads: DataFrame) -> DataFrame:
     )
 
 
-def element_errors(
-    elements: DataFrame,
+def violations(
+    parsed: DataFrame,
+    municipalities: DataFrame | None = None,
     *,
     check_siblings: bool = False,
     check_cross_type_numbers: bool = False,
     include_subitem_sentences: bool = False,
 ) -> DataFrame:
-    """All checks on ``elements`` (which needs the ``CONTEXT`` columns)."""
-    known = S.ETYPES + (S.SUBITEM_SENTENCES if include_subitem_sentences else ())
-    found = [
-        grammar_errors(elements),
-        etype_errors(elements, known),
-        num_errors(elements),
-        duplicate_errors(elements),
-    ]
+    """Every violation in a stored table of parsed files, which is scanned once per group of checks."""
+    found = [row_errors(parsed, include_subitem_sentences), duplicate_errors(parsed)]
+    if municipalities is not None:
+        found.append(municipality_errors(parsed, municipalities))
     if check_siblings:
-        found.append(sibling_errors(elements))
+        found.append(sibling_errors(parsed))
     if check_cross_type_numbers:
-        found.append(duplicate_errors(elements, across_types=True))
-    return reduce(DataFrame.unionByName, found)
-
-
-def law_errors(heads: DataFrame, municipalities: DataFrame | None = None) -> DataFrame:
-    """All checks on whole files (rows of ``parse`` with ``ord`` 0)."""
-    read = heads.where(F.col("parse_error").isNull())
-    found = [parse_errors(heads), code_errors(read), length_errors(read)]
-    if municipalities is not None:
-        found.append(municipality_errors(read, municipalities))
+        found.append(duplicate_errors(parsed, across_types=True))
     return reduce(DataFrame.unionByName, found)
 
 
 def validate(parsed: DataFrame, municipalities: DataFrame | None = None, **options) -> DataFrame:
-    """Every violation in the files of ``parsed``, as rows of the ``errors`` table."""
-    from lawtree.sources import xml
-
-    heads = parsed.where(F.col("ord") == 0)
-    return law_errors(heads, municipalities).unionByName(
-        element_errors(xml.elements(parsed, *CONTEXT), **options)
-    )
+    """``violations`` for files that are not stored: they are read once, texts are left behind."""
+    return violations(checkpointed(parsed.drop("texts")), municipalities, **options)
 
 
 def without_errors(rows: DataFrame, errors: DataFrame) -> DataFrame:

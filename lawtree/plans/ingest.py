@@ -15,21 +15,25 @@ from lawtree.scratch import scratch_path
 from lawtree.sources import files as sources
 from lawtree.sources import xml
 
-_LISTING = ("path", "modification_time", "length")
+_LISTING = ["path", "modification_time", "length"]
 
+# File names handed from the listing to the reader. Beyond that a run reads the whole tree.
+MAX_LISTED = 100_000
 
-def _unchanged(files: DataFrame, warehouse: Warehouse, reiki_only: bool) -> DataFrame:
-    """Files an earlier batch has settled, with that outcome. Their content is not read."""
-    settled = ["registered", "skipped_known"] + (["skipped_not_reiki"] if reiki_only else [])
+
+def settled_files(listing: DataFrame, warehouse: Warehouse, reiki_only: bool = True) -> DataFrame:
+    """Unchanged files that an earlier batch registered or skipped, with their outcome now."""
+    final = ["registered", "skipped_known"] + (["skipped_not_reiki"] if reiki_only else [])
     known = (
         warehouse.table("outcomes")
-        .where(F.col("outcome").isin(*settled))
+        .where(F.col("outcome").isin(*final))
         .groupBy(*_LISTING)
         .agg(F.max(F.col("outcome") == "skipped_not_reiki").alias("not_reiki"))
     )
     outcome = F.when(F.col("not_reiki"), "skipped_not_reiki").otherwise("skipped_known")
-    listing = files.select(*_LISTING, "code")
-    return listing.join(known, list(_LISTING)).withColumn("outcome", outcome).drop("not_reiki")
+    return listing.join(known, _LISTING).withColumn("outcome", outcome).select(
+        *S.OUTCOMES.fieldNames()
+    )
 
 
 def new_laws(candidates: DataFrame, registered: DataFrame) -> DataFrame:
@@ -89,6 +93,7 @@ def ingest(
     include_subitem_sentences: bool = False,
     strip_ws: bool = True,
     fold_width: bool = False,
+    settled: DataFrame | None = None,
     **checks: bool,
 ) -> DataFrame:
     """Register ``files`` (``FILES`` rows) and return the outcomes, one row per file.
@@ -96,16 +101,15 @@ def ingest(
     A file is registered, skipped (number known already, no ordinance) or an error. With
     ``strict`` one violation anywhere keeps a whole law out; otherwise violations inside a
     law are only reported. Nothing of a batch is visible before its last write, and a batch
-    that is already visible is not run again.
+    that is already visible is not run again. ``settled`` has outcomes of further files.
     """
-    warehouse = Warehouse(spark, root).create()
+    warehouse = Warehouse(spark, root)
     if warehouse.is_committed(batch_id):
         return warehouse.batch("outcomes", batch_id)
 
-    unchanged = _unchanged(files, warehouse, reiki_only)
-    fresh = files.join(unchanged.select("path"), "path", "left_anti")
+    settled = spark.createDataFrame([], S.OUTCOMES) if settled is None else settled
     parsed = xml.parse(
-        fresh, etypes=etypes, include_subitem_sentences=include_subitem_sentences,
+        files, etypes=etypes, include_subitem_sentences=include_subitem_sentences,
         reiki_only=reiki_only, strip_ws=strip_ws, fold_width=fold_width,
     )
     # Each file is read and parsed once; all steps below work on this table.
@@ -113,6 +117,11 @@ def ingest(
     parsed.write.parquet(f"{staging}/parsed")
     staged = spark.read.schema(parsed.schema).parquet(f"{staging}/parsed")
 
+    if staged.isEmpty():
+        warehouse.write("outcomes", batch_id, settled)
+        warehouse.commit(batch_id)
+        return warehouse.batch("outcomes", batch_id)
+
     wanted = F.col("parse_error").isNull() & (F.col("is_reiki") if reiki_only else F.lit(True))
     heads = staged.where(F.col("ord") == 0)
     registered = warehouse.table("laws")
@@ -122,22 +131,18 @@ def ingest(
     known = spark.read.schema(known.schema).parquet(f"{staging}/known")
 
     # Violations. Written first: what they exclude is then a table of known size.
-    candidates = staged.where(wanted).join(known, "path", "left_anti")
+    scope = staged.where(F.col("parse_error").isNotNull() | wanted).join(known, "path", "left_anti")
     municipalities = warehouse.table("municipalities") if check_municipalities else None
-    law_errors = validate.parse_errors(heads).unionByName(
-        validate.law_errors(candidates.where(F.col("ord") == 0), municipalities)
+    found = validate.violations(
+        scope, municipalities, include_subitem_sentences=include_subitem_sentences, **checks
     )
-    inner_errors = validate.element_errors(
-        xml.elements(candidates, *validate.CONTEXT),
-        include_subitem_sentences=include_subitem_sentences, **checks,
-    )
-    warehouse.write("errors", batch_id, law_errors.unionByName(inner_errors))
+    warehouse.write("errors", batch_id, found)
     errors = warehouse.batch("errors", batch_id)
     if not strict:
         errors = errors.where(F.col("error_class").isin(*validate.LAW_ERROR_CLASSES))
     failed = errors.select("path").distinct()
 
-    valid = candidates.where(F.col("ord") == 0).join(failed, "path", "left_anti")
+    valid = scope.where((F.col("ord") == 0) & wanted).join(failed, "path", "left_anti")
     winners = lowest_file(valid).select("law_id", "file_id", "path")
     winners.write.parquet(f"{staging}/winners")
     winners = spark.read.schema(winners.schema).parquet(f"{staging}/winners")
@@ -163,8 +168,8 @@ def ingest(
         .otherwise(F.coalesce("mark", F.lit("skipped_known")))
     )
     decided = heads.join(marks, "path", "left").withColumn("outcome", outcome)
-    columns = S.OUTCOMES.fieldNames()
-    warehouse.write("outcomes", batch_id, decided.select(columns).unionByName(unchanged.select(columns)))
+    decided = decided.select(*S.OUTCOMES.fieldNames())
+    warehouse.write("outcomes", batch_id, decided.unionByName(settled))
 
     outcomes = warehouse.batch("outcomes", batch_id)
     rejected = outcomes.where(F.col("outcome") != "registered").select("path")
@@ -182,6 +187,17 @@ def ingest(
 
 
 def ingest_tree(spark: SparkSession, corpus: str, root: str, batch_id: str, **options) -> DataFrame:
-    """Register every municipality folder below ``corpus``."""
+    """Register every municipality folder below ``corpus``.
+
+    When few files are new or changed since earlier batches, only those are opened.
+    """
     files = sources.in_municipality(sources.corpus_files(spark, corpus))
+    listing = files.select(*_LISTING, "code")
+    settled = settled_files(listing, Warehouse(spark, root), options.get("reiki_only", True))
+    if not settled.isEmpty():
+        new = listing.select("path").join(settled.select("path"), "path", "left_anti")
+        paths = [row.path for row in new.limit(MAX_LISTED + 1).collect()]
+        if len(paths) <= MAX_LISTED:
+            files = sources.named_files(spark, paths)
+            options["settled"] = settled
     return ingest(spark, files, root, batch_id, **options)

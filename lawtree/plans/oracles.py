@@ -199,7 +199,7 @@ ORACLES: dict[str, str] = {
     ),
     "validate_siblings": _sql(
         "SELECT law_name, 'HieralchyError' AS error_class, "
-        "'different type elements in the same layer: Article and Chapter' AS error_detail, 2 AS ord "
+        "'different type elements in the same layer: Chapter and Article' AS error_detail, 2 AS ord "
         "FROM laws WHERE doc_id % 17 = 0"
     ),
     "validate_lengths": _sql(

@@ -202,7 +202,8 @@ def _kanji(value: Column) -> Column:
 
 def kanji_numerals(spark, sf):
     value = (F.col("l_orderkey") % 9973) * 1_000_000_007 + F.col("l_partkey")
-    rows = spark.read.parquet(f"{sf}/lineitem.parquet").select(value.cast("bigint").alias("_value"))
+    lineitem = sources.spread(spark.read.parquet(f"{sf}/lineitem.parquet"), "l_orderkey")
+    rows = lineitem.select(value.cast("bigint").alias("_value"))
     written = F.concat(F.lit("第"), F.col("kanji"), F.lit("号"))
     return rows.select(_kanji(F.col("_value")).alias("kanji")).select(
         numerals.kanji_to_arabic(written).alias("plain"),
@@ -281,7 +282,7 @@ def stream_outcomes(spark, sf):
 
 def read_back(spark, sf):
     root = scratch_path(spark, "read-back")
-    warehouse = Warehouse(spark, root).create()
+    warehouse = Warehouse(spark, root)
     warehouse.load_dimensions(_municipality_rows(spark, sf))
     ingest(spark, corpus(spark, sf), root, "b1")
     headers = readback.law_header(warehouse.table("laws"), warehouse.table("municipalities"))

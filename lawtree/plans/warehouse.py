@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,30 +28,30 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def _create(self, mode: str) -> None:
+    def reset(self) -> Warehouse:
+        """Drop and recreate all tables. Tables that are missing read as empty without this."""
         for name, schema in DIMENSIONS.items():
-            self.spark.createDataFrame([], schema).write.mode(mode).parquet(self._path(name))
+            self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(self._path(name))
         for name, schema in {**BATCHED, "manifest": S.MANIFEST}.items():
             full = T.StructType([*(f for f in schema if f.name != "batch_id"), _BATCH])
             empty = self.spark.createDataFrame([], full)
             # Partitioned, so that an empty table has a folder and no file.
-            empty.write.mode(mode).partitionBy("batch_id").parquet(self._path(name))
-
-    def create(self) -> Warehouse:
-        """Make the tables that are missing."""
-        self._create("ignore")
+            empty.write.mode("overwrite").partitionBy("batch_id").parquet(self._path(name))
         return self
 
-    def reset(self) -> Warehouse:
-        """Drop and recreate all tables."""
-        self._create("overwrite")
-        return self
+    def _read(self, schema: T.StructType, path: str) -> DataFrame:
+        try:
+            return self.spark.read.schema(schema).parquet(path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)
 
     def _path(self, name: str, batch_id: str | None = None) -> str:
         return f"{self.root}/{name}" + (f"/batch_id={batch_id}" if batch_id else "")
 
     def committed(self) -> DataFrame:
-        return self.spark.read.schema(S.MANIFEST).parquet(self._path("manifest"))
+        return self._read(S.MANIFEST, self._path("manifest"))
 
     def is_committed(self, batch_id: str) -> bool:
         return not self.committed().where(F.col("batch_id") == batch_id).isEmpty()
@@ -73,14 +74,14 @@ class Warehouse:
 
     def batch(self, name: str, batch_id: str) -> DataFrame:
         """One batch as written, committed or not."""
-        return self.spark.read.schema(BATCHED[name]).parquet(self._path(name, batch_id))
+        return self._read(BATCHED[name], self._path(name, batch_id))
 
     def table(self, name: str) -> DataFrame:
         """Rows of all committed batches, or a dimension table."""
         if name in DIMENSIONS:
-            return self.spark.read.schema(DIMENSIONS[name]).parquet(self._path(name))
+            return self._read(DIMENSIONS[name], self._path(name))
         schema = T.StructType([*BATCHED[name].fields, _BATCH])
-        rows = self.spark.read.schema(schema).parquet(self._path(name))
+        rows = self._read(schema, self._path(name))
         return rows.join(self.committed(), "batch_id", "left_semi").drop("batch_id")
 
     def load_dimensions(self, rows: DataFrame) -> None:

@@ -83,6 +83,8 @@ def corpus_from_documents(
     files = documents.withColumn("lines", lines).select(
         ((source_no + 1) * 10000 + doc % 7).cast("int").alias("muni_id"),
         doc.cast("int").alias("file_id"),
+        # Of the document rather than the file, so that a listing need not build the file.
+        F.octet_length("text").cast("long").alias("length"),
         F.encode(edit(xml), "UTF-8").alias("content"),
     )
     files = files.withColumn("pref_id", scalars.pref_of(F.col("muni_id")))
@@ -90,6 +92,5 @@ def corpus_from_documents(
     return files.select(
         F.concat(F.lit("documents/"), "code", F.lit(".xml")).alias("path"),
         F.timestamp_seconds(F.lit(0)).alias("modification_time"),
-        F.octet_length("content").cast("long").alias("length"),
-        "pref_id", "muni_id", "file_id", "code", "content",
+        "length", "pref_id", "muni_id", "file_id", "code", "content",
     ).select(*S.FILES.fieldNames())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,6 +60,14 @@ def corpus_files(spark: SparkSession, root: str, extension: str = ".xml") -> Dat
     return _layout(reader.load(root))
 
 
+def named_files(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """The given files."""
+    if not paths:
+        return spark.createDataFrame([], S.FILES)
+    literal = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
+    return _layout(spark.read.format("binaryFile").load(literal))
+
+
 def corpus_stream(
     spark: SparkSession, root: str, extension: str = ".xml", max_files: int | None = None
 ) -> DataFrame:
