@@ -74,6 +74,7 @@ def corpus_stream(
     """The same listing as a file stream; ``max_files`` bounds one micro-batch."""
     reader = (
         spark.readStream.format("binaryFile")
+        .schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", f"*{extension}")
     )
