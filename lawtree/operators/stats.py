@@ -17,9 +17,12 @@ def count_elems_by_law(elements: DataFrame, *carry: str) -> DataFrame:
 
 def count_elems(elements: DataFrame, etypes: Iterable[str] = S.BASIC_ETYPES) -> DataFrame:
     """Elements per type, with 0 for types that do not occur."""
-    counts = elements.groupBy("etype").agg(F.count(F.lit(1)).alias("n"))
-    types = elements.sparkSession.createDataFrame([(e,) for e in etypes], "etype string")
-    return types.join(counts, "etype", "left").select("etype", F.coalesce("n", F.lit(0)).alias("n"))
+    names = list(etypes)
+    zeros = elements.sparkSession.range(1).select(
+        F.explode(F.array(*map(F.lit, names))).alias("etype"), F.lit(0).alias("n")
+    )
+    ones = elements.where(F.col("etype").isin(*names)).select("etype", F.lit(1).alias("n"))
+    return ones.unionByName(zeros).groupBy("etype").agg(F.sum("n").alias("n"))
 
 
 def count_rollup(elements: DataFrame, *keys: str) -> DataFrame:

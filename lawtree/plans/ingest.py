@@ -39,11 +39,11 @@ def settled_files(listing: DataFrame, warehouse: Warehouse, reiki_only: bool = T
 def new_laws(candidates: DataFrame, registered: DataFrame) -> DataFrame:
     """Candidates whose ``(muni_id, num)`` is not registered yet, the lowest file of each.
 
-    Both inputs need muni_id and law_num or num; candidates also file_id and path.
+    Candidates need muni_id, law_num, law_id, file_id and path; registered laws muni_id and
+    num. A number that very many files share is down to one row before the join.
     """
-    keys = ["muni_id", "law_num"]
     taken = registered.select("muni_id", F.col("num").alias("law_num"))
-    return lowest_file(candidates.join(taken, keys, "left_anti"))
+    return lowest_file(candidates).join(taken, ["muni_id", "law_num"], "left_anti")
 
 
 def lowest_file(candidates: DataFrame) -> DataFrame:
@@ -119,7 +119,7 @@ def ingest(
 
     if staged.isEmpty():
         warehouse.write("outcomes", batch_id, settled)
-        warehouse.commit(batch_id)
+        warehouse.commit(batch_id, ["outcomes"])
         return warehouse.batch("outcomes", batch_id)
 
     wanted = F.col("parse_error").isNull() & (F.col("is_reiki") if reiki_only else F.lit(True))
@@ -176,11 +176,13 @@ def ingest(
     kept = staged.where(wanted).join(rejected, "path", "left_anti")
     warehouse.write("laws", batch_id, xml.laws(kept))
     warehouse.write("elements", batch_id, xml.elements(kept, "pref_id"))
+    written = ["errors", "outcomes", "laws", "elements"]
     if with_strings:
         elements = warehouse.batch("elements", batch_id)
         warehouse.write("strings", batch_id, new_strings(elements, warehouse.table("strings")))
         warehouse.write("string_edges", batch_id, string_rows(elements))
-    warehouse.commit(batch_id)
+        written += ["strings", "string_edges"]
+    warehouse.commit(batch_id, written)
     # The staged copy is not needed any more; writing no rows over it frees the space.
     staged.limit(0).write.mode("overwrite").parquet(f"{staging}/parsed")
     return outcomes

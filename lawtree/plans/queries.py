@@ -16,7 +16,7 @@ from lawtree.functions import numerals, scalars
 from lawtree.operators import dims, readback, stats, text, tree, validate
 from lawtree.plans.ingest import ingest, new_laws, new_strings, string_rows
 from lawtree.plans.warehouse import Warehouse
-from lawtree.scratch import scratch_path
+from lawtree.scratch import checkpointed, scratch_path
 from lawtree.sources import files as sources
 from lawtree.sources import xml
 from lawtree.sources.documents import corpus_from_documents
@@ -45,6 +45,11 @@ def elements(spark: SparkSession, sf: str, *keep: str) -> DataFrame:
     return xml.elements(ordinances(spark, sf), *keep)
 
 
+def stored(rows: DataFrame, *columns: str) -> DataFrame:
+    """Elements reduced to some columns and written out, for joins of a table with itself."""
+    return checkpointed(rows.select("law_name", "law_id", "ord", "lineage", *columns))
+
+
 def _for(condition: Column, xml_text: str) -> Column:
     return F.when(condition, F.lit(xml_text)).otherwise("")
 
@@ -97,13 +102,13 @@ def children(spark, sf):
 
 
 def children_of_provisions(spark, sf):
-    rows = elements(spark, sf, "law_name")
+    rows = stored(elements(spark, sf, "law_name"), "elem_id", "parent_id", "etype", "num", "depth")
     found = tree.children(rows, tree.top_level(rows))
     return found.select("law_name", "ord", "etype", "num")
 
 
 def descendants(spark, sf):
-    rows = elements(spark, sf, "law_name")
+    rows = stored(elements(spark, sf, "law_name"), "etype")
     articles = rows.where(F.col("etype") == "Article")
     pairs = tree.descendants(rows.select("law_id", "lineage"), articles, "law_name")
     counts = pairs.groupBy("anc_law_name", "anc_ord").agg(F.count(F.lit(1)).alias("n"))
@@ -113,9 +118,7 @@ def descendants(spark, sf):
 
 
 def adjacency_tree(spark, sf):
-    rows = elements(spark, sf, "law_name").select(
-        "law_name", "law_id", "elem_id", "parent_id", "ord", "etype", "num_raw"
-    )
+    rows = stored(elements(spark, sf, "law_name"), "elem_id", "parent_id", "etype", "num_raw")
     return tree.with_lineage(rows).select(
         "law_name", "ord", "depth", tree.parent_ord().alias("parent_ord")
     )
@@ -127,7 +130,7 @@ def citation_labels(spark, sf):
 
 
 def element_lookup(spark, sf):
-    rows = elements(spark, sf, "law_name")
+    rows = stored(elements(spark, sf, "law_name"), "elem_id", "parent_id", "etype", "num", "depth")
     first = tree.top_level(rows).select(
         "law_id", F.col("elem_id").alias("parent_id"), F.lit("Article").alias("etype"),
         F.lit(1).cast(S.NUM).alias("num"),
@@ -239,7 +242,8 @@ def string_dictionary(spark, sf):
 def string_edges(spark, sf):
     rows = tree.sentences(elements(spark, sf, "law_name"))
     rows = rows.withColumn("string_id", scalars.string_id(F.col("sentence")))
-    edges = rows.select("law_name", "ord", "sentence_num", "string_id")
+    rows = checkpointed(rows.select("law_name", "ord", "sentence_num", "string_id", "sentence"))
+    edges = rows.drop("sentence")
     strings = rows.select("string_id", F.col("sentence").alias("string")).distinct()
     return edges.join(strings, "string_id").drop("string_id")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,9 +58,11 @@ class Warehouse:
     def is_committed(self, batch_id: str) -> bool:
         return not self.committed().where(F.col("batch_id") == batch_id).isEmpty()
 
-    def commit(self, batch_id: str) -> None:
-        """Make all tables of a batch visible, with the last write of the batch."""
-        row = self.spark.range(1).select(F.current_timestamp().alias("committed_at"))
+    def commit(self, batch_id: str, tables: Iterable[str]) -> None:
+        """Make these tables of a batch visible, with the last write of the batch."""
+        row = self.spark.range(1).select(
+            F.array(*map(F.lit, tables)).alias("tables"), F.current_timestamp().alias("committed_at")
+        )
         row.write.mode("overwrite").parquet(self._path("manifest", batch_id))
 
     def write(self, name: str, batch_id: str, rows: DataFrame, mode: str = "overwrite") -> None:
@@ -77,12 +81,19 @@ class Warehouse:
         return self._read(BATCHED[name], self._path(name, batch_id))
 
     def table(self, name: str) -> DataFrame:
-        """Rows of all committed batches, or a dimension table."""
+        """Rows of all committed batches, or a dimension table.
+
+        The manifest (one row per run, not per law) names the folders to scan, so reading
+        takes no join and keeps every pushed-down filter.
+        """
         if name in DIMENSIONS:
             return self._read(DIMENSIONS[name], self._path(name))
-        schema = T.StructType([*BATCHED[name].fields, _BATCH])
-        rows = self._read(schema, self._path(name))
-        return rows.join(self.committed(), "batch_id", "left_semi").drop("batch_id")
+        holding = self.committed().where(F.array_contains("tables", name)).select("batch_id")
+        folders = [self._path(name, row.batch_id) for row in holding.collect()]
+        if not folders:
+            return self.spark.createDataFrame([], BATCHED[name])
+        reader = self.spark.read.schema(BATCHED[name]).option("basePath", self._path(name))
+        return reader.parquet(*folders).select(*BATCHED[name].fieldNames())
 
     def load_dimensions(self, rows: DataFrame) -> None:
         """Replace both dimension tables by ``(row_no, code, pref_name, muni_name)`` rows."""

@@ -172,4 +172,9 @@ OUTCOMES = _struct(
     ("outcome", T.StringType()),
 )
 
-MANIFEST = _struct(("batch_id", T.StringType()), ("committed_at", T.TimestampType()))
+# One row per batch: the tables it wrote.
+MANIFEST = _struct(
+    ("batch_id", T.StringType()),
+    ("tables", T.ArrayType(T.StringType())),
+    ("committed_at", T.TimestampType()),
+)
