@@ -32,7 +32,7 @@ def _fold(pieces: Column, units: dict[str, int], plain) -> Column:
     A unit multiplies the value to its left; a unit with nothing to its left counts once.
     Arithmetic past 38 digits gives NULL.
     """
-    unit_of = F.create_map(*[F.lit(x) for kv in units.items() for x in kv])
+    unit_of = F.expr(f"map({', '.join(f'{name!r}, {size}L' for name, size in units.items())})")
 
     def flush(acc: Column) -> Column:
         return F.when(acc["unit"] > 1, F.try_add(acc["total"], acc["unit"])).otherwise(acc["total"])

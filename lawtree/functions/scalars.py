@@ -17,6 +17,18 @@ _WIDE = "".join(chr(c) for r in ("０９", "ＡＺ", "ａｚ") for c in range(or
 _NARROW = "".join(chr(ord(c) - 0xFEE0) for c in _WIDE)
 
 
+def lookup(table: dict, key: Column) -> Column:
+    """Value of a fixed table, or NULL. The table is one literal rather than a Column per cell."""
+
+    def cell(value) -> str:
+        if isinstance(value, tuple):
+            return f"array({', '.join(map(cell, value))})"
+        return f"'{value}'" if isinstance(value, str) else str(value)
+
+    cells = ", ".join(f"{cell(k)}, {cell(v)}" for k, v in table.items())
+    return F.try_element_at(F.expr(f"map({cells})"), key)
+
+
 def default_text(text: Column, default: str) -> Column:
     return F.coalesce(F.nullif(text, F.lit("")), F.lit(default))
 
@@ -87,7 +99,7 @@ def num_path(etype: Column, num_raw: Column) -> Column:
 def num_value(path: Column) -> Column:
     """[2, 3, 1] -> 2.003001: each branch level is worth a thousandth of the one above."""
     # Narrow types keep the 18 decimals: Spark would cut them in a wider product or sum.
-    weights = F.array(*[F.lit(f"1e-{3 * i}").cast("decimal(19,18)") for i in range(7)])
+    weights = F.expr(f"array({', '.join(f'cast(1e-{3 * i}BD AS decimal(19,18))' for i in range(7))})")
     weighted = F.zip_with(path, weights, lambda n, w: n.cast("decimal(10,0)") * w)
     total = F.aggregate(
         weighted,
@@ -108,13 +120,11 @@ def num_parts(num: Column) -> Column:
 
 
 def etype_rank(etype: Column) -> Column:
-    ranks = F.create_map(*[F.lit(x) for kv in S.ETYPE_RANK.items() for x in kv])
-    return F.try_element_at(ranks, etype)
+    return lookup(S.ETYPE_RANK, etype)
 
 
 def etype_label(etype: Column) -> Column:
-    labels = F.create_map(*[F.lit(x) for kv in S.LABELS.items() for x in kv])
-    return F.try_element_at(labels, etype)
+    return lookup(S.LABELS, etype)
 
 
 def number_label(etype: Column, path: Column) -> Column:

@@ -31,10 +31,6 @@ def _errors(rows: DataFrame, error_class: str, detail: Column) -> DataFrame:
     )
 
 
-def _heads(parsed: DataFrame) -> DataFrame:
-    return parsed.where(F.col("ord") == 0)
-
-
 def _body(parsed: DataFrame) -> DataFrame:
     return parsed.where((F.col("ord") > 0) & F.col("parse_error").isNull())
 
@@ -42,60 +38,64 @@ def _body(parsed: DataFrame) -> DataFrame:
 # Checks that need one row only: (error class, condition, detail).
 
 def _file_checks() -> list[tuple[str, Column, Column]]:
-    head, read = F.col("ord") == 0, F.col("parse_error").isNull()
+    read = F.col("parse_error").isNull()
     checks = [
-        ("XMLStructureError", head & ~read, F.col("parse_error")),
-        ("PathCodeError", head & read & F.col("code").isNull(), F.col("path")),
+        ("XMLStructureError", ~read, F.col("parse_error")),
+        ("PathCodeError", read & F.col("code").isNull(), F.col("path")),
     ]
     for c in ("law_name", "law_num"):
         detail = F.format_string(f"{c} has %d characters", F.length(c))
-        checks.append(("LengthError", head & read & (F.length(c) > S.LAW_LIMIT), detail))
+        checks.append(("LengthError", read & (F.length(c) > S.LAW_LIMIT), detail))
     return checks
 
 
 def grammar_ok(etype: Column, parent: Column) -> Column:
     """The parent's type is one that this type allows; unknown types pass."""
-    rules = F.create_map(
-        *[x for e, parents in S.GRAMMAR.items() for x in (F.lit(e), F.array(*map(F.lit, parents)))]
-    )
-    return F.coalesce(F.array_contains(F.try_element_at(rules, etype), parent), F.lit(True))
+    parents = scalars.lookup(S.GRAMMAR, etype)
+    return F.coalesce(F.array_contains(parents, parent), F.lit(True))
 
 
 def _element_checks(known: Iterable[str]) -> list[tuple[str, Column, Column]]:
-    element, etype, num_raw = F.col("ord") > 0, F.col("etype"), F.col("num_raw")
+    etype, num_raw = F.col("etype"), F.col("num_raw")
     parent = F.coalesce(F.try_element_at("lineage", F.lit(-1))["etype"], F.lit(S.ROOT))
     return [
         (
             # Fixed value: the message text, spelling included.
-            "HieralchyError", element & ~grammar_ok(etype, parent),
+            "HieralchyError", ~grammar_ok(etype, parent),
             F.format_string("invalid hieralchy %s -> %s", parent, etype),
         ),
-        ("EtypeError", element & ~etype.isin(*known), F.format_string("unknown type %s", etype)),
+        ("EtypeError", ~etype.isin(*known), F.format_string("unknown type %s", etype)),
         (
-            "LawElementNumberError", element & scalars.num_path(etype, num_raw).isNull(),
+            "LawElementNumberError", scalars.num_path(etype, num_raw).isNull(),
             F.format_string("Invalid Format %s", num_raw),
         ),
     ]
 
 
-def row_errors(parsed: DataFrame, include_subitem_sentences: bool = False) -> DataFrame:
-    """All checks of single rows, in one scan and without a shuffle.
-
-    Unreadable XML, paths without codes, names over the length limit; elements under a parent
-    their type does not allow, of an unknown type, or with a Num of a wrong format.
-    """
-    known = S.ETYPES + (S.SUBITEM_SENTENCES if include_subitem_sentences else ())
+def _row_errors(rows: DataFrame, checks: list[tuple[str, Column, Column]]) -> DataFrame:
+    """All checks in one scan and without a shuffle."""
     found = [
         F.when(
             condition,
             F.struct(F.lit(error_class).alias("error_class"), detail.alias("error_detail")),
         )
-        for error_class, condition, detail in _file_checks() + _element_checks(known)
+        for error_class, condition, detail in checks
     ]
-    rows = parsed.select(*CONTEXT, "ord", F.inline(F.array_compact(F.array(*found))))
+    rows = rows.select(*CONTEXT, "ord", F.inline(F.array_compact(F.array(*found))))
     return rows.select(*S.ERRORS.fieldNames())
 
 
+def file_errors(heads: DataFrame) -> DataFrame:
+    """Unreadable XML, paths without codes, names and numbers over the length limit."""
+    return _row_errors(heads, _file_checks())
+
+
+def element_errors(parsed: DataFrame, include_subitem_sentences: bool = False) -> DataFrame:
+    """Elements under a parent their type does not allow, of an unknown type, or with a bad Num."""
+    known = S.ETYPES + (S.SUBITEM_SENTENCES if include_subitem_sentences else ())
+    return _row_errors(_body(parsed), _element_checks(known))
+
+
 # Checks among siblings. Only keys and counters are shuffled; the few hits get their law after.
 
 def _numbered(parsed: DataFrame) -> DataFrame:
@@ -103,11 +103,11 @@ def _numbered(parsed: DataFrame) -> DataFrame:
     return _body(parsed).withColumns({"parent_ord": parent_ord(), "num": scalars.num_value(path)})
 
 
-def _with_law(hits: DataFrame, parsed: DataFrame) -> DataFrame:
-    return hits.join(_heads(parsed).select(*CONTEXT), "path")
+def _with_law(hits: DataFrame, heads: DataFrame) -> DataFrame:
+    return hits.join(heads.select(*CONTEXT), "path")
 
 
-def duplicate_errors(parsed: DataFrame, across_types: bool = False) -> DataFrame:
+def duplicate_errors(parsed: DataFrame, heads: DataFrame, across_types: bool = False) -> DataFrame:
     """Siblings with the same type and number, or with ``across_types`` the same number.
 
     A law may have any number of supplementary provisions, all numbered 0. One error per
@@ -122,12 +122,12 @@ def duplicate_errors(parsed: DataFrame, across_types: bool = False) -> DataFrame
         keys = ["path", "parent_ord", "etype", "num"]
         shown = scalars.number_label(F.col("etype"), scalars.num_parts(F.col("num")))
     groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("ord"))
-    hits = _with_law(groups.where(F.col("n") > 1), parsed)
+    hits = _with_law(groups.where(F.col("n") > 1), heads)
     detail = F.concat(F.lit("element number duplication: "), shown)
     return _errors(hits, "DuplicateNumberError", detail)
 
 
-def sibling_errors(parsed: DataFrame) -> DataFrame:
+def sibling_errors(parsed: DataFrame, heads: DataFrame) -> DataFrame:
     """Parents whose non-text children are of more than one type."""
     rows = _body(parsed).where(~is_text()).withColumns(
         {"parent_ord": parent_ord(), "rank": scalars.etype_rank(F.col("etype"))}
@@ -135,7 +135,7 @@ def sibling_errors(parsed: DataFrame) -> DataFrame:
     groups = rows.groupBy("path", "parent_ord").agg(
         F.min("rank").alias("a"), F.max("rank").alias("b"), F.min("ord").alias("ord")
     )
-    hits = _with_law(groups.where(F.col("a") != F.col("b")), parsed)
+    hits = _with_law(groups.where(F.col("a") != F.col("b")), heads)
     types = F.array(*map(F.lit, S.ETYPE_RANK))
     detail = F.format_string(
         "different type elements in the same layer: %s and %s", F.get(types, "a"), F.get(types, "b")
@@ -143,10 +143,10 @@ def sibling_errors(parsed: DataFrame) -> DataFrame:
     return _errors(hits, "HieralchyError", detail)
 
 
-def municipality_errors(parsed: DataFrame, municipalities: DataFrame) -> DataFrame:
+def municipality_errors(heads: DataFrame, municipalities: DataFrame) -> DataFrame:
     """Laws of a municipality that is not in the list."""
-    heads = _heads(parsed).where(F.col("parse_error").isNull() & F.col("muni_id").isNotNull())
-    missing = heads.join(municipalities.select("muni_id"), "muni_id", "left_anti")
+    placed = heads.where(F.col("parse_error").isNull() & F.col("muni_id").isNotNull())
+    missing = placed.join(municipalities.select("muni_id"), "muni_id", "left_anti")
     return _errors(
         missing, "ForeignKeyError", F.format_string("unknown municipality %d", F.col("muni_id"))
     )
@@ -160,26 +160,35 @@ def collision_errors(heads: DataFrame) -> DataFrame:
 
 def violations(
     parsed: DataFrame,
+    heads: DataFrame,
     municipalities: DataFrame | None = None,
     *,
     check_siblings: bool = False,
     check_cross_type_numbers: bool = False,
     include_subitem_sentences: bool = False,
 ) -> DataFrame:
-    """Every violation in a stored table of parsed files, which is scanned once per group of checks."""
-    found = [row_errors(parsed, include_subitem_sentences), duplicate_errors(parsed)]
+    """Every violation in stored tables of parsed rows and of files (rows with ``ord`` 0).
+
+    ``parsed`` is scanned twice, and once more for each optional check.
+    """
+    found = [
+        file_errors(heads),
+        element_errors(parsed, include_subitem_sentences),
+        duplicate_errors(parsed, heads),
+    ]
     if municipalities is not None:
-        found.append(municipality_errors(parsed, municipalities))
+        found.append(municipality_errors(heads, municipalities))
     if check_siblings:
-        found.append(sibling_errors(parsed))
+        found.append(sibling_errors(parsed, heads))
     if check_cross_type_numbers:
-        found.append(duplicate_errors(parsed, across_types=True))
+        found.append(duplicate_errors(parsed, heads, across_types=True))
     return reduce(DataFrame.unionByName, found)
 
 
 def validate(parsed: DataFrame, municipalities: DataFrame | None = None, **options) -> DataFrame:
     """``violations`` for files that are not stored: they are read once, texts are left behind."""
-    return violations(checkpointed(parsed.drop("texts")), municipalities, **options)
+    rows = checkpointed(parsed.drop("texts"))
+    return violations(rows, rows.where(F.col("ord") == 0), municipalities, **options)
 
 
 def without_errors(rows: DataFrame, errors: DataFrame) -> DataFrame:

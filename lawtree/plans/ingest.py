@@ -54,13 +54,15 @@ def lowest_file(candidates: DataFrame) -> DataFrame:
     )
 
 
-def _id_collisions(winners: DataFrame, registered: DataFrame) -> DataFrame:
-    """Paths of new laws whose id another law has already, in this batch or before."""
-    first = F.min(F.struct("file_id", "path"))["path"].alias("keeper")
-    shared = winners.groupBy("law_id").agg(F.count(F.lit(1)).alias("n"), first)
-    here = winners.join(shared.where(F.col("n") > 1), "law_id").where(F.col("path") != F.col("keeper"))
-    before = winners.join(registered.select("law_id"), "law_id", "left_semi")
-    return here.select("path").union(before.select("path")).distinct()
+def _lowest_per_id(winners: DataFrame, registered: DataFrame) -> DataFrame:
+    """One new law per ``law_id``, with a flag: may another law have that id already?"""
+    first = F.min(F.struct("file_id", "path"))["path"].alias("path")
+    by_id = winners.groupBy("law_id").agg(F.count(F.lit(1)).alias("n"), first)
+    before = registered.select("law_id", F.lit(True).alias("taken"))
+    taken = F.coalesce("taken", F.lit(False))
+    return by_id.join(before, "law_id", "left").select(
+        "path", taken.alias("taken"), (taken | (F.col("n") > 1)).alias("collides")
+    )
 
 
 def string_rows(elements: DataFrame) -> DataFrame:
@@ -104,7 +106,8 @@ def ingest(
     that is already visible is not run again. ``settled`` has outcomes of further files.
     """
     warehouse = Warehouse(spark, root)
-    if warehouse.is_committed(batch_id):
+    batches = warehouse.batches()
+    if batch_id in batches:
         return warehouse.batch("outcomes", batch_id)
 
     settled = spark.createDataFrame([], S.OUTCOMES) if settled is None else settled
@@ -117,24 +120,24 @@ def ingest(
     parsed.write.parquet(f"{staging}/parsed")
     staged = spark.read.schema(parsed.schema).parquet(f"{staging}/parsed")
 
-    if staged.isEmpty():
-        warehouse.write("outcomes", batch_id, settled)
-        warehouse.commit(batch_id, ["outcomes"])
-        return warehouse.batch("outcomes", batch_id)
-
+    # The rows of the files themselves, small beside the elements, with a first decision.
     wanted = F.col("parse_error").isNull() & (F.col("is_reiki") if reiki_only else F.lit(True))
-    heads = staged.where(F.col("ord") == 0)
-    registered = warehouse.table("laws")
-    taken = registered.select("muni_id", F.col("num").alias("law_num"))
-    known = heads.where(wanted).join(taken, ["muni_id", "law_num"], "left_semi").select("path")
-    known.write.parquet(f"{staging}/known")
-    known = spark.read.schema(known.schema).parquet(f"{staging}/known")
+    registered = warehouse.table("laws", batches)
+    taken = registered.select("muni_id", F.col("num").alias("law_num"), F.lit(True).alias("taken"))
+    heads = staged.where(F.col("ord") == 0).drop("texts", "lineage")
+    heads = heads.join(taken, ["muni_id", "law_num"], "left")
+    heads = heads.withColumn("known", wanted & F.col("taken").isNotNull()).drop("taken")
+    heads.write.parquet(f"{staging}/heads")
+    heads = spark.read.schema(heads.schema).parquet(f"{staging}/heads")
+    known = heads.where("known").select("path")
 
     # Violations. Written first: what they exclude is then a table of known size.
-    scope = staged.where(F.col("parse_error").isNotNull() | wanted).join(known, "path", "left_anti")
+    candidates = staged.where(wanted).join(known, "path", "left_anti")
+    open_heads = heads.where(~F.col("known") & (wanted | F.col("parse_error").isNotNull()))
     municipalities = warehouse.table("municipalities") if check_municipalities else None
     found = validate.violations(
-        scope, municipalities, include_subitem_sentences=include_subitem_sentences, **checks
+        candidates, open_heads, municipalities,
+        include_subitem_sentences=include_subitem_sentences, **checks,
     )
     warehouse.write("errors", batch_id, found)
     errors = warehouse.batch("errors", batch_id)
@@ -142,26 +145,22 @@ def ingest(
         errors = errors.where(F.col("error_class").isin(*validate.LAW_ERROR_CLASSES))
     failed = errors.select("path").distinct()
 
-    valid = scope.where((F.col("ord") == 0) & wanted).join(failed, "path", "left_anti")
-    winners = lowest_file(valid).select("law_id", "file_id", "path")
-    winners.write.parquet(f"{staging}/winners")
-    winners = spark.read.schema(winners.schema).parquet(f"{staging}/winners")
-    collided = _id_collisions(winners, registered)
-    reports = validate.collision_errors(heads.join(collided, "path", "left_semi"))
-    warehouse.write("errors", batch_id, reports, mode="append")
-    collided = warehouse.batch("errors", batch_id).where(
-        F.col("error_class") == "IdCollisionError"
-    ).select("path")
+    valid = open_heads.where(wanted).join(failed, "path", "left_anti")
+    winners = lowest_file(valid)
+    checked = _lowest_per_id(winners, registered)
+    checked.write.parquet(f"{staging}/winners")
+    checked = spark.read.schema(checked.schema).parquet(f"{staging}/winners")
+    new = checked.where(~F.col("taken")).select("path")
+    if not checked.where("collides").isEmpty():
+        collided = winners.join(new, "path", "left_anti").select("path")
+        reports = validate.collision_errors(heads.join(collided, "path", "left_semi"))
+        warehouse.write("errors", batch_id, reports, mode="append")
+        failed = failed.union(collided)
 
     def mark(rows: DataFrame, outcome: str) -> DataFrame:
         return rows.select("path", F.lit(outcome).alias("mark"))
 
-    marks = (
-        mark(known, "skipped_known")
-        .union(mark(failed, "error"))
-        .union(mark(collided, "error"))
-        .union(mark(winners.join(collided, "path", "left_anti"), "registered"))
-    )
+    marks = mark(known, "skipped_known").union(mark(failed, "error")).union(mark(new, "registered"))
     outcome = (
         F.when(F.col("parse_error").isNotNull(), "error")
         .when(~wanted, "skipped_not_reiki")
@@ -173,13 +172,13 @@ def ingest(
 
     outcomes = warehouse.batch("outcomes", batch_id)
     rejected = outcomes.where(F.col("outcome") != "registered").select("path")
+    warehouse.write("laws", batch_id, xml.laws(heads.join(rejected, "path", "left_anti")))
     kept = staged.where(wanted).join(rejected, "path", "left_anti")
-    warehouse.write("laws", batch_id, xml.laws(kept))
     warehouse.write("elements", batch_id, xml.elements(kept, "pref_id"))
     written = ["errors", "outcomes", "laws", "elements"]
     if with_strings:
         elements = warehouse.batch("elements", batch_id)
-        warehouse.write("strings", batch_id, new_strings(elements, warehouse.table("strings")))
+        warehouse.write("strings", batch_id, new_strings(elements, warehouse.table("strings", batches)))
         warehouse.write("string_edges", batch_id, string_rows(elements))
         written += ["strings", "string_edges"]
     warehouse.commit(batch_id, written)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lawtree import schema as S
-from lawtree.operators import dims
+from lawtree.operators import dims, validate
 
 BATCHED = {
     "laws": S.LAWS,
@@ -55,8 +56,9 @@ class Warehouse:
     def committed(self) -> DataFrame:
         return self._read(S.MANIFEST, self._path("manifest"))
 
-    def is_committed(self, batch_id: str) -> bool:
-        return not self.committed().where(F.col("batch_id") == batch_id).isEmpty()
+    def batches(self) -> dict[str, list[str]]:
+        """Tables per committed batch: one entry per run, however many laws a run has."""
+        return {row.batch_id: row.tables for row in self.committed().collect()}
 
     def commit(self, batch_id: str, tables: Iterable[str]) -> None:
         """Make these tables of a batch visible, with the last write of the batch."""
@@ -80,16 +82,16 @@ class Warehouse:
         """One batch as written, committed or not."""
         return self._read(BATCHED[name], self._path(name, batch_id))
 
-    def table(self, name: str) -> DataFrame:
-        """Rows of all committed batches, or a dimension table.
+    def table(self, name: str, batches: dict[str, list[str]] | None = None) -> DataFrame:
+        """Rows of all committed batches (or of those given), or a dimension table.
 
-        The manifest (one row per run, not per law) names the folders to scan, so reading
-        takes no join and keeps every pushed-down filter.
+        The manifest names the folders to scan, so reading takes no join and keeps every
+        pushed-down filter.
         """
         if name in DIMENSIONS:
             return self._read(DIMENSIONS[name], self._path(name))
-        holding = self.committed().where(F.array_contains("tables", name)).select("batch_id")
-        folders = [self._path(name, row.batch_id) for row in holding.collect()]
+        batches = self.batches() if batches is None else batches
+        folders = [self._path(name, b) for b, tables in sorted(batches.items()) if name in tables]
         if not folders:
             return self.spark.createDataFrame([], BATCHED[name])
         reader = self.spark.read.schema(BATCHED[name]).option("basePath", self._path(name))
@@ -103,3 +105,40 @@ class Warehouse:
             raise ValueError(f"municipality list: {[tuple(p) for p in problems]}")
         for name, table in tables.items():
             table.write.mode("overwrite").parquet(self._path(name))
+
+    def check(self) -> DataFrame:
+        """Broken keys and references over all tables, as rows ``(problem, value)``.
+
+        Registration keeps tables free of them; this verifies it.
+        """
+        laws, elements = self.table("laws"), self.table("elements")
+        strings, edges = self.table("strings"), self.table("string_edges")
+        numbered = elements.where(F.col("etype") != "SupplProvision")
+        keys = [
+            ("laws", laws, ["law_id"]),
+            ("laws", laws, ["muni_id", "num"]),
+            ("elements", elements, ["law_id", "elem_id"]),
+            ("elements", numbered, ["law_id", "parent_id", "etype", "num"]),
+            ("strings", strings, ["string_id"]),
+            ("strings", strings, ["string"]),
+            ("string_edges", edges, ["law_id", "elem_id", "sentence_num"]),
+        ]
+        references = [
+            ("elements", elements, "law_id", laws, "law_id"),
+            ("string_edges", edges, "string_id", strings, "string_id"),
+            ("laws", laws, "muni_id", self.table("municipalities"), "muni_id"),
+        ]
+        found = [
+            validate.key_violations(rows, *key).select(
+                F.lit(f"{table}: several rows per {', '.join(key)}").alias("problem"),
+                F.to_json(F.struct(*key)).alias("value"),
+            )
+            for table, rows, key in keys
+        ] + [
+            validate.reference_violations(rows, key, referred, referred_key).select(
+                F.lit(f"{table}: unknown {key}").alias("problem"),
+                F.to_json(F.struct(key)).alias("value"),
+            )
+            for table, rows, key, referred, referred_key in references
+        ]
+        return reduce(DataFrame.unionByName, found)

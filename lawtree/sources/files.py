@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,14 +51,21 @@ def _layout(listing: DataFrame) -> DataFrame:
     return with_codes(named).select(*S.FILES.fieldNames())
 
 
-def corpus_files(spark: SparkSession, root: str, extension: str = ".xml") -> DataFrame:
-    """All files below ``root`` with that extension. Content is read only where it is used."""
-    reader = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*{extension}")
-    )
-    return _layout(reader.load(root))
+def _reader(reader, extensions: Iterable[str] | None):
+    reader = reader.format("binaryFile").option("recursiveFileLookup", True)
+    if extensions is None:
+        return reader
+    return reader.option("pathGlobFilter", "{" + ",".join(f"*{e}" for e in extensions) + "}")
+
+
+def corpus_files(
+    spark: SparkSession, root: str, extensions: Iterable[str] | None = (".xml",)
+) -> DataFrame:
+    """All files below ``root`` with one of the extensions, or all files if None.
+
+    Content is read only where it is used.
+    """
+    return _layout(_reader(spark.read, extensions).load(root))
 
 
 def named_files(spark: SparkSession, paths: list[str]) -> DataFrame:
@@ -69,14 +77,14 @@ def named_files(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def corpus_stream(
-    spark: SparkSession, root: str, extension: str = ".xml", max_files: int | None = None
+    spark: SparkSession,
+    root: str,
+    extensions: Iterable[str] | None = (".xml",),
+    max_files: int | None = None,
 ) -> DataFrame:
     """The same listing as a file stream; ``max_files`` bounds one micro-batch."""
-    reader = (
-        spark.readStream.format("binaryFile")
-        .schema("path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", f"*{extension}")
+    reader = _reader(spark.readStream, extensions).schema(
+        "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

@@ -64,11 +64,26 @@ def test_every_file_has_one_outcome(spark, root):
     assert {(r.sentence_num, r.string) for r in joined.collect()} == {(0, "同じ文"), (1, "文1")}
     assert joined.count() == edges.count() == 4
     assert joined.where(F.get("texts", "sentence_num") != F.col("string")).count() == 0
-    for name, keys in (
-        ("laws", ["law_id"]), ("elements", ["elem_id"]), ("strings", ["string_id"]), ("strings", ["string"]),
-        ("string_edges", ["elem_id", "sentence_num"]), ("outcomes", ["path"]),
-    ):
-        assert validate.key_violations(warehouse.table(name), *keys).count() == 0
+    assert warehouse.check().count() == 0
+    assert validate.key_violations(warehouse.table("outcomes"), "path").count() == 0
+
+
+def test_check_finds_broken_tables(spark, root):
+    files = file_rows(spark, {"/c/01/010001/1.xml": numbered(1)})
+    ingest(spark, files, root, "b1", check_municipalities=False, with_strings=True)
+    warehouse = Warehouse(spark, root)
+    for name in ("elements", "string_edges"):
+        rows = warehouse.table(name).where("sentence_num = 0" if name == "string_edges" else "ord = 1")
+        extra = {"law_id": F.col("law_id") + 1} if name == "elements" else {"string_id": F.lit("none")}
+        warehouse.write(name, "b2", rows.unionByName(rows.withColumns(extra)))
+    warehouse.commit("b2", ["elements", "string_edges"])
+    got = {r.problem for r in warehouse.check().collect()}
+    assert got == {
+        "elements: several rows per law_id, elem_id",
+        "elements: several rows per law_id, parent_id, etype, num",
+        "string_edges: several rows per law_id, elem_id, sentence_num",
+        "elements: unknown law_id", "string_edges: unknown string_id", "laws: unknown muni_id",
+    }
 
 
 def test_second_run_adds_nothing(spark, root):

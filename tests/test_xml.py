@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import SIMPLE, article, file_rows, law, main, one_file, paragraph, sentence
+from helpers import SIMPLE, article, file_rows, law, main, one_file, paragraph, sentence, write_tree
 from lawtree import schema as S
 from lawtree.operators import tree
 from lawtree.sources import xml
@@ -192,3 +192,32 @@ def test_codes_from_paths(spark):
         (None, 10001, 1, None),
     ]
     assert {r.path for r in sources.in_municipality(df).collect()} == {paths[0], paths[1], paths[4]}
+
+
+def test_listing(spark, tmp_path):
+    root = write_tree(tmp_path / "c", {
+        "01/010001/0001.xml": SIMPLE, "01/010001/0002.XML": SIMPLE, "01/010001/x.txt": "x", "top.xml": SIMPLE,
+    })
+
+    def names(**options):
+        return {r.path.rsplit("/", 1)[-1] for r in sources.corpus_files(spark, root, **options).collect()}
+
+    assert names() == {"0001.xml", "top.xml"}
+    assert names(extensions=[".XML", ".txt"]) == {"0002.XML", "x.txt"}
+    assert names(extensions=None) == {"0001.xml", "0002.XML", "x.txt", "top.xml"}
+    listed = sources.corpus_files(spark, root).select("path", "length")
+    assert "content" not in listed._jdf.queryExecution().executedPlan().toString()
+    row = sources.corpus_files(spark, root).where("file_id = 1").collect()[0]
+    assert (row.code, bytes(row.content)) == ("01/010001/0001", SIMPLE.encode())
+
+
+def test_one_very_long_law(spark):
+    n = 20_000
+    body = main("".join(article(str(i), paragraph("1", f"文{i}。")) for i in range(1, n + 1)))
+    rows = xml.elements(xml.parse(one_file(spark, law(body))), "law_name")
+    assert rows.count() == 3 * n + 1
+    assert tree.plaintext(rows).collect()[0].plaintext == "".join(f"文{i}。" for i in range(1, n + 1))
+    pairs = tree.descendants(rows, rows.where("depth = 1"))
+    assert pairs.count() == 3 * n
+    last = rows.where(f"ord = {3 * n + 1}").select(tree.citation(F.col("law_name")).alias("label"))
+    assert last.collect()[0].label == f"試験条例(本則)第{n}条第1項第0文"
