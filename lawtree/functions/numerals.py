@@ -22,65 +22,54 @@ _ND_FROM = "".join(_ND)
 _ND_TO = "".join(str(unicodedata.decimal(c)) for c in _ND)
 
 
-def _num(value) -> Column:
-    return F.lit(value).cast("decimal(38,0)")
-
-
-def _fold(pieces: Column, units: dict[str, int], plain) -> Column:
-    """Right-to-left fold over units and plain values.
-
-    A unit multiplies the value to its left; a unit with nothing to its left counts once.
-    Arithmetic past 38 digits gives NULL.
-    """
-    unit_of = F.expr(f"map({', '.join(f'{name!r}, {size}L' for name, size in units.items())})")
-
-    def flush(acc: Column) -> Column:
-        return F.when(acc["unit"] > 1, F.try_add(acc["total"], acc["unit"])).otherwise(acc["total"])
-
-    def step(acc: Column, piece: Column) -> Column:
-        unit = F.try_element_at(unit_of, piece)
-        added = F.try_add(acc["total"], F.try_multiply(plain(piece), acc["unit"]))
-        return F.struct(
-            F.coalesce(unit, F.lit(1)).cast("decimal(38,0)").alias("unit"),
-            F.when(unit.isNull(), added).otherwise(flush(acc)).cast("decimal(38,0)").alias("total"),
-        )
-
-    start = F.struct(_num(1).alias("unit"), _num(0).alias("total"))
-    return F.aggregate(F.reverse(pieces), start, step, lambda acc: flush(acc).cast("decimal(38,0)"))
-
-
-def _small_value(piece: Column) -> Column:
-    return _fold(
-        F.regexp_extract_all(piece, F.lit(f"[{_SMALL}]|[0-9]+"), F.lit(0)),
-        SMALL_UNITS,
-        lambda p: p.try_cast("decimal(38,0)"),
+# The rule is SQL text: a Column per node of the two nested folds would take a thousand calls.
+# A fold runs over the pieces of a number from right to left and keeps the unit it has seen
+# last: a plain piece counts times that unit, a unit with nothing to its left counts once.
+# Arithmetic past 38 digits gives NULL.
+_FOLD = """
+aggregate(
+  reverse(regexp_extract_all({text}, '{pieces}', 0)),
+  struct(cast(1 AS decimal(38,0)) AS unit, cast(0 AS decimal(38,0)) AS total),
+  (a{n}, p{n}) -> struct(
+    cast(coalesce(try_element_at({units}, p{n}), 1) AS decimal(38,0)) AS unit,
+    cast(CASE
+      WHEN try_element_at({units}, p{n}) IS NULL
+        THEN try_add(a{n}.total, try_multiply({plain}, a{n}.unit))
+      WHEN a{n}.unit > 1 THEN try_add(a{n}.total, a{n}.unit)
+      ELSE a{n}.total END AS decimal(38,0)) AS total),
+  a{n} -> cast(CASE WHEN a{n}.unit > 1 THEN try_add(a{n}.total, a{n}.unit)
+                    ELSE a{n}.total END AS decimal(38,0)))
+"""
+
+
+def _units(units: dict[str, int]) -> str:
+    return "map(" + ", ".join(f"'{name}', {size}L" for name, size in units.items()) + ")"
+
+
+def _value(run: str) -> str:
+    """SQL for the value of a run of ASCII digits and units."""
+    small = _FOLD.format(
+        n=2, text="p1", pieces=f"[{_SMALL}]|[0-9]+", units=_units(SMALL_UNITS),
+        plain="try_cast(p2 AS decimal(38,0))",
     )
-
-
-def _run_value(run: Column) -> Column:
-    return _fold(
-        F.regexp_extract_all(run, F.lit(f"[{_LARGE}]|[^{_LARGE}]+"), F.lit(0)),
-        LARGE_UNITS,
-        _small_value,
+    return _FOLD.format(
+        n=1, text=run, pieces=f"[{_LARGE}]|[^{_LARGE}]+", units=_units(LARGE_UNITS), plain=small
     )
 
 
-def kanji_to_arabic(text: Column, sep: bool = False) -> Column:
-    """Replace each kanji numeral in ``text`` by its Arabic digits.
+def kanji_to_arabic(text: str, sep: bool = False) -> Column:
+    """Replace each kanji numeral in ``text``, a column or SQL expression, by Arabic digits.
 
     Kanji digits are replaced one by one; a run that also holds a unit (十百千万億兆) is
     evaluated as one number, with thousands separators if ``sep``. Runs of digits only stay
     as they are. A number past 38 digits is left in its digit-by-digit form.
     """
-    number = f"{_SMALL}{_LARGE}\\p{{Nd}}"
-    tokens = F.regexp_extract_all(
-        F.translate(text, *KANJI_DIGITS), F.lit(f"[{number}]+|[^{number}]+"), F.lit(0)
-    )
-
-    def convert(token: Column) -> Column:
-        value = _run_value(F.translate(token, _ND_FROM, _ND_TO))
-        shown = F.format_number(value, 0) if sep else value.cast("string")
-        mixed = token.rlike(f"[{_SMALL}{_LARGE}]")
-        return F.when(mixed, F.coalesce(shown, token)).otherwise(token)
-
-    return F.array_join(F.transform(tokens, convert), "")
+    source, target = KANJI_DIGITS
+    number = f"{_SMALL}{_LARGE}\\\\p{{Nd}}"
+    value = _value(f"translate(t, '{_ND_FROM}', '{_ND_TO}')")
+    shown = f"format_number({value}, 0)" if sep else f"cast({value} AS string)"
+    return F.expr(f"""
+        array_join(transform(
+          regexp_extract_all(translate({text}, '{source}', '{target}'), '[{number}]+|[^{number}]+', 0),
+          t -> CASE WHEN t RLIKE '[{_SMALL}{_LARGE}]' THEN coalesce({shown}, t) ELSE t END), '')
+    """)

@@ -37,16 +37,19 @@ def law_name(raw: Column) -> Column:
     return default_text(raw, UNKNOWN)
 
 
-def law_number_text(raw: Column, strip_ws: bool = True) -> Column:
-    text = default_text(raw, UNKNOWN)
-    return F.regexp_replace(text, r"(?U)\s+", "") if strip_ws else text
+def law_number_text(raw: str, strip_ws: bool = True) -> str:
+    text = f"coalesce(nullif({raw}, ''), '{UNKNOWN}')"
+    return rf"regexp_replace({text}, '(?U)\\s+', '')" if strip_ws else text
 
 
-def law_number(raw: Column, strip_ws: bool = True, fold_width: bool = False) -> Column:
-    """Law number with kanji numerals turned to digits; 'UNK' if the file has none."""
+def law_number(raw: str, strip_ws: bool = True, fold_width: bool = False) -> Column:
+    """Law number with kanji numerals turned to digits; 'UNK' if the file has none.
+
+    ``raw`` is a column name or SQL expression.
+    """
     text = law_number_text(raw, strip_ws)
     if fold_width:
-        text = F.translate(text, _WIDE, _NARROW)
+        text = f"translate({text}, '{_WIDE}', '{_NARROW}')"
     return kanji_to_arabic(text)
 
 

@@ -11,40 +11,17 @@ from lawtree import schema as S
 from lawtree.functions import scalars
 from lawtree.sources.files import spread
 
-LINES_PER_ARTICLE = 10
-
-
-def _escape(text: Column) -> Column:
-    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ("\r", "&#13;")):
-        text = F.replace(text, F.lit(char), F.lit(entity))
-    return text
-
-
-def _article_num(a: Column) -> Column:
-    """0-based article index -> 1, 2, 2_2, 4, 5, 5_2 ..."""
-    return F.when(a % 3 == 2, F.concat(a.cast("string"), F.lit("_2"))).otherwise(
-        (a + 1).cast("string")
-    )
-
-
-def _articles(lines: Column, captions: bool, paragraph_num: Callable[[Column], Column]) -> Column:
-    def paragraph(line: Column, i: Column) -> Column:
-        return F.concat(
-            F.lit('<Paragraph Num="'), paragraph_num(i + 1),
-            F.lit('"><ParagraphSentence><Sentence>'), line,
-            F.lit("</Sentence></ParagraphSentence></Paragraph>"),
-        )
-
-    def article(a: Column) -> Column:
-        own = F.slice(lines, a * LINES_PER_ARTICLE + 1, F.lit(LINES_PER_ARTICLE))
-        caption = "<ArticleCaption>caption</ArticleCaption>" if captions else ""
-        return F.concat(
-            F.lit('<Article Num="'), _article_num(a), F.lit(f'">{caption}'),
-            F.array_join(F.transform(own, paragraph), ""), F.lit("</Article>"),
-        )
-
-    count = F.ceil(F.size(lines) / LINES_PER_ARTICLE).cast("int")
-    return F.array_join(F.transform(F.sequence(F.lit(0), count - 1), article), "")
+# Lines of a document as articles of ten paragraphs each. Articles are numbered 1, 2, 2_2, 4,
+# 5, 5_2 ...; paragraphs 1 to 10.
+_ESCAPED = "replace(replace(replace(replace(coalesce(text, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\r', '&#13;')"
+_ARTICLES = """
+array_join(transform(sequence(0, cast(ceil(size(lines) / 10) AS int) - 1), a -> concat(
+  '<Article Num="', CASE WHEN a % 3 = 2 THEN concat(a, '_2') ELSE string(a + 1) END, '">{caption}',
+  array_join(transform(slice(lines, a * 10 + 1, 10), (line, i) -> concat(
+    '<Paragraph Num="', {num}, '"><ParagraphSentence><Sentence>', line,
+    '</Sentence></ParagraphSentence></Paragraph>')), ''),
+  '</Article>')), '')
+"""
 
 
 def corpus_from_documents(
@@ -53,13 +30,14 @@ def corpus_from_documents(
     captions: bool = False,
     main_extra: Column | None = None,
     body_extra: Column | None = None,
-    paragraph_num: Callable[[Column], Column] = lambda n: n.cast("string"),
+    paragraph_num: str = "string({n})",
     edit: Callable[[Column], Column] = lambda xml: xml,
 ) -> DataFrame:
     """One XML file per document: each line a paragraph, ten lines an article.
 
     ``main_extra`` and ``body_extra`` add XML at the end of the main provision and of the
-    body; ``paragraph_num`` and ``edit`` change paragraph numbers and the finished text.
+    body. ``paragraph_num`` is SQL for the number of paragraph ``{n}`` of an article;
+    ``edit`` changes the finished text.
     """
     doc = F.col("doc_id")
     kind = F.element_at(F.array(*map(F.lit, ("号条例", "号規則", "号告示"))), (doc % 3 + 1).cast("int"))
@@ -67,11 +45,13 @@ def corpus_from_documents(
         F.lit("第"), F.translate(doc.cast("string"), "0123456789", "〇一二三四五六七八九"), kind
     )
     nothing = F.lit("")
+    caption = "<ArticleCaption>caption</ArticleCaption>" if captions else ""
+    articles = _ARTICLES.format(caption=caption, num=paragraph_num.replace("{n}", "(i + 1)"))
     xml = F.concat(
         F.lit('<?xml version="1.0" encoding="UTF-8"?><Laws><Law><LawNum>'), law_num,
         F.lit("</LawNum><LawBody><LawTitle>doc-"), doc.cast("string"),
         F.lit("</LawTitle><MainProvision>"),
-        _articles(F.col("lines"), captions, paragraph_num),
+        F.expr(articles),
         main_extra if main_extra is not None else nothing,
         F.lit("</MainProvision>"),
         body_extra if body_extra is not None else nothing,
@@ -79,8 +59,7 @@ def corpus_from_documents(
     )
     source_no = F.regexp_extract("source", "([0-9]+)", 1).cast("int")
     documents = spread(documents, "doc_id")
-    lines = F.split(_escape(F.coalesce(F.col("text"), nothing)), "\n")
-    files = documents.withColumn("lines", lines).select(
+    files = documents.withColumn("lines", F.split(F.expr(_ESCAPED), "\n")).select(
         ((source_no + 1) * 10000 + doc % 7).cast("int").alias("muni_id"),
         doc.cast("int").alias("file_id"),
         # Of the document rather than the file, so that a listing need not build the file.

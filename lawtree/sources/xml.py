@@ -194,14 +194,14 @@ def parse(
     worker = _parser(frozenset(wanted), walked, CHUNK, BATCH)
     chunks = files.select(*S.FILES.fieldNames()).mapInArrow(worker, _OUTPUT)
     # Law columns are computed once per chunk, before the chunk is split into elements.
-    number = scalars.law_number(F.col("law_num_raw"), strip_ws, fold_width)
+    number = scalars.law_number("law_num_raw", strip_ws, fold_width)
     laws = chunks.withColumns(
         {"law_name": scalars.law_name(F.col("name_raw")), "law_num": number}
     ).withColumns(
         {
             "law_id": scalars.hash_id(F.col("muni_id"), F.col("law_num")),
             # Numerals play no part in this test, so it need not wait for law_num.
-            "is_reiki": scalars.is_reiki(scalars.law_number_text(F.col("law_num_raw"), strip_ws)),
+            "is_reiki": scalars.is_reiki(F.expr(scalars.law_number_text("law_num_raw", strip_ws))),
         }
     )
     carried = [f.name for f in _CARRIED]

@@ -63,7 +63,7 @@ def test_kanji_examples(spark):
         "第1条の十二と三百": "第1条の12と300",
     }
     df = spark.createDataFrame(list(cases.items()), "s string, want string")
-    rows = df.select("s", "want", kanji_to_arabic(F.col("s")).alias("got")).collect()
+    rows = df.select("s", "want", kanji_to_arabic("s").alias("got")).collect()
     assert [(r.s, r.got) for r in rows] == [(r.s, r.want) for r in rows]
     assert all(expected(s) == want for s, want in cases.items())
 
@@ -74,14 +74,14 @@ def test_kanji_against_plain_python(spark, sep):
     alphabet = "一二三四五六七八九〇壱弐参十拾百千万億兆０５9年号第٣"
     texts = ["".join(rng.choices(alphabet, k=rng.randint(0, 9))) for _ in range(3000)]
     df = spark.createDataFrame([(t,) for t in texts], "s string").repartition(8)
-    for row in df.select("s", kanji_to_arabic(F.col("s"), sep).alias("got")).collect():
+    for row in df.select("s", kanji_to_arabic("s", sep).alias("got")).collect():
         assert row.got == expected(row.s, sep), row.s
 
 
 def test_kanji_never_fails_on_long_numbers(spark):
     texts = ["9" * 45 + "万", "千兆" * 30, "九" * 60]
     df = spark.createDataFrame([(t,) for t in texts], "s string")
-    got = [r[0] for r in df.select(kanji_to_arabic(F.col("s"))).collect()]
+    got = [r[0] for r in df.select(kanji_to_arabic("s")).collect()]
     assert got[0] == "9" * 45 + "万"  # past 38 digits
     assert got[1] == str(1000 * 10**12 * 30)
     assert got[2] == "9" * 60
@@ -128,11 +128,11 @@ def test_laws(spark):
          ("第１ＡZ号", None, 10001, 1)],
         "raw string, p int, m int, f int",
     )
-    num = scalars.law_number(F.col("raw"))
+    num = scalars.law_number("raw")
     rows = df.select(
         num.alias("num"), scalars.is_reiki(num).alias("reiki"),
-        scalars.law_number(F.col("raw"), strip_ws=False).alias("unstripped"),
-        scalars.law_number(F.col("raw"), fold_width=True).alias("folded"),
+        scalars.law_number("raw", strip_ws=False).alias("unstripped"),
+        scalars.law_number("raw", fold_width=True).alias("folded"),
         scalars.law_code(F.col("p"), F.col("m"), F.col("f")).alias("code"),
         scalars.pref_of(F.col("m")).alias("pref"),
         scalars.law_label(F.lit("名"), num).alias("label"),
