@@ -94,7 +94,7 @@ ORACLES: dict[str, str] = {
     "citation_labels": _sql("SELECT law_name, CAST(ord AS INTEGER) AS ord, label FROM elems"),
     "element_lookup": _sql("SELECT law_name, 2 AS ord FROM laws WHERE reiki"),
     "etype_prune": _sql(
-        "SELECT etype, count(*) AS n_all, count_if(NOT suppl) AS n_basic FROM ("
+        "SELECT etype, count(*) AS n_all, count_if(NOT suppl)::BIGINT AS n_basic FROM ("
         "SELECT etype, false AS suppl FROM all_elems UNION ALL "
         "SELECT unnest(['SupplProvision', 'Paragraph', 'ParagraphSentence']), true FROM documents "
         "WHERE doc_id % 5 = 0) GROUP BY etype"

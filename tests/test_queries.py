@@ -14,6 +14,12 @@ TABLES = (
 ).split()
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "decimal(38,18)": "DECIMAL(38,18)",
+}
+
+
 @pytest.fixture(scope="module")
 def db():
     connection = duckdb.connect()
@@ -33,6 +39,9 @@ def test_query(spark, db, name):
     cursor = db.execute(entry.oracle_sql()[name])
     names = [c[0] for c in cursor.description]
     assert sorted(names) == columns
+    types = dict(r[:2] for r in db.execute("DESCRIBE " + entry.oracle_sql()[name]).fetchall())
+    assert {c: SQL_TYPES[t] for c, t in df.dtypes} == types
+    cursor = db.execute(entry.oracle_sql()[name])
     want = Counter(tuple(row[names.index(c)] for c in columns) for row in cursor.fetchall())
     got = Counter(tuple(r) for r in df.select(columns).collect())
     assert got == want and got
