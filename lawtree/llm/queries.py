@@ -1,9 +1,12 @@
 """Registered queries of the language-model operators and their SQL counterparts."""
 
-from lawtree.llm import embeddup, simhash, topk
+from lawtree.llm import bytecnn, embeddup, mixing, pieces, simhash, topk
 
 QUERIES = {
     "op1_exact_top_k": topk.op1_exact_top_k,
+    "op3_quality_classifier": bytecnn.op3_quality_classifier,
+    "op5_sentencepiece": pieces.op5_sentencepiece,
+    "op6_mix_sources": mixing.op6_mix_sources,
     "op9_simhash_near_dedup": simhash.op9_simhash_near_dedup,
     "op10_embedding_near_dedup": embeddup.op10_embedding_near_dedup,
 }
