@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lawtree.llm import simhash
+from lawtree.llm import bytecnn, linedup, mixing, pieces, simhash
 from lawtree.llm.common import saved, table
 
-STAGES = [("simhash_near_dedup", simhash.stage)]
+STAGES = [
+    ("quality_classifier", bytecnn.stage),
+    ("line_dedup", linedup.stage),
+    ("simhash_near_dedup", simhash.stage),
+    ("mix_sources", mixing.stage),
+    ("sentencepiece", pieces.stage),
+]
 
 # SQL can express neither the classifier nor the encoder; tests compare with plain Python.
 ORACLE_SQL = None
