@@ -19,12 +19,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lawtree.llm.common import saved, table
+from lawtree.llm.common import freed, saved, table
 
 MIN_WORDS = 5
 # Lines up to so many words have their variants made in the row; the words of longer ones become
 # rows, with running hashes.
-IN_ROW = 200
+IN_ROW = 128
+# Longs in the bitmap that tells which lines may be needed as text: two megabytes, however many lines.
+BITMAP = 1 << 17
 
 
 def _position() -> Column:
@@ -44,7 +46,7 @@ def lines(docs: DataFrame) -> DataFrame:
 
 
 def _words(line: str) -> Column:
-    return F.expr(rf"filter(split({line}, '[\\x20\\x09-\\x0D]+'), w -> w <> '')")
+    return F.expr(rf"array_remove(split({line}, '[\\x20\\x09-\\x0D]+'), '')")
 
 
 def _ends(n: Column) -> list[tuple[Column, Column]]:
@@ -74,14 +76,18 @@ def _end_keys(words: str, n: str) -> Column:
     return F.filter(F.array(*keys), lambda x: x.isNotNull())
 
 
-def distinct_lines(rows: DataFrame) -> DataFrame:
-    """One row per distinct line: its key, first position, number of words and end keys."""
+def keyed_lines(rows: DataFrame) -> DataFrame:
+    """Position, key (a, b) and end keys of every line that has words. The one pass that splits them."""
     split = rows.withColumn("words", _words("line")).withColumn("n", F.size("words")).where("n > 0")
-    keyed = split.select(
-        F.xxhash64("words").alias("a"), F.xxhash64(F.lit(1), F.col("words")).alias("b"), _position().alias("at"), "n",
+    return split.select(
+        "doc_id", "hash", "line_no", F.xxhash64("words").alias("a"), F.xxhash64(F.lit(1), F.col("words")).alias("b"), "n",
         F.when(F.col("n") >= MIN_WORDS, _end_keys("words", "n")).alias("ends"),
     )
-    return keyed.groupBy("a", "b").agg(F.min("at").alias("at"), F.min("n").alias("n"), F.min("ends").alias("ends"))
+
+
+def distinct_lines(keyed: DataFrame) -> DataFrame:
+    """One row per distinct line: its key, first position, number of words and end keys."""
+    return keyed.groupBy("a", "b").agg(F.min(_position()).alias("at"), F.min("n").alias("n"), F.min("ends").alias("ends"))
 
 
 def partnered(distinct: DataFrame) -> DataFrame:
@@ -92,16 +98,16 @@ def partnered(distinct: DataFrame) -> DataFrame:
 
 
 def _variants_in_row(some: DataFrame) -> DataFrame:
-    """Variants (a, b, at, key) of lines with ``words``, by slices of the array."""
-    before = "xxhash64(slice(words, 1, i))"
-    after = "xxhash64(slice(words, i + {skip}, n - i))"
+    """Variants (no, key) of lines with ``words``, by slices of the array of their hashes."""
+    before = "xxhash64(slice(h, 1, i))"
+    after = "xxhash64(slice(h, i + {skip}, n - i))"
     variants = F.expr(
         f"""flatten(transform(sequence(0, n), i -> array(
               xxhash64(i, {before}, {after.format(skip=1)}),
               CASE WHEN i < n THEN xxhash64(i, {before}, {after.format(skip=2)}) END)))"""
     )
-    kept = F.filter(variants, lambda x: x.isNotNull())
-    return some.select("a", "b", "at", F.explode(F.array_distinct(kept)).alias("key"))
+    hashed = some.withColumn("h", F.transform("words", lambda w: F.xxhash64(w)))
+    return hashed.select("no", F.explode(variants).alias("key")).where("key IS NOT NULL")
 
 
 def _variants_by_word(some: DataFrame) -> DataFrame:
@@ -110,25 +116,23 @@ def _variants_by_word(some: DataFrame) -> DataFrame:
     A set of words with their places is hashed by the exclusive or of their hashes, which a window
     can keep up as it goes.
     """
-    placed = some.select("a", "b", "at", "n", F.posexplode("words").alias("i", "w"))
-    of = Window.partitionBy("a", "b").orderBy("i")
-    from_start = F.xxhash64(F.lit(0), "i", "w")
-    from_end = F.xxhash64(F.lit(1), F.col("n") - F.col("i"), "w")
-    until = of.rowsBetween(Window.unboundedPreceding, -1)
-    rest = of.rowsBetween(1, Window.unboundedFollowing)
-    zero = F.lit(0).cast("long")
-    cut = placed.withColumns(
-        {
-            "before": F.coalesce(F.bit_xor(from_start).over(until), zero),
-            "after": F.coalesce(F.bit_xor(from_end).over(rest), zero),
-            "own": from_end, "mine": from_start,
-        }
+    placed = some.select("no", "n", F.posexplode("words").alias("i", "w"))
+    placed = placed.select(
+        "no", "n", "i", F.xxhash64(F.lit(0), "i", "w").alias("mine"), F.xxhash64(F.lit(1), F.col("n") - F.col("i"), "w").alias("own")
     )
-    key = F.xxhash64("i", "before", "after")
-    whole = F.xxhash64(F.col("i"), F.col("before"), F.col("after").bitwiseXOR(F.col("own")))
-    end = F.when(F.col("i") == F.col("n") - 1, F.xxhash64(F.col("n"), F.col("before").bitwiseXOR(F.col("mine")), zero))
-    variants = F.filter(F.array(key, whole, end), lambda x: x.isNotNull())
-    return cut.select("a", "b", "at", F.explode(variants).alias("key"))
+    until = Window.partitionBy("no").orderBy("i").rowsBetween(Window.unboundedPreceding, 0)
+    every = Window.partitionBy("no").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    running = placed.select(
+        "no", "n", "i", "mine", "own", F.bit_xor("mine").over(until).alias("upto"),
+        F.bit_xor("own").over(until).alias("ahead"), F.bit_xor("own").over(every).alias("all"),
+    )
+    before, after = F.col("upto").bitwiseXOR(F.col("mine")), F.col("all").bitwiseXOR(F.col("ahead"))
+    variants = F.array(
+        F.xxhash64("i", before, after),
+        F.xxhash64("i", before, after.bitwiseXOR(F.col("own"))),
+        F.when(F.col("i") == F.col("n") - 1, F.xxhash64("n", "upto", F.lit(0).cast("long"))),
+    )
+    return running.select("no", F.explode(variants).alias("key")).where("key IS NOT NULL")
 
 
 def _one_edit(x: str, y: str) -> str:
@@ -143,41 +147,59 @@ def _one_edit(x: str, y: str) -> str:
     return f"abs(size({x}) - size({y})) <= 1 AND {first} + {last} >= greatest(size({x}), size({y})) - 1"
 
 
+def _cell(number: Column) -> tuple[Column, Column]:
+    """Place of a hash in the bitmap: the long and its bit."""
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(number, F.lit(64)).cast("int"))
+    return F.pmod(F.shiftright(number, 6), F.lit(BITMAP)), bit
+
+
+def needed_lines(docs: DataFrame, some: DataFrame) -> DataFrame:
+    """The lines at the positions ``at`` of ``some``, with its columns.
+
+    A bitmap of fixed size first passes over nearly all other lines, so that their texts are not
+    shuffled; the join decides.
+    """
+    cell, bit = _cell(F.xxhash64("at.doc_id", "at.hash", "at.line_no"))
+    bitmap = some.select(cell.alias("cell"), bit.alias("bit")).groupBy("cell").agg(F.bit_or("bit").alias("bits"))
+    cell, bit = _cell(F.xxhash64("doc_id", "hash", "line_no"))
+    rows = lines(docs).withColumns({"at_cell": cell, "at_bit": bit})
+    rows = rows.join(F.broadcast(bitmap), F.col("at_cell") == F.col("cell"))  # at most BITMAP rows of two longs
+    rows = rows.where(F.col("bits").bitwiseAND(F.col("at_bit")) != 0)
+    at = [F.col("doc_id").eqNullSafe(F.col("at.doc_id")), F.col("hash") == F.col("at.hash"), F.col("line_no") == F.col("at.line_no")]
+    return rows.select("doc_id", "hash", "line_no", "line").join(some, at)
+
+
 def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """(a, b, first) of the lines that have an earlier line one edit away; ``first`` is its position."""
-    some = partnered(distinct)
-    texts = lines(docs).join(
-        some.select(F.col("at.doc_id").alias("d"), F.col("at.hash").alias("h"), F.col("at.line_no").alias("l"), "a", "b", "at", "n"),
-        F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("hash") == F.col("h")) & (F.col("line_no") == F.col("l")),
+    """(a, b) of the lines that have an earlier line one edit away."""
+    some = saved(partnered(distinct), "partnered")
+    # Rows that repeat a document repeat its lines. Numbers follow the positions.
+    texts = needed_lines(docs, some).select("a", "b", "at", "n", _words("line").alias("words")).dropDuplicates(["a", "b"])
+    texts = saved(texts.orderBy("at", "a", "b").drop("at").withColumn("no", F.monotonically_increasing_id()), "lines")
+    freed(some)
+    variants = _variants_in_row(texts.where(F.col("n") <= IN_ROW)).unionByName(
+        _variants_by_word(texts.where(F.col("n") >= IN_ROW))
     )
-    # Rows that repeat a document repeat its lines.
-    texts = saved(texts.select("a", "b", "at", "n", _words("line").alias("words")).dropDuplicates(["a", "b"]), "lines")
-    variants = _variants_in_row(texts.where(F.col("n") <= IN_ROW)).unionByName(_variants_by_word(texts.where(F.col("n") > IN_ROW - 2)))
-    least = variants.groupBy("key").agg(F.min(F.struct("at", "a", "b")).alias("first"))
-    pairs = (
-        variants.join(least, "key").where("first.at < at")
-        .select("a", "b", F.col("first.a").alias("a2"), F.col("first.b").alias("b2"), F.col("first.at").alias("first"))
-        .distinct()
-    )
-    known = texts.select("a", "b", "words")
-    other = texts.select(F.col("a").alias("a2"), F.col("b").alias("b2"), F.col("words").alias("words2"))
-    verified = pairs.join(known, ["a", "b"]).join(other, ["a2", "b2"]).where(F.expr(_one_edit("words", "words2")))
-    return verified.groupBy("a", "b").agg(F.min("first").alias("first"))
+    least = variants.groupBy("key").agg(F.min("no").alias("first"), F.max("no").alias("last"), F.count("*").alias("lines"))
+    least = saved(least.where("first < last"), "shared")
+    # Of two lines the later one is known; of more, all that share the variant.
+    more = variants.join(least.where("lines > 2").select("key", "first"), "key").where("first < no").select("no", "first")
+    pairs = least.select(F.col("last").alias("no"), "first").unionByName(more).distinct()
+    known = texts.select("no", "a", "b", "words")
+    other = texts.select(F.col("no").alias("first"), F.col("words").alias("words2"))
+    verified = pairs.join(known, "no").join(other, "first").where(F.expr(_one_edit("words", "words2")))
+    return verified.select("a", "b").distinct()
 
 
 def dropped(docs: DataFrame) -> DataFrame:
     """(doc_id, hash, dropped): the sorted line numbers that each document loses; only such documents."""
     docs = docs.where("text IS NOT NULL")
-    rows = lines(docs)
-    distinct = saved(distinct_lines(rows), "distinct")
-    near = near_lines(docs, distinct)
-    firsts = distinct.select("a", "b", "at").join(near, ["a", "b"], "left")
+    keyed = saved(keyed_lines(lines(docs)), "keyed")
+    distinct = saved(distinct_lines(keyed), "distinct")
+    near = near_lines(docs, distinct).withColumn("near", F.lit(True))
     # Where the line may stay; nowhere if an earlier neighbour exists.
-    firsts = firsts.select("a", "b", F.when(F.col("first").isNull(), F.col("at")).alias("stays"))
-    split = rows.withColumn("words", _words("line")).where(F.size("words") > 0)
-    met = split.select(
-        F.xxhash64("words").alias("a"), F.xxhash64(F.lit(1), F.col("words")).alias("b"), "doc_id", "hash", "line_no"
-    ).join(firsts, ["a", "b"])
+    firsts = distinct.select("a", "b", "at").join(near, ["a", "b"], "left")
+    firsts = firsts.select("a", "b", F.when(F.col("near").isNull(), F.col("at")).alias("stays"))
+    met = keyed.select("a", "b", "doc_id", "hash", "line_no").join(firsts, ["a", "b"])
     gone = met.where(~F.col("stays").eqNullSafe(_position()))
     return gone.groupBy("doc_id", "hash").agg(F.sort_array(F.collect_set("line_no")).alias("dropped"))
 
@@ -211,12 +233,18 @@ def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def op7_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    """Per document: its lines, those dropped, and a digest of the text that is left."""
+    """Per document: its number of lines, and the numbers of the lines that it loses, from 0."""
     docs = table(spark, folder, "documents")
-    out = dedup(docs)
-    return out.select(
-        "doc_id", F.col("n_dropped").cast("long").alias("n_dropped"),
-        F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("chars_left"), F.md5("text").alias("text_md5"),
+    count = F.length("text") - F.length(F.replace("text", F.lit("\n"), F.lit(""))) + 1
+    slim = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("hash"),
+        F.coalesce(count, F.lit(0)).cast("long").alias("n_lines"),
+    ).alias("d")
+    gone = dropped(docs).alias("g")
+    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.hash") == F.col("g.hash"))
+    return slim.join(gone, same, "left").select(
+        "d.doc_id", "n_lines", F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce(F.array_join(F.col("dropped").cast("array<string>"), ","), F.lit("")).alias("dropped"),
     )
 
 
@@ -249,11 +277,11 @@ l AS (
   SELECT w.doc_id, w.line_no, w.line,
     len(w.words) > 0 AND ((w.doc_id, w.line_no) <> d.pos OR w.words IN (SELECT x FROM near)) AS gone
   FROM w LEFT JOIN d ON w.words = d.words
-), left_over AS (
-  SELECT doc_id, count(*) FILTER (gone) AS n_dropped,
-    coalesce(string_agg(line, chr(10) ORDER BY line_no) FILTER (NOT gone), '') AS text
+), lost AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    string_agg((line_no - 1)::VARCHAR, ',' ORDER BY line_no) FILTER (gone) AS dropped
   FROM marked GROUP BY doc_id
 )
-SELECT doc_id, coalesce(n_dropped, 0)::BIGINT AS n_dropped, coalesce(length(l.text), 0)::BIGINT AS chars_left, md5(l.text) AS text_md5
-FROM docs LEFT JOIN left_over l USING (doc_id)
+SELECT doc_id, coalesce(n_lines, 0)::BIGINT AS n_lines, coalesce(n_dropped, 0)::BIGINT AS n_dropped, coalesce(dropped, '') AS dropped
+FROM docs LEFT JOIN lost USING (doc_id)
 """
