@@ -50,6 +50,8 @@ def shares_of(entries: list[tuple[str, float, bool]]) -> tuple[dict[bytes, float
             inner.setdefault(bytes([int(piece[3:5], 16)]), 1 / (worst + SHIFT))
         elif piece and score > -1e8 and MARK not in piece[1:]:
             (begin if piece[0] == MARK else inner)[piece.removeprefix(MARK).encode()] = 1 / (SHIFT - score)
+    # The mark alone, which may be marked unusable, lets any character begin a word.
+    begin.setdefault(b"", 1 / (worst + SHIFT))
     return begin, inner
 
 
