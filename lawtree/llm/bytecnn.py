@@ -28,7 +28,9 @@ AT_ONCE = 32
 
 SAMPLE = 3000
 PIECES = 10
-EPOCHS = 10
+# Batches of training, whatever the size of the sample.
+STEPS = 900
+BATCH = 32
 RATE = 0.01
 THRESHOLD = 0.3
 FOLDS = 5
@@ -103,7 +105,7 @@ class Adam:
             yield rate * (m / (1 - 0.9 ** self.step)) / (np.sqrt(v / (1 - 0.99 ** self.step)) + 1e-6)
 
 
-def train(samples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS, batch: int = 32) -> Network:
+def train(samples: list[tuple[np.ndarray, int]], steps: int = STEPS, batch: int = BATCH) -> Network:
     """Fit a network to (chunks, label) pairs; deterministic. Without pairs the initial one."""
     net, rng = Network.initial(), np.random.default_rng(11)
     if not samples:
@@ -111,6 +113,7 @@ def train(samples: list[tuple[np.ndarray, int]], epochs: int = EPOCHS, batch: in
     share = (sum(y for _, y in samples) + 1) / (len(samples) + 2)
     net.offset = float(np.log(share / (1 - share)))
     adam = Adam(net.filters.shape, net.bias.shape, net.dense.shape, ())
+    epochs = -(-steps * batch // len(samples))
     for epoch in range(epochs):
         order = rng.permutation(len(samples))
         rate = RATE * 0.5 * (1 + np.cos(np.pi * epoch / epochs)) + 1e-4
