@@ -25,7 +25,7 @@ SHARD = 256
 PASSES = 3
 SEED = 20
 # Documents of a source that are put in order together.
-BUCKET = 20_000
+BUCKET = 4_000
 # Above so many slots numpy has no exact draw; a normal one of the same mean and spread stands in.
 EXACT = 10**9
 
@@ -119,19 +119,17 @@ def _slots(slots: list[int], blocks: list[int], shard: int, seed: int):
         for batch in batches:
             for number in batch["shard"]:
                 before, counts = draw.of(number)
-                place = np.random.default_rng((seed, number)).permutation(int(counts.sum()))
-                rows, at = [], 0
-                for src in np.nonzero(counts)[0]:
-                    slot = np.arange(before[src], before[src] + counts[src])
-                    turn, index = slot // blocks[src], slot % blocks[src]
-                    block = np.empty_like(slot)
-                    for t in np.unique(turn):
-                        block[turn == t] = permuted(index[turn == t], blocks[src], (seed, int(src), int(t)))
-                    places = place[at:at + len(slot)]
-                    rows.append(pd.DataFrame({"shard": number, "place": places, "src": src, "turn": turn, "block": block}))
-                    at += len(slot)
-                if rows:
-                    yield pd.concat(rows)
+                n = int(counts.sum())
+                src = np.repeat(np.arange(len(counts)), counts)
+                slot = np.arange(n) - np.repeat(np.cumsum(counts) - counts, counts) + before[src]
+                size = np.array(blocks)[src]
+                turn, index = slot // size, slot % size
+                block = np.empty_like(slot)
+                for s, t in sorted(set(zip(src.tolist(), turn.tolist()))):
+                    own = (src == s) & (turn == t)
+                    block[own] = permuted(index[own], blocks[s], (seed, s, t))
+                place = np.random.default_rng((seed, number)).permutation(n)
+                yield pd.DataFrame({"shard": number, "place": place, "src": src, "turn": turn, "block": block})
 
     return run
 
@@ -180,9 +178,11 @@ class Mix:
         self.docs = saved(placed.withColumn("start", F.col("base") + F.col("inner")).drop("base", "inner", "bucket"), "placed")
         shards = Draw(slots, shard, seed).shards
         numbers = spark.range(shards).withColumnRenamed("id", "shard")
-        self.slots = numbers.mapInPandas(
+        dealt = numbers.repartition("shard").mapInPandas(
             _slots(slots, blocks, shard, seed), "shard long, place long, src int, turn long, block long"
         )
+        # Stored, so that its size is known when it is joined.
+        self.slots = saved(dealt, "slots")
         last = F.expr(f"(start + size - 1) div {block}")
         spans = self.docs.where("size > 0").withColumn("block", F.explode(F.sequence(F.expr(f"start div {block}"), last)))
         spans = spans.select(
