@@ -29,7 +29,8 @@ MARK = "▁"
 UNKNOWN_COST = 10.0
 # Pieces marked as unusable carry a score far below all others.
 UNUSABLE = -1e8
-REMEMBERED = 150_000
+# Parts remembered, in two generations, so that common ones stay.
+REMEMBERED = 200_000
 ROWS = 256
 
 PARTS = re.compile(r"[ \n]?[^ \n]+|[ \n]")
@@ -60,54 +61,65 @@ class Encoder:
                 self.bytes[i] = text.encode()
                 if score > UNUSABLE and " " not in text[1:] and "\n" not in text:
                     pieces[text] = (i, score)
+        if MARK in (names := [e[0] for e in entries]):
+            # A space that belongs to no other piece, as good as the worst of them.
+            pieces.setdefault(" ", (names.index(MARK), min((s for _, s in pieces.values()), default=0.0)))
+        inside = {b for text in pieces for a, b in zip(text, text[1:]) if a.isalnum()}
+        # Signs that no piece has after a letter or digit: at the end of a part they stand alone.
+        self.signs = set(".,;:!?") - inside
         self.unknown = min((s for _, s in pieces.values()), default=0.0) - UNKNOWN_COST
         self._build(pieces)
         self.known: dict[str, tuple[bytes, float]] = {}
+        self.older: dict[str, tuple[bytes, float]] = {}
 
     def _build(self, pieces: dict[str, tuple[int, float]]) -> None:
-        """States with their transitions, failure links, and the nearest state that ends a piece."""
+        """States with their transitions, failure links, and all pieces that end in a state."""
         self.next: list[dict[str, int]] = [{}]
-        self.piece: list[tuple[int, int, float] | None] = [None]  # length, id, score
+        own: list[tuple[int, float, int] | None] = [None]  # length, score, id
         for text, (i, score) in pieces.items():
             state = 0
             for c in text:
                 if c not in self.next[state]:
                     self.next[state][c] = len(self.next)
                     self.next.append({})
-                    self.piece.append(None)
+                    own.append(None)
                 state = self.next[state][c]
-            self.piece[state] = (len(text), i, score)
-        self.fail, self.output = [0] * len(self.next), [0] * len(self.next)
+            own[state] = (len(text), score, i)
+        self.fail = [0] * len(self.next)
+        # Output links, followed to their end: the pieces that end in a state, the longest first.
+        self.output: list[tuple] = [()] * len(self.next)
         queue = deque(self.next[0].values())
+        for state in queue:
+            self.output[state] = (own[state],) if own[state] else ()
         while queue:
             state = queue.popleft()
             for c, target in self.next[state].items():
-                back = self.fail[state]
-                while back and c not in self.next[back]:
-                    back = self.fail[back]
-                self.fail[target] = self.next[back].get(c, 0)
+                fallen = self.fail[target] = self._move(self.fail[state], c)
+                self.output[target] = ((own[target],) if own[target] else ()) + self.output[fallen]
                 queue.append(target)
-            fallen = self.fail[state]
-            self.output[state] = fallen if self.piece[fallen] else self.output[fallen]
+
+    def _move(self, state: int, c: str) -> int:
+        while state and c not in self.next[state]:
+            state = self.fail[state]
+        return self.next[state].get(c, 0)
 
     def best(self, part: str) -> tuple[array, float]:
         """Ids and score of the best segmentation; among equals the longer last piece wins."""
         scores, last = [0.0], [None]
-        state = 0
+        state, following, output, unknown = 0, self.next, self.output, self.unknown
         for end, c in enumerate(part, 1):
-            while state and c not in self.next[state]:
-                state = self.fail[state]
-            state = self.next[state].get(c, 0)
-            top, via, single = float("-inf"), None, False
-            at = state if self.piece[state] else self.output[state]
-            while at:
-                length, _, gain = piece = self.piece[at]
-                single = length == 1
-                if (score := scores[end - length] + gain) > top:
+            target = following[state].get(c)
+            state = self._move(state, c) if target is None else target
+            top, via = -1e300, None
+            for piece in output[state]:
+                score = scores[end - piece[0]] + piece[1]
+                if score > top:
                     top, via = score, piece
-                at = self.output[at]
-            if not single and (score := scores[end - 1] + self.unknown) > top:
-                top, via = score, None
+            # The shortest piece comes last; without one of one character, the character is unknown.
+            if not output[state] or output[state][-1][0] > 1:
+                score = scores[end - 1] + unknown
+                if score > top:
+                    top, via = score, None
             scores.append(top)
             last.append(via)
         ids, end = [], len(part)
@@ -116,24 +128,34 @@ class Encoder:
                 ids.extend(self.byte_ids[b] for b in reversed(part[end - 1].encode()))
                 end -= 1
             else:
-                ids.append(piece[1])
+                ids.append(piece[2])
                 end -= piece[0]
-        return array("i", reversed(ids)), scores[-1]
+        ids.reverse()
+        return array("i", ids), scores[-1]
+
+    def _found(self, part: str) -> tuple[bytes, float]:
+        found = self.older.get(part)
+        if found is None:
+            if part[-1] in self.signs and part[-2:-1].isalnum():
+                (ids, score), (ids_sign, score_sign) = (self.known.get(p) or self._found(p) for p in (part[:-1], part[-1]))
+                found = ids + ids_sign, score + score_sign
+            else:
+                ids, score = self.best(part)
+                found = ids.tobytes(), score
+        if len(part) < 64:
+            if len(self.known) >= REMEMBERED:
+                self.known, self.older = {}, self.known
+            self.known[part] = found
+        return found
 
     def encode(self, text: str) -> tuple[array, float]:
         """Ids and total score. The text gets one leading space, as the vocabulary expects."""
-        ids, total, known = array("i"), 0.0, self.known
+        chosen, total = bytearray(), 0.0
         for part in PARTS.findall(" " + text) if text else ():
-            found = known.get(part)
-            if found is None:
-                if len(known) >= REMEMBERED:
-                    known.clear()
-                found = self.best(part)
-                if len(part) < 64:
-                    known[part] = found
-            ids += found[0]
-            total += found[1]
-        return ids, total
+            ids, score = self.known.get(part) or self._found(part)
+            chosen += ids
+            total += score
+        return array("i", bytes(chosen)), total
 
     def decode(self, ids) -> str:
         return b"".join(map(self.bytes.__getitem__, ids))[1:].decode()
