@@ -6,6 +6,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from lawtree.plans.oracles import ORACLES
+from lawtree.plans.queries import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = (
@@ -29,19 +31,20 @@ def db():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, db, name):
-    df = entry.queries()[name](spark, FOLDER)
+    df = QUERIES[name](spark, FOLDER)
     columns = sorted(df.columns)
-    cursor = db.execute(entry.oracle_sql()[name])
+    cursor = db.execute(ORACLES[name])
     names = [c[0] for c in cursor.description]
     assert sorted(names) == columns
-    types = dict(r[:2] for r in db.execute("DESCRIBE " + entry.oracle_sql()[name]).fetchall())
+    types = dict(r[:2] for r in db.execute("DESCRIBE " + ORACLES[name]).fetchall())
     assert {c: SQL_TYPES[t] for c, t in df.dtypes} == types
-    cursor = db.execute(entry.oracle_sql()[name])
+    cursor = db.execute(ORACLES[name])
     want = Counter(tuple(row[names.index(c)] for c in columns) for row in cursor.fetchall())
     got = Counter(tuple(r) for r in df.select(columns).collect())
     assert got == want and got
