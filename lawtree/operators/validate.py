@@ -124,7 +124,7 @@ def duplicate_errors(parsed: DataFrame, heads: DataFrame, across_types: bool = F
     groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("ord"))
     hits = _with_law(groups.where(F.col("n") > 1), heads)
     detail = F.concat(F.lit("element number duplication: "), shown)
-    return _errors(hits, "DuplicateNumberError", detail)
+    return _errors(hits, "HieralchyError" if across_types else "DuplicateNumberError", detail)
 
 
 def sibling_errors(parsed: DataFrame, heads: DataFrame) -> DataFrame:

@@ -98,11 +98,15 @@ class Warehouse:
         return reader.parquet(*folders).select(*BATCHED[name].fieldNames())
 
     def load_dimensions(self, rows: DataFrame) -> None:
-        """Replace both dimension tables by ``(row_no, code, pref_name, muni_name)`` rows."""
+        """Replace both dimension tables by ``(row_no, code, pref_name, muni_name)`` rows.
+
+        All problems of a list that is refused are in the table ``dimension_problems``.
+        """
         tables = {"prefectures": dims.prefectures(rows), "municipalities": dims.municipalities(rows)}
-        problems = dims.check(**tables).limit(10).collect()
-        if problems:
-            raise ValueError(f"municipality list: {[tuple(p) for p in problems]}")
+        problems = dims.check(**tables)
+        if not problems.isEmpty():
+            problems.write.mode("overwrite").parquet(self._path("dimension_problems"))
+            raise ValueError(f"municipality list: problems in {self._path('dimension_problems')}")
         for name, table in tables.items():
             table.write.mode("overwrite").parquet(self._path(name))
 

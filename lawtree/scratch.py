@@ -2,22 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the session names; a local one only for a local session without it."""
+    """The shared folder the session names; without one, a folder below the warehouse."""
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if root:
-        return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="lawtree-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return (root or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints").rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -81,8 +81,9 @@ def test_duplicates(spark):
         ("DuplicateNumberError", "element number duplication: 第1条", 2)
     ]
     across = errors_of(spark, body, check_cross_type_numbers=True)
-    assert across[1] == ("DuplicateNumberError", "element number duplication: 第1条", 2)
-    assert len(across) == 2 and across[0][1].startswith("element number duplication: 1.0")
+    assert across[0] == ("DuplicateNumberError", "element number duplication: 第1条", 2)
+    assert len(across) == 2 and across[1][0] == "HieralchyError"
+    assert across[1][1].startswith("element number duplication: 1.0")
     apart = main(article("1") + tag("Chapter", article("1")))
     assert errors_of(spark, apart) == []
     texts = main(paragraph("1", "x", more=sentence("ParagraphSentence", "y")))
