@@ -218,10 +218,12 @@ def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     whole = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__hash": F.xxhash64("text")})
     whole = whole.dropDuplicates(["__id", "__hash"])
     joined = whole.join(some, whole.__id.eqNullSafe(some.id) & (whole.__hash == some.hash))
-    # A text that starts with white space has an empty first piece.
+    # A text that starts with white space has an empty first piece. The one-element array binds the
+    # words, so that a text is split once and not once for each of its parts.
     cut = F.expr(
-        r"""array_join(flatten(transform(parts, p -> slice(
-              filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> ''), int(p.first) + 1, int(p.end - p.first)))), ' ')"""
+        r"""array_join(flatten(flatten(transform(
+              array(filter(split(text, '[\\x20\\x09-\\x0D]+'), w -> w <> '')),
+              words -> transform(parts, p -> slice(words, int(p.first) + 1, int(p.end - p.first)))))), ' ')"""
     )
     text = F.when(F.col("n") == F.col("size"), F.col("text")).otherwise(cut)
     out = joined.withColumn("text", text)
