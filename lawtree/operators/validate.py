@@ -128,17 +128,27 @@ def duplicate_errors(parsed: DataFrame, heads: DataFrame, across_types: bool = F
 
 
 def sibling_errors(parsed: DataFrame, heads: DataFrame) -> DataFrame:
-    """Parents whose non-text children are of more than one type."""
+    """Parents whose non-text children are of more than one type.
+
+    One error per parent, at the first child whose type is not that of the first child.
+    """
     rows = _body(parsed).where(~is_text()).withColumns(
         {"parent_ord": parent_ord(), "rank": scalars.etype_rank(F.col("etype"))}
     )
-    groups = rows.groupBy("path", "parent_ord").agg(
-        F.min("rank").alias("a"), F.max("rank").alias("b"), F.min("ord").alias("ord")
+    firsts = rows.groupBy("path", "parent_ord", "rank").agg(F.min("ord").alias("ord"))
+    # At most one entry per element type.
+    groups = firsts.groupBy("path", "parent_ord").agg(
+        F.sort_array(F.collect_list(F.struct("ord", "rank"))).alias("firsts")
+    )
+    found = groups.where(F.size("firsts") > 1).select(
+        "path", F.col("firsts")[0]["rank"].alias("elder"), F.col("firsts")[1]["rank"].alias("other"),
+        F.col("firsts")[1]["ord"].alias("ord"),
     )
-    hits = _with_law(groups.where(F.col("a") != F.col("b")), heads)
+    hits = _with_law(found, heads)
     types = F.array(*map(F.lit, S.ETYPE_RANK))
+    # Fixed value: the message text.
     detail = F.format_string(
-        "different type elements in the same layer: %s and %s", F.get(types, "a"), F.get(types, "b")
+        "different type elements in the same layer: %s and %s", F.get(types, "other"), F.get(types, "elder")
     )
     return _errors(hits, "HieralchyError", detail)
 

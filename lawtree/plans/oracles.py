@@ -199,8 +199,10 @@ ORACLES: dict[str, str] = {
     ),
     "validate_siblings": _sql(
         "SELECT law_name, 'HieralchyError' AS error_class, "
-        "'different type elements in the same layer: Chapter and Article' AS error_detail, 2 AS ord "
-        "FROM laws WHERE doc_id % 17 = 0"
+        "'different type elements in the same layer: ' || CASE WHEN doc_id % 17 = 0 "
+        "THEN 'Chapter and Article' ELSE 'Article and Chapter' END AS error_detail, "
+        "CAST(CASE WHEN doc_id % 17 = 0 THEN last_ord + 1 ELSE 3 END AS INTEGER) AS ord "
+        "FROM last WHERE doc_id % 17 IN (0, 5)"
     ),
     "validate_lengths": _sql(
         "SELECT printf('%02d/%06d/%04d', pref_id, muni_id, doc_id) AS code, 'LengthError' AS error_class, "

@@ -357,8 +357,13 @@ def validate_num_format(spark, sf):
 
 
 def validate_siblings(spark, sf):
-    extra = _for(every(17), '<Chapter Num="1"></Chapter>')
-    parsed = xml.parse(corpus(spark, sf, main_extra=extra))
+    chapter, main = '<Chapter Num="1"></Chapter>', "<MainProvision>"
+    files = corpus(
+        spark, sf,
+        main_extra=_for(every(17), chapter),
+        edit=lambda x: F.when(every(17, 5), F.replace(x, F.lit(main), F.lit(main + chapter))).otherwise(x),
+    )
+    parsed = xml.parse(files)
     return validate.validate(parsed, check_siblings=True).select(*_SHOWN)
 
 

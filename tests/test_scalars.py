@@ -78,13 +78,14 @@ def test_kanji_against_plain_python(spark, sep):
         assert row.got == expected(row.s, sep), row.s
 
 
-def test_kanji_never_fails_on_long_numbers(spark):
-    texts = ["9" * 45 + "万", "千兆" * 30, "九" * 60]
+def test_kanji_numbers_of_any_length(spark):
+    rng = random.Random(5)
+    texts = ["9" * 45 + "万", "千兆" * 30, "九" * 60, "九" * 18 + "兆" + "九" * 18, "〇" * 40 + "十", "0万"]
+    texts += ["".join(rng.choices("一二九〇十百千万億兆", k=80)) for _ in range(200)]
+    texts += ["".join(rng.choices("一二九〇" * 9 + "千万", k=150)) for _ in range(100)]
     df = spark.createDataFrame([(t,) for t in texts], "s string")
-    got = [r[0] for r in df.select(kanji_to_arabic("s")).collect()]
-    assert got[0] == "9" * 45 + "万"  # past 38 digits
-    assert got[1] == str(1000 * 10**12 * 30)
-    assert got[2] == "9" * 60
+    for row in df.select("s", kanji_to_arabic("s").alias("got"), kanji_to_arabic("s", True).alias("sep")).collect():
+        assert (row.got, row.sep) == (expected(row.s), expected(row.s, True)), row.s
 
 
 def numbers(spark, raws, etype="Article"):

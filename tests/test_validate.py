@@ -108,8 +108,12 @@ def test_siblings_are_opt_in(spark):
     body = main(article("1") + tag("Chapter", num="2") + article("3"))
     assert errors_of(spark, body) == []
     assert errors_of(spark, body, check_siblings=True) == [
-        ("HieralchyError", "different type elements in the same layer: Chapter and Article", 2)
+        ("HieralchyError", "different type elements in the same layer: Chapter and Article", 3)
     ]
+    body = main(tag("Chapter", num="1") + tag("Chapter", num="2") + article("3") + tag("Part", num="1"))
+    assert errors_of(spark, body, check_siblings=True)[-1] == (
+        "HieralchyError", "different type elements in the same layer: Article and Chapter", 4
+    )
     captioned = main(article("1", "<ArticleCaption>x</ArticleCaption>" + paragraph("1", "y")))
     assert errors_of(spark, captioned, check_siblings=True) == []
 
