@@ -94,22 +94,37 @@ def num_ok(etype: Column, num_raw: Column) -> Column:
 
 
 def num_path(etype: Column, num_raw: Column) -> Column:
-    """'2_3_1' -> [2, 3, 1]; NULL if the format is wrong or a part does not fit an INT."""
-    parts = F.transform(F.split(_numbered(etype, num_raw), "_"), lambda p: p.try_cast("int"))
+    """'2_3_1' -> [2, 3, 1]; NULL if the format is wrong or a part does not fit a BIGINT."""
+    parts = F.transform(F.split(_numbered(etype, num_raw), "_"), lambda p: p.try_cast("bigint"))
     return F.when(num_ok(etype, num_raw) & F.forall(parts, lambda p: p.isNotNull()), parts)
 
 
 def num_value(path: Column) -> Column:
-    """[2, 3, 1] -> 2.003001: each branch level is worth a thousandth of the one above."""
-    # Narrow types keep the 18 decimals: Spark would cut them in a wider product or sum.
-    weights = F.expr(f"array({', '.join(f'cast(1e-{3 * i}BD AS decimal(19,18))' for i in range(7))})")
-    weighted = F.zip_with(path, weights, lambda n, w: n.cast("decimal(10,0)") * w)
+    """[2, 3, 1] -> 2.003001: each branch level is worth a thousandth of the one above.
+
+    Six levels fit; ``num_deep`` has the others.
+    """
+    # Types of 37 and 36 digits keep the 18 decimals in a sum; a product would cut them.
+    def shifted(n: Column, i: Column) -> Column:
+        digits, zeros = F.lpad(n.cast("string"), 40, "0"), (i + 1) * 3
+        text = F.concat(F.left(digits, F.lit(40) - zeros), F.lit("."), F.right(digits, zeros))
+        return text.cast("decimal(36,18)")
+
+    branches = F.transform(F.slice(path, 2, 6), shifted)
     total = F.aggregate(
-        weighted,
-        F.lit(0).cast("decimal(31,18)"),
-        lambda acc, x: (acc + F.coalesce(x, F.lit(0).cast("decimal(30,18)"))).cast("decimal(31,18)"),
+        branches, F.get(path, 0).cast("decimal(37,18)"), lambda acc, x: (acc + x).cast("decimal(37,18)")
     )
-    return total.cast(S.NUM)
+    first = F.get(path, 0).cast(S.NUM)
+    return F.when(F.size(path) == 1, first).otherwise(total.cast(S.NUM))
+
+
+def num_deep(path: Column) -> Column:
+    """The branch levels that ``num_value`` has no room for, as text; '' if there are none.
+
+    Trailing zeros count for nothing, as in a number. Parts over 999 are not carried over.
+    """
+    text = F.array_join(F.transform(F.slice(path, 8, F.size(path) + 1), lambda p: p.cast("string")), "_")
+    return F.regexp_replace(text, "(^|_)0(_0)*$", "")
 
 
 def num_parts(num: Column) -> Column:
@@ -119,7 +134,7 @@ def num_parts(num: Column) -> Column:
     parts = F.concat(
         F.array(F.get(text, 0)), F.regexp_extract_all(branches, F.lit("[0-9]{3}"), F.lit(0))
     )
-    return F.transform(parts, lambda p: p.try_cast("int"))
+    return F.transform(parts, lambda p: p.try_cast("bigint"))
 
 
 def etype_rank(etype: Column) -> Column:

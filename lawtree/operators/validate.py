@@ -66,9 +66,14 @@ def _element_checks(known: Iterable[str]) -> list[tuple[str, Column, Column]]:
         ),
         ("EtypeError", ~etype.isin(*known), F.format_string("unknown type %s", etype)),
         (
-            "LawElementNumberError", scalars.num_path(etype, num_raw).isNull(),
+            "LawElementNumberError", ~scalars.num_ok(etype, num_raw),
             F.format_string("Invalid Format %s", num_raw),
         ),
+        (
+            "LawElementNumberError",
+            scalars.num_ok(etype, num_raw) & scalars.num_path(etype, num_raw).isNull(),
+            F.format_string("Number Too Large %s", num_raw),
+        ),
     ]
 
 
@@ -100,7 +105,9 @@ def element_errors(parsed: DataFrame, include_subitem_sentences: bool = False) -
 
 def _numbered(parsed: DataFrame) -> DataFrame:
     path = scalars.num_path(F.col("etype"), F.col("num_raw"))
-    return _body(parsed).withColumns({"parent_ord": parent_ord(), "num": scalars.num_value(path)})
+    return _body(parsed).withColumns(
+        {"parent_ord": parent_ord(), "num": scalars.num_value(path), "deep": scalars.num_deep(path)}
+    )
 
 
 def _with_law(hits: DataFrame, heads: DataFrame) -> DataFrame:
@@ -116,10 +123,10 @@ def duplicate_errors(parsed: DataFrame, heads: DataFrame, across_types: bool = F
     rows = _numbered(parsed).where(F.col("num").isNotNull())
     if across_types:
         rows = rows.where(~is_text() & ~F.col("etype").isin(*S.PROVISIONS))
-        keys, shown = ["path", "parent_ord", "num"], F.col("num").cast("string")
+        keys, shown = ["path", "parent_ord", "num", "deep"], F.col("num").cast("string")
     else:
         rows = rows.where(F.col("etype") != "SupplProvision")
-        keys = ["path", "parent_ord", "etype", "num"]
+        keys = ["path", "parent_ord", "etype", "num", "deep"]
         shown = scalars.number_label(F.col("etype"), scalars.num_parts(F.col("num")))
     groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("ord"))
     hits = _with_law(groups.where(F.col("n") > 1), heads)

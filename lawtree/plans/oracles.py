@@ -79,7 +79,7 @@ ORACLES: dict[str, str] = {
     "leaves": _sql(
         "SELECT law_name, CAST(ord AS INTEGER) AS ord, etype FROM elems WHERE etype = 'ParagraphSentence'"
     ),
-    "children": _sql("SELECT law_name, a_num AS article, CAST(n AS INTEGER) AS paragraph FROM ord_lines"),
+    "children": _sql("SELECT law_name, a_num AS article, CAST(n AS BIGINT) AS paragraph FROM ord_lines"),
     "children_of_provisions": _sql(
         "SELECT law_name, CAST(a_ord AS INTEGER) AS ord, 'Article' AS etype, a_value AS num FROM articles WHERE reiki"
     ),

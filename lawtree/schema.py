@@ -130,7 +130,7 @@ ELEMENTS = _struct(
     ("etype", T.StringType()),
     ("etype_rank", T.IntegerType()),
     ("num", NUM),
-    ("num_path", T.ArrayType(T.IntegerType())),
+    ("num_path", T.ArrayType(T.LongType())),
     ("num_raw", T.StringType()),
     ("texts", T.ArrayType(T.StringType())),
     ("ord", T.IntegerType()),

@@ -98,10 +98,11 @@ def numbers(spark, raws, etype="Article"):
 
 
 def test_element_numbers(spark):
-    rows = numbers(spark, ["2_3_1", "2_600", "1-2", None, "12", "1_1000", "007", "", "1_", "9" * 12])
+    rows = numbers(spark, ["2_3_1", "2_600", "1-2", None, "12", "1_1000", "007", "", "1_", "9" * 12, "9" * 25,
+                           f"{10**18}_999_0_5"])
     assert [r.num for r in rows] == [
         Decimal("2.003001"), Decimal("2.6"), None, Decimal(0), Decimal(12), Decimal(2), Decimal(7),
-        None, None, None,
+        None, None, Decimal("9" * 12), None, 10**18 + Decimal("0.999000005"),
     ]
     assert [r.label for r in rows[:2]] == ["第2条の3の1", "第2条の600"]
     assert rows[3].label == "第0条"

@@ -104,6 +104,15 @@ def test_num_format(spark):
     assert errors_of(spark, '<MainProvision Num="x"><Article/></MainProvision>') == []
 
 
+def test_long_and_deep_numbers(spark):
+    deep = main(article("1_1_1_1_1_1_1_1") + article("1_1_1_1_1_1_1_2") + article("20230401001"))
+    assert errors_of(spark, deep) == []
+    twice = main(article("1_1_1_1_1_1_1_2") + article("1_1_1_1_1_1_1_2_0"))
+    assert [e[0] for e in errors_of(spark, twice)] == ["DuplicateNumberError"]
+    huge = "9" * 30
+    assert errors_of(spark, main(article(huge))) == [("LawElementNumberError", f"Number Too Large {huge}", 2)]
+
+
 def test_siblings_are_opt_in(spark):
     body = main(article("1") + tag("Chapter", num="2") + article("3"))
     assert errors_of(spark, body) == []
