@@ -23,6 +23,8 @@ from lawtree.llm.common import saved, table, text_words
 BLOCK = 64
 SHARD = 256
 PASSES = 3
+# Shards that one task fills.
+TASK = 2_000
 SEED = 20
 # Documents of a source that are put in order together.
 BUCKET = 4_000
@@ -177,8 +179,10 @@ class Mix:
         placed = known.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(sums, ["src", "bucket"])
         self.docs = saved(placed.withColumn("start", F.col("base") + F.col("inner")).drop("base", "inner", "bucket"), "placed")
         shards = Draw(slots, shard, seed).shards
-        numbers = spark.range(shards).withColumnRenamed("id", "shard")
-        dealt = numbers.repartition("shard").mapInPandas(
+        # A number is small and its slots are many, so the numbers are dealt by count, not by their bytes.
+        tasks = max(1, min(shards, spark.sparkContext.defaultParallelism), -(-shards // TASK))
+        numbers = spark.range(0, shards, 1, tasks).withColumnRenamed("id", "shard")
+        dealt = numbers.mapInPandas(
             _slots(slots, blocks, shard, seed), "shard long, place long, src int, turn long, block long"
         )
         # Stored, so that its size is known when it is joined.
