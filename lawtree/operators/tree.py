@@ -78,8 +78,16 @@ def prune(elements: DataFrame, etypes: Iterable[str] = S.BASIC_ETYPES) -> DataFr
     return elements.where(within(etypes))
 
 
-def leaves(elements: DataFrame) -> DataFrame:
-    return elements.where(is_leaf())
+def leaves(elements: DataFrame, etypes: Iterable[str] | None = None) -> DataFrame:
+    """Elements without children. With ``etypes`` the tree is pruned to these types first.
+
+    Pruning makes leaves of elements that lose all children, so those are looked for again.
+    """
+    if etypes is None:
+        return elements.where(is_leaf())
+    kept = prune(elements, etypes)
+    parents = kept.where(F.col("depth") > 1).select("law_id", parent_ord().alias("ord")).distinct()
+    return kept.join(parents, ["law_id", "ord"], "left_anti")
 
 
 def document_order(elements: DataFrame) -> DataFrame:

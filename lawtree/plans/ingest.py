@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lawtree import schema as S
@@ -36,10 +36,15 @@ def settled_files(listing: DataFrame, warehouse: Warehouse, reiki_only: bool = T
     )
 
 
+def number_id() -> Column:
+    """Id of a law in the warehouse: by its number, whatever file it comes from."""
+    return scalars.hash_id(F.col("muni_id"), F.col("law_num"))
+
+
 def new_laws(candidates: DataFrame, registered: DataFrame) -> DataFrame:
     """Candidates whose ``(muni_id, num)`` is not registered yet, the lowest file of each.
 
-    Candidates need muni_id, law_num, law_id, file_id and path; registered laws muni_id and
+    Candidates need muni_id, law_num, file_id and path; registered laws muni_id and
     num. A number that very many files share is down to one row before the join.
     """
     taken = registered.select("muni_id", F.col("num").alias("law_num"))
@@ -49,8 +54,8 @@ def new_laws(candidates: DataFrame, registered: DataFrame) -> DataFrame:
 def lowest_file(candidates: DataFrame) -> DataFrame:
     """One row per ``(muni_id, law_num)``: the file with the lowest id."""
     first = F.min(F.struct("file_id", "path")).alias("first")
-    return candidates.groupBy("muni_id", "law_num", "law_id").agg(first).select(
-        "muni_id", "law_num", "law_id", "first.file_id", "first.path"
+    return candidates.groupBy("muni_id", "law_num").agg(first).select(
+        "muni_id", "law_num", number_id().alias("law_id"), "first.file_id", "first.path"
     )
 
 
@@ -114,7 +119,7 @@ def ingest(
     parsed = xml.parse(
         files, etypes=etypes, include_subitem_sentences=include_subitem_sentences,
         reiki_only=reiki_only, strip_ws=strip_ws, fold_width=fold_width,
-    )
+    ).withColumn("law_id", number_id())
     # Each file is read and parsed once; all steps below work on this table.
     staging = scratch_path(spark, "staging")
     parsed.write.parquet(f"{staging}/parsed")

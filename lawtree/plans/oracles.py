@@ -38,7 +38,9 @@ all_elems AS (
 elems AS (SELECT * FROM all_elems WHERE reiki),
 munis AS (SELECT CAST((n_regionkey + 1) * 10000 + n_nationkey AS INTEGER) AS muni_id,
                  CAST(n_regionkey + 1 AS SMALLINT) AS pref_id, n_name AS muni_name, r_name AS pref_name
-          FROM nation JOIN region ON n_regionkey = r_regionkey)
+          FROM nation JOIN region ON n_regionkey = r_regionkey),
+places AS (SELECT CAST((n_nationkey + 1) * 10000 + k AS INTEGER) AS muni_id, CAST(n_nationkey + 1 AS SMALLINT) AS pref_id,
+                  n_name || '-' || k AS muni_name FROM (SELECT *, unnest(range(7)) AS k FROM nation))
 """
 
 
@@ -76,6 +78,13 @@ ORACLES: dict[str, str] = {
     ),
     "plaintext": "SELECT 'doc-' || doc_id AS law_name, replace(text, chr(10), '') AS plaintext "
                  "FROM documents WHERE doc_id % 3 < 2",
+    "plaintext_shared_numbers": _sql(
+        "SELECT printf('%02d/%06d/%04d', l.pref_id, l.muni_id, l.doc_id) AS code, "
+        "replace(coalesce(d.text, ''), chr(10), '') AS plaintext FROM laws l JOIN documents d USING (doc_id)"
+    ),
+    "leaves_pruned": _sql(
+        "SELECT law_name, CAST(p_ord AS INTEGER) AS ord, 'Paragraph' AS etype FROM ord_lines"
+    ),
     "leaves": _sql(
         "SELECT law_name, CAST(ord AS INTEGER) AS ord, etype FROM elems WHERE etype = 'ParagraphSentence'"
     ),
@@ -160,9 +169,13 @@ ORACLES: dict[str, str] = {
         "0::BIGINT AS error FROM documents"
     ),
     "read_back": _sql(
-        "SELECT x.muni_id, m.pref_id, CAST(x.doc_id AS INTEGER) AS file_id, x.law_name AS name, l.num, "
-        "x.a_value AS article FROM articles x JOIN munis m ON m.muni_id = x.muni_id "
-        "JOIN laws l ON l.doc_id = x.doc_id WHERE x.reiki"
+        "SELECT l.muni_id, m.pref_id, CAST(l.doc_id AS INTEGER) AS file_id, l.law_name AS name, l.num, "
+        "CAST(e.ord AS INTEGER) AS ord, e.etype, "
+        "CASE e.etype WHEN 'Article' THEN a.a_value WHEN 'Paragraph' THEN p.n ELSE 0 END::DECIMAL(38,18) AS elem_num, "
+        "coalesce(s.line, '') AS content FROM laws l JOIN places m USING (muni_id) JOIN elems e USING (doc_id) "
+        "LEFT JOIN articles a ON a.doc_id = e.doc_id AND a.a_ord = e.ord "
+        "LEFT JOIN placed p ON p.doc_id = e.doc_id AND p.p_ord = e.ord "
+        "LEFT JOIN placed s ON s.doc_id = e.doc_id AND s.p_ord + 1 = e.ord"
     ),
     "dims_prefectures": _sql(
         "SELECT DISTINCT pref_id, pref_name AS name FROM munis"
@@ -170,7 +183,7 @@ ORACLES: dict[str, str] = {
     "dims_municipalities": _sql("SELECT muni_id, pref_id, muni_name AS name FROM munis"),
     "dims_join": _sql(
         "SELECT l.law_name AS name, l.num, l.muni_id, m.muni_name, m.pref_id "
-        "FROM laws l JOIN munis m ON m.muni_id = l.muni_id WHERE l.reiki"
+        "FROM laws l JOIN places m ON m.muni_id = l.muni_id WHERE l.reiki"
     ),
     "unknown_municipalities": _sql(
         "SELECT DISTINCT muni_id FROM laws WHERE muni_id NOT IN (SELECT muni_id FROM munis)"

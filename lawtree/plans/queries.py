@@ -89,10 +89,23 @@ def plaintext(spark, sf):
     return tree.plaintext(elements(spark, sf, "law_name"), "law_name").drop("law_id")
 
 
+def plaintext_shared_numbers(spark, sf):
+    """Half of the files have one number, the others none."""
+    tag = F.when(every(2), "<LawNum>第一号条例</LawNum>").otherwise("")
+    files = corpus(spark, sf, edit=lambda x: F.regexp_replace(x, F.lit("<LawNum>[^<]*</LawNum>"), tag))
+    return tree.plaintext(xml.elements(xml.parse(files), "code"), "code").drop("law_id")
+
+
 def leaves(spark, sf):
     return tree.leaves(elements(spark, sf, "law_name")).select("law_name", "ord", "etype")
 
 
+def leaves_pruned(spark, sf):
+    kept = [e for e in S.BASIC_ETYPES if e not in S.TEXT_ETYPES]
+    rows = stored(elements(spark, sf, "law_name"), "etype", "depth")
+    return tree.leaves(rows, kept).select("law_name", "ord", "etype")
+
+
 def children(spark, sf):
     rows = tree.children(elements(spark, sf, "law_name"))
     rows = rows.where((F.col("parent_etype") == "Article") & (F.col("etype") == "Paragraph"))
@@ -287,12 +300,13 @@ def stream_outcomes(spark, sf):
 def read_back(spark, sf):
     root = scratch_path(spark, "read-back")
     warehouse = Warehouse(spark, root)
-    warehouse.load_dimensions(_municipality_rows(spark, sf))
+    warehouse.load_dimensions(_every_municipality(spark, sf))
     ingest(spark, corpus(spark, sf), root, "b1")
     headers = readback.law_header(warehouse.table("laws"), warehouse.table("municipalities"))
-    rows = readback.law_tree(warehouse.table("elements")).where(F.col("etype") == "Article")
-    return headers.join(rows.select("law_id", "etype", F.col("num").alias("article")), "law_id").select(
-        "muni_id", "pref_id", "file_id", "name", "num", "article"
+    rows = readback.law_tree(warehouse.table("elements")).withColumnRenamed("num", "elem_num")
+    rows = xml.with_content(rows).select("law_id", "ord", "etype", "elem_num", "content")
+    return headers.join(rows, "law_id").select(
+        "muni_id", "pref_id", "file_id", "name", "num", "ord", "etype", "elem_num", "content"
     )
 
 
@@ -310,6 +324,17 @@ def _municipality_rows(spark, sf):
     )
 
 
+def _every_municipality(spark, sf):
+    """A list that has a place for every law: each nation a prefecture of seven municipalities."""
+    nation = spark.read.parquet(f"{sf}/nation.parquet").withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(6))))
+    return nation.select(
+        (F.col("n_nationkey") * 7 + F.col("k")).alias("row_no"),
+        ((F.col("n_nationkey") + 1) * 10000 + F.col("k")).alias("code"),
+        F.col("n_name").alias("pref_name"),
+        F.concat("n_name", F.lit("-"), "k").alias("muni_name"),
+    )
+
+
 def dims_prefectures(spark, sf):
     return dims.prefectures(_municipality_rows(spark, sf))
 
@@ -320,7 +345,7 @@ def dims_municipalities(spark, sf):
 
 def dims_join(spark, sf):
     laws = xml.laws(ordinances(spark, sf, body=False))
-    places = dims.municipalities(_municipality_rows(spark, sf))
+    places = dims.municipalities(_every_municipality(spark, sf))
     return dims.with_place(laws, places).select("name", "num", "muni_id", "muni_name", "pref_id")
 
 
@@ -391,7 +416,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         count_elems, count_elems_by_law, count_rollup,
-        sentences, caption_sentences, plaintext, leaves, children, children_of_provisions,
+        sentences, caption_sentences, plaintext, plaintext_shared_numbers, leaves, leaves_pruned,
+        children, children_of_provisions,
         descendants, adjacency_tree, citation_labels, element_lookup, etype_prune, subitem_sentences,
         law_numbers, law_codes, is_reiki, element_number, kanji_numerals,
         tokens, chars, segmented_sentences,

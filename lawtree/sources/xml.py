@@ -185,7 +185,8 @@ def parse(
 
     Elements outside ``etypes`` are left out together with their subtrees. With ``body``
     False only the rows of the files themselves are produced; with ``reiki_only`` that goes
-    for files that are no ordinance or rule.
+    for files that are no ordinance or rule. ``law_id`` is that of the file: files that share a
+    number, or have none, stay apart. Registration gives ids by number.
     """
     wanted = set(etypes)
     if include_subitem_sentences:
@@ -199,7 +200,7 @@ def parse(
         {"law_name": scalars.law_name(F.col("name_raw")), "law_num": number}
     ).withColumns(
         {
-            "law_id": scalars.hash_id(F.col("muni_id"), F.col("law_num")),
+            "law_id": scalars.hash_id(F.col("path")),
             # Numerals play no part in this test, so it need not wait for law_num.
             "is_reiki": scalars.is_reiki(F.expr(scalars.law_number_text("law_num_raw", strip_ws))),
         }

@@ -93,6 +93,31 @@ def test_leaves(rows):
     assert [r.etype for r in tree.leaves(rows.where("law_name = '空'")).collect()] == ["MainProvision"]
 
 
+def test_leaves_after_pruning(rows):
+    got = {(r.law_name, r.etype, r.ord) for r in tree.leaves(rows, ["MainProvision", "Article", "Paragraph"]).collect()}
+    kept = [
+        r for r in rows.collect()
+        if r.etype in ("MainProvision", "Article", "Paragraph") and all(a.etype != "SupplProvision" for a in r.lineage)
+    ]
+    parents = {(r.law_name, r.lineage[-1].ord) for r in kept if r.lineage}
+    assert got == {(r.law_name, r.etype, r.ord) for r in kept if (r.law_name, r.ord) not in parents}
+    assert ("空", "MainProvision", 1) in got and any(etype == "Paragraph" for _, etype, _ in got)
+
+
+def test_files_of_one_number_stay_apart(spark):
+    one = main(article("1", paragraph("1", "甲")))
+    other = main(article("1", paragraph("1", "乙")))
+    files = file_rows(spark, {
+        "/c/01/010001/0001.xml": law(one), "/c/01/010001/0002.xml": law(other),
+        "/c/01/010001/0003.xml": law(one, num=None), "/c/01/010001/0004.xml": law(other, num=None),
+    })
+    rows = xml.elements(xml.parse(files), "file_id")
+    texts = {(r.file_id, r.plaintext) for r in tree.plaintext(rows, "file_id").collect()}
+    assert texts == {(1, "甲"), (2, "乙"), (3, "甲"), (4, "乙")}
+    assert tree.descendants(rows, rows).count() == 4 * 6
+    assert {r.n for r in stats.count_elems_by_law(rows).collect()} == {1}
+
+
 def test_sentences_and_hook(rows):
     got = tree.sentences(first(rows)).orderBy("ord", "sentence_num").collect()
     assert [(r.sentence_num, r.sentence) for r in got] == [
