@@ -106,7 +106,10 @@ class Warehouse:
         problems = dims.check(**tables)
         if not problems.isEmpty():
             problems.write.mode("overwrite").parquet(self._path("dimension_problems"))
-            raise ValueError(f"municipality list: problems in {self._path('dimension_problems')}")
+            # One row per kind of problem and table, whatever the length of the list.
+            kinds = problems.select("table_name", "problem").distinct().orderBy("table_name", "problem").collect()
+            named = ", ".join(f"{k.table_name}: {k.problem}" for k in kinds)
+            raise ValueError(f"municipality list: {named}; all problems in {self._path('dimension_problems')}")
         for name, table in tables.items():
             table.write.mode("overwrite").parquet(self._path(name))
 
