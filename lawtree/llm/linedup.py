@@ -2,7 +2,9 @@
 
 Lines are sequences of words and an edit inserts, deletes or replaces one word. Every line is
 kept only where it occurs first: a later line that equals it, or for lines of at least MIN_WORDS
-words is one edit away, goes. (One edit in five words leaves a similarity of 0.8.)
+words is one edit away, goes. (One edit in five words leaves a similarity of 0.8.) On request, as in
+the pipeline, the bound grows with the length: a later line goes if the longer of the two has at
+least ``share`` words for each edit.
 
 The neighbourhood of a line holds, for each place i, the line without word i and the line cut
 there, each as a hash of the words before and after the place. Two lines share a variant of the
@@ -12,6 +14,12 @@ pairs, the earliest line under a key stands for all, and the edit is verified on
 Variants are many, so lines without a partner are set aside first, and exactly: one edit leaves
 the first or the last 2**k words of a line alone if the line has at least 2**(k+1), so a line that
 shares neither end with any other different line has no neighbour.
+
+For the growing bound, an edit takes away at most two of a line's pairs of adjacent words. In any fixed
+order, fewer pairs than that come before the least pair that two such lines have in common, so both
+have it among as many first pairs (``_first_pairs``). The order has the longest words first: they are
+rare. Lines that meet under a pair are verified by their word edit distance, first against the earliest
+line there, which settles groups of copies without comparing all of them, then against every earlier one.
 """
 
 from __future__ import annotations
@@ -22,6 +30,8 @@ from pyspark.sql import functions as F
 from lawtree.llm.common import freed, saved, table
 
 MIN_WORDS = 5
+# The growing bound of the pipeline: one edit for so many words, a similarity of 0.8.
+SHARE = 5
 # Lines up to so many words have their variants made in the row; the words of longer ones become
 # rows, with running hashes.
 IN_ROW = 128
@@ -190,12 +200,84 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     return verified.select("a", "b").distinct()
 
 
-def dropped(docs: DataFrame) -> DataFrame:
-    """(doc_id, hash, dropped): the sorted line numbers that each document loses; only such documents."""
+def _first_pairs(share: int) -> Column:
+    """Keys of the first pairs of adjacent words, as many as the edits may take away and one more.
+
+    Of n words, n // share may be edited, and each edit takes two pairs away. If the other line is
+    longer, inserted words allow for more edits but take one pair each; that gains one pair at most.
+    """
+    pairs = F.expr(
+        """array_distinct(zip_with(slice(words, 1, n - 1), slice(words, 2, n - 1), (s, t) ->
+             shiftleft(cast(least(length(s) + length(t), 127) AS bigint), 56) | shiftrightunsigned(xxhash64(s, t), 8)))"""
+    )
+    taken = F.expr(f"greatest(2 * (n div {share}), 2 * ((n + 1) div {share}) - 1)").cast("int")
+    return F.slice(F.sort_array(pairs, asc=False), F.lit(1), taken + 1)
+
+
+def _as_text(words: str, code: str) -> str:
+    """SQL: a text with one character of 2**20 for each word; ``code``: a number of the word w."""
+    return f"decode(unhex(array_join(transform({words}, w -> lpad(hex(65536 + pmod({code}, 1048576)), 8, '0')), '')), 'UTF-32')"
+
+
+def _similar(pairs: DataFrame, texts: DataFrame, share: int) -> DataFrame:
+    """no of ``pairs`` (no, other) of lines that have at least ``share`` words for each edit between them."""
+    known = texts.select("no", "a", "b", "n", "words", "code")
+    other = texts.select(F.col("no").alias("other"), *[F.col(c).alias(f"{c}2") for c in ("n", "words", "code")])
+    bound = f"cast(greatest(n, n2) div {share} AS int)"
+    met = pairs.join(known, "no").join(other, "other")
+    # Words that share a character can only lessen the distance; then each word has its own.
+    met = met.where(f"levenshtein(code, code2, {bound}) >= 0")
+    x, y = (_as_text(w, "array_position(both, w)") for w in ("words", "words2"))
+    exact = f"exists(array(array_distinct(concat(words, words2))), both -> levenshtein({x}, {y}, {bound}) >= 0)"
+    return met.where(exact).select("no", "a", "b").distinct()
+
+
+def similar_lines(docs: DataFrame, distinct: DataFrame, near: DataFrame, share: int) -> DataFrame:
+    """(a, b) of the lines that have an earlier line within the growing bound, two edits or more away.
+
+    Lines of ``near`` are known to go; they stand among the earlier lines only.
+    """
+    # Two edits need 2 * share words in the longer line, which may hold two more than the other.
+    split = lines(docs).withColumn("words", _words("line")).withColumn("n", F.size("words"))
+    split = split.where(F.col("n") >= max(MIN_WORDS, 2 * share - 2))
+    # The lists are found and read in one exchange: it is the largest of this step.
+    index = split.select(F.xxhash64("words").alias("a"), F.explode(_first_pairs(share)).alias("key")).repartition("key")
+    met = index.groupBy("key").agg(F.min("a").alias("x"), F.max("a").alias("y")).where("x <> y").select("key")
+    index = saved(index.join(met, "key").distinct(), "index")
+    some = distinct.join(index.select("a").distinct(), "a").select("a", "b", "at", "n")
+    some = saved(some, "met")
+    texts = needed_lines(docs, some).select("a", "b", "at", "n", _words("line").alias("words")).dropDuplicates(["a", "b"])
+    texts = texts.withColumn("code", F.expr(_as_text("words", "xxhash64(w)")))
+    texts = texts.join(near.select("a", "b", F.lit(True).alias("near")), ["a", "b"], "left")
+    texts = saved(texts.orderBy("at", "a", "b").drop("at").withColumn("no", F.monotonically_increasing_id()), "lines")
+    freed(some)
+    lists = saved(index.join(texts.select("a", "no", "n", "near"), "a").select("key", "no", "n", "near"), "lists")
+    freed(index)
+    least = lists.groupBy("key").agg(F.min("no").alias("other"), F.min_by("n", "no").alias("n2"))
+    fits = F.expr(f"abs(n - n2) <= greatest(n, n2) div {share}")
+    open_ = lists.where("near IS NULL")
+    first = open_.join(least, "key").where("other < no").where(fits).select("no", "other").distinct()
+    found = saved(_similar(first, texts, share), "similar")
+    open_ = open_.join(found.select("no"), "no", "left_anti")
+    earlier = lists.select("key", F.col("no").alias("other"), F.col("n").alias("n2"))
+    rest = open_.join(earlier, "key").where("other < no").where(fits).select("no", "other").distinct()
+    rest = rest.join(first, ["no", "other"], "left_anti")
+    return found.unionByName(_similar(rest, texts, share)).select("a", "b")
+
+
+def dropped(docs: DataFrame, share: int | None = None) -> DataFrame:
+    """(doc_id, hash, dropped): the sorted line numbers that each document loses; only such documents.
+
+    With ``share`` the edit bound grows with the length.
+    """
     docs = docs.where("text IS NOT NULL")
     keyed = saved(keyed_lines(lines(docs)), "keyed")
     distinct = saved(distinct_lines(keyed), "distinct")
-    near = near_lines(docs, distinct).withColumn("near", F.lit(True))
+    near = near_lines(docs, distinct)
+    if share is not None:
+        near = saved(near, "near")
+        near = near.unionByName(similar_lines(docs, distinct, near, share))
+    near = near.withColumn("near", F.lit(True))
     # Where the line may stay; nowhere if an earlier neighbour exists.
     firsts = distinct.select("a", "b", "at").join(near, ["a", "b"], "left")
     firsts = firsts.select("a", "b", F.when(F.col("near").isNull(), F.col("at")).alias("stays"))
@@ -204,16 +286,18 @@ def dropped(docs: DataFrame) -> DataFrame:
     return gone.groupBy("doc_id", "hash").agg(F.sort_array(F.collect_set("line_no")).alias("dropped"))
 
 
-def dedup(docs: DataFrame) -> DataFrame:
+def dedup(docs: DataFrame, share: int | None = None) -> DataFrame:
     """``docs`` without the lines that repeat or nearly repeat an earlier one, with n_dropped.
 
+    With ``share`` the edit bound grows with the length.
+
     Lines are in the order of doc_id (null first), of a hash of the text for rows that share an
     id, and of their place. Lines are compared by their words; lines without words always stay. A
     null or empty text stays as it is. Other columns are kept.
     """
     columns = docs.columns
     keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__hash": F.xxhash64("text")})
-    gone = dropped(docs).select(F.col("doc_id").alias("__d"), F.col("hash").alias("__h"), F.col("dropped").alias("__dropped"))
+    gone = dropped(docs, share).select(F.col("doc_id").alias("__d"), F.col("hash").alias("__h"), F.col("dropped").alias("__dropped"))
     joined = keyed.join(gone, F.col("__id").eqNullSafe(F.col("__d")) & (F.col("__hash") == F.col("__h")), "left")
     left = F.expr("filter(split(text, '\n'), (x, i) -> NOT array_contains(__dropped, i))")
     text = F.when(F.col("__dropped").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
@@ -225,7 +309,7 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """All documents without their repeated lines; those of which nothing is left go, empty ones stay."""
-    out = dedup(docs).withColumnRenamed("n_dropped", "__n_dropped")
+    out = dedup(docs, SHARE).withColumnRenamed("n_dropped", "__n_dropped")
     out = out.where((F.col("__n_dropped") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("__n_dropped") == 0, F.col("n_chars")).otherwise(F.length("text")))

@@ -391,6 +391,38 @@ def test_lines(spark, nothing):
     assert linedup.dedup(nothing).count() == 0
 
 
+def test_similar_lines(spark):
+    """The growing bound of the stage, against all pairs of lines."""
+    rng = np.random.default_rng(8)
+    base = [[f"w{x}" for x in rng.integers(0, 40, n)] for n in (8, 9, 10, 11, 14, 15, 19, 24, 29, 50, 64, 104, 300)]
+    base += [["the"] * 10, ["the"] * 25]
+    texts = []
+    for _ in range(80):
+        lines = []
+        for _ in range(3):
+            w = list(base[rng.integers(len(base))])
+            for _ in range(rng.integers(2 + len(w) // 4)):
+                at = int(rng.integers(len(w) + 1))
+                w[at:at + int(rng.integers(2))] = [f"w{rng.integers(9)}"] * int(rng.integers(2))
+            lines.append(" ".join(w))
+        texts.append("\n".join(lines))
+    rows = list(enumerate(texts))
+    got = {(r.doc_id, k) for r in linedup.dropped(documents(spark, [(i, t, "s") for i, t in rows]), 5).collect() for k in r.dropped}
+    want, seen = set(), []
+    for i, t in rows:
+        for k, line in enumerate(t.split("\n")):
+            w = line.split()
+            near = (distance(v, w) * 5 <= max(len(v), len(w)) and min(len(v), len(w)) >= 5 for v in seen)
+            if w and (w in seen or any(near)):
+                want.add((i, k))
+            seen.append(w)
+    assert got == want
+    words = [f"v{x}" for x in range(50)]
+    copy = [*words[:9], "other", *words[10:30], "one", *words[31:]]
+    out = linedup.stage(spark, documents(spark, [(1, " ".join(words), "s"), (2, " ".join(copy), "s")]), FOLDER)
+    assert [r.doc_id for r in out.collect()] == [1]
+
+
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, FOLDER)
     rows = out.collect()
