@@ -285,6 +285,18 @@ def test_licenses(spark):
     assert licenses.scan(files.limit(0)).count() == 0
 
 
+def test_licenses_reserved(spark):
+    """Reserved rights are a notice of their own and block inheritance."""
+    rows = [
+        ("a/LICENSE", "Released under the MIT License."), ("a/x.txt", "words\nAll rights reserved.\nmore"), ("a/y.txt", "words"),
+        ("a/z.txt", "All rights reserved.\nReleased under the MIT License."), ("b/x.txt", "rights reserved by nobody for any of the words here"),
+    ]
+    got = licenses.scan(spark.createDataFrame(rows, "path string, text string")).collect()
+    assert {(r.path, r.license, r.inherited_from) for r in got} == {
+        ("a/LICENSE", "MIT", None), ("a/x.txt", "Reserved", None), ("a/y.txt", "MIT", "a"), ("a/z.txt", "MIT", None), ("b/x.txt", None, None),
+    }
+
+
 def test_encoding(spark, awkward, nothing):
     got = pieces.encode(awkward).collect()
     assert len(got) == len(AWKWARD) and all(r.round_trip for r in got)
