@@ -50,13 +50,15 @@ def fingerprint(text: str | None) -> int:
 def _fingerprints(batches):
     for batch in batches:
         prints = [fingerprint(t.as_py()) for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints, pa.int64())], names=["doc_id", "fp"])
+        names = [n for n in batch.schema.names if n != "text"]
+        columns = [batch.column(n) for n in names]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(prints, pa.int64())], names=[*names, "fp"])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) of every row."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_fingerprints, "doc_id long, fp long")
+def fingerprints(docs: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, keys, fp) of every row; ``keys``: columns of longs."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keys, F.col("text").cast("string").alias("text"))
+    return rows.mapInArrow(_fingerprints, ", ".join(f"{c} long" for c in ("doc_id", *keys, "fp")))
 
 
 def _near_masks() -> np.ndarray:
@@ -112,6 +114,19 @@ def links(prints: DataFrame) -> DataFrame:
     return lists.where(F.size("members") > 1).select("key", "members").mapInArrow(_links, "a long, b long")
 
 
+def _grouped(docs: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, keys, fp, component, component_id) of every row; components may share a component_id."""
+    prints = saved(fingerprints(docs, keys), "prints")
+    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
+    groups = components(links(distinct))
+    members = distinct.join(groups, distinct.fp == groups.node, "left").select(
+        "fp", "rep", F.coalesce("component", "fp").alias("component")
+    )
+    least = members.groupBy("component").agg(F.min("rep").alias("component_id"))
+    known = members.join(least, "component").select("fp", "component", "component_id")
+    return prints.join(known, "fp").select("doc_id", *keys, "fp", "component", "component_id")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fp, component_id) of every row of ``docs`` (doc_id, text, others are ignored).
 
@@ -119,25 +134,22 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     equal fingerprints are linked whatever their number. A null doc_id is in its component, which
     takes the smallest other id. An empty table gives no rows.
     """
-    prints = saved(fingerprints(docs), "prints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("rep"))
-    groups = components(links(distinct))
-    members = distinct.join(groups, distinct.fp == groups.node, "left").select(
-        "fp", "rep", F.coalesce("component", "fp").alias("component")
-    )
-    least = members.groupBy("component").agg(F.min("rep").alias("component_id"))
-    known = members.join(least, "component").select("fp", "component_id")
-    return prints.join(known, "fp").select("doc_id", "fp", "component_id")
+    return _grouped(docs).select("doc_id", "fp", "component_id")
 
 
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each component stays: the one with the smallest id.
 
-    A component in which every doc_id is null keeps all its rows, as none can be told apart.
+    Of rows that share this id the one with the least hash of the text stays, then the one with the
+    least hash of all columns, so that reruns agree. A component in which every doc_id is null keeps
+    all its rows, as none can be told apart.
     """
-    kept = near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    some = docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return some.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+    keys = ("__hash", "__row")
+    keyed = docs.withColumns({"__hash": F.xxhash64("text"), "__row": F.xxhash64(*docs.columns)})
+    rows = _grouped(keyed, keys).where("doc_id = component_id")
+    kept = rows.groupBy("component").agg(F.min(F.struct("doc_id", *keys)).alias("row")).select("row.*")
+    some = keyed.join(kept, ["doc_id", *keys], "left_semi").dropDuplicates(["doc_id", *keys])
+    return some.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

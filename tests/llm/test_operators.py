@@ -142,6 +142,18 @@ def test_simhash(spark, awkward, nothing):
     assert sorted(r.doc_id for r in kept.where("doc_id IS NOT NULL").collect()) == [1, 2, 3, 6, 7, 8]
 
 
+def test_simhash_shared_ids(spark):
+    """Rows that share an id and differ in text, in two components or beside a smaller id."""
+    rng = np.random.default_rng(9)
+    a, b, c = (" ".join(f"w{x}" for x in rng.integers(0, 999, 80)) for _ in range(3))
+    rows = [(1, a, "s"), (1, b, "s"), (2, a, "s"), (2, c, "s"), (3, c, "t"), (3, c, "s")]
+    for order in (rows, rows[::-1]):
+        kept = simhash.stage(spark, documents(spark, order).repartition(3), FOLDER)
+        assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(1, a), (1, b), (2, c)])
+    twice = [[r.source for r in simhash.stage(spark, documents(spark, x), FOLDER).collect()] for x in (rows[4:], rows[:3:-1])]
+    assert twice[0] == twice[1] and len(twice[0]) == 1
+
+
 def test_simhash_links(spark):
     rng = np.random.default_rng(4)
     prints = {int(x) for x in rng.integers(-(1 << 62), 1 << 62, 300)}
