@@ -6,7 +6,7 @@ import functools
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # The white space that parts words, as a regular expression class.
@@ -67,6 +67,28 @@ def mapped(df: DataFrame, function: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
+def numbered(df: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """``df`` with ``idx``, each row's place from 0 in its group by ``order``, and ``total``, the group's rows.
+
+    Rows are sorted by range partitions and numbered inside them; only the number of rows per
+    partition and group is summed up, so no group has to pass through one task. Group columns must
+    not be null. Columns that begin with ``__`` are left to this function.
+    """
+    spread = df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
+    rows = saved(spread.withColumn("__at", F.monotonically_increasing_id()), "sorted")
+    part = F.shiftright("__at", 33).alias("__part")
+    held = rows.groupBy(*group, part).agg(F.count("*").alias("__n"), F.min("__at").alias("__first"))
+    whole = Window.partitionBy(*group)  # a row per partition and group
+    before = whole.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = held.select(
+        *group, "__part", (F.col("__first") - F.coalesce(F.sum("__n").over(before), F.lit(0))).alias("__offset"),
+        F.sum("__n").over(whole).alias("total"),
+    )
+    # Stored, so that its size is known when it is joined.
+    placed = rows.withColumn("__part", part).join(saved(offsets, "offsets"), [*group, "__part"])
+    return placed.select(*df.columns, (F.col("__at") - F.col("__offset")).alias("idx"), "total")
+
+
 def _star(edges: DataFrame) -> DataFrame:
     """One round: first every larger neighbour, then every smaller one moves to the least."""
     both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
@@ -101,3 +123,20 @@ def components(edges: DataFrame) -> DataFrame:
         before, after = after, sum_of(now)
     roots = now.select("lo").distinct().select(F.col("lo").alias("node"), F.col("lo").alias("component"))
     return now.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots)
+
+
+# DuckDB has no crc32. Its table of 256 steps, each eight shifts of a register, as two recursive tables.
+CRC_TABLE = """
+crc_steps AS (
+  SELECT i::BIGINT AS i, i::BIGINT AS c, 0 AS k FROM range(256) r(i)
+  UNION ALL SELECT i, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM crc_steps WHERE k < 8
+), crc_table AS (SELECT list(c ORDER BY i) AS steps FROM crc_steps WHERE k = 8)
+"""
+
+
+def crc_sql(text: str, steps: str) -> str:
+    """SQL: crc32 of a text's UTF-8 bytes; ``steps``: the list in ``crc_table``."""
+    digits = f"hex(encode({text}))"
+    numbers = f"list_transform(range(0, length({digits}) // 2), lambda k: ('0x' || substr({digits}, k * 2 + 1, 2))::BIGINT)"
+    start = f"list_concat([4294967295::BIGINT], {numbers})"
+    return f"xor(list_reduce({start}, lambda c, b: xor(c >> 8, {steps}[(xor(c, b) & 255) + 1])), 4294967295)"
