@@ -402,7 +402,9 @@ class Manifest:
         spark = self._subroots.sparkSession
         if self.root is None:
             return spark.createDataFrame([], _RESULT)
-        nothing = self._subroots.select(F.lit("").alias("grp"), F.array().cast(PATH).alias("path"), F.lit(self.root).alias("subroot")).limit(1)
+        # One row, stored so that the join below has a key on both sides.
+        nothing = spark.range(1).select(F.lit("").alias("grp"), F.array().cast(PATH).alias("path"), F.lit(self.root).alias("subroot"))
+        nothing = saved(nothing, "nothing")
         over = self.top.node_paths(nothing, 0).select(F.col("chunk").alias("idx"), "path")
         names = self.top.rounds[0].select(F.posexplode("name").alias("i", "grp"), "chunk")
         names = names.select("grp", (F.col("chunk") * SPAN + F.col("i")).alias("idx"))
