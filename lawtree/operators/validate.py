@@ -1,4 +1,9 @@
-"""Checks on parsed files. Each gives rows of the ``errors`` table."""
+"""Checks on parsed files. Each gives rows of the ``errors`` table.
+
+A file's elements are checked inside its row, before they become rows of their own (``xml.parse_chunks``).
+What leaves the row is only what was found: errors, and the few siblings that a later chunk of a long
+file has to be asked about.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +15,6 @@ from pyspark.sql import functions as F
 
 from lawtree import schema as S
 from lawtree.functions import scalars
-from lawtree.operators.tree import is_text, parent_ord
 from lawtree.scratch import checkpointed
 
 # Columns of the law that an error report needs.
@@ -31,10 +35,6 @@ def _errors(rows: DataFrame, error_class: str, detail: Column) -> DataFrame:
     )
 
 
-def _body(parsed: DataFrame) -> DataFrame:
-    return parsed.where((F.col("ord") > 0) & F.col("parse_error").isNull())
-
-
 # Checks that need one row only: (error class, condition, detail).
 
 def _file_checks() -> list[tuple[str, Column, Column]]:
@@ -55,9 +55,9 @@ def grammar_ok(etype: Column, parent: Column) -> Column:
     return F.coalesce(F.array_contains(parents, parent), F.lit(True))
 
 
-def _element_checks(known: Iterable[str]) -> list[tuple[str, Column, Column]]:
-    etype, num_raw = F.col("etype"), F.col("num_raw")
-    parent = F.coalesce(F.try_element_at("lineage", F.lit(-1))["etype"], F.lit(S.ROOT))
+def _element_checks(known: Iterable[str], node: Column) -> list[tuple[str, Column, Column]]:
+    etype, num_raw = node["etype"], node["num_raw"]
+    parent = F.coalesce(F.try_element_at(node["lineage"], F.lit(-1))["etype"], F.lit(S.ROOT))
     return [
         (
             # Fixed value: the message text, spelling included.
@@ -66,13 +66,9 @@ def _element_checks(known: Iterable[str]) -> list[tuple[str, Column, Column]]:
         ),
         ("EtypeError", ~etype.isin(*known), F.format_string("unknown type %s", etype)),
         (
-            "LawElementNumberError", ~scalars.num_ok(etype, num_raw),
-            F.format_string("Invalid Format %s", num_raw),
-        ),
-        (
-            "LawElementNumberError",
-            scalars.num_ok(etype, num_raw) & scalars.num_path(etype, num_raw).isNull(),
-            F.format_string("Number Too Large %s", num_raw),
+            "LawElementNumberError", scalars.num_path(etype, num_raw).isNull(),
+            F.when(scalars.num_ok(etype, num_raw), F.format_string("Number Too Large %s", num_raw))
+            .otherwise(F.format_string("Invalid Format %s", num_raw)),
         ),
     ]
 
@@ -95,63 +91,165 @@ def file_errors(heads: DataFrame) -> DataFrame:
     return _row_errors(heads, _file_checks())
 
 
-def element_errors(parsed: DataFrame, include_subitem_sentences: bool = False) -> DataFrame:
+# What a chunk lets out: an error, or a sibling to be compared with others by its key.
+
+_FOUND = "array<struct<kind:string,error_class:string,error_detail:string,ord:int,parent:int,rank:int,num:decimal(38,18),deep:string>>"
+_NUMBER, _ACROSS, _TYPE, _FILE = "number", "number across types", "type", "file"
+
+
+def _of_file() -> Column:
+    """Errors of a whole file, in its first chunk, and the file itself if it can be read."""
+    def cell(kind: str, error_class: Column, detail: Column, rank: Column) -> Column:
+        return F.struct(
+            F.lit(kind).alias("kind"), error_class.alias("error_class"), detail.alias("error_detail"), F.lit(0).alias("ord"),
+            F.lit(None).cast("int").alias("parent"), rank.alias("rank"), F.lit(None).cast(S.NUM).alias("num"),
+            F.lit(None).cast("string").alias("deep"),
+        )
+
+    none = F.lit(None)
+    wrong = [F.when(condition, cell("error", F.lit(error_class), detail, none.cast("int"))) for error_class, condition, detail in _file_checks()]
+    itself = F.when(F.col("parse_error").isNull(), cell(_FILE, none.cast("string"), none.cast("string"), F.col("muni_id")))
+    first = F.get("nodes", F.lit(0))["ord"] == 0
+    return F.when(first, F.array_compact(F.array(*wrong, itself))).otherwise(F.array()).cast(_FOUND)
+
+
+def _errors_within(known: Iterable[str]) -> Column:
     """Elements under a parent their type does not allow, of an unknown type, or with a bad Num."""
-    known = S.ETYPES + (S.SUBITEM_SENTENCES if include_subitem_sentences else ())
-    return _row_errors(_body(parsed), _element_checks(known))
+    def of_node(node: Column) -> Column:
+        nothing = F.lit(None)
+        return F.array(*[
+            F.when(condition, F.struct(
+                F.lit("error").alias("kind"), F.lit(error_class).alias("error_class"), detail.alias("error_detail"),
+                node["ord"].alias("ord"), nothing.cast("int").alias("parent"), nothing.cast("int").alias("rank"),
+                nothing.cast(S.NUM).alias("num"), nothing.cast("string").alias("deep"),
+            ))
+            for error_class, condition, detail in _element_checks(known, node)
+        ])
+
+    return F.array_compact(F.flatten(F.transform("body", of_node))).cast(_FOUND)
+
+
+def _sibling(node: Column, kind: str) -> Column:
+    """Key and place of an element; ``whole``: all children of its parent are in this chunk."""
+    etype = node["etype"]
+    path = scalars.num_path(etype, node["num_raw"])
+    parent = F.coalesce(F.try_element_at(node["lineage"], F.lit(-1))["ord"], F.lit(0))
+    first, last = F.get("nodes", F.lit(0))["ord"], F.element_at("nodes", -1)["ord"]
+    end = F.get("nodes", parent - first)["end_ord"]
+    by_type = kind == _TYPE
+    return F.struct(
+        parent.alias("parent"),
+        (F.lit(0) if kind == _ACROSS else scalars.etype_rank(etype)).alias("rank"),
+        (F.lit(0).cast(S.NUM) if by_type else scalars.num_value(path)).alias("num"),
+        (F.lit("") if by_type else scalars.num_deep(path)).alias("deep"),
+        node["ord"].alias("ord"),
+        ((parent >= first) & (end <= last)).alias("whole"),
+    )
+
+
+def _next_to(siblings: Column, same) -> Column:
+    """Sorted siblings that have a neighbour for which ``same`` holds, or relatives in other chunks."""
+    following = F.slice(siblings, F.lit(2), F.greatest(F.size(siblings) - 1, F.lit(0)))
+
+    def kept(x: Column, y: Column) -> Column:
+        return F.when(y.isNotNull() & same(x, y), F.array(x, y)).when(~x["whole"], F.array(x)).otherwise(F.array().cast(_SIBLINGS))
+
+    return F.array_distinct(F.flatten(F.zip_with(siblings, following, kept)))
+
+
+_SIBLINGS = "array<struct<parent:int,rank:int,num:decimal(38,18),deep:string,ord:int,whole:boolean>>"
+
+
+def _as_found(siblings: Column, kind: str) -> Column:
+    none = F.lit(None).cast("string")
+    return F.transform(siblings, lambda x: F.struct(
+        F.lit(kind).alias("kind"), none.alias("error_class"), none.alias("error_detail"), x["ord"].alias("ord"),
+        x["parent"].alias("parent"), x["rank"].alias("rank"), x["num"].alias("num"), x["deep"].alias("deep"),
+    )).cast(_FOUND)
+
+
+def _text(node: Column) -> Column:
+    return node["etype"].isin(*S.TEXT_ETYPES)
+
+
+def _siblings(kind: str, counted) -> Column:
+    """Siblings of the nodes that are ``counted`` and have a number, by their keys and in document order."""
+    keyed = F.transform(F.filter("body", counted), lambda n: _sibling(n, kind))
+    return F.array_sort(F.filter(keyed, lambda x: x["num"].isNotNull())).cast(_SIBLINGS)
 
 
-# Checks among siblings. Only keys and counters are shuffled; the few hits get their law after.
+def findings(chunks: DataFrame, known: Iterable[str], check_siblings: bool, across_types: bool, whole_files: bool = False) -> DataFrame:
+    """What the checks of elements find in ``chunks``; CONTEXT columns and those of _FOUND.
 
-def _numbered(parsed: DataFrame) -> DataFrame:
-    path = scalars.num_path(F.col("etype"), F.col("num_raw"))
-    return _body(parsed).withColumns(
-        {"parent_ord": parent_ord(), "num": scalars.num_value(path), "deep": scalars.num_deep(path)}
+    With ``whole_files`` the checks of files are among them, and a row of each readable file with its muni_id as ``rank``.
+    """
+    rows = chunks if whole_files else chunks.where(F.col("parse_error").isNull())
+    files = _of_file() if whole_files else F.array().cast(_FOUND)
+    rows = rows.select(*CONTEXT, files.alias("of_file"), "nodes", F.filter("nodes", lambda n: n["ord"] > 0).alias("body"))
+    columns = {"numbers": _siblings(_NUMBER, lambda n: n["etype"] != "SupplProvision")}
+    if across_types:
+        columns["across"] = _siblings(_ACROSS, lambda n: ~_text(n) & ~n["etype"].isin(*S.PROVISIONS))
+    if check_siblings:
+        columns["types"] = _siblings(_TYPE, lambda n: ~_text(n))
+    rows = rows.select(
+        *CONTEXT, F.concat("of_file", _errors_within(known)).alias("wrong"), *[c.alias(name) for name, c in columns.items()]
     )
 
+    def same_number(x: Column, y: Column) -> Column:
+        return (x["parent"] == y["parent"]) & (x["rank"] == y["rank"]) & (x["num"] == y["num"]) & (x["deep"] == y["deep"])
+
+    found = [F.col("wrong"), _as_found(_next_to(F.col("numbers"), same_number), _NUMBER)]
+    if across_types:
+        found.append(_as_found(_next_to(F.col("across"), same_number), _ACROSS))
+    if check_siblings:
+        # Of each type only the first child counts, and parents with one type not at all.
+        def same_type(x: Column, y: Column) -> Column:
+            return (x["parent"] == y["parent"]) & (x["rank"] == y["rank"])
+
+        before = F.concat(F.array(F.lit(None).cast(_SIBLINGS[6:-1])), F.slice("types", F.lit(1), F.greatest(F.size("types") - 1, F.lit(0))))
+        firsts = F.zip_with("types", F.when(F.size("types") > 0, before).otherwise(F.array().cast(_SIBLINGS)), lambda x, p: F.when(
+            p.isNull() | ~same_type(x, p), x
+        ))
+        rows = rows.withColumn("types", F.array_compact(firsts))
+        found.append(_as_found(_next_to(F.col("types"), lambda x, y: x["parent"] == y["parent"]), _TYPE))
+    return rows.select(*CONTEXT, F.inline(F.concat(*found)))
+
 
-def _with_law(hits: DataFrame, heads: DataFrame) -> DataFrame:
-    return hits.join(heads.select(*CONTEXT), "path")
+def _element_errors(found: DataFrame) -> DataFrame:
+    return found.where(F.col("kind") == "error").select(*S.ERRORS.fieldNames())
 
 
-def duplicate_errors(parsed: DataFrame, heads: DataFrame, across_types: bool = False) -> DataFrame:
+def _duplicate_errors(found: DataFrame, across_types: bool = False) -> DataFrame:
     """Siblings with the same type and number, or with ``across_types`` the same number.
 
     A law may have any number of supplementary provisions, all numbered 0. One error per
     number, at the first element that has it.
     """
-    rows = _numbered(parsed).where(F.col("num").isNotNull())
+    rows = found.where(F.col("kind") == (_ACROSS if across_types else _NUMBER))
+    groups = rows.groupBy(*CONTEXT, "parent", "rank", "num", "deep").agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("ord"))
     if across_types:
-        rows = rows.where(~is_text() & ~F.col("etype").isin(*S.PROVISIONS))
-        keys, shown = ["path", "parent_ord", "num", "deep"], F.col("num").cast("string")
+        shown = F.col("num").cast("string")
     else:
-        rows = rows.where(F.col("etype") != "SupplProvision")
-        keys = ["path", "parent_ord", "etype", "num", "deep"]
-        shown = scalars.number_label(F.col("etype"), scalars.num_parts(F.col("num")))
-    groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("ord"))
-    hits = _with_law(groups.where(F.col("n") > 1), heads)
+        etype = F.get(F.array(*map(F.lit, S.ETYPE_RANK)), "rank")
+        shown = scalars.number_label(etype, scalars.num_parts(F.col("num")))
     detail = F.concat(F.lit("element number duplication: "), shown)
-    return _errors(hits, "HieralchyError" if across_types else "DuplicateNumberError", detail)
+    return _errors(groups.where(F.col("n") > 1), "HieralchyError" if across_types else "DuplicateNumberError", detail)
 
 
-def sibling_errors(parsed: DataFrame, heads: DataFrame) -> DataFrame:
+def _sibling_errors(found: DataFrame) -> DataFrame:
     """Parents whose non-text children are of more than one type.
 
     One error per parent, at the first child whose type is not that of the first child.
     """
-    rows = _body(parsed).where(~is_text()).withColumns(
-        {"parent_ord": parent_ord(), "rank": scalars.etype_rank(F.col("etype"))}
-    )
-    firsts = rows.groupBy("path", "parent_ord", "rank").agg(F.min("ord").alias("ord"))
+    firsts = found.where(F.col("kind") == _TYPE).groupBy(*CONTEXT, "parent", "rank").agg(F.min("ord").alias("ord"))
     # At most one entry per element type.
-    groups = firsts.groupBy("path", "parent_ord").agg(
+    groups = firsts.groupBy(*CONTEXT, "parent").agg(
         F.sort_array(F.collect_list(F.struct("ord", "rank"))).alias("firsts")
     )
-    found = groups.where(F.size("firsts") > 1).select(
-        "path", F.col("firsts")[0]["rank"].alias("elder"), F.col("firsts")[1]["rank"].alias("other"),
+    hits = groups.where(F.size("firsts") > 1).select(
+        *CONTEXT, F.col("firsts")[0]["rank"].alias("elder"), F.col("firsts")[1]["rank"].alias("other"),
         F.col("firsts")[1]["ord"].alias("ord"),
     )
-    hits = _with_law(found, heads)
     types = F.array(*map(F.lit, S.ETYPE_RANK))
     # Fixed value: the message text.
     detail = F.format_string(
@@ -176,7 +274,7 @@ def collision_errors(heads: DataFrame) -> DataFrame:
 
 
 def violations(
-    parsed: DataFrame,
+    chunks: DataFrame,
     heads: DataFrame,
     municipalities: DataFrame | None = None,
     *,
@@ -184,28 +282,50 @@ def violations(
     check_cross_type_numbers: bool = False,
     include_subitem_sentences: bool = False,
 ) -> DataFrame:
-    """Every violation in stored tables of parsed rows and of files (rows with ``ord`` 0).
+    """Every violation in the elements of ``chunks`` and in the files of ``heads`` (rows with ``ord`` 0).
 
-    ``parsed`` is scanned twice, and once more for each optional check.
+    ``chunks`` is read once; what is found there is stored and then sorted out.
     """
-    found = [
-        file_errors(heads),
-        element_errors(parsed, include_subitem_sentences),
-        duplicate_errors(parsed, heads),
-    ]
+    found = _stored_findings(chunks, check_siblings, check_cross_type_numbers, include_subitem_sentences)
+    out = [file_errors(heads), *_sorted_out(found, check_siblings, check_cross_type_numbers)]
     if municipalities is not None:
-        found.append(municipality_errors(heads, municipalities))
+        out.append(municipality_errors(heads, municipalities))
+    return reduce(DataFrame.unionByName, out)
+
+
+def _stored_findings(chunks: DataFrame, check_siblings: bool, across: bool, subitem_sentences: bool, **whole: bool) -> DataFrame:
+    known = S.ETYPES + (S.SUBITEM_SENTENCES if subitem_sentences else ())
+    return checkpointed(findings(chunks, known, check_siblings, across, **whole))
+
+
+def _sorted_out(found: DataFrame, check_siblings: bool, across: bool) -> list[DataFrame]:
+    out = [_element_errors(found), _duplicate_errors(found)]
     if check_siblings:
-        found.append(sibling_errors(parsed, heads))
-    if check_cross_type_numbers:
-        found.append(duplicate_errors(parsed, heads, across_types=True))
-    return reduce(DataFrame.unionByName, found)
+        out.append(_sibling_errors(found))
+    if across:
+        out.append(_duplicate_errors(found, across_types=True))
+    return out
 
 
-def validate(parsed: DataFrame, municipalities: DataFrame | None = None, **options) -> DataFrame:
-    """``violations`` for files that are not stored: they are read once, texts are left behind."""
-    rows = checkpointed(parsed.drop("texts"))
-    return violations(rows, rows.where(F.col("ord") == 0), municipalities, **options)
+def validate(
+    chunks: DataFrame,
+    municipalities: DataFrame | None = None,
+    *,
+    check_siblings: bool = False,
+    check_cross_type_numbers: bool = False,
+    include_subitem_sentences: bool = False,
+) -> DataFrame:
+    """``violations`` of files as ``xml.parse_chunks`` reads them, in one pass over them."""
+    found = _stored_findings(
+        chunks, check_siblings, check_cross_type_numbers, include_subitem_sentences, whole_files=True
+    )
+    out = _sorted_out(found, check_siblings, check_cross_type_numbers)
+    if municipalities is not None:
+        heads = found.where(F.col("kind") == _FILE).select(
+            *CONTEXT, "ord", F.col("rank").alias("muni_id"), F.lit(None).cast("string").alias("parse_error")
+        )
+        out.append(municipality_errors(heads, municipalities))
+    return reduce(DataFrame.unionByName, out)
 
 
 def without_errors(rows: DataFrame, errors: DataFrame) -> DataFrame:

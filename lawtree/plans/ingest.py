@@ -16,24 +16,43 @@ from lawtree.sources import files as sources
 from lawtree.sources import xml
 
 _LISTING = ["path", "modification_time", "length"]
+RESULT = [*_LISTING, "code", "outcome"]
 
-# File names handed from the listing to the reader. Beyond that a run reads the whole tree.
-MAX_LISTED = 100_000
+# Spans of modification time that a run hands to the reader, however many files are open.
+SPANS = 64
 
 
-def settled_files(listing: DataFrame, warehouse: Warehouse, reiki_only: bool = True) -> DataFrame:
+def reading(strip_ws: bool, fold_width: bool) -> str:
+    """The options that shape a law's number. An outcome holds for runs that read numbers the same way."""
+    return f"strip_ws={strip_ws},fold_width={fold_width}"
+
+
+def settled_files(listing: DataFrame, states: DataFrame, read_as: str, reiki_only: bool = True) -> DataFrame:
     """Unchanged files that an earlier batch registered or skipped, with their outcome now."""
     final = ["registered", "skipped_known"] + (["skipped_not_reiki"] if reiki_only else [])
-    known = (
-        warehouse.table("outcomes")
-        .where(F.col("outcome").isin(*final))
-        .groupBy(*_LISTING)
-        .agg(F.max(F.col("outcome") == "skipped_not_reiki").alias("not_reiki"))
-    )
-    outcome = F.when(F.col("not_reiki"), "skipped_not_reiki").otherwise("skipped_known")
-    return listing.join(known, _LISTING).withColumn("outcome", outcome).select(
-        *S.OUTCOMES.fieldNames()
-    )
+    known = states.where((F.col("reading") == read_as) & F.col("outcome").isin(*final))
+    known = known.select(*_LISTING, F.col("outcome").alias("before"))
+    outcome = F.when(F.col("before") == "skipped_not_reiki", F.col("before")).otherwise("skipped_known")
+    return listing.join(known, _LISTING).withColumn("outcome", outcome).select(*RESULT)
+
+
+def time_spans(open_files: DataFrame) -> Column:
+    """A condition on ``modification_time`` that all of ``open_files`` meet and few others.
+
+    The range of their times is cut into SPANS parts, and each part shrinks to the times in it. A
+    reader of files takes the condition over and opens no file outside.
+    """
+    time = F.unix_micros("modification_time")
+    whole = open_files.agg(F.min(time).alias("low"), F.max(time).alias("high"), F.count_if(time.isNull()).alias("unknown")).first()
+    condition = F.col("modification_time").isNull() if whole.unknown else F.lit(False)
+    if whole.low is None:
+        return condition
+    part = F.expr(f"({SPANS} * (unix_micros(modification_time) - {whole.low})) div {whole.high - whole.low + 1}")
+    spans = open_files.where(time.isNotNull()).groupBy(part.alias("part")).agg(F.min(time).alias("low"), F.max(time).alias("high"))
+    for span in sorted(spans.collect()):  # at most SPANS rows
+        low, high = (F.timestamp_micros(F.lit(t)) for t in (span.low, span.high))
+        condition = condition | F.col("modification_time").between(low, high)
+    return condition
 
 
 def number_id() -> Column:
@@ -100,7 +119,6 @@ def ingest(
     include_subitem_sentences: bool = False,
     strip_ws: bool = True,
     fold_width: bool = False,
-    settled: DataFrame | None = None,
     **checks: bool,
 ) -> DataFrame:
     """Register ``files`` (``FILES`` rows) and return the outcomes, one row per file.
@@ -108,43 +126,58 @@ def ingest(
     A file is registered, skipped (number known already, no ordinance) or an error. With
     ``strict`` one violation anywhere keeps a whole law out; otherwise violations inside a
     law are only reported. Nothing of a batch is visible before its last write, and a batch
-    that is already visible is not run again. ``settled`` has outcomes of further files.
+    that is already visible is not run again: its own outcomes are returned.
+
+    There is one route, whatever the number of files. The listing is held against the latest state
+    of each file; the headers of the others are read; bodies are read of those only whose
+    number is new. Outcomes are stored for files that were looked at, not for settled ones.
     """
     warehouse = Warehouse(spark, root)
+    if batch_id in warehouse.committed_ids():
+        return warehouse.batch("outcomes", batch_id).select(*RESULT)
     batches = warehouse.batches()
-    if batch_id in batches:
-        return warehouse.batch("outcomes", batch_id)
-
-    settled = spark.createDataFrame([], S.OUTCOMES) if settled is None else settled
-    parsed = xml.parse(
-        files, etypes=etypes, include_subitem_sentences=include_subitem_sentences,
-        reiki_only=reiki_only, strip_ws=strip_ws, fold_width=fold_width,
-    ).withColumn("law_id", number_id())
-    # Each file is read and parsed once; all steps below work on this table.
     staging = scratch_path(spark, "staging")
-    parsed.write.parquet(f"{staging}/parsed")
-    staged = spark.read.schema(parsed.schema).parquet(f"{staging}/parsed")
 
-    # The rows of the files themselves, small beside the elements, with a first decision.
+    def staged(name: str, rows: DataFrame) -> DataFrame:
+        rows.write.parquet(f"{staging}/{name}")
+        return spark.read.schema(rows.schema).parquet(f"{staging}/{name}")
+
+    # The listing needs no content.
+    read_as = reading(strip_ws, fold_width)
+    listing = files.select(*_LISTING, "code")
+    settled = settled_files(listing, warehouse.file_states(batches), read_as, reiki_only)
+    open_files = staged("open", listing.join(settled.select("path"), "path", "left_anti"))
+    condition = time_spans(open_files)
+    read_files = files.where(condition)
+
+    # Headers, small beside the elements, with a first decision.
+    numbering = {"strip_ws": strip_ws, "fold_width": fold_width}
     wanted = F.col("parse_error").isNull() & (F.col("is_reiki") if reiki_only else F.lit(True))
     registered = warehouse.table("laws", batches)
     taken = registered.select("muni_id", F.col("num").alias("law_num"), F.lit(True).alias("taken"))
-    heads = staged.where(F.col("ord") == 0).drop("texts", "lineage")
-    heads = heads.join(taken, ["muni_id", "law_num"], "left")
-    heads = heads.withColumn("known", wanted & F.col("taken").isNotNull()).drop("taken")
-    heads.write.parquet(f"{staging}/heads")
-    heads = spark.read.schema(heads.schema).parquet(f"{staging}/heads")
+    heads = xml.heads_of(xml.parse_chunks(read_files, body=False, **numbering)).withColumn("law_id", number_id())
+    heads = heads.join(open_files.select("path"), "path", "left_semi").join(taken, ["muni_id", "law_num"], "left")
+    heads = staged("heads", heads.withColumn("known", wanted & F.col("taken").isNotNull()).drop("taken"))
     known = heads.where("known").select("path")
 
+    # Bodies. Each is read and parsed once; all steps below work on this table.
+    unread = known.union(heads.where(F.col("parse_error").isNotNull()).select("path"))
+    unread = staged("unread", unread.union(settled.where(condition).select("path")))
+    chunks = xml.parse_chunks(
+        read_files.join(unread, "path", "left_anti"), etypes=etypes,
+        include_subitem_sentences=include_subitem_sentences, reiki_only=reiki_only, **numbering,
+    ).withColumn("law_id", number_id())
+    chunks = staged("chunks", chunks.where(F.col("is_reiki") if reiki_only else F.lit(True)))
+
     # Violations. Written first: what they exclude is then a table of known size.
-    candidates = staged.where(wanted).join(known, "path", "left_anti")
     open_heads = heads.where(~F.col("known") & (wanted | F.col("parse_error").isNotNull()))
     municipalities = warehouse.table("municipalities") if check_municipalities else None
     found = validate.violations(
-        candidates, open_heads, municipalities,
+        chunks, open_heads, municipalities,
         include_subitem_sentences=include_subitem_sentences, **checks,
     )
-    warehouse.write("errors", batch_id, found)
+    unreadable = validate.file_errors(xml.heads_of(chunks.where(F.col("parse_error").isNotNull())))
+    warehouse.write("errors", batch_id, found.unionByName(unreadable))
     errors = warehouse.batch("errors", batch_id)
     if not strict:
         errors = errors.where(F.col("error_class").isin(*validate.LAW_ERROR_CLASSES))
@@ -152,9 +185,7 @@ def ingest(
 
     valid = open_heads.where(wanted).join(failed, "path", "left_anti")
     winners = lowest_file(valid)
-    checked = _lowest_per_id(winners, registered)
-    checked.write.parquet(f"{staging}/winners")
-    checked = spark.read.schema(checked.schema).parquet(f"{staging}/winners")
+    checked = staged("winners", _lowest_per_id(winners, registered))
     new = checked.where(~F.col("taken")).select("path")
     if not checked.where("collides").isEmpty():
         collided = winners.join(new, "path", "left_anti").select("path")
@@ -172,14 +203,15 @@ def ingest(
         .otherwise(F.coalesce("mark", F.lit("skipped_known")))
     )
     decided = heads.join(marks, "path", "left").withColumn("outcome", outcome)
-    decided = decided.select(*S.OUTCOMES.fieldNames())
-    warehouse.write("outcomes", batch_id, decided.unionByName(settled))
+    decided = decided.withColumns({"reading": F.lit(read_as), "decided_at": F.current_timestamp()})
+    warehouse.write("outcomes", batch_id, decided)
 
     outcomes = warehouse.batch("outcomes", batch_id)
     rejected = outcomes.where(F.col("outcome") != "registered").select("path")
     warehouse.write("laws", batch_id, xml.laws(heads.join(rejected, "path", "left_anti")))
-    kept = staged.where(wanted).join(rejected, "path", "left_anti")
-    warehouse.write("elements", batch_id, xml.elements(kept, "pref_id"))
+    # A row of many elements is kept or dropped before it becomes as many rows.
+    kept = chunks.join(rejected, "path", "left_anti")
+    warehouse.write("elements", batch_id, xml.elements(xml.rows_of(kept), "pref_id"))
     written = ["errors", "outcomes", "laws", "elements"]
     if with_strings:
         elements = warehouse.batch("elements", batch_id)
@@ -188,22 +220,14 @@ def ingest(
         written += ["strings", "string_edges"]
     warehouse.commit(batch_id, written)
     # The staged copy is not needed any more; writing no rows over it frees the space.
-    staged.limit(0).write.mode("overwrite").parquet(f"{staging}/parsed")
-    return outcomes
+    chunks.limit(0).write.mode("overwrite").parquet(f"{staging}/chunks")
+    return outcomes.select(*RESULT).unionByName(settled)
 
 
 def ingest_tree(spark: SparkSession, corpus: str, root: str, batch_id: str, **options) -> DataFrame:
-    """Register every municipality folder below ``corpus``.
+    """Register every municipality folder below ``corpus``, files in its subfolders included.
 
-    When few files are new or changed since earlier batches, only those are opened.
+    Files that are settled are listed, not opened.
     """
-    files = sources.in_municipality(sources.corpus_files(spark, corpus))
-    listing = files.select(*_LISTING, "code")
-    settled = settled_files(listing, Warehouse(spark, root), options.get("reiki_only", True))
-    if not settled.isEmpty():
-        new = listing.select("path").join(settled.select("path"), "path", "left_anti")
-        paths = [row.path for row in new.limit(MAX_LISTED + 1).collect()]
-        if len(paths) <= MAX_LISTED:
-            files = sources.named_files(spark, paths)
-            options["settled"] = settled
+    files = sources.in_municipality(sources.corpus_files(spark, corpus), corpus)
     return ingest(spark, files, root, batch_id, **options)

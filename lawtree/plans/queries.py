@@ -364,13 +364,13 @@ def validate_grammar(spark, sf):
     item = f'<Part Num="1"><Item Num="1">{_sentence("ItemSentence", "x")}</Item></Part>'
     nested = '<Article Num="9999"><MainProvision></MainProvision></Article>'
     extra = F.concat(_for(every(10), item), _for(every(10, 5), nested))
-    parsed = xml.parse(corpus(spark, sf, main_extra=extra))
+    parsed = xml.parse_chunks(corpus(spark, sf, main_extra=extra))
     return validate.validate(parsed).select(*_SHOWN)
 
 
 def validate_duplicates(spark, sf):
     extra = _for(every(11), '<Article Num="1"></Article>')
-    return validate.validate(xml.parse(corpus(spark, sf, main_extra=extra))).select(*_SHOWN)
+    return validate.validate(xml.parse_chunks(corpus(spark, sf, main_extra=extra))).select(*_SHOWN)
 
 
 def validate_num_format(spark, sf):
@@ -378,7 +378,7 @@ def validate_num_format(spark, sf):
         spark, sf,
         paragraph_num="CASE WHEN doc_id % 13 = 0 AND {n} = 3 THEN '1-2' ELSE string({n}) END",
     )
-    return validate.report(validate.validate(xml.parse(files))).select(*_SHOWN, "report")
+    return validate.report(validate.validate(xml.parse_chunks(files))).select(*_SHOWN, "report")
 
 
 def validate_siblings(spark, sf):
@@ -388,7 +388,7 @@ def validate_siblings(spark, sf):
         main_extra=_for(every(17), chapter),
         edit=lambda x: F.when(every(17, 5), F.replace(x, F.lit(main), F.lit(main + chapter))).otherwise(x),
     )
-    parsed = xml.parse(files)
+    parsed = xml.parse_chunks(files)
     return validate.validate(parsed, check_siblings=True).select(*_SHOWN)
 
 
@@ -400,7 +400,7 @@ def validate_lengths(spark, sf):
             every(29), F.replace(x, F.lit(title), F.lit(title + "x" * S.LAW_LIMIT))
         ).otherwise(x),
     )
-    errors = validate.validate(xml.parse(files))
+    errors = validate.validate(xml.parse_chunks(files))
     return errors.select("code", "error_class", "error_detail")
 
 
@@ -409,7 +409,7 @@ def first_errors(spark, sf):
         spark, sf,
         main_extra=_for(every(3), '<Division Num="a"></Division><Division Num="b"></Division>'),
     )
-    return validate.first_errors(validate.validate(xml.parse(files))).select(*_SHOWN)
+    return validate.first_errors(validate.validate(xml.parse_chunks(files))).select(*_SHOWN)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {

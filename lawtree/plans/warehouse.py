@@ -57,16 +57,54 @@ class Warehouse:
         return self._read(S.MANIFEST, self._path("manifest"))
 
     def batches(self) -> dict[str, list[str]]:
-        """Tables per committed batch: one entry per run, however many laws a run has."""
-        return {row.batch_id: row.tables for row in self.committed().collect()}
+        """Tables per committed batch: one entry per run since the tables were compacted."""
+        rows = self.committed().collect()
+        replaced = {b for row in rows for b in row.replaces or ()}
+        return {row.batch_id: row.tables for row in rows if row.batch_id not in replaced}
 
-    def commit(self, batch_id: str, tables: Iterable[str]) -> None:
-        """Make these tables of a batch visible, with the last write of the batch."""
+    def committed_ids(self) -> set[str]:
+        """Every batch that was ever committed, compacted ones included."""
+        rows = self.committed().collect()
+        return {row.batch_id for row in rows}.union(*(row.replaces or () for row in rows))
+
+    def commit(self, batch_id: str, tables: Iterable[str], replaces: Iterable[str] = ()) -> None:
+        """Make these tables of a batch visible, with the last write of the batch.
+
+        Batches that it ``replaces`` vanish with the same write.
+        """
         row = self.spark.range(1).select(
-            F.array(*map(F.lit, tables)).alias("tables"), F.current_timestamp().alias("committed_at")
+            F.array(*map(F.lit, tables)).alias("tables"), F.current_timestamp().alias("committed_at"),
+            F.array(*map(F.lit, replaces)).cast("array<string>").alias("replaces"),
         )
         row.write.mode("overwrite").parquet(self._path("manifest", batch_id))
 
+    def compact(self, batch_id: str) -> None:
+        """Rewrite all batches as one. Of the outcomes only the latest of each file is kept."""
+        batches = self.batches()
+        tables = sorted({t for names in batches.values() for t in names})
+        for name in tables:
+            rows = self.file_states(batches) if name == "outcomes" else self.table(name, batches)
+            self.write(name, batch_id, rows)
+        # Ids stay known, so that a batch that comes again is not run again.
+        before = {b for row in self.committed().collect() for b in (row.batch_id, *(row.replaces or ()))}
+        self.commit(batch_id, tables, sorted(before))
+
+    def vacuum(self) -> None:
+        """Delete what compaction has replaced. Readers that began before it lose their files."""
+        visible, jvm = self.batches(), self.spark._jvm
+        conf = self.spark._jsc.hadoopConfiguration()
+        for row in self.committed().collect():
+            if row.batch_id not in visible:
+                for name in (*row.tables, "manifest"):
+                    path = jvm.org.apache.hadoop.fs.Path(self._path(name, row.batch_id))
+                    path.getFileSystem(conf).delete(path, True)
+
+    def file_states(self, batches: dict[str, list[str]] | None = None) -> DataFrame:
+        """The latest outcome of each file, one ``OUTCOMES`` row per path."""
+        columns = S.OUTCOMES.fieldNames()
+        latest = F.max_by(F.struct(*columns), F.struct("decided_at", "outcome")).alias("latest")
+        return self.table("outcomes", batches).groupBy("path").agg(latest).select("latest.*")
+
     def write(self, name: str, batch_id: str, rows: DataFrame, mode: str = "overwrite") -> None:
         """Write one batch of a table; a batch that is run again replaces its own folder."""
         rows = rows.select(*BATCHED[name].fieldNames())

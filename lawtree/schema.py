@@ -170,11 +170,15 @@ OUTCOMES = _struct(
     ("length", T.LongType()),
     ("code", T.StringType()),
     ("outcome", T.StringType()),
+    # How law numbers were read, and when.
+    ("reading", T.StringType()),
+    ("decided_at", T.TimestampType()),
 )
 
-# One row per batch: the tables it wrote.
+# One row per batch: the tables it wrote, and the batches that it stands for.
 MANIFEST = _struct(
     ("batch_id", T.StringType()),
     ("tables", T.ArrayType(T.StringType())),
     ("committed_at", T.TimestampType()),
+    ("replaces", T.ArrayType(T.StringType())),
 )

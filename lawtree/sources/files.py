@@ -33,9 +33,18 @@ def with_codes(files: DataFrame) -> DataFrame:
     return coded.withColumn("code", scalars.law_code(*map(F.col, ("pref_id", "muni_id", "file_id"))))
 
 
-def in_municipality(files: DataFrame) -> DataFrame:
-    """Files whose directory name starts with six digits."""
-    return files.where(_part(F.col("path"), -2).rlike("^[0-9]{6}"))
+def in_municipality(files: DataFrame, root: str = "") -> DataFrame:
+    """Files somewhere below a directory whose name starts with six digits.
+
+    Directories above ``root`` do not count. A file in a subdirectory has no municipality code of
+    its own; registration reports it.
+    """
+    path = F.col("path")
+    below = re.sub("^[a-z]+:/+(?=/)", "", root.rstrip("/"))
+    inner = F.substring(path, F.locate(below, path) + len(below), F.length(path)) if below else path
+    folders = F.split(inner, "/")
+    named = F.slice(folders, F.lit(1), F.greatest(F.size(folders) - 1, F.lit(0)))
+    return files.where(F.exists(named, lambda d: d.rlike("^[0-9]{6}")))
 
 
 def spread(rows: DataFrame, key: str) -> DataFrame:
@@ -68,14 +77,6 @@ def corpus_files(
     return _layout(_reader(spark.read, extensions).load(root))
 
 
-def named_files(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The given files."""
-    if not paths:
-        return spark.createDataFrame([], S.FILES)
-    literal = [re.sub(r"([\[\]{}*?\\])", r"\\\1", p) for p in paths]
-    return _layout(spark.read.format("binaryFile").load(literal))
-
-
 def corpus_stream(
     spark: SparkSession,
     root: str,

@@ -28,6 +28,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Size of one output row and of one output batch, in elements. A long file is several rows.
 CHUNK = 1_000
 BATCH = 20_000
+# Elements carry their ancestors, so a file nested deeper than this is an error instead.
+MAX_DEPTH = 128
 
 _NODES = T.ArrayType(S.NODE)
 _CARRIED = [f for f in S.FILES.fields if f.name != "content"]
@@ -71,6 +73,8 @@ def _walk(provisions: list, wanted: frozenset, texts: frozenset) -> tuple:
                 sentences.append([s.text or "" for s in own])
                 continue
             sentences.append(none)
+            if len(siblings) >= MAX_DEPTH:
+                raise ValueError(f"elements are nested deeper than {MAX_DEPTH}")
             siblings.append(iter(element))
             opened.append(ord_)
             lineage += ((ord_, etype, num),)
@@ -93,7 +97,10 @@ def _read(content, wanted, provisions, texts, body) -> tuple:
     tops = []
     if body is None or (body and body.search("".join((number or "").split()))):
         tops = [e for e in root.findall("Law/LawBody/*") if e.tag in provisions]
-    return name, number, None, _walk(tops, wanted, texts)
+    try:
+        return name, number, None, _walk(tops, wanted, texts)
+    except ValueError as e:
+        return name, number, f"{type(e).__name__}: {e}", _walk([], wanted, texts)
 
 
 def _list_column(lists: list, build) -> pa.ListArray:
@@ -171,7 +178,7 @@ def _parser(wanted: frozenset, body, chunk: int, batch: int):
     return parse_batches
 
 
-def parse(
+def parse_chunks(
     files: DataFrame,
     *,
     etypes: Iterable[str] = S.BASIC_ETYPES,
@@ -181,9 +188,9 @@ def parse(
     strip_ws: bool = True,
     fold_width: bool = False,
 ) -> DataFrame:
-    """Read each file of ``files``; one row per element, and one with ``ord`` 0 per file.
+    """Read each file of ``files``; a row has up to CHUNK of a file's elements in ``nodes``.
 
-    Elements outside ``etypes`` are left out together with their subtrees. With ``body``
+    The first node of a file has ``ord`` 0 and stands for the file. Elements outside ``etypes`` are left out together with their subtrees. With ``body``
     False only the rows of the files themselves are produced; with ``reiki_only`` that goes
     for files that are no ordinance or rule. ``law_id`` is that of the file: files that share a
     number, or have none, stay apart. Registration gives ids by number.
@@ -207,11 +214,29 @@ def parse(
     )
     carried = [f.name for f in _CARRIED]
     return laws.select(
-        *carried, "law_id", "law_name", "law_num", "law_num_raw", "is_reiki", "parse_error",
-        F.inline("nodes"),
+        *carried, "law_id", "law_name", "law_num", "law_num_raw", "is_reiki", "parse_error", "nodes"
     )
 
 
+def rows_of(chunks: DataFrame) -> DataFrame:
+    """One row per element, and one with ``ord`` 0 per file."""
+    return chunks.select(*[c for c in chunks.columns if c != "nodes"], F.inline("nodes"))
+
+
+def heads_of(chunks: DataFrame) -> DataFrame:
+    """One row per file, with ``ord`` 0, without its elements."""
+    first = F.get("nodes", F.lit(0))["ord"]
+    return chunks.where(first == 0).withColumn("ord", F.lit(0)).drop("nodes")
+
+
+def parse(files: DataFrame, **options) -> DataFrame:
+    """Read each file of ``files``; one row per element, and one with ``ord`` 0 per file.
+
+    The options are those of ``parse_chunks``.
+    """
+    return rows_of(parse_chunks(files, **options))
+
+
 def readable(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("parse_error").isNull())
 

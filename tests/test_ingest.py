@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -173,28 +175,104 @@ def test_trees_of_few_files(spark, tmp_path, root, count):
     assert sorted(outcomes(got).values()) == ["registered"] * count
 
 
-def test_tree_is_read_incrementally(spark, tmp_path, root, monkeypatch):
-    corpus = tmp_path / "corpus"
+def test_tree_is_read_incrementally(spark, tmp_path, root):
+    corpus = tmp_path / "123456-corpus"
     write_tree(corpus, {
-        "01/010001/0001.xml": "﻿" + numbered(1), "01/010001/0002.xml": numbered(2, "告示"),
+        "01/010001/0001.xml": "\ufeff" + numbered(1), "01/010001/0002.xml": numbered(2, "告示"),
         "01/010001/0003.xml": numbered(3)[:-5], "01/misc/0004.xml": numbered(4), "01/010001/notes.txt": "x",
+        "01/010001/old/0007.xml": numbered(7),
     })
     first = ingest_tree(spark, str(corpus), root, "b1", check_municipalities=False)
-    assert outcomes(first) == {"0001.xml": "registered", "0002.xml": "skipped_not_reiki", "0003.xml": "error"}
+    known = {"0001.xml": "registered", "0002.xml": "skipped_not_reiki", "0003.xml": "error", "0007.xml": "error"}
+    assert outcomes(first) == known
     write_tree(corpus, {"02/020001/[5].xml": numbered(5), "02/020001/6.xml": numbered(6)})
-    opened = []
-    real = sources.named_files
-    monkeypatch.setattr(sources, "named_files", lambda s, p: opened.extend(p) or real(s, p))
     second = ingest_tree(spark, str(corpus), root, "b2", check_municipalities=False)
-    assert outcomes(second) == {
-        "0001.xml": "skipped_known", "0002.xml": "skipped_not_reiki", "0003.xml": "error",
-        "[5].xml": "error", "6.xml": "registered",
-    }
-    assert sorted(p.rsplit("/", 1)[-1] for p in opened) == ["0003.xml", "6.xml", "[5].xml"]
-    monkeypatch.setattr(plan, "MAX_LISTED", 0)
+    known |= {"0001.xml": "skipped_known", "[5].xml": "error", "6.xml": "registered"}
+    assert outcomes(second) == known
+    # Outcomes are stored for files that were open: new ones, and those that failed before.
+    stored = outcomes(Warehouse(spark, root).batch("outcomes", "b2"))
+    assert sorted(stored) == ["0003.xml", "0007.xml", "6.xml", "[5].xml"]
     third = ingest_tree(spark, str(corpus), root, "b3", check_municipalities=False)
-    assert outcomes(third) == {**outcomes(second), "6.xml": "skipped_known"}
+    assert outcomes(third) == known | {"6.xml": "skipped_known"}
+    assert table(spark, root, "laws").count() == 2
+    states = Warehouse(spark, root).file_states()
+    assert outcomes(states) == known | {"0001.xml": "registered"} and states.count() == 6
+
+
+def test_settled_files_are_not_opened(spark, tmp_path, root):
+    """The reader gets spans of modification time that leave out what is settled."""
+    corpus = tmp_path / "corpus"
+    write_tree(corpus, {f"01/010001/{i:04}.xml": numbered(i) for i in range(1, 9)})
+    for i, path in enumerate(sorted(corpus.rglob("*.xml"))):
+        os.utime(path, (1_000_000 + i, 1_000_000 + i))
+    files = sources.in_municipality(sources.corpus_files(spark, str(corpus)), str(corpus))
+    ingest(spark, files.where("file_id NOT IN (3, 4, 7)"), root, "b1", check_municipalities=False)
+    listing = files.select("path", "modification_time", "length", "code")
+    settled = plan.settled_files(listing, Warehouse(spark, root).file_states(), plan.reading(True, False))
+    open_files = listing.join(settled, "path", "left_anti")
+    read = files.where(plan.time_spans(open_files))
+    assert sorted(r.file_id for r in read.select("file_id").collect()) == [3, 4, 7]
+    assert "PushedFilters: [Or(" in read._jdf.queryExecution().toString()
+    assert files.where(plan.time_spans(open_files.limit(0))).count() == 0
+    # Contents that would fail stand for files that must not be read: same time, same length.
+    for path in sorted(corpus.rglob("*.xml")):
+        if path.stem not in ("0003", "0004", "0007"):
+            stat = path.stat()
+            path.write_bytes(b"x" * stat.st_size)
+            os.utime(path, (stat.st_mtime, stat.st_mtime))
+    got = outcomes(ingest_tree(spark, str(corpus), root, "b2", check_municipalities=False))
+    assert got == {f"{i:04}.xml": "registered" if i in (3, 4, 7) else "skipped_known" for i in range(1, 9)}
+
+
+def test_outcomes_hold_for_the_same_reading(spark, root):
+    """A run that reads numbers another way looks at all files again."""
+    wide = file_rows(spark, {"/c/01/010001/1.xml": law(main(""), num="条例第１号"), "/c/01/010001/2.xml": law(main(""), num="条例第1号")})
+    assert outcomes(ingest(spark, wide, root, "b1", check_municipalities=False)) == {"1.xml": "registered", "2.xml": "registered"}
+    again = ingest(spark, wide, root, "b2", check_municipalities=False, fold_width=True)
+    assert outcomes(again) == {"1.xml": "skipped_known", "2.xml": "skipped_known"}
+    assert Warehouse(spark, root).batch("outcomes", "b2").count() == 2
+    assert ingest(spark, wide, root, "b3", check_municipalities=False, fold_width=True).count() == 2
+    assert Warehouse(spark, root).batch("outcomes", "b3").count() == 0
+    everything = ingest(spark, wide, root, "b4", check_municipalities=False, fold_width=True, reiki_only=False)
+    assert set(outcomes(everything).values()) == {"skipped_known"}
+
+
+def test_changed_file_is_read_again(spark, root):
+    ingest(spark, file_rows(spark, {"/c/01/010001/1.xml": numbered(1)}), root, "b1", check_municipalities=False)
+    changed = file_rows(spark, {"/c/01/010001/1.xml": numbered(12, text="longer text")})
+    assert outcomes(ingest(spark, changed, root, "b2", check_municipalities=False)) == {"1.xml": "registered"}
     assert table(spark, root, "laws").count() == 2
+    assert table(spark, root, "outcomes").count() == 2 and Warehouse(spark, root).file_states().count() == 1
+
+
+def test_compaction(spark, root):
+    options = {"check_municipalities": False, "with_strings": True}
+    for i in range(1, 4):
+        files = file_rows(spark, {f"/c/01/010001/{k}.xml": numbered(k) if k != 9 else numbered(9)[:-3] for k in (i, i + 1, 9)})
+        ingest(spark, files, root, f"b{i}", **options)
+    warehouse = Warehouse(spark, root)
+    names = ("laws", "elements", "strings", "string_edges", "errors")
+    before = {n: sorted(map(str, table(spark, root, n).collect())) for n in names}
+    states = outcomes(warehouse.file_states())
+    assert table(spark, root, "outcomes").count() == 7
+    warehouse.compact("c1")
+    warehouse.vacuum()
+    assert list(warehouse.batches()) == ["c1"] and warehouse.committed().count() == 1
+    assert {n: sorted(map(str, table(spark, root, n).collect())) for n in names} == before
+    assert outcomes(table(spark, root, "outcomes")) == states and table(spark, root, "outcomes").count() == 5
+    # A batch that was compacted is not run again; settled files stay settled.
+    assert ingest(spark, file_rows(spark, {"/c/01/010001/8.xml": numbered(8)}), root, "b2", **options).count() == 0
+    files = file_rows(spark, {f"/c/01/010001/{k}.xml": numbered(k) for k in (1, 8)})
+    assert outcomes(ingest(spark, files, root, "b5", **options)) == {"1.xml": "skipped_known", "8.xml": "registered"}
+    assert table(spark, root, "laws").count() == 5
+
+
+def test_very_deep_file_is_one_outcome(spark, root):
+    deep = law(main('<Subitem1 Num="1">' * 3000 + "</Subitem1>" * 3000), num="条例第1号")
+    files = file_rows(spark, {"/c/01/010001/1.xml": deep, "/c/01/010001/2.xml": numbered(2)})
+    assert outcomes(ingest(spark, files, root, "b1", check_municipalities=False)) == {"1.xml": "error", "2.xml": "registered"}
+    errors = [(r.error_class, r.error_detail) for r in table(spark, root, "errors").collect()]
+    assert errors == [("XMLStructureError", "ValueError: elements are nested deeper than 128")]
 
 
 def test_stream(spark, tmp_path, root):
@@ -219,8 +297,9 @@ def test_stream(spark, tmp_path, root):
     assert table(spark, root, "laws").count() == 4
     run("two")
     assert table(spark, root, "laws").count() == 4
+    # Files seen again under a new checkpoint are settled; nothing is stored for them.
     counts = stats.outcome_counts(table(spark, root, "outcomes")).collect()[0]
-    assert (counts.registered, counts.skipped_known) == (4, 4)
+    assert (counts.files, counts.registered, counts.skipped_known) == (4, 4, 0)
     assert table(spark, root, "strings").count() == 5
 
 

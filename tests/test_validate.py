@@ -8,7 +8,7 @@ from lawtree.sources import xml
 
 
 def errors_of(spark, body, etypes=S.ETYPES, **options):
-    parsed = xml.parse(
+    parsed = xml.parse_chunks(
         one_file(spark, law(body)), etypes=etypes,
         include_subitem_sentences=options.get("include_subitem_sentences", False),
     )
@@ -141,7 +141,7 @@ def test_file_errors_and_reports(spark):
         "/c/01/010001/6.xml": SIMPLE,
     })
     munis = spark.createDataFrame([(10001, 1, "市")], S.MUNICIPALITIES)
-    found = validate.validate(xml.parse(files), munis)
+    found = validate.validate(xml.parse_chunks(files), munis)
     rows = {(r.path[-5], r.error_class) for r in found.collect()}
     assert rows == {
         ("1", "XMLStructureError"), ("x", "PathCodeError"), ("3", "LengthError"), ("4", "LengthError"),
