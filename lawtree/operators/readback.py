@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lawtree import schema as S
@@ -38,6 +38,12 @@ def children_of(elements: DataFrame, law_id: int, elem_id: int) -> DataFrame:
     return elements.where(own).orderBy("num", "ord")
 
 
+def in_order(elements: DataFrame) -> DataFrame:
+    """``elements`` with ``place``: 0, 1, 2... among the children of one parent, by number."""
+    siblings = Window.partitionBy("law_id", "parent_id").orderBy("num", "num_path", "ord")
+    return elements.withColumn("place", F.row_number().over(siblings) - 1)
+
+
 def element_content(elements: DataFrame, law_id: int, elem_id: int) -> DataFrame:
     own = (F.col("law_id") == law_id) & (F.col("elem_id") == elem_id)
     return elements.where(own).select(scalars.content(F.col("texts")).alias("content"))

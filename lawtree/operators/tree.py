@@ -119,6 +119,19 @@ def plaintext(elements: DataFrame, *carry: str) -> DataFrame:
     return elements.groupBy("law_id", *carry).agg(F.array_join(pieces["s"], "").alias("plaintext"))
 
 
+def plaintext_of_chunks(chunks: DataFrame, *carry: str) -> DataFrame:
+    """The same from files as ``xml.parse_chunks`` reads them; ``carry`` names at least one of their columns.
+
+    The texts of up to a thousand elements are joined in their row, so that one row of a chunk is
+    shuffled and not one of each element.
+    """
+    last = F.element_at("nodes", -1)["ord"]
+    texts = F.array_join(F.flatten(F.transform("nodes", lambda n: n["texts"])), "")
+    parts = chunks.where(last > 0).select("path", *carry, F.struct(last.alias("last"), texts.alias("s")).alias("part"))
+    joined = F.array_sort(F.collect_list("part"))
+    return parts.groupBy("path", *carry).agg(F.array_join(joined["s"], "").alias("plaintext")).drop("path")
+
+
 def citation(law_name: Column) -> Column:
     """``law name(本則)第1条第2項``, from the element's own columns and its lineage."""
     above = F.transform(
@@ -140,22 +153,48 @@ def lookup(elements: DataFrame, keys: DataFrame) -> DataFrame:
     return elements.join(keys, ["law_id", "parent_id", "etype", "num"], "left_semi")
 
 
+ROOTED, ORPHAN, CYCLE = "rooted", "orphan", "cycle"
+
+
 def with_lineage(rows: DataFrame) -> DataFrame:
-    """Rebuild ``depth`` and ``lineage`` for rows that only have ``parent_id``.
+    """Rebuild ``depth`` and ``lineage`` for rows that only have ``parent_id``, by pointer doubling.
 
-    Level by level from the top: one equi-join per level of nesting, each written out before
-    the next, until a level is empty. Needs law_id, elem_id, parent_id, ord, etype, num_raw.
+    Every row holds the ancestors found so far and a pointer to the next one. A round appends to
+    them those of the row pointed at, so they double, and trees of any depth take as many rounds as
+    the logarithm of it; rows that have reached the top rest. Needs law_id, elem_id, parent_id, ord,
+    etype, num_raw; other columns are joined once, at the end.
+
+    ``linkage`` tells rows of a whole tree from those below a missing parent and those on or below
+    a cycle. An orphan's lineage begins below what is missing; a cycle's rows have none. Both have no depth.
     """
-    base = rows.drop("lineage", "depth")
-    no_parent = F.array().cast(S.LINEAGE)
-    top = base.where(F.col("parent_id") == -F.col("law_id"))
-    levels = [checkpointed(top.withColumn("lineage", no_parent))]
-    while not levels[-1].isEmpty():
-        above = levels[-1].select(
-            "law_id",
-            F.col("elem_id").alias("parent_id"),
-            F.array_append("lineage", F.struct("ord", "etype", "num_raw")).alias("lineage"),
+    base = rows.drop("lineage", "depth", "linkage")
+    top = F.col("up") == -F.col("law_id")
+    own = F.struct("ord", "etype", "num_raw")
+    begun = base.select(
+        "law_id", "elem_id", F.col("parent_id").alias("up"), F.array(own).cast(S.LINEAGE).alias("own"), F.array().cast(S.LINEAGE).alias("above")
+    )
+    now = checkpointed(begun.withColumn("linkage", F.when(top, ROOTED)))
+    settled = [now.where("linkage IS NOT NULL")]
+    open_ = now.where("linkage IS NULL")
+    while not open_.isEmpty():
+        every = reduce(DataFrame.unionByName, [*settled, open_]).select(
+            "law_id", F.col("elem_id").alias("up"), F.col("up").alias("next"), F.concat("above", "own").alias("more"),
+            F.col("linkage").alias("reached"), F.lit(True).alias("found"),
         )
-        below = base.join(above, ["law_id", "parent_id"])
-        levels.append(checkpointed(below.select(*base.columns, "lineage")))
-    return reduce(DataFrame.unionByName, levels).withColumn("depth", F.size("lineage") + 1)
+        met = open_.drop("linkage").join(every, ["law_id", "up"], "left")
+        found = F.col("found").isNotNull()
+        moved = checkpointed(met.select(
+            "law_id", "elem_id", F.when(found, F.col("next")).otherwise(F.col("up")).alias("up"), "own",
+            F.when(found, F.concat("more", "above")).otherwise(F.col("above")).alias("above"),
+            F.when(found, F.col("reached")).otherwise(ORPHAN).alias("linkage"),
+        ))
+        resting = moved.where("linkage IS NOT NULL")
+        # Depths have no gaps: a round in which no row comes to rest leaves cycles only.
+        if resting.isEmpty():
+            settled.append(open_.withColumns({"linkage": F.lit(CYCLE), "above": F.array().cast(S.LINEAGE)}))
+            break
+        settled.append(resting)
+        open_ = moved.where("linkage IS NULL")
+    every = reduce(DataFrame.unionByName, settled).select("law_id", "elem_id", F.col("above").alias("lineage"), "linkage")
+    depth = F.when(F.col("linkage") == ROOTED, F.size("lineage") + 1)
+    return base.join(every, ["law_id", "elem_id"]).withColumn("depth", depth)

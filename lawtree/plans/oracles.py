@@ -226,4 +226,78 @@ ORACLES: dict[str, str] = {
         "'invalid hieralchy MainProvision -> Division' AS error_detail, CAST(last_ord + 1 AS INTEGER) AS ord "
         "FROM last WHERE doc_id % 3 = 0"
     ),
+    "adjacency_tree_orphans": _sql(
+        # Laws 3 mod 7 lose their article 1 (ord 2) and what is below it is orphaned; in laws 4 mod 7 the first
+        # paragraph (ord 3) and its sentence point at each other.
+        "SELECT law_name, CAST(ord AS INTEGER) AS ord, "
+        "CASE WHEN lost THEN 'orphan' WHEN looped THEN 'cycle' ELSE 'rooted' END AS linkage, "
+        "CASE WHEN lost OR looped THEN NULL ELSE CAST(depth AS INTEGER) END AS depth, "
+        "CAST(CASE WHEN looped THEN 0 WHEN lost THEN depth - 3 ELSE depth - 1 END AS INTEGER) AS n_above FROM ("
+        "SELECT *, doc_id % 7 = 3 AND ord BETWEEN 3 AND 22 AND depth > 2 AS lost, "
+        "doc_id % 7 = 4 AND ord IN (3, 4) AS looped FROM elems WHERE NOT (doc_id % 7 = 3 AND ord = 2))"
+    ),
+    "file_outcomes": (
+        "SELECT CAST(doc_id AS INTEGER) AS file_id, CASE WHEN doc_id % 2 = 0 THEN first END AS run0, "
+        "CASE WHEN doc_id % 2 = 0 AND first = 'registered' THEN 'skipped_known' ELSE first END AS run1, "
+        "CASE WHEN first = 'registered' THEN 'skipped_known' ELSE first END AS run2, "
+        "1::BIGINT AS n_stored, first AS state FROM "
+        "(SELECT doc_id, CASE WHEN doc_id % 3 < 2 THEN 'registered' ELSE 'skipped_not_reiki' END AS first FROM documents)"
+    ),
+    "stream_states": (
+        "SELECT CAST(doc_id AS INTEGER) AS file_id, "
+        "CASE WHEN doc_id % 3 < 2 THEN 'registered' ELSE 'skipped_not_reiki' END AS outcome FROM documents"
+    ),
+    "warehouse_tables": _sql(
+        "SELECT 'laws' AS name, count(*) AS n FROM laws WHERE reiki UNION ALL SELECT 'elements', count(*) FROM elems "
+        "UNION ALL SELECT 'strings', count(DISTINCT line) FROM ord_lines UNION ALL SELECT 'string_edges', count(*) FROM ord_lines "
+        "UNION ALL SELECT 'errors', 0 UNION ALL SELECT 'outcomes', count(*) FROM documents "
+        "UNION ALL SELECT 'prefectures', count(*) FROM nation UNION ALL SELECT 'municipalities', count(*) FROM places"
+    ),
+    "reset_tables": _sql(
+        "SELECT state, count(*) FILTER (reiki AND state <> 'reset') AS laws FROM laws, "
+        "(SELECT unnest(['before', 'reset', 'after']) AS state) GROUP BY state"
+    ),
+    "stored_names": _sql(
+        "SELECT muni_id, CAST(doc_id AS INTEGER) AS file_id, law_name AS name, num FROM laws WHERE reiki"
+    ),
+    "stored_provisions": _sql(
+        "SELECT law_name AS name, 0 AS place, 'MainProvision' AS etype, 0::DECIMAL(38,18) AS num, 1 AS ord FROM laws WHERE reiki "
+        "UNION ALL SELECT law_name, 1, 'SupplProvision', 0, CAST(last_ord + 1 AS INTEGER) FROM last WHERE doc_id % 5 = 0 AND doc_id % 3 < 2"
+    ),
+    "stored_children": _sql(
+        "SELECT name, CAST(parent_ord AS INTEGER) AS parent_ord, CAST(row_number() OVER (PARTITION BY name, parent_ord "
+        "ORDER BY num, ord) - 1 AS INTEGER) AS place, etype, num, CAST(ord AS INTEGER) AS ord FROM ("
+        "SELECT law_name AS name, 1 AS parent_ord, 'Article' AS etype, a_value AS num, a_ord AS ord FROM articles WHERE reiki "
+        "UNION ALL SELECT law_name, a_ord, 'Paragraph', n, p_ord FROM ord_lines "
+        "UNION ALL SELECT law_name, p_ord, 'ParagraphSentence', 0, p_ord + 1 FROM ord_lines)"
+    ),
+    "stored_contents": _sql(
+        "SELECT law_name AS name, CAST(i AS INTEGER) AS place, line AS content FROM ord_lines"
+    ),
+    "one_law": _sql(
+        ", chosen AS (SELECT * FROM laws WHERE reiki AND doc_id = (SELECT max(doc_id) FROM laws WHERE reiki)) "
+        "SELECT 'header' AS part, concat_ws(' ', doc_id, muni_id, m.pref_id, law_name, num) AS value "
+        "FROM chosen JOIN places m USING (muni_id) "
+        "UNION ALL SELECT 'name', law_name || ' ' || num FROM chosen "
+        "UNION ALL SELECT 'child', a_value::DECIMAL(20,3)::VARCHAR FROM articles WHERE doc_id IN (SELECT doc_id FROM chosen) "
+        "UNION ALL SELECT 'content', line FROM placed WHERE i = 0 AND doc_id IN (SELECT doc_id FROM chosen)"
+    ),
+    "municipality_list": _sql(
+        "SELECT CAST((n_nationkey + 1) * 10000 + k AS INTEGER) AS code, n_name AS pref_name, n_name || '-' || k AS muni_name "
+        "FROM (SELECT *, unnest(range(7)) AS k FROM nation)"
+    ),
+    "validate_types": _sql(
+        "SELECT law_name, 'HieralchyError' AS error_class, 'invalid hieralchy Article -> ItemSentence' AS error_detail, "
+        "CAST(last_ord + 2 AS INTEGER) AS ord FROM last WHERE doc_id % 9 = 0 UNION ALL "
+        "SELECT law_name, 'EtypeError', 'unknown type Subitem1Sentence', CAST(last_ord + 4 AS INTEGER) FROM last WHERE doc_id % 9 = 4"
+    ),
+    "validate_number_lengths": _sql(
+        "SELECT printf('%02d/%06d/%04d', pref_id, muni_id, doc_id) AS code, 'LengthError' AS error_class, "
+        "'law_num has ' || (500 + length(num)) || ' characters' AS error_detail FROM laws WHERE doc_id % 31 = 0"
+    ),
+    "unknown_names": _sql(
+        "SELECT CAST(doc_id AS INTEGER) AS file_id, CASE WHEN doc_id % 4 = 0 THEN 'UNK' ELSE law_name END AS name, "
+        "CASE WHEN doc_id % 6 = 0 THEN 'UNK' ELSE num END AS num, reiki AND doc_id % 6 <> 0 AS is_reiki FROM laws"
+    ),
 }
+ORACLES["plaintext_of_elements"] = ORACLES["plaintext"]

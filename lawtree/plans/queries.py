@@ -6,9 +6,10 @@ covers its whole table from the file level on.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lawtree import schema as S
@@ -86,6 +87,11 @@ def caption_sentences(spark, sf):
 
 
 def plaintext(spark, sf):
+    chunks = xml.reiki(xml.parse_chunks(corpus(spark, sf), reiki_only=True))
+    return tree.plaintext_of_chunks(chunks, "law_name")
+
+
+def plaintext_of_elements(spark, sf):
     return tree.plaintext(elements(spark, sf, "law_name"), "law_name").drop("law_id")
 
 
@@ -137,6 +143,19 @@ def adjacency_tree(spark, sf):
     )
 
 
+def adjacency_tree_orphans(spark, sf):
+    """The parents of some articles are lost, and the first paragraph of some points at its own sentence."""
+    rows = stored(elements(spark, sf, "law_name"), "elem_id", "parent_id", "etype", "num_raw", "num")
+    article = (F.col("etype") == "Article") & (F.col("num") == 1)
+    lost = F.regexp_extract("law_name", "[0-9]+", 0).cast("long") % 7 == 3
+    rows = rows.where(~(lost & article))
+    looped = F.regexp_extract("law_name", "[0-9]+", 0).cast("long") % 7 == 4
+    first = (F.col("etype") == "Paragraph") & (F.col("ord") == 3)
+    below = xml.element_id(F.col("law_id"), F.col("ord") + 1)
+    rows = rows.withColumn("parent_id", F.when(looped & first, below).otherwise(F.col("parent_id")))
+    return tree.with_lineage(rows).select("law_name", "ord", "linkage", "depth", F.size("lineage").alias("n_above"))
+
+
 def citation_labels(spark, sf):
     rows = elements(spark, sf, "law_name")
     return rows.select("law_name", "ord", tree.citation(F.col("law_name")).alias("label"))
@@ -310,8 +329,129 @@ def read_back(spark, sf):
     )
 
 
+def file_outcomes(spark, sf):
+    """Each file in three runs: a half of them, all, and all again; then its stored state."""
+    root = scratch_path(spark, "outcomes")
+    half = corpus_from_documents(documents(spark, sf).where(every(2)))
+    runs = [
+        ingest(spark, files, root, f"b{i}", check_municipalities=False)
+        for i, files in enumerate((half, corpus(spark, sf), corpus(spark, sf)))
+    ]
+    warehouse = Warehouse(spark, root)
+    file_id = F.regexp_extract("path", "([0-9]+)[.]xml$", 1).cast("int")
+    named = [r.select(file_id.alias("file_id"), F.col("outcome").alias(f"run{i}")) for i, r in enumerate(runs)]
+    stored_ = warehouse.table("outcomes").groupBy(file_id.alias("file_id")).agg(
+        F.count(F.lit(1)).alias("n_stored"), F.max_by("outcome", "decided_at").alias("state")
+    )
+    return named[1].join(named[0], "file_id", "left").join(named[2], "file_id").join(stored_, "file_id")
+
+
+def stream_states(spark, sf):
+    """Files of a stream that come twice, in several micro-batches; then one state of each."""
+    arriving = scratch_path(spark, "arriving")
+    docs = documents(spark, sf)
+    for part in (docs.where(every(3)), docs, docs.where(every(5))):
+        part.write.mode("append").parquet(arriving)
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+    root = scratch_path(spark, "stream")
+    ingest_stream(
+        corpus_from_documents(stream), root, scratch_path(spark, "stream-checkpoint"), check_municipalities=False
+    ).awaitTermination()
+    warehouse = Warehouse(spark, root)
+    warehouse.compact("compacted")
+    return warehouse.table("outcomes").select(
+        F.regexp_extract("path", "([0-9]+)[.]xml$", 1).cast("int").alias("file_id"), "outcome"
+    )
+
+
+def _warehouse(spark, sf, **options) -> Warehouse:
+    """A warehouse with all documents registered."""
+    root = scratch_path(spark, "warehouse")
+    warehouse = Warehouse(spark, root).reset()
+    warehouse.load_dimensions(_every_municipality(spark, sf))
+    ingest(spark, corpus(spark, sf), root, "b1", **options)
+    return warehouse
+
+
+def warehouse_tables(spark, sf):
+    """Rows of each table after registration with the string dictionary, and its broken keys and references."""
+    warehouse = _warehouse(spark, sf, with_strings=True)
+    names = ("laws", "elements", "strings", "string_edges", "errors", "outcomes", "prefectures", "municipalities")
+    counts = [warehouse.table(n).agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n")) for n in names]
+    problems = warehouse.check().groupBy(F.concat(F.lit("problem: "), "problem").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    return functools.reduce(DataFrame.unionByName, counts).unionByName(problems)
+
+
+def reset_tables(spark, sf):
+    """Nothing is left of a batch after a reset, and it can be registered again."""
+    warehouse = _warehouse(spark, sf)
+    before = checkpointed(warehouse.table("laws").select("num"))
+    warehouse.reset()
+    left = checkpointed(warehouse.table("laws").select("num"))
+    ingest(spark, corpus(spark, sf), warehouse.root, "b1", check_municipalities=False)
+    counts = [r.agg(F.lit(n).alias("state"), F.count(F.lit(1)).alias("laws")) for n, r in
+              (("before", before), ("reset", left), ("after", warehouse.table("laws")))]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
+def stored_names(spark, sf):
+    return _warehouse(spark, sf).table("laws").select("muni_id", "file_id", "name", "num")
+
+
+def stored_provisions(spark, sf):
+    """Main and supplementary provisions of every law, by number."""
+    extra = f'<SupplProvision><Paragraph Num="1">{_sentence("ParagraphSentence", "x")}</Paragraph></SupplProvision>'
+    root = scratch_path(spark, "provisions")
+    ingest(spark, corpus(spark, sf, body_extra=_for(every(5), extra)), root, "b1", etypes=S.ETYPES, check_municipalities=False)
+    warehouse = Warehouse(spark, root)
+    rows = readback.in_order(tree.top_level(warehouse.table("elements")))
+    return rows.join(warehouse.table("laws").select("law_id", "name"), "law_id").select("name", "place", "etype", "num", "ord")
+
+
+def stored_children(spark, sf):
+    """Children of every element that has some, by number."""
+    warehouse = _warehouse(spark, sf)
+    rows = readback.in_order(tree.children(warehouse.table("elements")))
+    return rows.join(warehouse.table("laws").select("law_id", "name"), "law_id").select(
+        "name", "parent_ord", "place", "etype", "num", "ord"
+    )
+
+
+def stored_contents(spark, sf):
+    """Contents of all text elements in document order."""
+    warehouse = _warehouse(spark, sf)
+    texts = warehouse.table("elements").where(tree.is_text())
+    place = F.row_number().over(Window.partitionBy("law_id").orderBy("ord")) - 1
+    rows = xml.with_content(texts).withColumn("place", place)
+    return rows.join(warehouse.table("laws").select("law_id", "name"), "law_id").select("name", "place", "content")
+
+
+def one_law(spark, sf):
+    """Header, name, provisions, children and contents of the last law, looked up by its id."""
+    warehouse = _warehouse(spark, sf)
+    laws, rows = warehouse.table("laws"), warehouse.table("elements")
+    law_id = laws.orderBy(F.desc("file_id")).select("law_id").first().law_id
+    main = readback.provisions(rows, law_id).first()
+    header = readback.law_header(laws, warehouse.table("municipalities"), law_id).select(
+        F.lit("header").alias("part"), F.concat_ws(" ", "file_id", "muni_id", "pref_id", "name", "num").alias("value")
+    )
+    name = readback.name_and_num(laws, law_id).select(F.lit("name"), F.concat_ws(" ", "name", "num"))
+    kids = readback.children_of(rows, law_id, main.elem_id).select(F.lit("child"), F.col("num").cast("decimal(20,3)").cast("string"))
+    sentence = rows.where((F.col("law_id") == law_id) & tree.is_text()).orderBy("ord").select("elem_id").first()
+    content = readback.element_content(rows, law_id, sentence.elem_id).select(F.lit("content"), "content")
+    return header.union(name).union(kids).union(content)
+
+
 # Dimensions
 
+def municipality_list(spark, sf):
+    """The list written as a file of five columns with a header, and read back."""
+    path = scratch_path(spark, "municipalities")
+    rows = _every_municipality(spark, sf)
+    rows.select("code", "pref_name", "muni_name", F.lit("x, y").alias("a"), F.lit("").alias("b")).write.option("header", True).csv(path)
+    return sources.municipality_csv(spark, path).select("code", "pref_name", "muni_name")
+
+
 def _municipality_rows(spark, sf):
     """The nation and region tables in the shape of a municipality list."""
     nation = spark.read.parquet(f"{sf}/nation.parquet")
@@ -404,6 +544,32 @@ def validate_lengths(spark, sf):
     return errors.select("code", "error_class", "error_detail")
 
 
+def validate_types(spark, sf):
+    """Item sentences outside items, and a type that is not asked for."""
+    misplaced = f'<Article Num="9999">{_sentence("ItemSentence", "x")}</Article>'
+    deep = f'<Article Num="9998"><Item Num="1"><Subitem1 Num="1">{_sentence("Subitem1Sentence", "x")}</Subitem1></Item></Article>'
+    files = corpus(spark, sf, main_extra=F.concat(_for(every(9), misplaced), _for(every(9, 4), deep)))
+    chunks = xml.parse_chunks(files, include_subitem_sentences=True)
+    return validate.validate(chunks).select(*_SHOWN)
+
+
+def validate_number_lengths(spark, sf):
+    long = "<LawNum>" + "x" * S.LAW_LIMIT
+    files = corpus(
+        spark, sf, edit=lambda x: F.when(every(31), F.replace(x, F.lit("<LawNum>"), F.lit(long))).otherwise(x),
+    )
+    return validate.validate(xml.parse_chunks(files)).select("code", "error_class", "error_detail")
+
+
+def unknown_names(spark, sf):
+    """Files without a title or a number."""
+    def edit(x: Column) -> Column:
+        untitled = F.when(every(4), F.regexp_replace(x, "<LawTitle>[^<]*</LawTitle>", "<LawTitle></LawTitle>")).otherwise(x)
+        return F.when(every(6), F.regexp_replace(untitled, "<LawNum>[^<]*</LawNum>", "")).otherwise(untitled)
+
+    return xml.laws(xml.parse(corpus(spark, sf, edit=edit), body=False)).select("file_id", "name", "num", "is_reiki")
+
+
 def first_errors(spark, sf):
     files = corpus(
         spark, sf,
@@ -418,13 +584,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         count_elems, count_elems_by_law, count_rollup,
         sentences, caption_sentences, plaintext, plaintext_shared_numbers, leaves, leaves_pruned,
         children, children_of_provisions,
-        descendants, adjacency_tree, citation_labels, element_lookup, etype_prune, subitem_sentences,
+        descendants, adjacency_tree, adjacency_tree_orphans, plaintext_of_elements, citation_labels, element_lookup, etype_prune, subitem_sentences,
         law_numbers, law_codes, is_reiki, element_number, kanji_numerals,
         tokens, chars, segmented_sentences,
         string_dictionary, string_edges, register_laws, quarantine, incremental_outcomes,
-        stream_outcomes, read_back,
+        stream_outcomes, read_back, file_outcomes, stream_states, warehouse_tables, reset_tables,
+        stored_names, stored_provisions, stored_children, stored_contents, one_law, municipality_list,
         dims_prefectures, dims_municipalities, dims_join, unknown_municipalities,
         validate_grammar, validate_duplicates, validate_num_format, validate_siblings,
-        validate_lengths, first_errors,
+        validate_lengths, validate_number_lengths, validate_types, unknown_names, first_errors,
     )
 }

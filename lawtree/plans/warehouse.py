@@ -23,6 +23,8 @@ BATCHED = {
     "outcomes": S.OUTCOMES,
 }
 DIMENSIONS = {"prefectures": S.PREFECTURES, "municipalities": S.MUNICIPALITIES}
+# The column that single rows are looked up by.
+LOOKED_UP = {"laws": "law_id", "elements": "law_id", "string_edges": "law_id", "strings": "string_id"}
 _BATCH = T.StructField("batch_id", T.StringType())
 
 
@@ -114,6 +116,11 @@ class Warehouse:
             packed = rows.hint("rebalance", "pref_id")
             ordered = packed.sortWithinPartitions("pref_id", "law_id", "ord")
             writer = ordered.write.mode(mode).partitionBy("pref_id")
+        elif name in LOOKED_UP:
+            writer = rows.sortWithinPartitions(LOOKED_UP[name]).write.mode(mode)
+        if name in LOOKED_UP:
+            # Looking up one id skips every row group that its filter rules out.
+            writer = writer.option(f"parquet.bloom.filter.enabled#{LOOKED_UP[name]}", "true")
         writer.parquet(self._path(name, batch_id))
 
     def batch(self, name: str, batch_id: str) -> DataFrame:
