@@ -331,3 +331,21 @@ def test_stored_layout(spark, root):
     assert "PartitionFilters: [isnotnull(pref_id" in plan_text and "Join" not in plan_text
     assert "EqualTo(law_id,5)" in plan_text
     assert set(S.ELEMENTS.fieldNames()) | {"pref_id"} == set(elements.columns)
+
+
+def test_lookups_read_few_rows(spark, root, tmp_path):
+    """One id's filter rules out the files of other laws by their Bloom filters."""
+    files = file_rows(spark, {f"/c/{p:02}/{p:02}0001/{i}.xml": numbered(100 * p + i) for p in range(1, 9) for i in range(1, 5)})
+    ingest(spark, files, root, "b1", check_municipalities=False, with_strings=True)
+    law_id = table(spark, root, "laws").orderBy("law_id").collect()[15].law_id
+
+    def rows_read(df):
+        plan_ = df._jdf.queryExecution().executedPlan()
+        df._jdf.queryExecution().toRdd().count()
+        return plan_.collectLeaves().apply(0).metrics().apply("numOutputRows").value()
+
+    elements = table(spark, root, "elements")
+    assert elements.count() == 128
+    assert rows_read(elements.where(F.col("law_id") == law_id)) <= 16
+    wanted = table(spark, root, "strings").where("string_id = 'none'")
+    assert rows_read(wanted) == 0

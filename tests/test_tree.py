@@ -196,3 +196,49 @@ def test_read_back(spark, parsed, rows):
     assert readback.element_content(rows, law_id, caption.elem_id).collect() == [("題",)]
     kept = readback.law_tree(first(rows))
     assert kept.count() == first(rows).count() - 3
+
+
+def test_lineage_of_broken_trees(spark):
+    """Chains, missing parents and cycles, against walking up one by one."""
+    import random
+
+    rng, rows = random.Random(3), []
+    for law_id in (5, 6):
+        ids = list(range(1, 90))
+        for i in ids:
+            parent = rng.choice([-law_id, i - 1, i - 1, i - 1, rng.choice(ids), 1000 + i] if i > 1 else [-law_id])
+            rows.append((law_id, i, parent, i, f"E{i % 3}", str(i), "kept"))
+    rows += [(7, 1, -7, 1, "E", "1", "kept")] + [(7, i, i - 1, i, "E", str(i), "kept") for i in range(2, 70)]
+    rows += [(8, 1, 1, 1, "E", "1", "kept"), (8, 2, 3, 2, "E", "2", "kept"), (8, 3, 2, 3, "E", "3", "kept"), (8, 4, 2, 4, "E", "4", "kept")]
+    names = "law_id long, elem_id long, parent_id long, ord int, etype string, num_raw string, other string"
+    got = {(r.law_id, r.elem_id): r for r in tree.with_lineage(spark.createDataFrame(rows, names)).collect()}
+    by_id = {(r[0], r[1]): r for r in rows}
+    assert got.keys() == by_id.keys()
+    for (law_id, elem_id), r in got.items():
+        above, at, linkage = [], by_id[law_id, elem_id], None
+        while linkage is None:
+            if at[2] == -law_id:
+                linkage = "rooted"
+            elif (law_id, at[2]) not in by_id:
+                linkage = "orphan"
+            elif len(above) > len(by_id):
+                linkage, above = "cycle", []
+            else:
+                at = by_id[law_id, at[2]]
+                above.append((at[3], at[4], at[5]))
+        assert (r.linkage, [tuple(a) for a in r.lineage], r.other) == (linkage, above[::-1], "kept")
+        assert r.depth == (len(above) + 1 if linkage == "rooted" else None)
+
+
+@pytest.mark.parametrize("chunk", [1, 3, 1000])
+def test_plaintext_of_chunks(spark, monkeypatch, chunk):
+    monkeypatch.setattr(xml, "CHUNK", chunk)
+    files = file_rows(spark, {
+        "/c/01/010001/1.xml": law(main(article("1", paragraph("1", "a", "b")) + article("2", paragraph("1", "", "c\n", "d")))),
+        "/c/01/010001/2.xml": law(main(article("1"))), "/c/01/010001/3.xml": law(""), "/c/01/010001/4.xml": "<Laws>",
+    })
+    chunks = xml.parse_chunks(files)
+    got = {r.file_id: r.plaintext for r in tree.plaintext_of_chunks(chunks, "file_id").collect()}
+    assert got == {1: "abc\nd", 2: ""}
+    rows = xml.elements(xml.rows_of(chunks), "file_id")
+    assert got == {r.file_id: r.plaintext for r in tree.plaintext(rows, "file_id").collect()}

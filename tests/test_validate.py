@@ -174,3 +174,32 @@ def test_dimension_checks(spark):
         ("prefectures", "duplicate key", "1"), ("prefectures", "name too long", "長" * 51),
         ("municipalities", "unknown prefecture", "30001"), ("municipalities", "no name", "10001"),
     }
+
+
+MIXED = main(
+    article("1", paragraph("1", "a") + paragraph("2", "b") + paragraph("01", "c") + paragraph("x-1", "d"))
+    + article("2", paragraph("1", "a", more=tag("Item", tag("Item"), "1") + tag("Item", num="1")))
+    + tag("Chapter", article("5") + article("5") + tag("Section") + article("5"))
+    + article("1_0") + article("3") + tag("Chapter", num="3") + article("2_1000") + "<Section/>"
+) + "<SupplProvision>" + paragraph("1", "s") + paragraph("1", "t") + "</SupplProvision>" + "<SupplProvision/>"
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 5, 7])
+def test_checks_across_chunks(spark, monkeypatch, chunk):
+    """A file in several rows has the errors of the file in one row."""
+    options = {"check_siblings": True, "check_cross_type_numbers": True}
+    whole = errors_of(spark, MIXED, **options)
+    assert len(whole) > 12
+    monkeypatch.setattr(xml, "CHUNK", chunk)
+    assert errors_of(spark, MIXED, **options) == whole
+
+
+def test_checks_shuffle_no_elements(spark):
+    """What is grouped comes from the stored findings; the files are read in a plan without exchange."""
+    chunks = xml.parse_chunks(one_file(spark, law(MIXED)), etypes=S.ETYPES)
+    found = validate.findings(chunks, S.ETYPES, True, True, whole_files=True)
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    # Of the chunk's 30 elements only errors and siblings in question are there.
+    valid = law(main("".join(article(str(i), paragraph("1", "x")) for i in range(1, 200))))
+    chunks = xml.parse_chunks(one_file(spark, valid))
+    assert [r.kind for r in validate.findings(chunks, S.ETYPES, True, True, whole_files=True).collect()] == ["file"]
