@@ -11,9 +11,9 @@ there, each as a hash of the words before and after the place. Two lines share a
 same place exactly if one edit there turns one into the other: equal variants need no comparison of
 pairs, the earliest line under a key stands for all, and the edit is verified on that one.
 
-Variants are many, so lines without a partner are set aside first, and exactly: one edit leaves
-the first or the last 2**k words of a line alone if the line has at least 2**(k+1), so a line that
-shares neither end with any other different line has no neighbour.
+Variants are many, so lines without a partner are set aside first, and exactly: one edit in the longer
+of two lines, of m words, leaves its first m // 2 words or the others alone, so a line that shares
+neither half, for its own length or one word more, with any other different line has no neighbour.
 
 For the growing bound, an edit takes away at most two of a line's pairs of adjacent words. In any fixed
 order, fewer pairs than that come before the least pair that two such lines have in common, so both
@@ -59,49 +59,33 @@ def _words(line: str) -> Column:
     return F.expr(rf"array_remove(split({line}, '[\\x20\\x09-\\x0D]+'), '')")
 
 
-def _ends(n: Column) -> list[tuple[Column, Column]]:
-    """(k, whether it holds) of the end lengths 2**k of a line of n words: one, or two for 2**j - 1.
-
-    The shorter of two lines one insertion apart falls into the class below the longer one's if its
-    length is 2**j - 1; it has the keys of both classes.
-    """
-    def log2(x: Column) -> Column:
-        return F.length(F.bin(x)) - 1
-
-    return [(log2(n) - 1, F.lit(True)), (log2(n), _power(log2(n + 1)) == n + 1)]
-
-
-def _power(k: Column) -> Column:
-    return F.call_function("shiftleft", F.lit(1), k)
-
-
-def _end_keys(words: str, n: str) -> Column:
-    """Hashes of the first and the last words of a line, up to four."""
+def _half_keys(words: str, n: str) -> Column:
+    """Hashes of both halves of a line, as the longer of two lines and as the shorter one."""
     keys = []
-    for k, holds in _ends(F.col(n)):
-        length = _power(k)
-        first = F.slice(words, F.lit(1), length)
-        last = F.slice(words, F.col(n) - length + 1, length)
-        keys += [F.when(holds, F.xxhash64(F.lit(e), k, part)) for e, part in ((0, first), (1, last))]
-    return F.filter(F.array(*keys), lambda x: x.isNotNull())
+    for longer in (F.col(n), F.col(n) + 1):
+        first = F.floor(longer / 2).cast("int")
+        last = longer - first
+        keys.append(F.xxhash64(F.lit(0), longer, F.slice(words, F.lit(1), first)))
+        keys.append(F.xxhash64(F.lit(1), longer, F.slice(words, F.col(n) - last + 1, last)))
+    return F.array(*keys)
 
 
 def keyed_lines(rows: DataFrame) -> DataFrame:
-    """Position, key (a, b) and end keys of every line that has words. The one pass that splits them."""
+    """Position, key (a, b) and half keys of every line that has words. The one pass that splits them."""
     split = rows.withColumn("words", _words("line")).withColumn("n", F.size("words")).where("n > 0")
     return split.select(
         "doc_id", "hash", "line_no", F.xxhash64("words").alias("a"), F.xxhash64(F.lit(1), F.col("words")).alias("b"), "n",
-        F.when(F.col("n") >= MIN_WORDS, _end_keys("words", "n")).alias("ends"),
+        F.when(F.col("n") >= MIN_WORDS, _half_keys("words", "n")).alias("ends"),
     )
 
 
 def distinct_lines(keyed: DataFrame) -> DataFrame:
-    """One row per distinct line: its key, first position, number of words and end keys."""
+    """One row per distinct line: its key, first position, number of words and half keys."""
     return keyed.groupBy("a", "b").agg(F.min(_position()).alias("at"), F.min("n").alias("n"), F.min("ends").alias("ends"))
 
 
 def partnered(distinct: DataFrame) -> DataFrame:
-    """(a, b, at, n) of the lines that share an end with another line."""
+    """(a, b, at, n) of the lines that share a half with another line."""
     ends = distinct.where("ends IS NOT NULL").select("a", "b", "at", "n", F.explode("ends").alias("end"))
     shared = ends.groupBy("end").agg(F.count("*").alias("lines")).where("lines > 1")
     return ends.join(shared.select("end"), "end", "left_semi").select("a", "b", "at", "n").distinct()
@@ -189,6 +173,7 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     variants = _variants_in_row(texts.where(F.col("n") <= IN_ROW)).unionByName(
         _variants_by_word(texts.where(F.col("n") >= IN_ROW))
     )
+    variants = saved(variants, "variants")
     least = variants.groupBy("key").agg(F.min("no").alias("first"), F.max("no").alias("last"), F.count("*").alias("lines"))
     least = saved(least.where("first < last"), "shared")
     # Of two lines the later one is known; of more, all that share the variant.
@@ -238,21 +223,17 @@ def similar_lines(docs: DataFrame, distinct: DataFrame, near: DataFrame, share:
     Lines of ``near`` are known to go; they stand among the earlier lines only.
     """
     # Two edits need 2 * share words in the longer line, which may hold two more than the other.
-    split = lines(docs).withColumn("words", _words("line")).withColumn("n", F.size("words"))
-    split = split.where(F.col("n") >= max(MIN_WORDS, 2 * share - 2))
-    # The lists are found and read in one exchange: it is the largest of this step.
-    index = split.select(F.xxhash64("words").alias("a"), F.explode(_first_pairs(share)).alias("key")).repartition("key")
-    met = index.groupBy("key").agg(F.min("a").alias("x"), F.max("a").alias("y")).where("x <> y").select("key")
-    index = saved(index.join(met, "key").distinct(), "index")
-    some = distinct.join(index.select("a").distinct(), "a").select("a", "b", "at", "n")
-    some = saved(some, "met")
-    texts = needed_lines(docs, some).select("a", "b", "at", "n", _words("line").alias("words")).dropDuplicates(["a", "b"])
-    texts = texts.withColumn("code", F.expr(_as_text("words", "xxhash64(w)")))
-    texts = texts.join(near.select("a", "b", F.lit(True).alias("near")), ["a", "b"], "left")
+    some = distinct.where(F.col("n") >= max(MIN_WORDS, 2 * share - 2)).select("a", "b", "at", "n")
+    some = saved(some.join(near.select("a", "b", F.lit(True).alias("near")), ["a", "b"], "left"), "some")
+    # Every different line once, whatever the number of its copies; rows that repeat a document repeat its lines.
+    texts = needed_lines(docs, some).select("a", "b", "at", "n", "near", _words("line").alias("words")).dropDuplicates(["a", "b"])
     texts = saved(texts.orderBy("at", "a", "b").drop("at").withColumn("no", F.monotonically_increasing_id()), "lines")
     freed(some)
-    lists = saved(index.join(texts.select("a", "no", "n", "near"), "a").select("key", "no", "n", "near"), "lists")
-    freed(index)
+    # The lists are found and read in one exchange: it is the largest of this step.
+    index = texts.select("no", "n", "near", F.explode(_first_pairs(share)).alias("key")).repartition("key")
+    met = index.groupBy("key").agg(F.count("*").alias("lines")).where("lines > 1").select("key")
+    lists = saved(index.join(met, "key").select("key", "no", "n", "near"), "lists")
+    texts = texts.withColumn("code", F.expr(_as_text("words", "xxhash64(w)")))
     least = lists.groupBy("key").agg(F.min("no").alias("other"), F.min_by("n", "no").alias("n2"))
     fits = F.expr(f"abs(n - n2) <= greatest(n, n2) div {share}")
     open_ = lists.where("near IS NULL")
