@@ -55,8 +55,18 @@ def lines(docs: DataFrame) -> DataFrame:
     return rows
 
 
+def _words_sql(line: str) -> str:
+    return rf"array_remove(split({line}, '[\\x20\\x09-\\x0D]+'), '')"
+
+
 def _words(line: str) -> Column:
-    return F.expr(rf"array_remove(split({line}, '[\\x20\\x09-\\x0D]+'), '')")
+    return F.expr(_words_sql(line))
+
+
+def _of_words(condition: str) -> Column:
+    """A condition on the words p.x of ``line`` and p.y of ``line2``; the one-element array has both cut only once."""
+    pair = f"named_struct('x', {_words_sql('line')}, 'y', {_words_sql('line2')})"
+    return F.expr(f"exists(array({pair}), p -> {condition})")
 
 
 def _half_keys(words: str, n: str) -> Column:
@@ -148,30 +158,39 @@ def _cell(number: Column) -> tuple[Column, Column]:
 
 
 def needed_lines(docs: DataFrame, some: DataFrame) -> DataFrame:
-    """The lines at the positions ``at`` of ``some``, with its columns.
+    """``some`` (at, a, b, others) with the line at each position ``at``, once however often its document repeats.
 
     A bitmap of fixed size first passes over nearly all other lines, so that their texts are not
-    shuffled; the join decides.
+    shuffled; the join decides. It has one key, by which repeated rows are dropped without another exchange.
     """
-    cell, bit = _cell(F.xxhash64("at.doc_id", "at.hash", "at.line_no"))
+    at = F.xxhash64("at.doc_id", "at.hash", "at.line_no")
+    cell, bit = _cell(at)
     bitmap = some.select(cell.alias("cell"), bit.alias("bit")).groupBy("cell").agg(F.bit_or("bit").alias("bits"))
-    cell, bit = _cell(F.xxhash64("doc_id", "hash", "line_no"))
-    rows = lines(docs).withColumns({"at_cell": cell, "at_bit": bit})
+    rows = lines(docs).withColumn("place", F.xxhash64("doc_id", "hash", "line_no"))
+    cell, bit = _cell(F.col("place"))
+    rows = rows.withColumns({"at_cell": cell, "at_bit": bit})
     rows = rows.join(F.broadcast(bitmap), F.col("at_cell") == F.col("cell"))  # at most BITMAP rows of two longs
-    rows = rows.where(F.col("bits").bitwiseAND(F.col("at_bit")) != 0)
-    at = [F.col("doc_id").eqNullSafe(F.col("at.doc_id")), F.col("hash") == F.col("at.hash"), F.col("line_no") == F.col("at.line_no")]
-    return rows.select("doc_id", "hash", "line_no", "line").join(some, at)
+    rows = rows.where(F.col("bits").bitwiseAND(F.col("at_bit")) != 0).select("place", "doc_id", "hash", "line_no", "line")
+    joined = rows.join(some.withColumn("place", at), "place").where(
+        F.col("doc_id").eqNullSafe(F.col("at.doc_id")) & (F.col("hash") == F.col("at.hash")) & (F.col("line_no") == F.col("at.line_no"))
+    )
+    return joined.select("place", *some.columns, "line").dropDuplicates(["place", "a", "b"])
+
+
+def in_order(some: DataFrame) -> DataFrame:
+    """``some`` with ``no``, which follows the positions; a line's text is not sorted along."""
+    return saved(some.orderBy("at", "a", "b").withColumn("no", F.monotonically_increasing_id()), "some")
 
 
 def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """(a, b) of the lines that have an earlier line one edit away."""
-    some = saved(partnered(distinct), "partnered")
-    # Rows that repeat a document repeat its lines. Numbers follow the positions.
-    texts = needed_lines(docs, some).select("a", "b", "at", "n", _words("line").alias("words")).dropDuplicates(["a", "b"])
-    texts = saved(texts.orderBy("at", "a", "b").drop("at").withColumn("no", F.monotonically_increasing_id()), "lines")
+    some = in_order(partnered(distinct))
+    # Lines travel as text; their words are cut where they are compared.
+    texts = saved(needed_lines(docs, some).select("no", "a", "b", "n", "line"), "lines")
     freed(some)
-    variants = _variants_in_row(texts.where(F.col("n") <= IN_ROW)).unionByName(
-        _variants_by_word(texts.where(F.col("n") >= IN_ROW))
+    split = texts.select("no", "n", _words("line").alias("words"))
+    variants = _variants_in_row(split.where(F.col("n") <= IN_ROW)).unionByName(
+        _variants_by_word(split.where(F.col("n") >= IN_ROW))
     )
     variants = saved(variants, "variants")
     least = variants.groupBy("key").agg(F.min("no").alias("first"), F.max("no").alias("last"), F.count("*").alias("lines"))
@@ -179,9 +198,9 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     # Of two lines the later one is known; of more, all that share the variant.
     more = variants.join(least.where("lines > 2").select("key", "first"), "key").where("first < no").select("no", "first")
     pairs = least.select(F.col("last").alias("no"), "first").unionByName(more).distinct()
-    known = texts.select("no", "a", "b", "words")
-    other = texts.select(F.col("no").alias("first"), F.col("words").alias("words2"))
-    verified = pairs.join(known, "no").join(other, "first").where(F.expr(_one_edit("words", "words2")))
+    known = texts.select("no", "a", "b", "line")
+    other = texts.select(F.col("no").alias("first"), F.col("line").alias("line2"))
+    verified = pairs.join(known, "no").join(other, "first").where(_of_words(_one_edit("p.x", "p.y")))
     return verified.select("a", "b").distinct()
 
 
@@ -205,16 +224,18 @@ def _as_text(words: str, code: str) -> str:
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, share: int) -> DataFrame:
-    """no of ``pairs`` (no, other) of lines that have at least ``share`` words for each edit between them."""
-    known = texts.select("no", "a", "b", "n", "words", "code")
-    other = texts.select(F.col("no").alias("other"), *[F.col(c).alias(f"{c}2") for c in ("n", "words", "code")])
+    """(no, a, b) of ``pairs`` (no, other) of lines that have at least ``share`` words for each edit between them."""
     bound = f"cast(greatest(n, n2) div {share} AS int)"
-    met = pairs.join(known, "no").join(other, "other")
-    # Words that share a character can only lessen the distance; then each word has its own.
-    met = met.where(f"levenshtein(code, code2, {bound}) >= 0")
-    x, y = (_as_text(w, "array_position(both, w)") for w in ("words", "words2"))
-    exact = f"exists(array(array_distinct(concat(words, words2))), both -> levenshtein({x}, {y}, {bound}) >= 0)"
-    return met.where(exact).select("no", "a", "b").distinct()
+    # Words that share a character can only lessen the distance, so short texts settle most pairs.
+    code = F.expr(_as_text(_words_sql("line"), "xxhash64(w)")).alias("code")
+    known, other = texts.select("no", "n", code), texts.select(F.col("no").alias("other"), F.col("n").alias("n2"), code.alias("code2"))
+    close = pairs.join(known, "no").join(other, "other").where(f"levenshtein(code, code2, {bound}) >= 0")
+    # Then each word has a character of its own.
+    known, other = texts.select("no", "a", "b", "line"), texts.select(F.col("no").alias("other"), F.col("line").alias("line2"))
+    met = close.select("no", "other", "n", "n2").join(known, "no").join(other, "other")
+    x, y = (_as_text(w, "array_position(both, w)") for w in ("p.x", "p.y"))
+    exact = f"exists(array(array_distinct(concat(p.x, p.y))), both -> levenshtein({x}, {y}, {bound}) >= 0)"
+    return met.where(_of_words(exact)).select("no", "a", "b").distinct()
 
 
 def similar_lines(docs: DataFrame, distinct: DataFrame, near: DataFrame, share: int) -> DataFrame:
@@ -224,16 +245,15 @@ def similar_lines(docs: DataFrame, distinct: DataFrame, near: DataFrame, share:
     """
     # Two edits need 2 * share words in the longer line, which may hold two more than the other.
     some = distinct.where(F.col("n") >= max(MIN_WORDS, 2 * share - 2)).select("a", "b", "at", "n")
-    some = saved(some.join(near.select("a", "b", F.lit(True).alias("near")), ["a", "b"], "left"), "some")
-    # Every different line once, whatever the number of its copies; rows that repeat a document repeat its lines.
-    texts = needed_lines(docs, some).select("a", "b", "at", "n", "near", _words("line").alias("words")).dropDuplicates(["a", "b"])
-    texts = saved(texts.orderBy("at", "a", "b").drop("at").withColumn("no", F.monotonically_increasing_id()), "lines")
+    some = in_order(some.join(near.select("a", "b", F.lit(True).alias("near")), ["a", "b"], "left"))
+    # Every different line once, whatever the number of its copies.
+    texts = saved(needed_lines(docs, some).select("no", "a", "b", "n", "near", "line"), "lines")
     freed(some)
     # The lists are found and read in one exchange: it is the largest of this step.
-    index = texts.select("no", "n", "near", F.explode(_first_pairs(share)).alias("key")).repartition("key")
+    split = texts.select("no", "n", "near", _words("line").alias("words"))
+    index = split.select("no", "n", "near", F.explode(_first_pairs(share)).alias("key")).repartition("key")
     met = index.groupBy("key").agg(F.count("*").alias("lines")).where("lines > 1").select("key")
     lists = saved(index.join(met, "key").select("key", "no", "n", "near"), "lists")
-    texts = texts.withColumn("code", F.expr(_as_text("words", "xxhash64(w)")))
     least = lists.groupBy("key").agg(F.min("no").alias("other"), F.min_by("n", "no").alias("n2"))
     fits = F.expr(f"abs(n - n2) <= greatest(n, n2) div {share}")
     open_ = lists.where("near IS NULL")
