@@ -11,8 +11,6 @@ permutation per source and pass; blocks join by index.
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -75,6 +73,7 @@ class Draw:
     def __init__(self, slots: list[int], shard: int, seed: int):
         self.slots, self.shard, self.seed = np.array(slots, np.int64), shard, seed
         self.shards = -(-int(self.slots.sum()) // shard)
+        self._halves: dict[tuple, np.ndarray] = {}  # neighbours share the upper ones
 
     def bounds(self, lo: int, hi: int) -> int:
         return min(hi * self.shard, int(self.slots.sum())) - lo * self.shard
@@ -91,10 +90,14 @@ class Draw:
                 lo, counts, before = middle, counts - left, before + left
         return before, counts
 
-    @functools.lru_cache(maxsize=64)  # neighbours share the upper halves
     def _left(self, lo: int, middle: int, hi: int, counts: tuple) -> np.ndarray:
-        rng = np.random.default_rng((self.seed, lo, hi))
-        return half(np.array(counts, np.int64), self.bounds(lo, middle), rng)
+        key = (lo, hi, counts)
+        if key not in self._halves:
+            if len(self._halves) >= 64:
+                self._halves.clear()
+            rng = np.random.default_rng((self.seed, lo, hi))
+            self._halves[key] = half(np.array(counts, np.int64), self.bounds(lo, middle), rng)
+        return self._halves[key]
 
 
 def permuted(index: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -210,18 +213,21 @@ def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """The mix as documents: a row for each document and pass that takes words of it.
 
     A document taken whole keeps its text; else the text is the words taken, in order. Documents
-    without words are in no mix. Rows that agree in doc_id, source and text are documents of their own.
+    without words are in no mix. Rows that agree in doc_id, source and text are documents of their own;
+    so are rows that agree in doc_id and text and come from different sources.
     """
     mix = Mix(docs)
     part = F.struct("first", "end")
     some = (
         mix.words.groupBy("doc_id", "hash", "copy", "turn")
-        .agg(F.sort_array(F.collect_list(part)).alias("parts"), F.sum(F.expr("end - first")).alias("n"), F.first("size").alias("size"))
-        .withColumnRenamed("doc_id", "id")
+        .agg(F.sort_array(F.collect_list(part)).alias("parts"), F.sum(F.expr("end - first")).alias("n"), F.first("size").alias("size"), F.first("src").alias("src"))
+        .join(mix.sources.select("src", F.col("source").alias("name")), "src").withColumnRenamed("doc_id", "id")
     )
     whole = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__hash": F.xxhash64("text")})
-    whole = whole.dropDuplicates(["__id", "__hash"])
-    joined = whole.join(some, whole.__id.eqNullSafe(some.id) & (whole.__hash == some.hash))
+    whole = whole.dropDuplicates(["__id", "__hash", "source"])
+    joined = whole.join(
+        some, whole.__id.eqNullSafe(some.id) & (whole.__hash == some.hash) & whole.source.eqNullSafe(some.name)
+    )
     # A text that starts with white space has an empty first piece. The one-element array binds the
     # words, so that a text is split once and not once for each of its parts.
     cut = F.expr(

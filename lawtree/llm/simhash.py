@@ -138,18 +138,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each component stays: the one with the smallest id.
+    """One document of each component stays: the one with the smallest id, a null id last.
 
     Of rows that share this id the one with the least hash of the text stays, then the one with the
-    least hash of all columns, so that reruns agree. A component in which every doc_id is null keeps
-    all its rows, as none can be told apart.
+    least hash of all columns, so that reruns agree.
     """
     keys = ("__hash", "__row")
     keyed = docs.withColumns({"__hash": F.xxhash64("text"), "__row": F.xxhash64(*docs.columns)})
-    rows = _grouped(keyed, keys).where("doc_id = component_id")
-    kept = rows.groupBy("component").agg(F.min(F.struct("doc_id", *keys)).alias("row")).select("row.*")
-    some = keyed.join(kept, ["doc_id", *keys], "left_semi").dropDuplicates(["doc_id", *keys])
-    return some.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    order = F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", *keys)
+    kept = _grouped(keyed, keys).groupBy("component").agg(F.min(order).alias("row")).select("row.*")
+    kept = kept.select(F.col("doc_id").alias("__id"), *[F.col(k).alias(f"{k}2") for k in keys])
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__hash2")) & (F.col("__row") == F.col("__row2"))
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", *keys]).select(docs.columns)
 
 
 def op9_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

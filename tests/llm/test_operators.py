@@ -154,6 +154,15 @@ def test_simhash_shared_ids(spark):
     assert twice[0] == twice[1] and len(twice[0]) == 1
 
 
+def test_simhash_null_ids(spark):
+    """A null id gives way to any other; of a component without ids one row stays."""
+    rng = np.random.default_rng(12)
+    a, b = (" ".join(f"w{x}" for x in rng.integers(0, 999, 80)) for _ in range(2))
+    rows = [(1, a, "s"), (None, a, "s"), (None, a, "t"), (None, b, "t"), (None, b, "s")]
+    kept = simhash.stage(spark, documents(spark, rows), FOLDER).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in kept) == sorted([(1, a), (0, b)])
+
+
 def test_simhash_links(spark):
     rng = np.random.default_rng(4)
     prints = {int(x) for x in rng.integers(-(1 << 62), 1 << 62, 300)}
@@ -352,6 +361,30 @@ def test_mixing(spark, awkward, nothing):
     assert size == sum(r.taken for r in got) or abs(size - sum(mix.targets)) <= 64 * 4
 
 
+def test_mixing_keeps_sources(spark):
+    """One id and text from two sources: each source's words stay its own."""
+    text = " ".join(f"w{i}" for i in range(300))
+    docs = documents(spark, [(1, text, "a"), (1, text, "b"), (1, text, None), (2, text, "a")])
+    words = Counter()
+    for r in mixing.stage(spark, docs, FOLDER).collect():
+        words[r.source] += len(r.text.split())
+    mix = mixing.Mix(docs)
+    assert words.keys() == {"a", "b", None}
+    for source, target in zip(("a", "b", None), mix.targets):
+        assert abs(words[source] - target) <= 2 * mixing.BLOCK
+
+
+def test_draw_travels_by_value():
+    """Tasks need no copy of the package: the draw names no module of it."""
+    from pyspark import cloudpickle
+    data = cloudpickle.dumps(mixing.Draw([5, 6], 4, 1)) + cloudpickle.dumps(mixing._slots([5], [5], 4, 1))
+    found = __import__("subprocess").run(
+        [__import__("sys").executable, "-c", "import pickle, sys; pickle.load(sys.stdin.buffer); print('lawtree' in sys.modules)"],
+        input=data, capture_output=True, cwd="/",
+    )
+    assert found.stdout == b"False\n", found.stderr
+
+
 def test_mixing_parts():
     assert mixing.targets([100, 100, 100]) == [50.0, 100.0, 150.0]
     assert mixing.targets([10, 0, 90]) == [25.0, 0.0, 75.0] and mixing.targets([]) == []
