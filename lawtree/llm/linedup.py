@@ -226,16 +226,17 @@ def _as_text(words: str, code: str) -> str:
 def _similar(pairs: DataFrame, texts: DataFrame, share: int) -> DataFrame:
     """(no, a, b) of ``pairs`` (no, other) of lines that have at least ``share`` words for each edit between them."""
     bound = f"cast(greatest(n, n2) div {share} AS int)"
-    # Words that share a character can only lessen the distance, so short texts settle most pairs.
-    code = F.expr(_as_text(_words_sql("line"), "xxhash64(w)")).alias("code")
-    known, other = texts.select("no", "n", code), texts.select(F.col("no").alias("other"), F.col("n").alias("n2"), code.alias("code2"))
-    close = pairs.join(known, "no").join(other, "other").where(f"levenshtein(code, code2, {bound}) >= 0")
-    # Then each word has a character of its own.
-    known, other = texts.select("no", "a", "b", "line"), texts.select(F.col("no").alias("other"), F.col("line").alias("line2"))
-    met = close.select("no", "other", "n", "n2").join(known, "no").join(other, "other")
+    pairs = saved(pairs, "pairs")
+    # Lines that are in no pair are not shuffled.
+    paired = pairs.select(F.explode(F.array("no", "other")).alias("no")).distinct()
+    some = texts.join(paired, "no", "left_semi").select("no", "a", "b", "n", "line")
+    other = some.select(F.col("no").alias("other"), F.col("n").alias("n2"), F.col("line").alias("line2"))
+    met = pairs.join(some, "no").join(other, "other")
+    # Words that share a character can only lessen the distance; then each word has its own.
+    short, short2 = (_as_text(w, "xxhash64(w)") for w in ("p.x", "p.y"))
     x, y = (_as_text(w, "array_position(both, w)") for w in ("p.x", "p.y"))
     exact = f"exists(array(array_distinct(concat(p.x, p.y))), both -> levenshtein({x}, {y}, {bound}) >= 0)"
-    return met.where(_of_words(exact)).select("no", "a", "b").distinct()
+    return met.where(_of_words(f"levenshtein({short}, {short2}, {bound}) >= 0 AND {exact}")).select("no", "a", "b").distinct()
 
 
 def similar_lines(docs: DataFrame, distinct: DataFrame, near: DataFrame, share: int) -> DataFrame:
