@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lawtree import schema as S
 from lawtree.functions.numerals import kanji_to_arabic
 
+# The format of a number attribute, the text for what is missing, the marks of ordinances and rules.
 NUM_FORMAT = "^[0-9]+(?:_[0-9]+)*$"
 UNKNOWN = "UNK"
 REIKI = "条例|規則"

@@ -7,19 +7,16 @@ from lawtree.operators import tree
 from lawtree.sources import xml
 from lawtree.sources import files as sources
 
-CAPTION = "<ArticleCaption> （見出し）</ArticleCaption><ArticleTitle>第一条</ArticleTitle>"
-SUPPL = (
-    "<SupplProvision><SupplProvisionLabel>附　則</SupplProvisionLabel>"
-    + paragraph("1", "附則一") + paragraph("2", "附則二") + paragraph("3", "附則三")
-    + '</SupplProvision><SupplProvision AmendLawNum="">' + paragraph("1", " 附則四 ") + "</SupplProvision>"
-)
-SAMPLE = "﻿" + law(
+WRITTEN = "\ufeff" + law(
     main(
-        article("1", CAPTION + paragraph("1", " 一 "))
-        + article("2", CAPTION + paragraph("1", " 一 ") + paragraph("2", "本文", "但し書き"))
+        '<Chapter Num="1"><ChapterTitle>総則</ChapterTitle>'
+        + article("3", paragraph("1", "甲", "乙", "丙 "))
+        + article("3_2", "<ArticleCaption>　題　</ArticleCaption>" + paragraph("1", "\t丁", more=(
+            '<Item Num="1"><ItemTitle>イ</ItemTitle>' + sentence("ItemSentence", " 戊") + "</Item>")))
+        + "</Chapter>"
     )
-    + SUPPL,
-    num="法令番号",
+    + "<SupplProvision>" + paragraph("1", "己\n庚") + "</SupplProvision>",
+    num="規則第七号",
 )
 
 DEEP = law(
@@ -50,22 +47,20 @@ def types(rows):
     return out
 
 
-def test_sample_counts(spark):
-    rows = parsed_elements(spark, SAMPLE)
+def test_counts_of_a_file(spark):
+    rows = parsed_elements(spark, WRITTEN)
     assert types(rows) == {
-        "MainProvision": 1, "Article": 2, "ArticleCaption": 2, "Paragraph": 3, "ParagraphSentence": 3,
+        "MainProvision": 1, "Chapter": 1, "Article": 2, "ArticleCaption": 1, "Paragraph": 2, "ParagraphSentence": 2,
+        "Item": 1, "ItemSentence": 1,
     }
     assert sum(len(r.texts) for r in rows) == 6
-    rows = parsed_elements(spark, SAMPLE, etypes=S.ETYPES)
-    assert len(rows) == 21 and sum(len(r.texts) for r in rows) == 10
+    rows = parsed_elements(spark, WRITTEN, etypes=S.ETYPES)
+    assert len(rows) == 14 and sum(len(r.texts) for r in rows) == 7
 
 
 def test_texts_are_kept_as_written(spark):
-    rows = parsed_elements(spark, SAMPLE, etypes=S.ETYPES)
-    assert [t for r in rows for t in r.texts] == [
-        " （見出し）", " 一 ", " （見出し）", " 一 ", "本文", "但し書き",
-        "附則一", "附則二", "附則三", " 附則四 ",
-    ]
+    rows = parsed_elements(spark, WRITTEN, etypes=S.ETYPES)
+    assert [t for r in rows for t in r.texts] == ["甲", "乙", "丙 ", "　題　", "\t丁", " 戊", "己\n庚"]
 
 
 def test_text_rules(spark):
@@ -162,7 +157,7 @@ def test_reiki_only_skips_bodies_not_files(spark):
 
 @pytest.mark.parametrize("chunk, batch", [(1, 1), (3, 5), (7, 1000)])
 def test_chunks_make_no_difference(spark, monkeypatch, chunk, batch):
-    files = file_rows(spark, {f"/c/01/010001/{i}.xml": SAMPLE for i in range(5)})
+    files = file_rows(spark, {f"/c/01/010001/{i}.xml": WRITTEN for i in range(5)})
     whole = xml.elements(xml.parse(files), "path").orderBy("path", "ord").collect()
     monkeypatch.setattr(xml, "CHUNK", chunk)
     monkeypatch.setattr(xml, "BATCH", batch)
