@@ -253,7 +253,9 @@ def similar_lines(docs: DataFrame, distinct: DataFrame, near: DataFrame, share:
     # The lists are found and read in one exchange: it is the largest of this step.
     split = texts.select("no", "n", "near", _words("line").alias("words"))
     index = split.select("no", "n", "near", F.explode(_first_pairs(share)).alias("key")).repartition("key")
-    met = index.groupBy("key").agg(F.count("*").alias("lines")).where("lines > 1").select("key")
+    # Both sides ask for the same columns, so that the exchange is made once.
+    row = F.struct("no", "n", "near")
+    met = index.groupBy("key").agg(F.min(row).alias("x"), F.max(row).alias("y")).where("x.no <> y.no").select("key")
     lists = saved(index.join(met, "key").select("key", "no", "n", "near"), "lists")
     least = lists.groupBy("key").agg(F.min("no").alias("other"), F.min_by("n", "no").alias("n2"))
     fits = F.expr(f"abs(n - n2) <= greatest(n, n2) div {share}")
