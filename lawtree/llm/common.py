@@ -27,11 +27,23 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+# Whether the shuffle files of a query go when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: its lineage ends there."""
+    """Write ``df`` to the shared folder and read it back: its lineage ends there.
+
+    Nothing reads the shuffles behind it again, so their files go with the end of the write.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -17,8 +17,9 @@ neither half, for its own length or one word more, with any other different line
 
 For the growing bound, an edit takes away at most two of a line's pairs of adjacent words. In any fixed
 order, fewer pairs than that come before the least pair that two such lines have in common, so both
-have it among as many first pairs (``_first_pairs``). The order has the longest words first: they are
-rare. Lines that meet under a pair are verified by their word edit distance, first against the earliest
+have it among as many first pairs (``_first_pairs``). The order has frequent pairs last, by counts in a sketch
+of fixed size (``_heat``), and among the others the longest words first: they are rare. So a pair that very many
+lines share is a key only of lines that hold little else. Lines that meet under a pair are verified by their word edit distance, first against the earliest
 line there, which settles groups of copies without comparing all of them, then against every earlier one.
 """
 
@@ -37,6 +38,8 @@ SHARE = 5
 IN_ROW = 128
 # Longs in the bitmap that tells which lines may be needed as text: two megabytes, however many lines.
 BITMAP = 1 << 17
+# Cells of the sketch that counts word pairs, sixteen to a long: half a megabyte.
+CELLS = 1 << 20
 
 
 def _position() -> Column:
@@ -201,7 +204,29 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     known = texts.select("no", "a", "b", "line")
     other = texts.select(F.col("no").alias("first"), F.col("line").alias("line2"))
     verified = pairs.join(known, "no").join(other, "first").where(_of_words(_one_edit("p.x", "p.y")))
-    return verified.select("a", "b").distinct()
+    near = saved(verified.select("a", "b").distinct(), "near")
+    for used in (texts, variants, least):
+        freed(used)
+    return near
+
+
+def _heat(split: DataFrame) -> Column:
+    """How frequent each cell of word pairs is: 0 below twice the mean of all cells, one more for each doubling.
+
+    A scalar subquery with one array of CELLS / 16 longs, four bits to a cell.
+    """
+    cell = F.explode(F.expr(f"zip_with(slice(words, 1, n - 1), slice(words, 2, n - 1), (s, t) -> pmod(xxhash64(s, t), {CELLS}))"))
+    counts = split.where("n > 1").select(cell.alias("cell")).groupBy("cell").agg(F.count("*").alias("pairs"))
+    counts = saved(counts, "heat")
+    # The mean over every cell, as a subquery of one number.
+    mean = counts.agg((F.coalesce(F.sum("pairs"), F.lit(0)) / CELLS).alias("mean")).scalar()
+    level = F.least(F.floor(F.log2(F.col("pairs") / mean)), F.lit(15)).cast("long")
+    hot = counts.where(F.col("pairs") >= 2 * mean).withColumn("level", level)
+    packed = hot.select(F.floor(F.col("cell") / 16).alias("long"), F.expr("shiftleft(level, cast(4 * pmod(cell, 16) AS int))").alias("bits"))
+    packed = packed.groupBy("long").agg(F.bit_or("bits").alias("bits"))
+    every = split.sparkSession.range(CELLS // 16).withColumnRenamed("id", "long").join(packed, "long", "left")
+    row = F.struct("long", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))
+    return every.agg(F.transform(F.array_sort(F.collect_list(row)), lambda r: r.bits).alias("heat")).scalar()
 
 
 def _first_pairs(share: int) -> Column:
@@ -209,10 +234,13 @@ def _first_pairs(share: int) -> Column:
 
     Of n words, n // share may be edited, and each edit takes two pairs away. If the other line is
     longer, inserted words allow for more edits but take one pair each; that gains one pair at most.
+    ``heat`` is that of the pairs' cells.
     """
+    level = f"shiftrightunsigned(get(heat, cast(pmod(h, {CELLS}) div 16 AS int)), cast(4 * pmod(h, 16) AS int)) & 15"
     pairs = F.expr(
-        """array_distinct(zip_with(slice(words, 1, n - 1), slice(words, 2, n - 1), (s, t) ->
-             shiftleft(cast(least(length(s) + length(t), 127) AS bigint), 56) | shiftrightunsigned(xxhash64(s, t), 8)))"""
+        f"""array_distinct(transform(zip_with(slice(words, 1, n - 1), slice(words, 2, n - 1), (s, t) ->
+              named_struct('l', least(length(s) + length(t), 127), 'h', xxhash64(s, t))), p ->
+              shiftleft(15 - ({level.replace("(h,", "(p.h,")}), 59) | shiftleft(cast(p.l AS bigint), 52) | shiftrightunsigned(p.h, 12)))"""
     )
     taken = F.expr(f"greatest(2 * (n div {share}), 2 * ((n + 1) div {share}) - 1)").cast("int")
     return F.slice(F.sort_array(pairs, asc=False), F.lit(1), taken + 1)
@@ -224,7 +252,7 @@ def _as_text(words: str, code: str) -> str:
 
 
 def _similar(pairs: DataFrame, texts: DataFrame, share: int) -> DataFrame:
-    """(no, a, b) of ``pairs`` (no, other) of lines that have at least ``share`` words for each edit between them."""
+    """(no, a, b), stored, of ``pairs`` (no, other) of lines that have at least ``share`` words for each edit between them."""
     bound = f"cast(greatest(n, n2) div {share} AS int)"
     pairs = saved(pairs, "pairs")
     # Lines that are in no pair are not shuffled.
@@ -236,7 +264,10 @@ def _similar(pairs: DataFrame, texts: DataFrame, share: int) -> DataFrame:
     short, short2 = (_as_text(w, "xxhash64(w)") for w in ("p.x", "p.y"))
     x, y = (_as_text(w, "array_position(both, w)") for w in ("p.x", "p.y"))
     exact = f"exists(array(array_distinct(concat(p.x, p.y))), both -> levenshtein({x}, {y}, {bound}) >= 0)"
-    return met.where(_of_words(f"levenshtein({short}, {short2}, {bound}) >= 0 AND {exact}")).select("no", "a", "b").distinct()
+    met = met.where(_of_words(f"levenshtein({short}, {short2}, {bound}) >= 0 AND {exact}"))
+    similar = saved(met.select("no", "a", "b").distinct(), "similar")
+    freed(pairs)
+    return similar
 
 
 def similar_lines(docs: DataFrame, distinct: DataFrame, near: DataFrame, share: int) -> DataFrame:
@@ -252,6 +283,7 @@ def similar_lines(docs: DataFrame, distinct: DataFrame, near: DataFrame, share:
     freed(some)
     # The lists are found and read in one exchange: it is the largest of this step.
     split = texts.select("no", "n", "near", _words("line").alias("words"))
+    split = split.withColumn("heat", _heat(split))
     index = split.select("no", "n", "near", F.explode(_first_pairs(share)).alias("key")).repartition("key")
     # Both sides ask for the same columns, so that the exchange is made once.
     row = F.struct("no", "n", "near")
@@ -261,12 +293,15 @@ def similar_lines(docs: DataFrame, distinct: DataFrame, near: DataFrame, share:
     fits = F.expr(f"abs(n - n2) <= greatest(n, n2) div {share}")
     open_ = lists.where("near IS NULL")
     first = open_.join(least, "key").where("other < no").where(fits).select("no", "other").distinct()
-    found = saved(_similar(first, texts, share), "similar")
+    found = _similar(first, texts, share)
     open_ = open_.join(found.select("no"), "no", "left_anti")
     earlier = lists.select("key", F.col("no").alias("other"), F.col("n").alias("n2"))
     rest = open_.join(earlier, "key").where("other < no").where(fits).select("no", "other").distinct()
     rest = rest.join(first, ["no", "other"], "left_anti")
-    return found.unionByName(_similar(rest, texts, share)).select("a", "b")
+    both = saved(found.unionByName(_similar(rest, texts, share)).select("a", "b"), "similar")
+    for used in (lists, found, texts):
+        freed(used)
+    return both
 
 
 def dropped(docs: DataFrame, share: int | None = None) -> DataFrame:
@@ -279,7 +314,6 @@ def dropped(docs: DataFrame, share: int | None = None) -> DataFrame:
     distinct = saved(distinct_lines(keyed), "distinct")
     near = near_lines(docs, distinct)
     if share is not None:
-        near = saved(near, "near")
         near = near.unionByName(similar_lines(docs, distinct, near, share))
     near = near.withColumn("near", F.lit(True))
     # Where the line may stay; nowhere if an earlier neighbour exists.
