@@ -33,6 +33,9 @@ class Quantised:
     """Unit vectors, their int8 form and the length of what that leaves out."""
 
     def __init__(self, vectors: np.ndarray):
+        # A power of two brings the largest component near one: squares of very large and small ones stay finite.
+        _, exponents = np.frexp(np.abs(vectors).max(axis=1, keepdims=True))
+        vectors = np.ldexp(vectors, -exponents)
         self.unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
         self.scale = np.abs(self.unit).max(axis=1) / 127
         self.codes = np.rint(self.unit / self.scale[:, None]).astype(np.int8)
