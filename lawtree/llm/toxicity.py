@@ -23,9 +23,8 @@ from lawtree.llm.common import held_out, table
 
 FOLDS = 5
 THRESHOLD = 0.5
-# Labelled documents to learn from, of either label, and the largest lexicon.
+# Labelled documents to learn from, of either label.
 SAMPLE = 3000
-TERMS = 256
 # A term must be in so much of the toxic sample, in so many different texts, and be so exclusive to it.
 SUPPORT, TEXTS, PRECISION = 0.02, 4, 0.85
 WINDOW = 8
@@ -162,8 +161,7 @@ class Scanner:
         quoted = addressed = 0.0
         for i, _ in hits:
             left, right = tokens[max(0, i - WINDOW):i], tokens[i + 1:i + 1 + WINDOW]
-            marks = tokens[i][0] in QUOTES and tokens[i][-1].strip(".,!?") in QUOTES
-            marks = marks or _inside(left, right)
+            marks = _inside(left, tokens[i], right)
             around = {EDGES.sub("", t) for t in left + right}
             quoted += 0.5 * marks + 0.5 * bool(around & REPORTING)
             addressed += bool(around & ADDRESS)
@@ -177,10 +175,20 @@ class Scanner:
         ]
 
 
-def _inside(left: list[str], right: list[str]) -> bool:
-    """Whether an opened quotation mark before is closed after."""
-    opened = any(t[0] in QUOTES for t in left) and not any(t.rstrip(".,!?")[-1:] in QUOTES and t.rstrip(".,!?") for t in left)
-    return opened and any(t.rstrip(".,!?;:")[-1:] in tuple(QUOTES) for t in right)
+def _marks(token: str) -> tuple[bool, bool]:
+    """Whether a quotation mark opens and closes with the token, sentence signs aside."""
+    return token[0] in QUOTES, token.rstrip(".,!?;:").endswith(tuple(QUOTES))
+
+
+def _inside(left: list[str], token: str, right: list[str]) -> bool:
+    """Whether a quotation is opened at or before the token and closed at or after it.
+
+    The nearest mark on each side decides: one that closes before, or opens after, belongs to another quotation.
+    """
+    opens, closes = _marks(token)
+    before = next((not m[1] for t in reversed(left) if any(m := _marks(t))), False)
+    after = next((not m[0] for t in right if any(m := _marks(t))), False)
+    return (opens or before) and (closes or after)
 
 
 def _vocabulary(batches):
@@ -215,7 +223,7 @@ def learned_terms(sample: DataFrame) -> list[str]:
     counts = counts.withColumn("precision", rate / (rate + (F.col("c") + 0.5) / (clean + 1)))
     rows = (
         counts.where((rate >= SUPPORT) & (F.size("texts") >= TEXTS) & (F.col("precision") >= PRECISION))
-        .orderBy(F.desc(F.col("t") * F.col("precision")), "word").limit(TERMS).select("word", "texts", "t").collect()
+        .orderBy(F.desc(F.col("t") * F.col("precision")), "word").select("word", "texts", "t").collect()
     )
     candidates, found, terms = {r.word: set(r.texts) for r in rows}, Counter(), []
     least = max(TEXTS, round(SUPPORT * toxic))
