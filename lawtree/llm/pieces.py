@@ -11,6 +11,7 @@ the parts that start there are independent of each other and can be remembered.
 
 from __future__ import annotations
 
+import math
 import re
 from array import array
 from collections import deque
@@ -29,6 +30,8 @@ MARK = "▁"
 UNKNOWN_COST = 10.0
 # Pieces marked as unusable carry a score far below all others.
 UNUSABLE = -1e8
+# Added to a merge rank, so that the first pieces do not weigh too much; scores are multiples of STEP.
+SHIFT, STEP = 10.0, 2.0**-20
 # Parts remembered, in two generations, so that common ones stay.
 REMEMBERED = 200_000
 ROWS = 256
@@ -46,9 +49,23 @@ def vocabulary(path: str = MODEL) -> list[tuple[str, float, bool]]:
     return out
 
 
+def log_probabilities(entries: list[tuple[str, float, bool]]) -> list[tuple[str, float, bool]]:
+    """``entries`` with logarithms of probabilities as scores.
+
+    Vocabularies of merged pairs hold ranks instead, whole numbers from 0 down, of which sums mean
+    nothing; a piece then has a share in inverse proportion to its rank. Scores are rounded to
+    multiples of STEP: their sums are exact, whatever parts a text is cut into.
+    """
+    scores = [s for p, s, b in entries if p and not b and s > UNUSABLE]
+    if not any(s != int(s) for s in scores):
+        total = math.log(sum(1 / (SHIFT - s) for s in scores)) if scores else 0.0
+        entries = [(p, -math.log(SHIFT - s) - total if UNUSABLE < s <= 0 else s, b) for p, s, b in entries]
+    return [(p, round(s / STEP) * STEP, b) for p, s, b in entries]
+
+
 class Encoder:
     def __init__(self, entries: list[tuple[str, float, bool]]):
-        self.entries = entries
+        self.entries = entries = log_probabilities(entries)
         self.bytes = [b""] * len(entries)
         self.byte_ids = [0] * 256
         pieces: dict[str, tuple[int, float]] = {}
