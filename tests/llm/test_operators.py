@@ -125,6 +125,13 @@ def test_embeddings(spark):
     assert embeddup.near_duplicates(vectors(spark, [])).count() == 0
 
 
+def test_embeddings_of_any_length(spark):
+    """Squares of these components overflow or vanish in double precision."""
+    rows = [(1, [1e200, 2e200]), (2, [1e200, 2.001e200]), (3, [1e-200, 2e-200]), (4, [5e-324, 0.0]), (5, [3e307, 0.0]), (6, [0.0, 0.0])]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embeddup.near_duplicates(vectors(spark, rows)).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4), 6: (0, 6)}
+
+
 def plain_fingerprint(text):
     w = (text or "").encode().lower().split()
     shingles = [b" ".join(w[i:i + 3]) for i in range(len(w) - 2)] if len(w) > 2 else [b" ".join(w)] if w else []
@@ -281,7 +288,15 @@ def test_automaton():
 def test_toxicity(spark, awkward, nothing):
     rows = labelled(spark, "op8_toxicity")
     assert sum(r.predicted == r.toxic for r in rows) >= 0.9 * len(rows)
+    bad, good = ([r for r in rows if r.toxic == k] for k in (1, 0))
+    assert sum(r.predicted for r in bad) >= 0.5 * len(bad) and sum(r.predicted for r in good) <= 0.02 * len(good)
+    ranks = [(x.score > y.score) + 0.5 * (x.score == y.score) for x in bad for y in good]
+    assert sum(ranks) >= 0.75 * len(ranks)
     scanner = toxicity.Scanner(["idiot"])
+    for text, quoted in (
+        ('"idiot, you fool', False), ('you idiot" he', False), ('say "idiot", now', True), ('"a b" idiot "c d"', False), ('"a b" c "an idiot d."', True),
+    ):
+        assert (scanner.features(text)[toxicity.FEATURES.index("quoted")] > 0) == quoted, text
     plain, quoted = scanner.features("you are an idiot"), scanner.features('he said "what an idiot" again')
     at = dict(zip(toxicity.FEATURES, range(len(toxicity.FEATURES))))
     assert plain[at["quoted"]] == 0 < quoted[at["quoted"]] and plain[at["addressed"]] == 1
@@ -325,6 +340,11 @@ def test_encoding(spark, awkward, nothing):
     texts = Counter(r.text for r in pieces.decode(pieces.encode(awkward)).collect())
     assert texts == Counter(t or "" for _, t, _ in AWKWARD)
     assert pieces.encode(nothing).count() == 0
+    library = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    for text in ("The quick brown fox", "Hello, world. This is a test"):
+        assert list(encoder.encode(text)[0]) == library.encode(text)
+    shares = [math.exp(s) for p, s, b in encoder.entries if p and not b and s > pieces.UNUSABLE]
+    assert sum(shares) == pytest.approx(1, abs=1e-4)
     scores = {p.replace("▁", " "): s for p, s, b in encoder.entries if p and not b and s > pieces.UNUSABLE}
     scores.setdefault(" ", min(scores.values()))
 
