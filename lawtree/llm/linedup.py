@@ -19,7 +19,9 @@ For the growing bound, an edit takes away at most three of a line's triples of a
 order, fewer triples than that come before the least one that two such lines have in common, so both
 have it among as many first triples (``_first_triples``). The order has frequent triples last, by counts in a sketch
 of fixed size (``_heat``), and among the others the longest words first: they are rare. So a triple that very many
-lines share is a key only of lines that hold little else. Lines that meet under a triple are verified by their word edit distance, first against the earliest
+lines share is a key only of lines that hold little else. Lines that meet under a triple
+carry the parities of their words by 64 classes; an edit changes two of these at most, so lines that differ in more
+are not compared. The others are verified by their word edit distance, first against the earliest
 line there, which settles groups of copies without comparing all of them, then against every earlier one.
 """
 
@@ -287,19 +289,24 @@ def similar_lines(docs: DataFrame, distinct: DataFrame, near: DataFrame, share:
     freed(some)
     # The lists are found and read in one exchange: it is the largest of this step.
     split = texts.select("no", "n", "near", _words("line").alias("words"))
-    split = split.withColumn("heat", _heat(split))
-    index = split.select("no", "n", "near", F.explode(_first_triples(share)).alias("key")).repartition("key")
+    parity = F.expr("aggregate(words, 0L, (s, w) -> s ^ shiftleft(1L, cast(pmod(xxhash64(w), 64) AS int)))")
+    split = split.withColumns({"heat": _heat(split), "parity": parity})
+    index = split.select("no", "n", "near", "parity", F.explode(_first_triples(share)).alias("key")).repartition("key")
     # Both sides ask for the same columns, so that the exchange is made once.
-    row = F.struct("no", "n", "near")
+    row = F.struct("no", "n", "near", "parity")
     met = index.groupBy("key").agg(F.min(row).alias("x"), F.max(row).alias("y")).where("x.no <> y.no").select("key")
-    lists = saved(index.join(met, "key").select("key", "no", "n", "near"), "lists")
-    least = lists.groupBy("key").agg(F.min("no").alias("other"), F.min_by("n", "no").alias("n2"))
-    fits = F.expr(f"abs(n - n2) <= greatest(n, n2) div {share}")
+    lists = saved(index.join(met, "key").select("key", "no", "n", "near", "parity"), "lists")
+    least = lists.groupBy("key").agg(
+        F.min("no").alias("other"), F.min_by("n", "no").alias("n2"), F.min_by("parity", "no").alias("parity2")
+    )
+    # A word more or less changes one parity, another word two.
+    bound = f"greatest(n, n2) div {share}"
+    fits = F.expr(f"abs(n - n2) <= {bound} AND bit_count(parity ^ parity2) <= 2 * ({bound}) - abs(n - n2)")
     open_ = lists.where("near IS NULL")
     first = open_.join(least, "key").where("other < no").where(fits).select("no", "other").distinct()
     found = _similar(first, texts, share)
     open_ = open_.join(found.select("no"), "no", "left_anti")
-    earlier = lists.select("key", F.col("no").alias("other"), F.col("n").alias("n2"))
+    earlier = lists.select("key", F.col("no").alias("other"), F.col("n").alias("n2"), F.col("parity").alias("parity2"))
     rest = open_.join(earlier, "key").where("other < no").where(fits).select("no", "other").distinct()
     rest = rest.join(first, ["no", "other"], "left_anti")
     both = saved(found.unionByName(_similar(rest, texts, share)).select("a", "b"), "similar")
