@@ -15,11 +15,11 @@ Variants are many, so lines without a partner are set aside first, and exactly:
 of two lines, of m words, leaves its first m // 2 words or the others alone, so a line that shares
 neither half, for its own length or one word more, with any other different line has no neighbour.
 
-For the growing bound, an edit takes away at most three of a line's triples of adjacent words. In any fixed
-order, fewer triples than that come before the least one that two such lines have in common, so both
-have it among as many first triples (``_first_triples``). The order has frequent triples last, by counts in a sketch
-of fixed size (``_heat``), and among the others the longest words first: they are rare. So a triple that very many
-lines share is a key only of lines that hold little else. Lines that meet under a triple
+For the growing bound, an edit takes away at most two of a line's pairs of adjacent words. In any fixed
+order, fewer pairs than that come before the least pair that two such lines have in common, so both
+have it among as many first pairs (``_first_pairs``). The order has frequent pairs last, by counts in a sketch
+of fixed size (``_heat``), and among the others the longest words first: they are rare. So a pair that very many
+lines share is a key only of lines that hold little else. Lines that meet under a pair
 carry the parities of their words by 64 classes; an edit changes two of these at most, so lines that differ in more
 are not compared. The others are verified by their word edit distance, first against the earliest
 line there, which settles groups of copies without comparing all of them, then against every earlier one.
@@ -40,11 +40,8 @@ SHARE = 5
 IN_ROW = 128
 # Longs in the bitmap that tells which lines may be needed as text: two megabytes, however many lines.
 BITMAP = 1 << 17
-# Cells of the sketch that counts word triples, sixteen to a long: an eighth of a megabyte.
-CELLS = 1 << 18
-# SQL: a hash of each three adjacent words of a line of ``n`` > 2 words, and the sum of their lengths.
-TRIPLES = """transform(slice(words, 1, n - 2), (w, i) -> named_struct(
-  'h', xxhash64(w, get(words, i + 1), get(words, i + 2)), 'l', length(w) + length(get(words, i + 1)) + length(get(words, i + 2))))"""
+# Cells of the sketch that counts word pairs, sixteen to a long: half a megabyte.
+CELLS = 1 << 20
 
 
 def _position() -> Column:
@@ -216,17 +213,17 @@ def near_lines(docs: DataFrame, distinct: DataFrame) -> DataFrame:
 
 
 def _heat(split: DataFrame) -> Column:
-    """How frequent each cell of word triples is: 0 below twice the mean of all cells, one more for each doubling.
+    """How frequent each cell of word pairs is: 0 below twice the mean of all cells, one more for each doubling.
 
     A scalar subquery with one array of CELLS / 16 longs, four bits to a cell.
     """
-    cell = F.explode(F.expr(f"transform({TRIPLES}, t -> pmod(t.h, {CELLS}))"))
-    counts = split.where("n > 2").select(cell.alias("cell")).groupBy("cell").agg(F.count("*").alias("triples"))
+    cell = F.explode(F.expr(f"zip_with(slice(words, 1, n - 1), slice(words, 2, n - 1), (s, t) -> pmod(xxhash64(s, t), {CELLS}))"))
+    counts = split.where("n > 1").select(cell.alias("cell")).groupBy("cell").agg(F.count("*").alias("pairs"))
     counts = saved(counts, "heat")
     # The mean over every cell, as a subquery of one number.
-    mean = counts.agg((F.coalesce(F.sum("triples"), F.lit(0)) / CELLS).alias("mean")).scalar()
-    level = F.least(F.floor(F.log2(F.col("triples") / mean)), F.lit(15)).cast("long")
-    hot = counts.where(F.col("triples") >= 2 * mean).withColumn("level", level)
+    mean = counts.agg((F.coalesce(F.sum("pairs"), F.lit(0)) / CELLS).alias("mean")).scalar()
+    level = F.least(F.floor(F.log2(F.col("pairs") / mean)), F.lit(15)).cast("long")
+    hot = counts.where(F.col("pairs") >= 2 * mean).withColumn("level", level)
     packed = hot.select(F.floor(F.col("cell") / 16).alias("long"), F.expr("shiftleft(level, cast(4 * pmod(cell, 16) AS int))").alias("bits"))
     packed = packed.groupBy("long").agg(F.bit_or("bits").alias("bits"))
     every = split.sparkSession.range(CELLS // 16).withColumnRenamed("id", "long").join(packed, "long", "left")
@@ -234,20 +231,21 @@ def _heat(split: DataFrame) -> Column:
     return every.agg(F.transform(F.array_sort(F.collect_list(row)), lambda r: r.bits).alias("heat")).scalar()
 
 
-def _first_triples(share: int) -> Column:
-    """Keys of the first triples of adjacent words, as many as the edits may take away and one more.
+def _first_pairs(share: int) -> Column:
+    """Keys of the first pairs of adjacent words, as many as the edits may take away and one more.
 
-    Of n words, n // share may be edited, and each edit takes three triples away. If the other line has d
-    words more, those allow for more edits but take two triples each; that gains something up to d = 2.
-    ``heat`` is that of the triples' cells.
+    Of n words, n // share may be edited, and each edit takes two pairs away. If the other line is
+    longer, inserted words allow for more edits but take one pair each; that gains one pair at most.
+    ``heat`` is that of the pairs' cells.
     """
-    level = f"shiftrightunsigned(get(heat, cast(pmod(t.h, {CELLS}) div 16 AS int)), cast(4 * pmod(t.h, 16) AS int)) & 15"
-    keys = F.expr(
-        f"""array_distinct(transform({TRIPLES}, t ->
-              shiftleft(15 - ({level}), 59) | shiftleft(cast(least(t.l, 127) AS bigint), 52) | shiftrightunsigned(t.h, 12)))"""
+    level = f"shiftrightunsigned(get(heat, cast(pmod(h, {CELLS}) div 16 AS int)), cast(4 * pmod(h, 16) AS int)) & 15"
+    pairs = F.expr(
+        f"""array_distinct(transform(zip_with(slice(words, 1, n - 1), slice(words, 2, n - 1), (s, t) ->
+              named_struct('l', least(length(s) + length(t), 127), 'h', xxhash64(s, t))), p ->
+              shiftleft(15 - ({level.replace("(h,", "(p.h,")}), 59) | shiftleft(cast(p.l AS bigint), 52) | shiftrightunsigned(p.h, 12)))"""
     )
-    taken = F.greatest(*[F.expr(f"3 * ((n + {d}) div {share}) - {d}") for d in range(3)]).cast("int")
-    return F.slice(F.sort_array(keys, asc=False), F.lit(1), taken + 1)
+    taken = F.expr(f"greatest(2 * (n div {share}), 2 * ((n + 1) div {share}) - 1)").cast("int")
+    return F.slice(F.sort_array(pairs, asc=False), F.lit(1), taken + 1)
 
 
 def _as_text(words: str, code: str) -> str:
@@ -279,8 +277,6 @@ def similar_lines(docs: DataFrame, distinct: DataFrame, near: DataFrame, share:
 
     Lines of ``near`` are known to go; they stand among the earlier lines only.
     """
-    if share < SHARE:
-        raise ValueError(f"two lines need {SHARE} words for each edit to be sure of a common triple")
     # Two edits need 2 * share words in the longer line, which may hold two more than the other.
     some = distinct.where(F.col("n") >= max(MIN_WORDS, 2 * share - 2)).select("a", "b", "at", "n")
     some = in_order(some.join(near.select("a", "b", F.lit(True).alias("near")), ["a", "b"], "left"))
@@ -291,7 +287,7 @@ def similar_lines(docs: DataFrame, distinct: DataFrame, near: DataFrame, share:
     split = texts.select("no", "n", "near", _words("line").alias("words"))
     parity = F.expr("aggregate(words, 0L, (s, w) -> s ^ shiftleft(1L, cast(pmod(xxhash64(w), 64) AS int)))")
     split = split.withColumns({"heat": _heat(split), "parity": parity})
-    index = split.select("no", "n", "near", "parity", F.explode(_first_triples(share)).alias("key")).repartition("key")
+    index = split.select("no", "n", "near", "parity", F.explode(_first_pairs(share)).alias("key")).repartition("key")
     # Both sides ask for the same columns, so that the exchange is made once.
     row = F.struct("no", "n", "near", "parity")
     met = index.groupBy("key").agg(F.min(row).alias("x"), F.max(row).alias("y")).where("x.no <> y.no").select("key")
