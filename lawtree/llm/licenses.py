@@ -1,10 +1,14 @@
 """Licence scans: TF-IDF cosine of headers and licence files to templates, then inheritance by path.
 
-A header is a line that holds an anchor of some licence notice; a licence file counts as a whole
-as well. Both become sparse TF-IDF vectors, with the number of documents that hold a term taken
-over all of them for the terms of the templates; any other term weighs like one never seen. A file
-has the licence of its best match of at least MATCH. A file without one inherits that of the
-nearest directory above it that has a licence file with a licence. DataFrame operations only.
+Every line may be a header; a licence file counts as a whole as well. Both become sparse TF-IDF
+vectors, with the number of documents that hold a term taken over all of them for the terms of the
+templates; any other term weighs like one never seen. A file has the licence of its best match of
+at least MATCH. A file without one inherits that of the nearest directory above it that has a
+licence file with a licence. DataFrame operations only.
+
+Most lines are ordinary text. By the Cauchy-Schwarz inequality the cosine to any template is at most
+the share of a line's length that lies in terms of templates, so lines where this share is under
+MATCH are left out before their terms become rows; no line that could match is among them.
 """
 
 from __future__ import annotations
@@ -17,8 +21,6 @@ from pyspark.sql import functions as F
 from lawtree.llm.common import saved, table
 
 MATCH = 0.6
-# A pattern that every template holds; lines without it are no headers.
-ANCHOR = "(?i)licen[sc]|spdx|hereby granted|redistribution and use|rights reserved"
 LICENSE_FILE = "(?i)^(licen[sc]e|copying)"
 
 # The notices of common licences, and that of none. The name of the latter sorts behind the
@@ -28,15 +30,21 @@ TEMPLATES = [
     ("Apache-2.0", "SPDX-License-Identifier: Apache-2.0"),
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted"),
     ("BSD-3-Clause", "SPDX-License-Identifier: BSD-3-Clause"),
+    ("CC0-1.0", "SPDX-License-Identifier: CC0-1.0"),
+    ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
     ("CC-BY-4.0", "Licensed under CC BY 4.0."),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0."),
     ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "SPDX-License-Identifier: GPL-3.0-only"),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-3.0", "SPDX-License-Identifier: LGPL-3.0-only"),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy"),
     ("MIT", "SPDX-License-Identifier: MIT"),
+    ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0"),
+    ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("Reserved", "All rights reserved."),
 ]
 
@@ -70,19 +78,33 @@ def weights(files: DataFrame, total: int) -> DataFrame:
     return every.join(counts, "term", "left").select("term", idf.alias("idf"))
 
 
+def _may_match(units: DataFrame, idf: DataFrame, total: int) -> DataFrame:
+    """``units`` of which enough of the vector of ``terms`` lies in terms of templates for some cosine to reach MATCH.
+
+    ``idf`` has a row per term of the templates. Other terms count once each, which can only raise the share.
+    """
+    weight = idf.agg(F.map_from_entries(F.collect_list(F.struct("term", "idf")))).scalar()
+    known = F.array_intersect("terms", F.array(*map(F.lit, VOCABULARY)))
+    met = units.withColumns({"known": known, "weight": weight}).where(F.size("known") > 0)
+    tf = lambda t: F.size("terms") - F.size(F.array_remove("terms", t))
+    inside = F.aggregate("known", F.lit(0.0), lambda s, t: s + F.pow(tf(t) * F.try_element_at("weight", t), F.lit(2.0)))
+    outside = (F.size(F.array_distinct("terms")) - F.size("known")) * (F.log(F.lit(total) + 1) + 1) ** 2
+    # The margin is wider than what rounding can make of the score.
+    return met.where(inside >= (MATCH * MATCH - 1e-6) * (inside + outside)).drop("known", "weight")
+
+
 def matches(files: DataFrame) -> DataFrame:
     """(path, hash, license, score): the best match of each file (path, text) that has one."""
     spark = files.sparkSession
-    keyed = files.select("path", F.xxhash64("text").alias("hash"), "text").where(F.col("text").rlike(ANCHOR))
+    total = files.count()
+    idf = saved(weights(files, total), "idf")
+    keyed = files.select("path", F.xxhash64("text").alias("hash"), "text").where("text IS NOT NULL")
     headers = keyed.select("path", "hash", F.posexplode(F.split("text", "\n")).alias("unit", "part"))
-    headers = headers.where(F.col("part").rlike(ANCHOR))
     whole = keyed.where(F.element_at(F.split("path", "/"), -1).rlike(LICENSE_FILE))
     units = headers.unionByName(whole.select("path", "hash", F.lit(-1).alias("unit"), F.col("text").alias("part")))
-    # Rows that repeat a path and text are one file here.
-    counted = units.distinct().select("path", "hash", "unit", F.explode(_terms("part")).alias("term"))
+    units = _may_match(units.select("path", "hash", "unit", _terms("part").alias("terms")), idf, total)
+    counted = units.distinct().select("path", "hash", "unit", F.explode("terms").alias("term"))
     counted = counted.groupBy("path", "hash", "unit", "term").agg(F.count("*").alias("tf"))
-    total = files.count()
-    idf = saved(weights(files, total), "idf")
     vector = counted.join(idf, "term", "left").withColumn("other", F.log(F.lit(total) + 1) + 1)
     vector = vector.withColumn("w", F.col("tf") * F.coalesce("idf", "other"))
     norms = vector.groupBy("path", "hash", "unit").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
@@ -111,14 +133,22 @@ def _parents(path: str) -> Column:
     )
 
 
+RESULT = ("license", "license_score", "inherited_from")
+
+
+def _quoted(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def scan(files: DataFrame) -> DataFrame:
     """``files`` (path, text, others) with ``license``, ``license_score`` and ``inherited_from``.
 
     A file with a match of its own has no ``inherited_from``; an inherited licence has no score. If
     a directory has several licence files the best match counts, then the first name. Files without
     text have no match and may inherit; a null path inherits nothing. Rows that repeat a path and
-    text have the same result. Other columns are kept.
+    text have the same result. Other columns are kept; columns of these three names are replaced.
     """
+    files = files.select(*[F.col(c).cast("string").alias(c) if c in ("path", "text") else _quoted(c) for c in files.columns])
     own = saved(matches(files), "licenses")
     named = own.where(F.element_at(F.split("path", "/"), -1).rlike(LICENSE_FILE))
     folder = F.expr("array_join(slice(split(path, '/'), 1, size(split(path, '/')) - 1), '/')")
@@ -129,17 +159,18 @@ def scan(files: DataFrame) -> DataFrame:
     nearest = above.join(folders, "dir").groupBy("path").agg(
         F.max_by(F.struct("dir", "folder_license"), "depth").alias("near")
     )
-    keyed = files.withColumn("__hash", F.xxhash64("text"))
-    own = own.select(F.col("path").alias("__p"), F.col("hash").alias("__h"), F.col("license").alias("__own"), F.col("score").alias("__score"))
-    joined = keyed.join(own, F.col("path").eqNullSafe(F.col("__p")) & (F.col("__hash") == F.col("__h")), "left")
-    joined = joined.join(nearest.select(F.col("path").alias("__n"), "near"), F.col("path") == F.col("__n"), "left")
-    inherits = F.col("__own").isNull()
-    return joined.select(
-        *files.columns,
-        F.coalesce("__own", "near.folder_license").alias("license"),
-        F.col("__score").alias("license_score"),
-        F.when(inherits, F.col("near.dir")).alias("inherited_from"),
-    )
+    own = own.select("path", "hash", F.struct("license", "score").alias("best"))
+    kept = [c for c in files.columns if c not in (*RESULT, "path", "text")]
+    # One struct holds the other columns, so that no name can clash with those of the joins.
+    rows = files.select("path", F.xxhash64("text").alias("hash"), F.struct("path", "text", *map(_quoted, kept)).alias("file")).alias("f")
+    joined = rows.join(own.alias("o"), F.col("f.path").eqNullSafe(F.col("o.path")) & (F.col("f.hash") == F.col("o.hash")), "left")
+    joined = joined.join(nearest.alias("n"), F.col("f.path") == F.col("n.path"), "left")
+    found = [
+        F.coalesce("o.best.license", "n.near.folder_license"), F.col("o.best.score"),
+        F.when(F.col("o.best.license").isNull(), F.col("n.near.dir")),
+    ]
+    given = [c for c in files.columns if c not in RESULT]
+    return joined.select(*[F.col("f.file")[c].alias(c) for c in given], *[x.alias(c) for x, c in zip(found, RESULT)])
 
 
 def op4_license_scan(spark: SparkSession, folder: str) -> DataFrame:
@@ -182,9 +213,9 @@ idf AS (
 ), units AS (
   SELECT doc_id, unit, part FROM (
     SELECT doc_id, unnest(string_split(text, chr(10))) AS part, generate_subscripts(string_split(text, chr(10)), 1) AS unit FROM f
-  ) WHERE regexp_matches(part, '{ANCHOR}')
+  )
   UNION ALL
-  SELECT doc_id, -1, text FROM f WHERE doc_id % 10 = 0 AND regexp_matches(text, '{ANCHOR}')
+  SELECT doc_id, -1, text FROM f WHERE doc_id % 10 = 0
 ), ut AS (
   SELECT doc_id, unit, term, count(*) AS tf FROM (
     SELECT doc_id, unit, unnest(regexp_split_to_array(lower(part), '[^a-z0-9]+')) AS term FROM units

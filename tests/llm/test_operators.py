@@ -333,6 +333,55 @@ def test_licenses_reserved(spark):
     }
 
 
+def plain_matches(files):
+    """{(path, text): (score, license)} of the best match, every line and every licence file against every template."""
+    texts = [set(licenses.terms(t or "")) for _, t in files]
+    n = len(files)
+    idf = {t: math.log((n + 1) / (sum(t in x for x in texts) + 1)) + 1 for t in licenses.VOCABULARY}
+    vector = lambda part: {t: c * idf.get(t, math.log(n + 1) + 1) for t, c in Counter(licenses.terms(part)).items()}
+    out = {}
+    for path, text in files:
+        parts = (text or "").split("\n") + ([text or ""] if path.rpartition("/")[2].startswith(("LICENSE", "COPYING")) else [])
+        found = []
+        for x in filter(None, map(vector, parts)):
+            for name, template in licenses.TEMPLATES:
+                y = vector(template)
+                dot = sum(w * y.get(t, 0) for t, w in x.items())
+                score = round(dot / math.sqrt(sum(w * w for w in x.values()) * sum(w * w for w in y.values())), 9)
+                found += [(-score, name)] if score >= licenses.MATCH else []
+        if found:
+            out[path, text] = min(found)
+    return out
+
+
+def test_licenses_brute_force(spark):
+    """No line is left out before its cosine: notices without the word licence match too."""
+    rows = [
+        ("a/1.txt", "Released under the MIT."), ("a/2.txt", "Under the Apache, Version 2.0."), ("a/3.txt", "CC BY-SA 4.0"),
+        ("a/4.txt", "the version of the work\nto any person, free of charge"), ("a/5.txt", "SPDX-License-Identifier: MPL-2.0"),
+        ("a/6.txt", "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0."),
+        ("a/LICENSE", "Permission is hereby granted,\nfree of charge, to any person\nobtaining a copy"), ("a/7.txt", None),
+        ("a/8.txt", "dedicated to the public domain under CC0 1.0 Universal"), ("a/9.txt", "apples and pears " * 50 + "MIT License"),
+        ("b/COPYING", "GNU Lesser General Public License, version 3"), ("b/1.txt", "licensed under the GNU General Public License, version 3"),
+        ("b/2.txt", "mit mit mit MIT mit"), ("b/3.txt", ""), ("b/4.txt", "and with the or for"), ("b/5.txt", "All rights reserved"),
+    ]
+    got = licenses.matches(spark.createDataFrame(rows, "path string, text string")).collect()
+    expected = plain_matches(rows)
+    texts = dict(rows)
+    assert {(r.path, texts[r.path]): (-r.score, r.license) for r in got} == expected
+    assert expected["a/1.txt", texts["a/1.txt"]][1] == "MIT" and len(expected) > 8
+
+
+def test_licenses_clashing_names(spark):
+    """Columns named like inner ones are kept, columns named like the results are replaced."""
+    schema = "near string, path string, `__own` int, hash int, text string, license string, dir string, `a.b` string, o string"
+    rows = [("n", "a/LICENSE", 1, 2, "Released under the MIT License.", "x", "d", "e", "o"), ("n", "a/b.txt", 1, 2, "words", "x", "d", "e", "o")]
+    got = licenses.scan(spark.createDataFrame(rows, schema))
+    assert got.columns == ["near", "path", "__own", "hash", "text", "dir", "a.b", "o", *licenses.RESULT]
+    assert {tuple(r)[:1] + tuple(r)[5:9] for r in got.collect()} == {("n", "d", "e", "o", "MIT")}
+    assert {r.inherited_from for r in got.collect()} == {None, "a"}
+
+
 def test_encoding(spark, awkward, nothing):
     got = pieces.encode(awkward).collect()
     assert len(got) == len(AWKWARD) and all(r.round_trip for r in got)
