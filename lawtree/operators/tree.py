@@ -67,6 +67,57 @@ def descendants(elements: DataFrame, ancestors: DataFrame, *carry: str) -> DataF
     return right.join(left, ["law_id", "anc_ord"])
 
 
+# Element places are cut into blocks of 1, 8, 64, 512 and 4,096.
+BLOCK_BITS, BLOCK_LEVELS = 3, 5
+
+
+def _range(first: Column, end: Column) -> Column:
+    """The numbers from ``first`` up to, but without, ``end``."""
+    return F.when(first < end, F.sequence(first, end - 1)).otherwise(F.array().cast("array<bigint>"))
+
+
+def _block(level: int):
+    return lambda number: F.struct(F.lit(level).alias("level"), number.alias("block"))
+
+
+def _blocks_within(low: Column, high: Column) -> Column:
+    """The fewest blocks that together hold the places from ``low`` up to, but without, ``high``."""
+    parts = []
+    for level in range(BLOCK_LEVELS):
+        bits = BLOCK_BITS * level
+        first, end = F.shiftright(low + (1 << bits) - 1, bits), F.shiftright(high, bits)
+        blocks = _range(first, end)
+        if level + 1 < BLOCK_LEVELS:
+            # Those inside blocks of the next level are left to it.
+            wider = bits + BLOCK_BITS
+            inner = F.shiftleft(F.shiftright(low + (1 << wider) - 1, wider), BLOCK_BITS)
+            outer = F.shiftleft(F.shiftright(high, wider), BLOCK_BITS)
+            sides = F.concat(_range(first, inner), _range(outer, end))
+            blocks = F.when(inner < outer, sides).otherwise(blocks)
+        parts.append(F.transform(blocks, _block(level)))
+    return F.concat(*parts)
+
+
+def descendants_by_interval(elements: DataFrame, ancestors: DataFrame, *carry: str) -> DataFrame:
+    """``descendants`` for tables that have ``ord`` and ``end_ord`` but no ``lineage``.
+
+    The interval of an ancestor is cut into aligned blocks of few sizes, and an element is in one
+    block of each size, so the join is on equal blocks and meets no pair that is no result. A block
+    has at most 4,096 elements: a huge law is spread over as many keys as it has blocks. Elements
+    pass once per size, five times at most; choose their columns first.
+    """
+    names = list(dict.fromkeys(["ord", *carry]))
+    low, high = F.col("ord").cast("long") + 1, F.col("end_ord").cast("long") + 1
+    left = ancestors.withColumn("anc_block", F.explode(_blocks_within(low, high)))
+    left = left.select("law_id", "anc_block", *[F.col(c).alias(f"anc_{c}") for c in names])
+    place = F.col("ord").cast("long")
+    of_level = [_block(level)(F.shiftright(place, BLOCK_BITS * level)) for level in range(BLOCK_LEVELS)]
+    # Block 0 holds the file's row, which is below nothing.
+    met = F.filter(F.array(*of_level), lambda b: b["block"] > 0)
+    right = elements.withColumn("anc_block", F.explode(met))
+    return right.join(left, ["law_id", "anc_block"]).drop("anc_block")
+
+
 def within(etypes: Iterable[str]) -> Column:
     """The element and all its ancestors are of these types."""
     kept = list(etypes)

@@ -11,7 +11,7 @@ from lawtree import schema as S
 from lawtree.functions import scalars
 from lawtree.operators import stats, tree, validate
 from lawtree.plans.warehouse import Warehouse
-from lawtree.scratch import scratch_path
+from lawtree.scratch import checkpointed, scratch_path
 from lawtree.sources import files as sources
 from lawtree.sources import xml
 
@@ -20,6 +20,8 @@ RESULT = [*_LISTING, "code", "outcome"]
 
 # Spans of modification time that a run hands to the reader, however many files are open.
 SPANS = 64
+# Bitmaps of 32,768 bits in the filter that holds a batch's strings against the dictionary.
+BITMAPS = 4_096
 
 
 def reading(strip_ws: bool, fold_width: bool) -> str:
@@ -98,11 +100,29 @@ def string_rows(elements: DataFrame) -> DataFrame:
     )
 
 
+def possibly_among(known: DataFrame, ids: DataFrame) -> DataFrame:
+    """The ``string_id`` of ``known`` that may be among ``ids``: all that are, and some that are not.
+
+    The ids set bits in a filter of BITMAPS bitmaps of 4 KB, 16 MB whatever their number; its size is
+    the bound of the broadcast. Ids so many that most bits are set let all of ``known`` pass.
+    """
+    bit = F.xxhash64("string_id").bitwiseAND(F.lit(BITMAPS * 32_768 - 1)) + 1
+    numbered = {"bucket": F.bitmap_bucket_number(bit), "place": F.bitmap_bit_position(bit)}
+    bitmaps = ids.select("string_id").withColumns(numbered).groupBy("bucket").agg(F.bitmap_construct_agg("place").alias("bits"))
+    byte = "cast(conv(hex(substring(bits, cast(place div 8 + 1 AS int), 1)), 16, 10) AS int)"
+    met = known.select("string_id").withColumns(numbered).join(F.broadcast(bitmaps), "bucket")
+    return met.where(f"shiftright({byte}, cast(place % 8 AS int)) & 1 = 1").select("string_id")
+
+
 def new_strings(elements: DataFrame, known: DataFrame) -> DataFrame:
-    """Distinct sentences that the dictionary ``known`` lacks."""
+    """Distinct sentences that the dictionary ``known`` lacks.
+
+    The dictionary outgrows every batch, so it is filtered where it is scanned: what is shuffled of it
+    are the ids that the batch may hold, as many as the batch has and a few more.
+    """
     strings = stats.distinct_strings(tree.sentences(elements))
-    ids = strings.withColumn("string_id", scalars.string_id(F.col("string")))
-    return ids.join(known.select("string_id"), "string_id", "left_anti")
+    ids = checkpointed(strings.withColumn("string_id", scalars.string_id(F.col("string"))))
+    return ids.join(possibly_among(known, ids), "string_id", "left_anti")
 
 
 def ingest(

@@ -96,6 +96,14 @@ ORACLES: dict[str, str] = {
         "SELECT law_name, CAST(a_ord AS INTEGER) AS article_ord, CAST(2 * count(*) AS BIGINT) AS n "
         "FROM ord_lines GROUP BY law_name, a_ord"
     ),
+    "descendants_of_all": _sql(
+        # What is below: of a provision everything, of an article its 20 places, of a paragraph its sentence.
+        "SELECT a.law_name, CAST(a.ord AS INTEGER) AS anc_ord, e.etype, count(*) AS n, "
+        "CAST(min(e.ord) AS INTEGER) AS first_ord, CAST(max(e.ord) AS INTEGER) AS last_ord "
+        "FROM elems a JOIN elems e ON e.doc_id = a.doc_id AND e.depth > a.depth AND CASE a.etype "
+        "WHEN 'MainProvision' THEN true WHEN 'Article' THEN e.ord > a.ord AND e.ord <= a.ord + 20 "
+        "ELSE e.parent_ord = a.ord END GROUP BY ALL"
+    ),
     "adjacency_tree": _sql(
         "SELECT law_name, CAST(ord AS INTEGER) AS ord, CAST(depth AS INTEGER) AS depth, "
         "CAST(parent_ord AS INTEGER) AS parent_ord FROM elems"
@@ -158,6 +166,13 @@ ORACLES: dict[str, str] = {
         "count_if(doc_id % 19 <> 0 AND doc_id % 3 = 2)::BIGINT AS skipped_not_reiki, "
         "count_if(doc_id % 19 = 0 OR (doc_id % 3 < 2 AND doc_id % 23 = 0))::BIGINT AS error FROM documents"
     ),
+    "quarantine_files": (
+        "SELECT CAST(doc_id AS INTEGER) AS file_id, CASE WHEN doc_id % 19 = 0 THEN 'error' WHEN doc_id % 3 = 2 THEN 'skipped_not_reiki' "
+        "WHEN doc_id % 23 = 0 THEN 'error' ELSE 'registered' END AS outcome, "
+        "CASE WHEN doc_id % 19 = 0 OR (doc_id % 3 < 2 AND doc_id % 23 = 0) THEN 1 ELSE 0 END::BIGINT AS n_errors, "
+        "CASE WHEN doc_id % 19 = 0 THEN 'XMLStructureError' WHEN doc_id % 3 < 2 AND doc_id % 23 = 0 THEN 'HieralchyError' END AS error_class "
+        "FROM documents"
+    ),
     "incremental_outcomes": (
         "SELECT count(*) AS files, count_if(doc_id % 3 < 2 AND doc_id % 2 = 1)::BIGINT AS registered, "
         "count_if(doc_id % 3 < 2 AND doc_id % 2 = 0)::BIGINT AS skipped_known, "
@@ -247,6 +262,8 @@ ORACLES: dict[str, str] = {
         "SELECT CAST(doc_id AS INTEGER) AS file_id, "
         "CASE WHEN doc_id % 3 < 2 THEN 'registered' ELSE 'skipped_not_reiki' END AS outcome FROM documents"
     ),
+    # Seven micro-batches: four, two and one.
+    "stream_merged": _sql("SELECT law_name AS name, num, 3 AS batches FROM laws WHERE reiki"),
     "warehouse_tables": _sql(
         "SELECT 'laws' AS name, count(*) AS n FROM laws WHERE reiki UNION ALL SELECT 'elements', count(*) FROM elems "
         "UNION ALL SELECT 'strings', count(DISTINCT line) FROM ord_lines UNION ALL SELECT 'string_edges', count(*) FROM ord_lines "

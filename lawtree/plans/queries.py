@@ -136,6 +136,17 @@ def descendants(spark, sf):
     )
 
 
+def descendants_of_all(spark, sf):
+    """Descendants of every element by type, from a table that has intervals and no lineage."""
+    rows = elements(spark, sf, "law_name").select("law_name", "law_id", "etype", "ord", "end_ord")
+    rows = checkpointed(rows)
+    pairs = tree.descendants_by_interval(rows.select("law_id", "etype", "ord"), rows, "law_name")
+    counts = pairs.groupBy("anc_law_name", "anc_ord", "etype").agg(
+        F.count(F.lit(1)).alias("n"), F.min("ord").alias("first_ord"), F.max("ord").alias("last_ord")
+    )
+    return counts.withColumnRenamed("anc_law_name", "law_name")
+
+
 def adjacency_tree(spark, sf):
     rows = stored(elements(spark, sf, "law_name"), "elem_id", "parent_id", "etype", "num_raw")
     return tree.with_lineage(rows).select(
@@ -296,6 +307,24 @@ def quarantine(spark, sf):
     return stats.outcome_counts(ingest(spark, broken, root, "b1", check_municipalities=False))
 
 
+def quarantine_files(spark, sf):
+    """Each file with its outcome and what is wrong with it."""
+    broken = corpus(
+        spark, sf,
+        main_extra=_for(every(23), '<Section Num="1"></Section>'),
+        edit=lambda x: F.when(every(19), F.substring(x, F.lit(1), F.length(x) - 20)).otherwise(x),
+    )
+    root = scratch_path(spark, "quarantine-files")
+    outcomes = ingest(spark, broken, root, "b1", check_municipalities=False)
+    errors = Warehouse(spark, root).table("errors").groupBy("path").agg(
+        F.count(F.lit(1)).alias("n_errors"), F.min("error_class").alias("error_class")
+    )
+    file_id = F.regexp_extract("path", "([0-9]+)[.]xml$", 1).cast("int").alias("file_id")
+    return outcomes.join(errors, "path", "left").select(
+        file_id, "outcome", F.coalesce("n_errors", F.lit(0)).cast("long").alias("n_errors"), "error_class"
+    )
+
+
 def incremental_outcomes(spark, sf):
     root = scratch_path(spark, "incremental")
     first = corpus_from_documents(documents(spark, sf).where(every(2)))
@@ -364,6 +393,21 @@ def stream_states(spark, sf):
     )
 
 
+def stream_merged(spark, sf):
+    """A stream of seven micro-batches, merged by twos, then by fours: laws, and the folders they are read from."""
+    arriving = scratch_path(spark, "arriving")
+    docs = documents(spark, sf)
+    for part in range(7):
+        docs.where(every(7, part)).coalesce(1).write.mode("append").parquet(arriving)
+    stream = spark.readStream.schema(docs.schema).option("maxFilesPerTrigger", 1).parquet(arriving)
+    root = scratch_path(spark, "stream-merged")
+    ingest_stream(
+        corpus_from_documents(stream), root, scratch_path(spark, "stream-checkpoint"), merge_every=2, check_municipalities=False
+    ).awaitTermination()
+    warehouse = Warehouse(spark, root)
+    return warehouse.table("laws").select("name", "num", F.lit(len(warehouse.batches())).alias("batches"))
+
+
 def _warehouse(spark, sf, **options) -> Warehouse:
     """A warehouse with all documents registered."""
     root = scratch_path(spark, "warehouse")
@@ -584,11 +628,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         count_elems, count_elems_by_law, count_rollup,
         sentences, caption_sentences, plaintext, plaintext_shared_numbers, leaves, leaves_pruned,
         children, children_of_provisions,
-        descendants, adjacency_tree, adjacency_tree_orphans, plaintext_of_elements, citation_labels, element_lookup, etype_prune, subitem_sentences,
+        descendants, descendants_of_all, adjacency_tree, adjacency_tree_orphans, plaintext_of_elements, citation_labels, element_lookup, etype_prune, subitem_sentences,
         law_numbers, law_codes, is_reiki, element_number, kanji_numerals,
         tokens, chars, segmented_sentences,
-        string_dictionary, string_edges, register_laws, quarantine, incremental_outcomes,
-        stream_outcomes, read_back, file_outcomes, stream_states, warehouse_tables, reset_tables,
+        string_dictionary, string_edges, register_laws, quarantine, quarantine_files, incremental_outcomes,
+        stream_outcomes, read_back, file_outcomes, stream_states, stream_merged, warehouse_tables, reset_tables,
         stored_names, stored_provisions, stored_children, stored_contents, one_law, municipality_list,
         dims_prefectures, dims_municipalities, dims_join, unknown_municipalities,
         validate_grammar, validate_duplicates, validate_num_format, validate_siblings,

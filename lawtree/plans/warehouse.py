@@ -80,15 +80,17 @@ class Warehouse:
         )
         row.write.mode("overwrite").parquet(self._path("manifest", batch_id))
 
-    def compact(self, batch_id: str) -> None:
-        """Rewrite all batches as one. Of the outcomes only the latest of each file is kept."""
-        batches = self.batches()
+    def compact(self, batch_id: str, only: Iterable[str] | None = None) -> None:
+        """Rewrite all batches, or ``only`` those, as one. Of their outcomes only the latest of each file is kept."""
+        chosen = None if only is None else set(only)
+        batches = {b: tables for b, tables in self.batches().items() if chosen is None or b in chosen}
         tables = sorted({t for names in batches.values() for t in names})
         for name in tables:
             rows = self.file_states(batches) if name == "outcomes" else self.table(name, batches)
             self.write(name, batch_id, rows)
         # Ids stay known, so that a batch that comes again is not run again.
-        before = {b for row in self.committed().collect() for b in (row.batch_id, *(row.replaces or ()))}
+        replaced = [row for row in self.committed().collect() if row.batch_id in batches]
+        before = {b for row in replaced for b in (row.batch_id, *(row.replaces or ()))}
         self.commit(batch_id, tables, sorted(before))
 
     def vacuum(self) -> None:

@@ -267,6 +267,34 @@ def test_compaction(spark, root):
     assert table(spark, root, "laws").count() == 5
 
 
+def test_partial_compaction(spark, root):
+    warehouse = Warehouse(spark, root)
+    for i in range(3):
+        ingest(spark, file_rows(spark, {f"/c/01/010001/{i}.xml": numbered(i)}), root, f"b{i}", check_municipalities=False)
+    before = {n: sorted(map(str, warehouse.table(n).collect())) for n in ("laws", "elements")}
+    warehouse.compact("m", ["b0", "b1"])
+    assert set(warehouse.batches()) == {"m", "b2"} and warehouse.committed_ids() == {"b0", "b1", "b2", "m"}
+    warehouse.compact("all")
+    warehouse.vacuum()
+    assert set(warehouse.batches()) == {"all"} and warehouse.committed_ids() == {"b0", "b1", "b2", "m", "all"}
+    assert {n: sorted(map(str, warehouse.table(n).collect())) for n in before} == before
+
+
+def test_dictionary_filter(spark, monkeypatch):
+    def strings(low, high):
+        return spark.range(low, high).select(F.col("id").cast("string").alias("string")).withColumn("string_id", F.md5("string"))
+
+    known, batch = strings(0, 4000), strings(3900, 4200)
+    passed = {r.string_id for r in plan.possibly_among(known, batch).collect()}
+    both = {r.string_id for r in strings(3900, 4000).collect()}
+    assert both <= passed and len(passed) < 150
+    assert plan.possibly_among(known.limit(0), batch).count() == plan.possibly_among(known, batch.limit(0)).count() == 0
+    # A filter whose bits are nearly all set lets everything pass, and the result stays right.
+    monkeypatch.setattr(plan, "BITMAPS", 1)
+    full = strings(0, 400_000)
+    assert plan.possibly_among(known, full).count() == 4000
+
+
 def test_very_deep_file_is_one_outcome(spark, root):
     deep = law(main('<Subitem1 Num="1">' * 3000 + "</Subitem1>" * 3000), num="条例第1号")
     files = file_rows(spark, {"/c/01/010001/1.xml": deep, "/c/01/010001/2.xml": numbered(2)})
@@ -303,6 +331,28 @@ def test_stream(spark, tmp_path, root):
     assert table(spark, root, "strings").count() == 5
 
 
+def test_stream_merges_micro_batches(spark, tmp_path, root):
+    corpus = tmp_path / "corpus"
+    write_tree(corpus, {f"01/010001/{i}.xml": numbered(i) for i in range(1, 8)})
+
+    def run():
+        files = sources.in_municipality(sources.corpus_stream(spark, str(corpus), max_files=1))
+        ingest_stream(files, root, str(tmp_path / "one"), merge_every=2, check_municipalities=False).awaitTermination()
+
+    run()
+    warehouse = Warehouse(spark, root)
+    assert sorted(b.split("-", 6)[6] for b in warehouse.batches()) == ["0-to-3", "4-to-5", "6"]
+    assert table(spark, root, "laws").count() == table(spark, root, "outcomes").count() == 7
+    warehouse.vacuum()
+    assert table(spark, root, "laws").count() == 7
+    write_tree(corpus, {"01/010001/9.xml": numbered(9)})
+    run()
+    assert sorted(b.split("-", 6)[6] for b in warehouse.batches()) == ["0-to-7"]
+    assert table(spark, root, "laws").count() == 8
+    with pytest.raises(ValueError):
+        ingest_stream(sources.corpus_stream(spark, str(corpus)), root, str(tmp_path / "two"), merge_every=1)
+
+
 def test_municipality_list(spark, tmp_path, root):
     path = tmp_path / "municode.csv"
     path.write_text(

@@ -53,6 +53,30 @@ def test_descendants_against_brute_force(rows):
     assert tree.descendants(rows, top).count() + top.count() == rows.count()
 
 
+def test_descendants_by_interval(rows):
+    bare = rows.select("law_id", "law_name", "etype", "ord", "end_ord")
+    got = tree.descendants_by_interval(bare, bare, "law_name").select("anc_law_name", "anc_ord", "ord").collect()
+    want = tree.descendants(rows, rows, "law_name").select("anc_law_name", "anc_ord", "ord").collect()
+    assert sorted(got) == sorted(want) and got
+
+
+def test_intervals_of_large_laws(spark):
+    """Intervals on both sides of all block borders, each pair met once."""
+    n = 10_000
+    places = spark.range(1, n + 1).select(F.lit(1).cast("long").alias("law_id"), F.col("id").cast("int").alias("ord"))
+    ends = [(1, n), (1, 1), (7, 8), (8, 8), (63, 4097), (64, 4095), (511, 9_999), (4_095, 8_191), (4_096, 8_192), (9_999, n), (n, n)]
+    above = spark.createDataFrame([(1, a, b) for a, b in ends], "law_id long, ord int, end_ord int")
+    pairs = tree.descendants_by_interval(places, above, "end_ord")
+    got = pairs.groupBy("anc_ord", "anc_end_ord").agg(
+        F.count("*"), F.count_distinct("ord"), F.min("ord"), F.max("ord")
+    ).collect()
+    assert sorted(map(tuple, got)) == sorted((a, b, b - a, b - a, a + 1, b) for a, b in ends if b > a)
+    assert tree.descendants_by_interval(places.limit(0), above).count() == 0
+    # No key holds more than a block's elements.
+    right = pairs.groupBy("ord").count().agg(F.max("count")).first()[0]
+    assert right <= len(ends)
+
+
 def test_descendants_against_recursive_sql(spark, rows):
     rows.select("law_id", "elem_id", "parent_id", "ord").createOrReplaceTempView("elems")
     recursive = spark.sql("""
