@@ -3,8 +3,9 @@
 The words of a source, document after document, are packed into blocks of one length. The mix is
 a sequence of slots, dealt over output shards of one size. Every shard draws how many of its slots
 each source fills: multinomial counts, given that all shards together use up every source's number
-of slots. The draw halves the range of shards again and again, each half by a generator seeded
-with its bounds, so any task finds the counts of its shards, and the slots before them, alone.
+of slots (the multivariate hypergeometric law). The draw halves the range of shards again and again,
+each half by a generator seeded with its bounds, so any task finds the counts of its shards, and the
+slots before them, alone.
 Slot j of a source takes block perm(j mod blocks) of pass j div blocks, with a pseudorandom
 permutation per source and pass; blocks join by index.
 """
@@ -26,8 +27,6 @@ TASK = 2_000
 SEED = 20
 # Documents of a source that are put in order together.
 BUCKET = 4_000
-# Above so many slots numpy has no exact draw; a normal one of the same mean and spread stands in.
-EXACT = 10**9
 
 
 def targets(sizes: list[int]) -> list[float]:
@@ -54,16 +53,21 @@ def taken_slots(size: int, target: float, block: int) -> tuple[int, int]:
 
 
 def half(counts: np.ndarray, take: int, rng: np.random.Generator) -> np.ndarray:
-    """How many of ``take`` slots fall to each source, of the numbers that are left."""
-    if counts.sum() < EXACT:
-        return rng.multivariate_hypergeometric(counts, take, method="marginals")
-    out, left = np.zeros_like(counts), int(counts.sum())
-    for i, n in enumerate(counts.tolist()):
-        share = take / left if left else 0.0
-        spread = (n * share * (1 - share) * (left - n) / max(1, left - 1)) ** 0.5
-        drawn = round(rng.normal(n * share, spread))
-        out[i] = min(max(drawn, 0, take - (left - n)), n, take)
-        take, left = take - int(out[i]), left - n
+    """How many of ``take`` slots fall to each source, if any of the ``counts`` slots may be among them alike.
+
+    Every slot is first taken by chance, so that each source has a binomial count; what is taken too
+    many or too few goes back, or comes after, in the same way. All slots are alike in every step,
+    so this is the hypergeometric law at any size; a step leaves about the root of the last.
+    """
+    out, sign = np.zeros_like(counts), 1
+    free = counts
+    while take:
+        drawn = rng.binomial(free, take / int(free.sum()))
+        out = out + sign * drawn
+        over = int(drawn.sum()) - take
+        # Too many: some of those just drawn go back. Too few: some of the others follow.
+        free, sign = (drawn, -sign) if over > 0 else (free - drawn, sign)
+        take = abs(over)
     return out
 
 

@@ -471,6 +471,30 @@ def test_mixing_parts():
     assert total.tolist() == [100, 0, 333, 7]
 
 
+def test_draw_follows_the_hypergeometric_law():
+    counts, take = np.array([30, 0, 50, 20]), 25
+    rng = np.random.default_rng(3)
+    got = np.array([mixing.half(counts, take, rng) for _ in range(20_000)])
+    assert (got.sum(axis=1) == take).all() and (got >= 0).all() and (got <= counts).all()
+    mean = take * counts / 100
+    spread = mean * (1 - counts / 100) * (100 - take) / 99
+    assert np.allclose(got.mean(axis=0), mean, atol=0.06)
+    assert np.allclose(got.var(axis=0), spread, atol=0.15)
+
+
+@pytest.mark.parametrize("total", [0, 1, 7, 10**9, 10**13, 10**17])
+def test_draw_of_any_size(total):
+    counts = np.array([total // 2, 0, total // 3, total - total // 2 - total // 3])
+    rng = np.random.default_rng(4)
+    for take in (0, total // 5, total // 2, total):
+        got = mixing.half(counts, take, rng)
+        assert got.sum() == take and (got >= 0).all() and (got <= counts).all()
+        if total:
+            # Within six standard deviations.
+            mean = counts * (take / total)
+            assert (np.abs(got - mean) <= 6 * np.sqrt(mean) + 3).all()
+
+
 def plain_dropped(rows):
     """Numbers of the lines that each document loses."""
     lines = sorted(
