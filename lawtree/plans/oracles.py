@@ -262,8 +262,8 @@ ORACLES: dict[str, str] = {
         "SELECT CAST(doc_id AS INTEGER) AS file_id, "
         "CASE WHEN doc_id % 3 < 2 THEN 'registered' ELSE 'skipped_not_reiki' END AS outcome FROM documents"
     ),
-    # Seven micro-batches: four, two and one.
-    "stream_merged": _sql("SELECT law_name AS name, num, 3 AS batches FROM laws WHERE reiki"),
+    # Three micro-batches: two and one.
+    "stream_merged": _sql("SELECT law_name AS name, num, 2 AS batches FROM laws WHERE reiki"),
     "warehouse_tables": _sql(
         "SELECT 'laws' AS name, count(*) AS n FROM laws WHERE reiki UNION ALL SELECT 'elements', count(*) FROM elems "
         "UNION ALL SELECT 'strings', count(DISTINCT line) FROM ord_lines UNION ALL SELECT 'string_edges', count(*) FROM ord_lines "

@@ -333,7 +333,7 @@ def test_stream(spark, tmp_path, root):
 
 def test_stream_merges_micro_batches(spark, tmp_path, root):
     corpus = tmp_path / "corpus"
-    write_tree(corpus, {f"01/010001/{i}.xml": numbered(i) for i in range(1, 8)})
+    write_tree(corpus, {f"01/010001/{i}.xml": numbered(i) for i in range(1, 4)})
 
     def run():
         files = sources.in_municipality(sources.corpus_stream(spark, str(corpus), max_files=1))
@@ -341,14 +341,14 @@ def test_stream_merges_micro_batches(spark, tmp_path, root):
 
     run()
     warehouse = Warehouse(spark, root)
-    assert sorted(b.split("-", 6)[6] for b in warehouse.batches()) == ["0-to-3", "4-to-5", "6"]
-    assert table(spark, root, "laws").count() == table(spark, root, "outcomes").count() == 7
+    assert sorted(b.split("-", 6)[6] for b in warehouse.batches()) == ["0-to-1", "2"]
+    assert table(spark, root, "laws").count() == table(spark, root, "outcomes").count() == 3
     warehouse.vacuum()
-    assert table(spark, root, "laws").count() == 7
+    assert table(spark, root, "laws").count() == 3
     write_tree(corpus, {"01/010001/9.xml": numbered(9)})
     run()
-    assert sorted(b.split("-", 6)[6] for b in warehouse.batches()) == ["0-to-7"]
-    assert table(spark, root, "laws").count() == 8
+    assert sorted(b.split("-", 6)[6] for b in warehouse.batches()) == ["0-to-3"]
+    assert table(spark, root, "laws").count() == 4
     with pytest.raises(ValueError):
         ingest_stream(sources.corpus_stream(spark, str(corpus)), root, str(tmp_path / "two"), merge_every=1)
 
