@@ -65,6 +65,7 @@ DAYS, YEARS = math.log10(365 * 200), math.log10(200)
 SEGMENT = math.log10(2)  # each segment doubles the ways to put a guess together
 UNIT = 8  # longest part that repeats
 FLUSH = 200_000  # words that a task counts before it hands them on
+PARTS = 10_000  # parts of a value that a task hands on at once
 
 
 def character_cost(c: str) -> float:
@@ -78,14 +79,17 @@ def folded(value: str) -> str:
     return lower.translate(LEET)
 
 
-def parts(value: str) -> set[str]:
-    """Every part of a value that could be a word."""
-    text, found = folded(value), set()
-    for m in re.finditer(r"[^\W\d_]+", text):
+def parts(value: str, most: int = PARTS) -> Iterator[set[str]]:
+    """Every part of a value that could be a word, in sets of some ``most``; a part may be in several."""
+    found: set[str] = set()
+    for m in re.finditer(r"[^\W\d_]+", folded(value)):
         run = m.group()
         for i in range(len(run)):
             found.update(run[i:i + n] for n in range(SHORTEST_WORD, min(LONGEST_WORD, len(run) - i) + 1))
-    return found
+            if len(found) >= most:
+                yield found
+                found = set()
+    yield found
 
 
 def word_cost(shown: str, rank: float) -> float:
@@ -115,7 +119,8 @@ def _repeats(value: str) -> list[tuple[int, float]]:
 
 def _walks(value: str) -> list[tuple[int, float]]:
     """(end, cost) of the keyboard walk that begins at each place, as far as it goes."""
-    keys = [KEYS.get(c) for c in value.lower()]
+    # Character by character: some have two in lower case.
+    keys = [KEYS.get(c.lower()) for c in value]
     out, length, turns, last = [(0, math.inf)] * len(keys), 1, 0, None
     for i in range(len(keys) - 2, -1, -1):
         a, b = keys[i], keys[i + 1]
@@ -218,9 +223,9 @@ def _vocabulary(batches):
 
 def _parts(batches):
     for batch in batches:
-        for value in batch.column("value").to_pylist():
-            found = sorted(parts(value))
-            yield pa.RecordBatch.from_arrays([pa.array([value] * len(found), pa.string()), pa.array(found, pa.string())], names=["value", "word"])
+        for key, value in zip(batch.column("key").to_pylist(), batch.column("value")):
+            for found in parts(value.as_py()):
+                yield pa.RecordBatch.from_arrays([pa.array([key] * len(found), pa.string()), pa.array(found, pa.string())], names=["key", "word"])
 
 
 def _costs(ranks: dict[int, int]):
@@ -244,10 +249,11 @@ def value_costs(docs: DataFrame, values: DataFrame) -> DataFrame:
     for r in counts.groupBy("digits").agg(F.count("*").alias("n")).orderBy(F.desc("digits")).collect():
         total += r.n
         ranks[r.digits] = total
-    values = saved(values.distinct(), "values")
-    met = values.mapInArrow(_parts, "value string, word string").join(counts, "word")
-    known = met.groupBy("value").agg(F.collect_list(F.struct("word", "digits")).alias("words"))  # the parts of one value
-    return values.join(known, "value", "left").mapInArrow(_costs(ranks), "value string, guesses double")
+    # Parts go by a key, since a value can be long and has some twenty parts a character.
+    values = saved(values.distinct().select(F.sha2("value", 256).alias("key"), "value"), "values")
+    met = values.mapInArrow(_parts, "key string, word string").join(counts, "word")
+    known = met.groupBy("key").agg(F.collect_set(F.struct("word", "digits")).alias("words"))  # the parts of one value
+    return values.join(known, "key", "left").mapInArrow(_costs(ranks), "value string, guesses double")
 
 
 def scanned(docs: DataFrame) -> DataFrame:
@@ -298,6 +304,6 @@ def _listed(spans: str):
 
 def op11_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     found = find(table(spark, folder, "documents"))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
+    counts = [F.expr(f"cast(size(filter(spans, s -> s.kind = {k})) AS long)").alias(f"n_{KINDS[k]}") for k in range(3)]
     base = F.sha2(_listed("filter(spans, s -> s.kind < 3)"), 256)
     return found.select("doc_id", *counts, base.alias("base_sha256"), _listed("spans").alias("spans"))

@@ -324,3 +324,23 @@ def test_secrets_query(spark):
         assert r.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
         assert [x for x in r.spans.split(",") if x and not x.startswith("guess")] == base
         assert (r.n_assign, r.n_access, r.n_hex) == tuple(sum(b.startswith(k) for b in base) for k in ("assign", "access", "hex"))
+
+
+def test_secrets_are_counted_by_kind(spark, tmp_path):
+    digest = "0123456789abcdef" * 2
+    texts = {1: f"{digest} {digest}", 2: f"token=Zq8tR5nW3x {digest}", 3: "AKIA0123456789AB", 4: f"AKIA0123456789AB {digest} secret: Zq8tR5nW3x", 5: None}
+    documents(spark, [(i, t, "a") for i, t in texts.items()]).write.parquet(str(tmp_path / "documents.parquet"))
+    got = credentials.op11_secret_scan(spark, str(tmp_path)).collect()
+    counts = {r.doc_id: (r.n_assign, r.n_access, r.n_hex) for r in got}
+    assert counts == {1: (0, 0, 2), 2: (1, 0, 1), 3: (0, 1, 0), 4: (1, 1, 1), 5: (0, 0, 0)}
+
+
+def test_values_with_letters_of_two_in_lower_case():
+    assert math.isclose(credentials.guess_cost("İqwert", {}), credentials.guess_cost("Ωqwert", {}))
+
+
+def test_parts_in_sets():
+    run = "".join(random.Random(0).choices("abcdefgh", k=3_000))
+    found = list(credentials.parts(run, 500))
+    assert max(map(len, found)) <= 500 + credentials.LONGEST_WORD and len(found) > 50
+    assert set().union(*found) == {run[i:i + n] for n in range(3, 21) for i in range(len(run) - n + 1)}
