@@ -59,12 +59,13 @@ def descendants(elements: DataFrame, ancestors: DataFrame, *carry: str) -> DataF
     """Every descendant of each row of ``ancestors``, in one row per pair.
 
     Ancestor columns get the prefix ``anc_``; ``carry`` names those wanted besides ``ord``.
-    A row meets its own few ancestors only, never the other rows of its law.
+    A row meets its own few ancestors only, never the other rows of its law. Both sides grow with the
+    corpus, and a stored table of ancestors is many times smaller than its rows: none is broadcast.
     """
     names = list(dict.fromkeys(["ord", *carry]))
     left = ancestors.select("law_id", *[F.col(c).alias(f"anc_{c}") for c in names])
     right = elements.withColumn("anc_ord", F.explode("lineage.ord"))
-    return right.join(left, ["law_id", "anc_ord"])
+    return right.join(left.hint("merge"), ["law_id", "anc_ord"])
 
 
 # Element places are cut into blocks of 1, 8, 64, 512 and 4,096.
@@ -115,7 +116,8 @@ def descendants_by_interval(elements: DataFrame, ancestors: DataFrame, *carry: s
     # Block 0 holds the file's row, which is below nothing.
     met = F.filter(F.array(*of_level), lambda b: b["block"] > 0)
     right = elements.withColumn("anc_block", F.explode(met))
-    return right.join(left, ["law_id", "anc_block"]).drop("anc_block")
+    # Not broadcast: Spark takes the blocks for as small as the stored rows that they are made of.
+    return right.join(left.hint("merge"), ["law_id", "anc_block"]).drop("anc_block")
 
 
 def within(etypes: Iterable[str]) -> Column:

@@ -266,3 +266,14 @@ def test_plaintext_of_chunks(spark, monkeypatch, chunk):
     assert got == {1: "abc\nd", 2: ""}
     rows = xml.elements(xml.rows_of(chunks), "file_id")
     assert got == {r.file_id: r.plaintext for r in tree.plaintext(rows, "file_id").collect()}
+
+
+@pytest.mark.parametrize("operator", [tree.descendants, tree.descendants_by_interval])
+def test_ancestors_are_not_broadcast(spark, rows, tmp_path, operator):
+    """A stored table of ancestors is small as a file, not as a broadcast."""
+    path = str(tmp_path / "rows")
+    rows.select("law_id", "ord", "end_ord", "lineage").write.parquet(path)
+    stored = spark.read.parquet(path)
+    pairs = operator(stored, stored)
+    assert pairs.count() == tree.descendants(rows, rows).count() > 0
+    assert "Broadcast" not in pairs._jdf.queryExecution().executedPlan().toString()
