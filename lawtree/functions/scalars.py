@@ -83,11 +83,13 @@ def string_id(string: Column) -> Column:
     return F.md5(string)
 
 
+def _unnumbered(etype: Column, num_raw: Column) -> Column:
+    return etype.isin(*S.UNNUMBERED_ETYPES) | num_raw.isNull()
+
+
 def _numbered(etype: Column, num_raw: Column) -> Column:
     """The number text that counts: '0' for provisions, captions and missing attributes."""
-    return F.when(
-        etype.isin(*S.UNNUMBERED_ETYPES) | num_raw.isNull(), F.lit("0")
-    ).otherwise(num_raw)
+    return F.when(_unnumbered(etype, num_raw), F.lit("0")).otherwise(num_raw)
 
 
 def num_ok(etype: Column, num_raw: Column) -> Column:
@@ -96,8 +98,9 @@ def num_ok(etype: Column, num_raw: Column) -> Column:
 
 def num_path(etype: Column, num_raw: Column) -> Column:
     """'2_3_1' -> [2, 3, 1]; NULL if the format is wrong or a part does not fit a BIGINT."""
-    parts = F.transform(F.split(_numbered(etype, num_raw), "_"), lambda p: p.try_cast("bigint"))
-    return F.when(num_ok(etype, num_raw) & F.forall(parts, lambda p: p.isNotNull()), parts)
+    parts = F.transform(F.split(num_raw, "_"), lambda p: p.try_cast("bigint"))
+    numbered = F.when(num_raw.rlike(NUM_FORMAT) & F.forall(parts, lambda p: p.isNotNull()), parts)
+    return F.when(_unnumbered(etype, num_raw), F.array(F.lit(0).cast("bigint"))).otherwise(numbered)
 
 
 def num_value(path: Column) -> Column:

@@ -66,7 +66,7 @@ def _element_checks(known: Iterable[str], node: Column) -> list[tuple[str, Colum
         ),
         ("EtypeError", ~etype.isin(*known), F.format_string("unknown type %s", etype)),
         (
-            "LawElementNumberError", scalars.num_path(etype, num_raw).isNull(),
+            "LawElementNumberError", node["path"].isNull(),
             F.when(scalars.num_ok(etype, num_raw), F.format_string("Number Too Large %s", num_raw))
             .otherwise(F.format_string("Invalid Format %s", num_raw)),
         ),
@@ -131,8 +131,7 @@ def _errors_within(known: Iterable[str]) -> Column:
 
 def _sibling(node: Column, kind: str) -> Column:
     """Key and place of an element; ``whole``: all children of its parent are in this chunk."""
-    etype = node["etype"]
-    path = scalars.num_path(etype, node["num_raw"])
+    etype, path = node["etype"], node["path"]
     parent = F.coalesce(F.try_element_at(node["lineage"], F.lit(-1))["ord"], F.lit(0))
     first, last = F.get("nodes", F.lit(0))["ord"], F.element_at("nodes", -1)["ord"]
     end = F.get("nodes", parent - first)["end_ord"]
@@ -185,7 +184,11 @@ def findings(chunks: DataFrame, known: Iterable[str], check_siblings: bool, acro
     """
     rows = chunks if whole_files else chunks.where(F.col("parse_error").isNull())
     files = _of_file() if whole_files else F.array().cast(_FOUND)
-    rows = rows.select(*CONTEXT, files.alias("of_file"), "nodes", F.filter("nodes", lambda n: n["ord"] > 0).alias("body"))
+    # The number is worked out once per element, as all checks ask for it.
+    numbered = F.transform(F.filter("nodes", lambda n: n["ord"] > 0), lambda n: F.struct(
+        *[n[c].alias(c) for c in ("ord", "etype", "num_raw", "lineage")], scalars.num_path(n["etype"], n["num_raw"]).alias("path"),
+    ))
+    rows = rows.select(*CONTEXT, files.alias("of_file"), "nodes", numbered.alias("body"))
     columns = {"numbers": _siblings(_NUMBER, lambda n: n["etype"] != "SupplProvision")}
     if across_types:
         columns["across"] = _siblings(_ACROSS, lambda n: ~_text(n) & ~n["etype"].isin(*S.PROVISIONS))

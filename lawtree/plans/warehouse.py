@@ -28,6 +28,12 @@ LOOKED_UP = {"laws": "law_id", "elements": "law_id", "string_edges": "law_id", "
 _BATCH = T.StructField("batch_id", T.StringType())
 
 
+def no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """An empty table that Spark knows to be empty: joins with it vanish, and no Python worker starts for it."""
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema]
+    return spark.range(1).select(*columns).where(F.lit(False))
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -36,10 +42,10 @@ class Warehouse:
     def reset(self) -> Warehouse:
         """Drop and recreate all tables. Tables that are missing read as empty without this."""
         for name, schema in DIMENSIONS.items():
-            self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(self._path(name))
+            no_rows(self.spark, schema).write.mode("overwrite").parquet(self._path(name))
         for name, schema in {**BATCHED, "manifest": S.MANIFEST}.items():
             full = T.StructType([*(f for f in schema if f.name != "batch_id"), _BATCH])
-            empty = self.spark.createDataFrame([], full)
+            empty = no_rows(self.spark, full)
             # Partitioned, so that an empty table has a folder and no file.
             empty.write.mode("overwrite").partitionBy("batch_id").parquet(self._path(name))
         return self
@@ -50,7 +56,7 @@ class Warehouse:
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return no_rows(self.spark, schema)
 
     def _path(self, name: str, batch_id: str | None = None) -> str:
         return f"{self.root}/{name}" + (f"/batch_id={batch_id}" if batch_id else "")
@@ -140,7 +146,7 @@ class Warehouse:
         batches = self.batches() if batches is None else batches
         folders = [self._path(name, b) for b, tables in sorted(batches.items()) if name in tables]
         if not folders:
-            return self.spark.createDataFrame([], BATCHED[name])
+            return no_rows(self.spark, BATCHED[name])
         reader = self.spark.read.schema(BATCHED[name]).option("basePath", self._path(name))
         return reader.parquet(*folders).select(*BATCHED[name].fieldNames())
 

@@ -30,6 +30,7 @@ CHUNK = 1_000
 BATCH = 20_000
 # Elements carry their ancestors, so a file nested deeper than this is an error instead.
 MAX_DEPTH = 128
+TOO_DEEP = f"ValueError: elements are nested deeper than {MAX_DEPTH}"
 
 _NODES = T.ArrayType(S.NODE)
 _CARRIED = [f for f in S.FILES.fields if f.name != "content"]

@@ -416,3 +416,34 @@ def test_stream_queries_by_files_of_any_number(spark, tmp_path, monkeypatch, nam
     assert len(epochs) == len(set(epochs)) == batches
     assert len(list((tmp_path / "scratch/arriving").glob("*.parquet"))) > 3 * batches
     assert len(got) == (39 if name == "stream_states" else 26)
+
+
+def test_files_are_parsed_once(spark, root, monkeypatch):
+    """One parse per run, in small batches; a file too deep is skipped if its number is known and an error if not."""
+    deep = "<Article>" * 200 + "</Article>" * 200
+    first = {"/c/01/010001/1.xml": numbered(1), "/c/01/010001/2.xml": numbered(2, "告示")}
+    more = {
+        "/c/01/010001/3.xml": law(main(deep), num="条例第1号"), "/c/01/010001/4.xml": law(main(deep), num="条例第4号"),
+        "/c/01/010001/5.xml": numbered(5)[:-5], "/c/01/010001/6.xml": law(main(deep), num="告示第6号"), "/c/01/010001/7.xml": numbered(7),
+    }
+    parses, rows, write = [], [], plan.xml.parse_chunks
+    monkeypatch.setattr(plan.xml, "parse_chunks", lambda *a, **b: parses.append(a) or write(*a, **b))
+    before = spark.conf.get(plan.ARROW_ROWS)
+    ingest(spark, file_rows(spark, first), root, "b1", check_municipalities=False)
+    with plan.small_batches(spark):
+        rows.append(spark.conf.get(plan.ARROW_ROWS))
+    got = outcomes(ingest(spark, file_rows(spark, first | more), root, "b2", check_municipalities=False))
+    assert len(parses) == 2 and rows == [str(plan.FILES)] and spark.conf.get(plan.ARROW_ROWS) == before
+    assert got == {
+        "1.xml": "skipped_known", "2.xml": "skipped_not_reiki", "3.xml": "skipped_known", "4.xml": "error", "5.xml": "error",
+        "6.xml": "skipped_not_reiki", "7.xml": "registered",
+    }
+    errors = table(spark, root, "errors").collect()
+    assert sorted(e.path[-5:] for e in errors) == ["4.xml", "5.xml"] and all(e.error_class == "XMLStructureError" for e in errors)
+
+
+def test_tables_without_rows_start_no_python(spark, root):
+    for name in ("laws", "elements", "municipalities"):
+        empty = table(spark, root, name)
+        assert "ExistingRDD" not in empty._jdf.queryExecution().executedPlan().toString()
+        assert empty.dtypes == spark.createDataFrame([], S.LAWS if name == "laws" else empty.schema).dtypes and empty.count() == 0
