@@ -57,7 +57,7 @@ VOCABULARY = sorted({t for _, text in TEMPLATES for t in terms(text)})
 
 
 def _terms(text: str) -> Column:
-    return F.expr(f"filter(split(lower({text}), '[^a-z0-9]+'), t -> t <> '')")
+    return F.expr(f"array_remove(split(lower({text}), '[^a-z0-9]+'), '')")
 
 
 def _template_terms(spark: SparkSession) -> DataFrame:
@@ -102,7 +102,8 @@ def matches(files: DataFrame) -> DataFrame:
     headers = keyed.select("path", "hash", F.posexplode(F.split("text", "\n")).alias("unit", "part"))
     whole = keyed.where(F.element_at(F.split("path", "/"), -1).rlike(LICENSE_FILE))
     units = headers.unionByName(whole.select("path", "hash", F.lit(-1).alias("unit"), F.col("text").alias("part")))
-    units = _may_match(units.select("path", "hash", "unit", _terms("part").alias("terms")), idf, total)
+    # Terms are one generated row, which no filter on them is pushed below: it would cut the text again for each use.
+    units = _may_match(units.select("path", "hash", "unit", F.explode(F.array(_terms("part"))).alias("terms")), idf, total)
     counted = units.distinct().select("path", "hash", "unit", F.explode("terms").alias("term"))
     counted = counted.groupBy("path", "hash", "unit", "term").agg(F.count("*").alias("tf"))
     vector = counted.join(idf, "term", "left").withColumn("other", F.log(F.lit(total) + 1) + 1)

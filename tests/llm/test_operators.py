@@ -372,6 +372,18 @@ def test_licenses_brute_force(spark):
     assert expected["a/1.txt", texts["a/1.txt"]][1] == "MIT" and len(expected) > 8
 
 
+def cut_in_filters(df, cut):
+    """Filters of the optimized plan that hold ``cut``: they do it again for each row, apart from what follows."""
+    return [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Filter" in x and cut in x]
+
+
+def test_licenses_cut_once(spark):
+    """The terms of a line are cut once, not again for each place where the bound needs them."""
+    files = spark.createDataFrame([("a/LICENSE", "Released under the MIT License.\nwords"), ("a/x", None)], "path string, text string")
+    found = licenses.matches(files)
+    assert not cut_in_filters(found, "split(lower(") and [r.license for r in found.collect()] == ["MIT"]
+
+
 def test_licenses_clashing_names(spark):
     """Columns named like inner ones are kept, columns named like the results are replaced."""
     schema = "near string, path string, `__own` int, hash int, text string, license string, dir string, `a.b` string, o string"
