@@ -553,6 +553,18 @@ def test_lines(spark, nothing):
     assert linedup.dedup(nothing).count() == 0
 
 
+def test_lines_cut_once(spark):
+    """Words are cut and a text is hashed once, whatever white space parts the words."""
+    rows = [(1, "a b\n  a\tb \n\x0b\r \na\x0cb\rc\n\u00a0a b"), (2, ""), (3, None)]
+    keyed = linedup.keyed_lines(linedup.lines(documents(spark, [(i, t, "s") for i, t in rows])))
+    plan = keyed._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    hashed = [k for k, x in enumerate(plan) if "xxhash64(text" in x]
+    assert not cut_in_filters(keyed, "split(") and min(hashed) > max(k for k, x in enumerate(plan) if "Generate" in x)
+    got = keyed.collect()
+    assert sorted((r.doc_id, r.line_no, r.n) for r in got) == [(1, 0, 2), (1, 1, 2), (1, 3, 3), (1, 4, 2)]
+    assert len({(r.a, r.b) for r in got}) == 3
+
+
 def test_similar_lines(spark):
     """The growing bound of the stage, against all pairs of lines."""
     rng = np.random.default_rng(8)
