@@ -21,7 +21,8 @@ have it among as many first pairs (``_first_pairs``). The order has frequent pai
 of fixed size (``_heat``), and among the others the longest words first: they are rare. So a pair that very many
 lines share is a key only of lines that hold little else. Lines that meet under a pair
 carry the parities of their words by 64 classes; an edit changes two of these at most, so lines that differ in more
-are not compared. The others are verified by their word edit distance, first against the earliest
+are not compared; nor are lines whose parities by 256 classes differ in more, which are looked up before any text is
+sent along. The others are verified by their word edit distance, first against the earliest
 line there, which settles groups of copies without comparing all of them, then against every earlier one.
 """
 
@@ -42,6 +43,8 @@ IN_ROW = 128
 BITMAP = 1 << 17
 # Cells of the sketch that counts word pairs, sixteen to a long: half a megabyte.
 CELLS = 1 << 20
+# Longs of parities by which pairs are compared before their texts: 256 classes of words.
+PARITIES = 4
 
 
 def _position() -> Column:
@@ -254,10 +257,31 @@ def _as_text(words: str, code: str) -> str:
     return f"decode(unhex(array_join(transform({words}, w -> lpad(hex(65536 + pmod({code}, 1048576)), 8, '0')), '')), 'UTF-32')"
 
 
+def _alike(pairs: DataFrame, texts: DataFrame, share: int) -> DataFrame:
+    """``pairs`` (no, other), stored, without those whose words' parities by 64 * PARITIES classes exclude the bound.
+
+    A text is some ten times as long as these parities, and is not sent along for the pairs that they settle.
+    """
+    pairs = saved(pairs, "pairs")
+    paired = pairs.select(F.explode(F.array("no", "other")).alias("no")).distinct()
+    hashes = F.transform(_words("line"), lambda w: F.xxhash64(w))
+    some = texts.join(paired, "no", "left_semi").select("no", "n", F.explode(F.array(hashes)).alias("h"))
+    parity = f"""transform(sequence(0, {PARITIES - 1}), k -> aggregate(h, 0L, (s, x) -> s ^
+                   CASE WHEN pmod(x, {PARITIES}) = k THEN shiftleft(1L, cast(pmod(x div {PARITIES}, 64) AS int)) ELSE 0L END))"""
+    some = saved(some.select("no", "n", F.expr(parity).alias("p")), "parities")
+    other = some.select(F.col("no").alias("other"), F.col("n").alias("n2"), F.col("p").alias("p2"))
+    differ = " + ".join(f"bit_count(p[{k}] ^ p2[{k}])" for k in range(PARITIES))
+    met = pairs.join(some, "no").join(other, "other").where(f"{differ} <= 2 * (greatest(n, n2) div {share}) - abs(n - n2)")
+    alike = saved(met.select("no", "other"), "alike")
+    for used in (pairs, some):
+        freed(used)
+    return alike
+
+
 def _similar(pairs: DataFrame, texts: DataFrame, share: int) -> DataFrame:
     """(no, a, b), stored, of ``pairs`` (no, other) of lines that have at least ``share`` words for each edit between them."""
     bound = f"cast(greatest(n, n2) div {share} AS int)"
-    pairs = saved(pairs, "pairs")
+    pairs = _alike(pairs, texts, share)
     # Lines that are in no pair are not shuffled.
     paired = pairs.select(F.explode(F.array("no", "other")).alias("no")).distinct()
     some = texts.join(paired, "no", "left_semi").select("no", "a", "b", "n", "line")
@@ -284,26 +308,33 @@ def similar_lines(docs: DataFrame, distinct: DataFrame, near: DataFrame, share:
     # Every different line once, whatever the number of its copies.
     texts = saved(needed_lines(docs, some).select("no", "a", "b", "n", "near", "line"), "lines")
     freed(some)
-    # The lists are found and read in one exchange: it is the largest of this step.
     split = texts.select("no", "n", "near", _words("line").alias("words"))
     parity = F.expr("aggregate(words, 0L, (s, w) -> s ^ shiftleft(1L, cast(pmod(xxhash64(w), 64) AS int)))")
     split = split.withColumns({"heat": _heat(split), "parity": parity})
-    index = split.select("no", "n", "near", "parity", F.explode(_first_pairs(share)).alias("key")).repartition("key")
-    # Both sides ask for the same columns, so that the exchange is made once.
-    row = F.struct("no", "n", "near", "parity")
-    met = index.groupBy("key").agg(F.min(row).alias("x"), F.max(row).alias("y")).where("x.no <> y.no").select("key")
-    lists = saved(index.join(met, "key").select("key", "no", "n", "near", "parity"), "lists")
-    least = lists.groupBy("key").agg(
-        F.min("no").alias("other"), F.min_by("n", "no").alias("n2"), F.min_by("parity", "no").alias("parity2")
-    )
+    index = split.select("no", "n", "near", "parity", F.explode(_first_pairs(share)).alias("key"))
     # A word more or less changes one parity, another word two.
     bound = f"greatest(n, n2) div {share}"
     fits = F.expr(f"abs(n - n2) <= {bound} AND bit_count(parity ^ parity2) <= 2 * ({bound}) - abs(n - n2)")
-    open_ = lists.where("near IS NULL")
-    first = open_.join(least, "key").where("other < no").where(fits).select("no", "other").distinct()
+    # One exchange, the largest of this step, makes the lists and meets each line with the earliest of its list. Only lines
+    # that fit it, and those of lists with a third line, are stored.
+    order = Window.partitionBy("key").orderBy("no")
+    until = order.rowsBetween(Window.unboundedPreceding, 0)
+    placed = index.select(
+        "*", F.row_number().over(order).alias("place"), F.lead("no").over(order).isNotNull().alias("followed"),
+        F.first("no").over(until).alias("other"), F.first("n").over(until).alias("n2"), F.first("parity").over(until).alias("parity2"),
+    )
+    other = F.when(F.col("near").isNull() & fits, F.col("other"))
+    lists = placed.where("place > 1").select(
+        "key", "no", "n", "near", "parity", "place", (F.col("followed") | (F.col("place") > 2)).alias("more"), other.alias("other")
+    )
+    lists = saved(lists.where("more OR other IS NOT NULL"), "lists")
+    first = lists.where("other IS NOT NULL").select("no", "other").distinct()
     found = _similar(first, texts, share)
-    open_ = open_.join(found.select("no"), "no", "left_anti")
-    earlier = lists.select("key", F.col("no").alias("other"), F.col("n").alias("n2"), F.col("parity").alias("parity2"))
+    # The others have an earlier line besides the earliest one if they are third or later.
+    open_ = lists.where("place > 2 AND near IS NULL").select("key", "no", "n", "parity").join(found.select("no"), "no", "left_anti")
+    earlier = lists.where("more").select(
+        "key", F.col("no").alias("other"), F.col("n").alias("n2"), F.col("parity").alias("parity2")
+    )
     rest = open_.join(earlier, "key").where("other < no").where(fits).select("no", "other").distinct()
     rest = rest.join(first, ["no", "other"], "left_anti")
     both = saved(found.unionByName(_similar(rest, texts, share)).select("a", "b"), "similar")
@@ -322,6 +353,11 @@ def dropped(docs: DataFrame, share: int | None = None) -> DataFrame:
     distinct = saved(distinct_lines(keyed), "distinct")
     near = near_lines(docs, distinct)
     if share is not None:
+        # The half keys have served; they are half of both tables.
+        slim = saved(keyed.drop("ends"), "keyed"), saved(distinct.drop("ends"), "distinct")
+        for used in (keyed, distinct):
+            freed(used)
+        keyed, distinct = slim
         near = near.unionByName(similar_lines(docs, distinct, near, share))
     near = near.withColumn("near", F.lit(True))
     # Where the line may stay; nowhere if an earlier neighbour exists.

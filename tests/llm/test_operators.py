@@ -597,6 +597,24 @@ def test_similar_lines(spark):
     assert [r.doc_id for r in out.collect()] == [1]
 
 
+def test_unlike_pairs_bring_no_text(spark, monkeypatch):
+    """Long lines that share a phrase and little else are told apart before their texts meet; a copy among them goes."""
+    stored, saved = Counter(), linedup.saved
+
+    def counted(df, name):
+        out = saved(df, name)
+        stored[name] += out.count()
+        return out
+
+    monkeypatch.setattr(linedup, "saved", counted)
+    rng = np.random.default_rng(9)
+    phrase = [f"averyveryverylongword{k}" for k in range(51)]
+    lines = [phrase + [f"w{x}" for x in rng.integers(0, 100_000, 34)] for _ in range(30)]
+    lines.append([*lines[0][:-10], *(f"v{x}" for x in range(10))])
+    got = linedup.dropped(documents(spark, [(i, " ".join(w), "s") for i, w in enumerate(lines)]), 5).collect()
+    assert [r.doc_id for r in got] == [30] and stored["pairs"] > 50 and 1 <= stored["alike"] < 10
+
+
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, FOLDER)
     rows = out.collect()
