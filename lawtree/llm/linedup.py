@@ -20,10 +20,13 @@ order, fewer pairs than that come before the least pair that two such lines have
 have it among as many first pairs (``_first_pairs``). The order has frequent pairs last, by counts in a sketch
 of fixed size (``_heat``), and among the others the longest words first: they are rare. So a pair that very many
 lines share is a key only of lines that hold little else. Lines that meet under a pair
-carry the parities of their words by 64 classes; an edit changes two of these at most, so lines that differ in more
-are not compared; nor are lines whose parities by 256 classes differ in more, which are looked up before any text is
+carry the pair's place and the parities of their words by 64 classes. The places before and after the pair differ by
+the bound at most, as no fewer words are inserted or deleted there, and an edit changes two parities at most; lines that
+differ in more are not compared, nor are lines whose parities by 256 classes differ in more, which are looked up before any text is
 sent along. The others are verified by their word edit distance, first against the earliest
-line there, which settles groups of copies without comparing all of them, then against every earlier one.
+line there, which settles groups of copies without comparing all of them, then against every earlier one. The
+nearest LOOK earlier lines are looked at where the list is made, and a row stands for a line that fits some of
+them, not for each line of a list; only lists that go on beyond are joined with themselves, by the 256 classes too.
 """
 
 from __future__ import annotations
@@ -45,6 +48,10 @@ BITMAP = 1 << 17
 CELLS = 1 << 20
 # Longs of parities by which pairs are compared before their texts: 256 classes of words.
 PARITIES = 4
+# Earlier lines of a list that a line is compared with where the list is made; a join compares it with those before them.
+LOOK = 64
+# Places of a pair from 0 that fit into ten bits of its key; beyond, or if the pair comes again, a place is unknown.
+PLACES = 1023
 
 
 def _position() -> Column:
@@ -236,20 +243,23 @@ def _heat(split: DataFrame) -> Column:
 
 
 def _first_pairs(share: int) -> Column:
-    """Keys of the first pairs of adjacent words, as many as the edits may take away and one more.
+    """Keys of the first pairs of adjacent words, as many as the edits may take away and one more, times PLACES + 1, plus the pair's place.
 
     Of n words, n // share may be edited, and each edit takes two pairs away. If the other line is
     longer, inserted words allow for more edits but take one pair each; that gains one pair at most.
-    ``heat`` is that of the pairs' cells.
+    A pair that comes again counts each time, so the least pair that no edit takes away is among the first of both lines, and
+    has one key with the place unknown. ``heat`` is that of the pairs' cells.
     """
-    level = f"shiftrightunsigned(get(heat, cast(pmod(h, {CELLS}) div 16 AS int)), cast(4 * pmod(h, 16) AS int)) & 15"
-    pairs = F.expr(
-        f"""array_distinct(transform(zip_with(slice(words, 1, n - 1), slice(words, 2, n - 1), (s, t) ->
-              named_struct('l', least(length(s) + length(t), 127), 'h', xxhash64(s, t))), p ->
-              shiftleft(15 - ({level.replace("(h,", "(p.h,")}), 59) | shiftleft(cast(p.l AS bigint), 52) | shiftrightunsigned(p.h, 12)))"""
-    )
-    taken = F.expr(f"greatest(2 * (n div {share}), 2 * ((n + 1) div {share}) - 1)").cast("int")
-    return F.slice(F.sort_array(pairs, asc=False), F.lit(1), taken + 1)
+    level = f"shiftrightunsigned(get(heat, cast(pmod(p.h, {CELLS}) div 16 AS int)), cast(4 * pmod(p.h, 16) AS int)) & 15"
+    pairs = f"""transform(zip_with(slice(words, 1, n - 1), slice(words, 2, n - 1), (s, t) ->
+          named_struct('l', least(length(s) + length(t), 127), 'h', xxhash64(s, t))), (p, i) ->
+          shiftleft(15 - ({level}), 59) | shiftleft(cast(p.l AS bigint), 52) | shiftleft(shiftrightunsigned(p.h, 22), 10) | least(i, {PLACES}))"""
+    taken = f"cast(greatest(2 * (n div {share}), 2 * ((n + 1) div {share}) - 1) AS int)"
+    # One more tells whether the last of them comes again; the one-element array has them sorted only once.
+    first = f"slice(sort_array({pairs}, false), 1, {taken} + 2)"
+    placed = f"transform(f, (v, i) -> CASE WHEN shiftright(v, 10) = shiftright(get(f, i + 1), 10) THEN v | {PLACES} ELSE v END)"
+    once = f"filter({placed}, (v, i) -> i <= {taken} AND (i = 0 OR shiftright(v, 10) <> shiftright(get(f, i - 1), 10)))"
+    return F.expr(f"transform(array({first}), f -> {once})[0]")
 
 
 def _as_text(words: str, code: str) -> str:
@@ -257,21 +267,37 @@ def _as_text(words: str, code: str) -> str:
     return f"decode(unhex(array_join(transform({words}, w -> lpad(hex(65536 + pmod({code}, 1048576)), 8, '0')), '')), 'UTF-32')"
 
 
+def _parities(texts: DataFrame, some: DataFrame) -> DataFrame:
+    """(no, n, p), stored, of the lines ``some`` (no): the parities of their words by 64 * PARITIES classes."""
+    hashes = F.transform(_words("line"), lambda w: F.xxhash64(w))
+    rows = texts.join(some.distinct(), "no", "left_semi").select("no", "n", F.explode(F.array(hashes)).alias("h"))
+    parity = f"""transform(sequence(0, {PARITIES - 1}), k -> aggregate(h, 0L, (s, x) -> s ^
+                   CASE WHEN pmod(x, {PARITIES}) = k THEN shiftleft(1L, cast(pmod(x div {PARITIES}, 64) AS int)) ELSE 0L END))"""
+    return saved(rows.select("no", "n", F.expr(parity).alias("p")), "parities")
+
+
+def _even(share: int) -> str:
+    """SQL: whether the parities p and p2 of lines of n and n2 words allow for the bound. A word more or less changes one, another word two."""
+    differ = " + ".join(f"bit_count(p[{k}] ^ p2[{k}])" for k in range(PARITIES))
+    return f"{differ} <= 2 * (greatest(n, n2) div {share}) - abs(n - n2)"
+
+
+def _fits(share: int, n: str, at: str, parity: str) -> str:
+    """SQL: whether a line may be within the bound of another, given as n, at and parity, if no edit takes away the pair at these places."""
+    bound = f"greatest(n, {n}) div {share}"
+    moved = f"(at = {PLACES} OR {at} = {PLACES} OR abs(at - {at}) + abs(n - at - {n} + {at}) <= {bound})"
+    return f"abs(n - {n}) <= {bound} AND {moved} AND bit_count(parity ^ {parity}) <= 2 * ({bound}) - abs(n - {n})"
+
+
 def _alike(pairs: DataFrame, texts: DataFrame, share: int) -> DataFrame:
     """``pairs`` (no, other), stored, without those whose words' parities by 64 * PARITIES classes exclude the bound.
 
     A text is some ten times as long as these parities, and is not sent along for the pairs that they settle.
     """
     pairs = saved(pairs, "pairs")
-    paired = pairs.select(F.explode(F.array("no", "other")).alias("no")).distinct()
-    hashes = F.transform(_words("line"), lambda w: F.xxhash64(w))
-    some = texts.join(paired, "no", "left_semi").select("no", "n", F.explode(F.array(hashes)).alias("h"))
-    parity = f"""transform(sequence(0, {PARITIES - 1}), k -> aggregate(h, 0L, (s, x) -> s ^
-                   CASE WHEN pmod(x, {PARITIES}) = k THEN shiftleft(1L, cast(pmod(x div {PARITIES}, 64) AS int)) ELSE 0L END))"""
-    some = saved(some.select("no", "n", F.expr(parity).alias("p")), "parities")
+    some = _parities(texts, pairs.select(F.explode(F.array("no", "other")).alias("no")))
     other = some.select(F.col("no").alias("other"), F.col("n").alias("n2"), F.col("p").alias("p2"))
-    differ = " + ".join(f"bit_count(p[{k}] ^ p2[{k}])" for k in range(PARITIES))
-    met = pairs.join(some, "no").join(other, "other").where(f"{differ} <= 2 * (greatest(n, n2) div {share}) - abs(n - n2)")
+    met = pairs.join(some, "no").join(other, "other").where(_even(share))
     alike = saved(met.select("no", "other"), "alike")
     for used in (pairs, some):
         freed(used)
@@ -311,34 +337,45 @@ def similar_lines(docs: DataFrame, distinct: DataFrame, near: DataFrame, share:
     split = texts.select("no", "n", "near", _words("line").alias("words"))
     parity = F.expr("aggregate(words, 0L, (s, w) -> s ^ shiftleft(1L, cast(pmod(xxhash64(w), 64) AS int)))")
     split = split.withColumns({"heat": _heat(split), "parity": parity})
-    index = split.select("no", "n", "near", "parity", F.explode(_first_pairs(share)).alias("key"))
-    # A word more or less changes one parity, another word two.
-    bound = f"greatest(n, n2) div {share}"
-    fits = F.expr(f"abs(n - n2) <= {bound} AND bit_count(parity ^ parity2) <= 2 * ({bound}) - abs(n - n2)")
-    # One exchange, the largest of this step, makes the lists and meets each line with the earliest of its list. Only lines
-    # that fit it, and those of lists with a third line, are stored.
+    index = split.select("no", "n", "near", "parity", F.explode(_first_pairs(share)).alias("v"))
+    index = index.select(
+        "no", "n", "near", "parity", F.shiftright("v", 10).alias("key"), F.col("v").bitwiseAND(F.lit(PLACES)).cast("int").alias("at")
+    )
+    # One exchange, the largest of this step, makes the lists and meets each line with the earliest of its list and the LOOK
+    # before it. Only lines that fit one of these, and those of lists that go on beyond, are stored.
     order = Window.partitionBy("key").orderBy("no")
-    until = order.rowsBetween(Window.unboundedPreceding, 0)
+    earliest = F.first(F.struct("no", "n", "at", "parity")).over(order.rowsBetween(Window.unboundedPreceding, 0))
     placed = index.select(
-        "*", F.row_number().over(order).alias("place"), F.lead("no").over(order).isNotNull().alias("followed"),
-        F.first("no").over(until).alias("other"), F.first("n").over(until).alias("n2"), F.first("parity").over(until).alias("parity2"),
+        "*", F.row_number().over(order).alias("place"), F.lead("no", LOOK + 1).over(order).isNotNull().alias("beyond"),
+        earliest.alias("e"), F.collect_list(F.struct("no", "n", "at", "parity")).over(order.rowsBetween(-LOOK, -1)).alias("before"),
+    ).where("place > 1")
+    fits = _fits(share, "e.n", "e.at", "e.parity")
+    each = _fits(share, "x.n", "x.at", "x.parity")
+    others = f"transform(filter(before, x -> x.no <> e.no AND {each}), x -> x.no)"
+    far = f"place > {LOOK + 2}"
+    lists = placed.select(
+        "key", "no", "n", "near", "at", "parity", "place", F.expr(f"beyond OR {far}").alias("more"),
+        F.expr(f"CASE WHEN near IS NULL AND {fits} THEN e.no END").alias("other"),
+        F.expr(f"CASE WHEN near IS NULL AND place > 2 THEN {others} ELSE array() END").alias("others"),
     )
-    other = F.when(F.col("near").isNull() & fits, F.col("other"))
-    lists = placed.where("place > 1").select(
-        "key", "no", "n", "near", "parity", "place", (F.col("followed") | (F.col("place") > 2)).alias("more"), other.alias("other")
-    )
-    lists = saved(lists.where("more OR other IS NOT NULL"), "lists")
+    lists = saved(lists.where("more OR other IS NOT NULL OR size(others) > 0"), "lists")
     first = lists.where("other IS NOT NULL").select("no", "other").distinct()
     found = _similar(first, texts, share)
     # The others have an earlier line besides the earliest one if they are third or later.
-    open_ = lists.where("place > 2 AND near IS NULL").select("key", "no", "n", "parity").join(found.select("no"), "no", "left_anti")
-    earlier = lists.where("more").select(
-        "key", F.col("no").alias("other"), F.col("n").alias("n2"), F.col("parity").alias("parity2")
-    )
-    rest = open_.join(earlier, "key").where("other < no").where(fits).select("no", "other").distinct()
+    settled = found.select("no").distinct()
+    rest = lists.where("size(others) > 0").select("no", "others").join(settled, "no", "left_anti")
+    rest = rest.select("no", F.explode("others").alias("other"))
+    # Lines before the LOOK nearest, for the few lists that have so many.
+    long = lists.where("more")
+    some = _parities(texts, long.select("no"))
+    long = long.select("key", "no", "near", "at", "parity", "place").join(some, "no")
+    open_ = long.where(f"{far} AND near IS NULL").join(settled, "no", "left_anti")
+    earlier = long.select("key", *[F.col(c).alias(f"{c}2") for c in ("no", "n", "at", "parity", "place", "p")])
+    met = open_.join(earlier, "key").where(f"place2 < place - {LOOK}").where(_fits(share, "n2", "at2", "parity2")).where(_even(share))
+    rest = rest.unionByName(met.select("no", F.col("no2").alias("other"))).distinct()
     rest = rest.join(first, ["no", "other"], "left_anti")
     both = saved(found.unionByName(_similar(rest, texts, share)).select("a", "b"), "similar")
-    for used in (lists, found, texts):
+    for used in (lists, some, found, texts):
         freed(used)
     return both
 

@@ -615,6 +615,35 @@ def test_unlike_pairs_bring_no_text(spark, monkeypatch):
     assert [r.doc_id for r in got] == [30] and stored["pairs"] > 50 and 1 <= stored["alike"] < 10
 
 
+def test_long_lists_make_few_pairs(spark, monkeypatch):
+    """Lines that share a phrase, in more lists than are looked back in, make few pairs, and each line with an earlier near copy goes."""
+    stored, saved = Counter(), linedup.saved
+
+    def counted(df, name):
+        out = saved(df, name)
+        stored[name] += out.count()
+        return out
+
+    monkeypatch.setattr(linedup, "saved", counted)
+    monkeypatch.setattr(linedup, "LOOK", 4, raising=False)
+    rng = np.random.default_rng(10)
+    phrase = [f"averyveryverylongword{k}" for k in range(51)]
+    lines = []
+    for _ in range(70):
+        own = [f"w{x}" for x in rng.integers(0, 100_000, 34)]
+        cut = int(rng.integers(35))
+        lines.append(own[:cut] + phrase + own[cut:])
+    for k in (0, 3, 40, 69):
+        at = lines[k].index(phrase[0])
+        lines.append([*lines[k][:at], "more", *(f"v{x}" for x in range(5)), *lines[k][at + 7:]])
+    # Places beyond those that a key holds, and a pair that comes again.
+    words = [f"u{x}" for x in rng.integers(0, 30, 1200)]
+    lines += [words, ["new", *words[:700], *(f"v{x}" for x in range(90)), *words[800:]]]
+    got = linedup.dropped(documents(spark, [(i, " ".join(w), "s") for i, w in enumerate(lines)]), 5).collect()
+    want = [k for k, w in enumerate(lines) if k >= 70 and any(distance(v, w) * 5 <= max(len(v), len(w)) for v in lines[:k])]
+    assert sorted(r.doc_id for r in got) == want == [70, 71, 72, 73, 75] and stored["pairs"] < 600
+
+
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, FOLDER)
     rows = out.collect()
