@@ -26,7 +26,8 @@ differ in more are not compared, nor are lines whose parities by 256 classes dif
 sent along. The others are verified by their word edit distance, first against the earliest
 line there, which settles groups of copies without comparing all of them, then against every earlier one. The
 nearest LOOK earlier lines are looked at where the list is made, and a row stands for a line that fits some of
-them, not for each line of a list; only lists that go on beyond are joined with themselves, by the 256 classes too.
+them, not for each line of a list; only lists that go on beyond are joined with themselves, by the 256 classes too, and there
+two lines of several lists mostly meet only once.
 """
 
 from __future__ import annotations
@@ -50,6 +51,8 @@ CELLS = 1 << 20
 PARITIES = 4
 # Earlier lines of a list that a line is compared with where the list is made; a join compares it with those before them.
 LOOK = 64
+# Keys of its lists that a line carries to such a join.
+KEYS = 8
 # Places of a pair from 0 that fit into ten bits of its key; beyond, or if the pair comes again, a place is unknown.
 PLACES = 1023
 
@@ -365,13 +368,17 @@ def similar_lines(docs: DataFrame, distinct: DataFrame, near: DataFrame, share:
     settled = found.select("no").distinct()
     rest = lists.where("size(others) > 0").select("no", "others").join(settled, "no", "left_anti")
     rest = rest.select("no", F.explode("others").alias("other"))
-    # Lines before the LOOK nearest, for the few lists that have so many.
+    # Lines before the LOOK nearest, for the lists that have so many. Two lines in several of these meet in one only, if it is
+    # among the first KEYS of both; its place may not be that of a pair which no edit takes away, and is not asked for.
     long = lists.where("more")
+    held = long.groupBy("no").agg(F.slice(F.sort_array(F.collect_set("key"), asc=False), 1, KEYS).alias("keys"), F.max(F.expr(f"{far} AND near IS NULL")).alias("open"))
     some = _parities(texts, long.select("no"))
-    long = long.select("key", "no", "near", "at", "parity", "place").join(some, "no")
-    open_ = long.where(f"{far} AND near IS NULL").join(settled, "no", "left_anti")
-    earlier = long.select("key", *[F.col(c).alias(f"{c}2") for c in ("no", "n", "at", "parity", "place", "p")])
-    met = open_.join(earlier, "key").where(f"place2 < place - {LOOK}").where(_fits(share, "n2", "at2", "parity2")).where(_even(share))
+    long = long.select("key", "no", "parity").join(held.join(some, "no"), "no")
+    open_ = long.where("open").join(settled, "no", "left_anti")
+    earlier = long.select("key", *[F.col(c).alias(f"{c}2") for c in ("no", "n", "parity", "p", "keys")])
+    close = f"abs(n - n2) <= greatest(n, n2) div {share} AND bit_count(parity ^ parity2) <= 2 * (greatest(n, n2) div {share}) - abs(n - n2) AND {_even(share)}"
+    once = "key = coalesce(array_max(array_intersect(keys, keys2)), key)"
+    met = open_.join(earlier, "key").where(f"no2 < no AND {close} AND {once}")
     rest = rest.unionByName(met.select("no", F.col("no2").alias("other"))).distinct()
     rest = rest.join(first, ["no", "other"], "left_anti")
     both = saved(found.unionByName(_similar(rest, texts, share)).select("a", "b"), "similar")
