@@ -21,6 +21,7 @@ K = 5
 SHARD = 4096
 QUERIES = 512
 SEEDS = 32
+TOGETHER = 8  # blocks of queries that meet a shard in one task, at least
 
 
 class Shard:
@@ -119,12 +120,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, shard: int = SHARD,
     asked = rows.where(is_query)
     shards, blocks = block_count(rows.count(), shard), block_count(asked.count(), queries)
     shard_rows = packed(rows, shards, F.col("row"), "row", "vec_id", "weights")
-    query_rows = packed(asked, blocks, F.col("row"), "row", "vec_id", "weights").select(
-        F.col("rows").alias("queries"), F.explode(F.expr(f"sequence(0L, {shards - 1}L)")).alias("block")
-    )
-    found = shard_rows.join(query_rows, "block").mapInArrow(
-        _searcher(k), "row long, query_id long, vec_id long, score long"
-    )
+    query_rows = packed(asked, blocks, F.col("row"), "row", "vec_id", "weights").select(F.col("rows").alias("queries"))
+    # A copy of the queries for each shard would be written, or broadcast: Spark counts the copies as one. A product of
+    # partitions reads them again instead, shard by shard; by the hint whatever sizes are estimated.
+    every = query_rows.coalesce(block_count(blocks, TOGETHER)).hint("shuffle_replicate_nl")
+    found = shard_rows.crossJoin(every).mapInArrow(_searcher(k), "row long, query_id long, vec_id long, score long")
     best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return (
         found.withColumn("rank", F.row_number().over(best))

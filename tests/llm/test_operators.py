@@ -92,6 +92,21 @@ def test_topk(spark):
     assert topk.search(df.limit(1), F.lit(True)).count() == 0
 
 
+def test_topk_copies_no_queries(spark):
+    """Blocks of queries meet all shards without a copy for each, which Spark would broadcast as if it were one."""
+    rows = [(i, [i % 7, -(i % 5), i % 3]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, weights array<long>")
+    found = topk.search(df, F.col("vec_id") % 50 == 0, shard=8, queries=2)
+    got = Counter((r.query_id, r.rank, r.vec_id, r.score) for r in found.collect())
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "Generate" not in plan
+    want = Counter()
+    for own, x in rows[::50]:
+        scored = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in rows if i != own)
+        want.update((own, k, i, -s) for k, (s, i) in enumerate(scored[:5], 1))
+    assert got == want
+
+
 def test_embeddings(spark):
     rng = np.random.default_rng(3)
     base = rng.normal(size=(12, 8))
