@@ -5,6 +5,7 @@ is not zero, with their signed integer weights. A query takes its terms in the o
 that each can add to a score in a shard. As long as the weakest ones together cannot reach the
 current k-th score they are non-essential: only postings of the others are traversed, and the
 vectors found there are looked up in the weak terms one by one while they can still compete.
+A task carries the k-th scores of its queries from shard to shard.
 """
 
 from __future__ import annotations
@@ -21,59 +22,77 @@ K = 5
 SHARD = 4096
 QUERIES = 512
 SEEDS = 32
+STRIP = 32  # queries that traverse a shard together
+LOOKUPS = 2  # weak terms looked up before vectors are dropped
+EXACT = 2.0**53  # whole numbers below are exact as doubles
 TOGETHER = 8  # blocks of queries that meet a shard in one task, at least
 
 
 class Shard:
-    """Postings of the vectors of one block, and their weights by vector for lookups."""
+    """Postings of the vectors of one block: a column for each term, with a place for every vector."""
 
     def __init__(self, rows: np.ndarray, ids: np.ndarray, weights: np.ndarray):
         order = np.lexsort((rows, ids))
-        self.rows, self.ids, self.weights = rows[order], ids[order], weights[order]
-        self.docs = [np.nonzero(column)[0] for column in self.weights.T]
-        self.impacts = [column[docs] for column, docs in zip(self.weights.T, self.docs)]
-        self.most = self.weights.max(axis=0, initial=0)
-        self.least = self.weights.min(axis=0, initial=0)
-
-    def search(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """The k best (position, score) for a query, ties to the smaller id; ``own`` is left out."""
-        width = min(len(query), len(self.docs))
-        query = query[:width]
-        bounds = np.maximum(np.maximum(query * self.most[:width], query * self.least[:width]), 0)
-        terms = np.argsort(bounds, kind="stable")
-        reach = np.concatenate([[0], np.cumsum(bounds[terms])])  # what the first terms can add
-        floor = self._floor(query, terms, own, k)
-        weak = 0 if floor is None else int(np.searchsorted(reach[1:], floor, side="left"))
-        scores = np.zeros(len(self.ids), np.int64)
-        seen = np.full(len(self.ids), weak == 0)  # without weak terms even a zero score may count
-        for term in terms[weak:]:
-            docs = self.docs[term]
-            scores[docs] += query[term] * self.impacts[term]
-            seen[docs] = True
-        seen[self.rows == own] = False
-        found = np.nonzero(seen)[0]
-        for at in range(weak - 1, -1, -1):
-            found = found[scores[found] + reach[at + 1] >= floor]
-            scores[found] += query[terms[at]] * self.weights[found, terms[at]]
-        best = found
-        if len(found) > k:
-            kth = np.partition(scores[found], -k)[-k]
-            best = found[scores[found] >= kth]
-        best = best[np.lexsort((best, -scores[best]))][:k]  # positions are in the order of ids
-        return best, scores[best]
-
-    def _floor(self, query: np.ndarray, terms: np.ndarray, own: int, k: int) -> int | None:
+        self.rows, self.ids, self.columns = rows[order], ids[order], np.ascontiguousarray(weights[order].T)
+        self.doubles = self.columns.astype(np.float64)
+        self.most = self.columns.max(axis=1, initial=0)
+        self.least = self.columns.min(axis=1, initial=0)
+        self.largest = np.abs(self.doubles).max(axis=1, initial=0)
+        ranks = np.argsort(self.columns, axis=1)
+        self.lowest, self.highest = ranks[:, :SEEDS], ranks[:, -SEEDS:]
+
+    def search(
+        self, queries: np.ndarray, own: np.ndarray, k: int, reached: np.ndarray
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(query, place, position, score) of the k best for each query, ties to the smaller id.
+
+        The row ``own`` of a query is left out, and what is below the score that it has ``reached`` k times elsewhere.
+        """
+        width = min(queries.shape[1], len(self.columns))
+        queries = queries[:, :width]
+        exact = (np.abs(queries.astype(np.float64)) @ self.largest[:width]).max(initial=0) < EXACT
+        columns = (self.doubles if exact else self.columns)[:width]
+        queries = queries.astype(columns.dtype)
+        bounds = np.maximum(np.maximum(queries * self.most[:width], queries * self.least[:width]), 0)
+        terms = np.argsort(bounds, axis=1, kind="stable")
+        reach = np.zeros((len(queries), width + 1), columns.dtype)  # what the first terms can add
+        np.cumsum(np.take_along_axis(bounds, terms, 1), axis=1, out=reach[:, 1:])
+        floor = np.full(len(queries), -np.inf)
+        if exact and width:
+            floor = np.maximum(reached, self._floor(queries, columns, terms[:, -1], own, k))
+        weak = (reach[:, 1:] < floor[:, None]).sum(axis=1)
+        strong = np.argsort(terms, axis=1) >= weak[:, None]
+        some = strong.any(axis=0)
+        sums = np.where(strong, queries, 0)[:, some] @ columns[some]
+        needs = floor[:, None] - reach  # to be able to reach the floor by the first terms
+        able = (sums >= np.take_along_axis(needs, weak[:, None], 1)) & (self.rows != own[:, None])
+        out = [[np.zeros(0, np.int64)] for _ in range(4)]
+        for j in range(len(queries)):
+            found = np.flatnonzero(able[j])
+            scores = sums[j].take(found)
+            for at in range(weak[j] - 1, -1, -1):
+                scores += queries[j, terms[j, at]] * columns[terms[j, at]].take(found)
+                if at % LOOKUPS == 0:
+                    left = np.flatnonzero(scores >= needs[j, at])
+                    found, scores = found.take(left), scores.take(left)
+            if len(found) > k:
+                left = np.flatnonzero(scores >= np.partition(scores, -k)[-k])
+                found, scores = found.take(left), scores.take(left)
+            order = np.lexsort((found, -scores))[:k]  # positions are in the order of ids
+            values = (np.full(len(order), j), np.arange(len(order)), found[order], scores[order].astype(np.int64))
+            for column, value in zip(out, values):
+                column.append(value)
+        return tuple(np.concatenate(column) for column in out)
+
+    def _floor(self, queries: np.ndarray, columns: np.ndarray, top: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
         """A k-th score that is surely reached: that of some vectors that are high in the top term."""
-        if not len(terms):
-            return None
-        top = terms[-1]
-        gains = query[top] * self.impacts[top]
-        some = np.argsort(gains)[-SEEDS:]
-        docs = self.docs[top][some]
-        docs = docs[self.rows[docs] != own]
-        if len(docs) < k:
-            return None
-        return int(np.partition(self.weights[docs][:, :len(query)] @ query, -k)[-k])
+        up = queries[np.arange(len(queries)), top] > 0
+        seeds = np.where(up[:, None], self.highest[top], self.lowest[top])
+        if seeds.shape[1] < k:
+            return np.full(len(queries), -np.inf)
+        scores = np.einsum("dgs,gd->gs", columns[:, seeds], queries)
+        scores[self.rows[seeds] == own[:, None]] = -np.inf
+        return np.partition(scores, -k, axis=1)[:, -k]
 
 
 def _matrix(rows: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -88,19 +107,23 @@ def _matrix(rows: pa.StructArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _searcher(k: int):
     def run(batches):
-        held, shard = None, None
+        held, shard, tops = None, None, {}
         for batch in batches:
             for i in range(batch.num_rows):
                 if (number := batch.column("block")[i].as_py()) != held:
                     held, shard = number, Shard(*_matrix(batch.column("rows")[i].values))
                 rows, ids, weights = _matrix(batch.column("queries")[i].values)
+                # The k best scores of each query in the shards that this task has seen.
+                top = tops.setdefault(batch.column("asked")[i].as_py(), np.full((len(rows), k), -np.inf))
                 out = [[], [], [], []]
-                for row, own, query in zip(rows, ids, weights):
-                    best, scores = shard.search(query, row, k)
-                    out[0].append(np.full(len(best), row))
-                    out[1].append(np.full(len(best), own))
-                    out[2].append(shard.ids[best])
-                    out[3].append(scores)
+                for start in range(0, len(rows), STRIP):
+                    part = slice(start, start + STRIP)
+                    query, place, best, scores = shard.search(weights[part], rows[part], k, top[part, 0])
+                    here = np.full((len(rows[part]), k), -np.inf)
+                    here[query, place] = scores
+                    top[part] = np.sort(np.concatenate([top[part], here], axis=1), axis=1)[:, -k:]
+                    for column, values in zip(out, (rows[part][query], ids[part][query], shard.ids[best], scores)):
+                        column.append(values)
                 columns = [pa.array(np.concatenate(c)) for c in out]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "query_id", "vec_id", "score"])
 
@@ -120,7 +143,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = K, shard: int = SHARD,
     asked = rows.where(is_query)
     shards, blocks = block_count(rows.count(), shard), block_count(asked.count(), queries)
     shard_rows = packed(rows, shards, F.col("row"), "row", "vec_id", "weights")
-    query_rows = packed(asked, blocks, F.col("row"), "row", "vec_id", "weights").select(F.col("rows").alias("queries"))
+    query_rows = packed(asked, blocks, F.col("row"), "row", "vec_id", "weights").select(
+        F.col("block").alias("asked"), F.col("rows").alias("queries")
+    )
     # A copy of the queries for each shard would be written, or broadcast: Spark counts the copies as one. A product of
     # partitions reads them again instead, shard by shard; by the hint whatever sizes are estimated.
     every = query_rows.coalesce(block_count(blocks, TOGETHER)).hint("shuffle_replicate_nl")

@@ -92,6 +92,20 @@ def test_topk(spark):
     assert topk.search(df.limit(1), F.lit(True)).count() == 0
 
 
+@pytest.mark.parametrize("factor", [1, 2**26])
+def test_topk_of_strips(spark, factor):
+    """More queries than traverse a shard together; with the factor, sums of weights that doubles would round."""
+    rng = np.random.default_rng(4)
+    rows = [(i, [int(x) * factor + int(y) for x, y in rng.integers(-9, 9, (6, 2))]) for i in range(150)]
+    df = spark.createDataFrame(rows, "vec_id long, weights array<long>")
+    got = topk.search(df, F.lit(True), k=3, shard=60, queries=80).collect()
+    want = Counter()
+    for own, x in rows:
+        scored = sorted((-sum(a * b for a, b in zip(x, y)), i) for i, y in rows if i != own)
+        want.update((own, k, i, -s) for k, (s, i) in enumerate(scored[:3], 1))
+    assert Counter((r.query_id, r.rank, r.vec_id, r.score) for r in got) == want
+
+
 def test_topk_copies_no_queries(spark):
     """Blocks of queries meet all shards without a copy for each, which Spark would broadcast as if it were one."""
     rows = [(i, [i % 7, -(i % 5), i % 3]) for i in range(200)]
